@@ -39,8 +39,9 @@ DIMENSION_REQUIRED = {
 AGGREGATE = "geo_source = 'istat_aggregate'"   # territories that have no level by design
 # ----------------------
 
-ONE = F.lit(1)
-_NUMBER = F.lit(0).cast("bigint")
+
+def _zero() -> Column:
+    return F.lit(0).cast("bigint")
 
 
 def outcome(df: DataFrame, failed: Column, observed: Column, expected: str | Column, detail: Column | None = None,
@@ -81,7 +82,7 @@ def scan_checks(df: DataFrame, min_rows: int | Column, required: list[str], exem
         F.count("*").alias("_rows"), *[is_null(c).alias(f"_null_{c}") for c in present],
         *[F.count_if(F.col(c).isNotNull() & (F.col(c).cast("string") != "")).alias(f"_some_{c}") for c in wanted])
 
-    total = sum((F.col(f"_null_{c}") for c in present), _NUMBER)
+    total = sum((F.col(f"_null_{c}") for c in present), _zero())
     problems = [F.when(F.col(f"_null_{c}") > 0, F.concat(F.lit(f"{c}: "), thousands(F.col(f"_null_{c}")),
                                                          F.lit(" nulls"))) for c in present]
     problems += [F.lit(f"{c}: column missing from table") for c in required if c not in df.columns]
@@ -126,7 +127,7 @@ def top_excess(groups: DataFrame, by: str, limit: int = 5) -> Column:
 
 
 def _duplicate_totals(groups: DataFrame) -> DataFrame:
-    return groups.agg(F.count("*").alias("_groups"), F.coalesce(F.sum(F.col("_n") - 1), _NUMBER).alias("_excess"))
+    return groups.agg(F.count("*").alias("_groups"), F.coalesce(F.sum(F.col("_n") - 1), _zero()).alias("_excess"))
 
 
 def key_uniqueness(df: DataFrame, key: str, natural: list[str]) -> DataFrame:
@@ -169,7 +170,7 @@ def orphan_keys(fact: DataFrame, dimensions: dict[str, tuple[str, DataFrame, str
         examples = listed(first, [-F.col("n_rows"), F.col(fk)], F.col(fk).cast("string"))
         detail = F.concat(F.lit(f"{fk} -> {name}: "), thousands(F.col("_rows")), F.lit(" rows, "),
                           thousands(F.col("_keys")), F.lit(" unknown keys (e.g. "), examples, F.lit(")"))
-        totals = lost.agg(F.coalesce(F.sum("n_rows"), _NUMBER).alias("_rows"), F.count("*").alias("_keys"))
+        totals = lost.agg(F.coalesce(F.sum("n_rows"), _zero()).alias("_rows"), F.count("*").alias("_keys"))
         rows.append(totals.select(F.lit(i).alias("_i"), "_rows", F.when(F.col("_rows") > 0, detail).alias("_detail")))
     both = reduce(DataFrame.unionByName, rows).agg(
         F.sum("_rows").alias("_rows"),
@@ -221,7 +222,7 @@ def values_within_bounds(found: DataFrame, bounds: dict[str, tuple]) -> DataFram
     text = F.concat(F.col("code"), F.lit(": "), thousands(F.col("n_out")), F.lit(" rows outside "), label,
                     F.lit(" (observed "), six_digits(F.col("min_out")), F.lit(" to "), six_digits(F.col("max_out")),
                     F.lit(")"))
-    total = found.agg(F.coalesce(F.sum("n_out"), _NUMBER).alias("_n"))
+    total = found.agg(F.coalesce(F.sum("n_out"), _zero()).alias("_n"))
     return outcome(total, F.col("_n") > 0, thousands(F.col("_n")), "0",
                    listed(found, [-F.col("n_out"), F.col("code")], text, "; "))
 
@@ -229,13 +230,15 @@ def values_within_bounds(found: DataFrame, bounds: dict[str, tuple]) -> DataFram
 # ---- coverage ----
 
 def providers_present(df: DataFrame, providers: list[str], provider: str = "provider", source: str = "source_id",
-                      weight: Column = ONE) -> DataFrame:
+                      weight: Column | None = None) -> DataFrame:
     """Rows per expected provider, matched by name or as part of the source id."""
+    n_rows = weight if weight is not None else F.lit(1)
+
     def hit(p: str) -> Column:
         named = F.coalesce(F.lower(provider) == p, F.lit(False))
         return named | F.coalesce(F.instr(F.lower(source), p) > 0, F.lit(False))
 
-    row = df.agg(*[F.coalesce(F.sum(F.when(hit(p), weight)), _NUMBER).cast("bigint").alias(f"_p{i}")
+    row = df.agg(*[F.coalesce(F.sum(F.when(hit(p), n_rows)), _zero()).cast("bigint").alias(f"_p{i}")
                    for i, p in enumerate(providers)])
     n, size = [F.col(f"_p{i}") for i in range(len(providers))], len(providers)
     found = sum(((c > 0).cast("int") for c in n), F.lit(0))
@@ -300,7 +303,7 @@ def expected_codes(df: DataFrame, code: str, expected: list[str], known: DataFra
 
 
 def frequencies(df: DataFrame, expected: list[str], frequency: str = "frequency", label: str = "period_label",
-                weight: Column = ONE, bad: Column | None = None) -> DataFrame:
+                weight: Column | None = None, bad: Column | None = None) -> DataFrame:
     """Expected frequencies occur, and monthly labels look like months."""
     absent = [c for c in (frequency, *([label] if bad is None else [])) if c not in df.columns]
     if absent:
@@ -308,7 +311,7 @@ def frequencies(df: DataFrame, expected: list[str], frequency: str = "frequency"
                        F.lit(f"column {absent[0]} missing from table"))
     wrong = bad if bad is not None else bad_month_label(frequency, label).cast("bigint")
     per = df.groupBy(F.col(frequency).alias("_f")).agg(
-        F.sum(weight).cast("bigint").alias("_n"), F.sum(wrong).cast("bigint").alias("_bad"))
+        F.sum(weight if weight is not None else F.lit(1)).cast("bigint").alias("_n"), F.sum(wrong).cast("bigint").alias("_bad"))
     name = F.when(F.coalesce("_f", F.lit("")) == "", F.lit("(blank)")).otherwise(F.col("_f"))
     row = per.agg(
         F.sum("_bad").alias("_bad"), F.collect_set("_f").alias("_set"),
@@ -322,7 +325,7 @@ def frequencies(df: DataFrame, expected: list[str], frequency: str = "frequency"
         F.when(F.col("_bad") > 0, F.concat(thousands(F.col("_bad")), F.lit(
             " monthly rows with period_label not in YYYY-MM format"))),
         F.concat(F.lit("rows by frequency: "), F.array_join(F.transform("_rows", lambda s: s["t"]), ", "))])
-    return outcome(row, (missing != "") | (F.coalesce("_bad", _NUMBER) > 0),
+    return outcome(row, (missing != "") | (F.coalesce("_bad", _zero()) > 0),
                    F.when(seen == "", F.lit("-")).otherwise(seen), ", ".join(expected), detail)
 
 
@@ -391,7 +394,7 @@ def code_list_complete(df: DataFrame, column: str) -> DataFrame:
     """No row carries a code its code list does not contain (see ``code_list``)."""
     lost = df.filter(F.col(f"{column}_unlisted")).groupBy(column).agg(F.count("*").alias("_n"))
     first = lost.orderBy(F.desc("_n"), column).limit(5)
-    total = lost.agg(F.coalesce(F.sum("_n"), _NUMBER).alias("_n"))
+    total = lost.agg(F.coalesce(F.sum("_n"), _zero()).alias("_n"))
     text = F.concat(F.col(column), F.lit(" (+"), thousands(F.col("_n")), F.lit(")"))
     return outcome(total, F.col("_n") > 0, thousands(F.col("_n")), "0", listed(first, [-F.col("_n"), F.col(column)], text))
 
@@ -400,7 +403,7 @@ def accepted_values(df: DataFrame, column: str, values: list[str]) -> DataFrame:
     other = df.filter(F.col(column).isNotNull() & ~F.col(column).isin(values)).groupBy(column) \
         .agg(F.count("*").alias("_n"))
     first = other.orderBy(F.desc("_n"), column).limit(5)
-    total = other.agg(F.coalesce(F.sum("_n"), _NUMBER).alias("_n"))
+    total = other.agg(F.coalesce(F.sum("_n"), _zero()).alias("_n"))
     text = F.concat(F.col(column).cast("string"), F.lit(" (+"), thousands(F.col("_n")), F.lit(")"))
     return outcome(total, F.col("_n") > 0, thousands(F.col("_n")), "0", listed(first, [-F.col("_n"), F.col(column)], text))
 
