@@ -271,8 +271,8 @@ def dq_frequencies(t):
     return dq_frequencies_frame(t)
 
 
-DATASET_SQL = f"""ds AS (SELECT event_type AS c, date_sub('day', max(at), {NOW_SQL}) AS age FROM (SELECT event_type,
-        CASE event_type WHEN 'click' THEN ts - INTERVAL 40 DAY WHEN 'error' THEN NULL ELSE ts END AS at FROM events) GROUP BY 1),
+DATASET_SQL = f"""ds AS (SELECT event_type AS c, date_sub('day', max(seen), {NOW_SQL}) AS age FROM (SELECT event_type,
+        CASE event_type WHEN 'click' THEN ts - INTERVAL 40 DAY WHEN 'error' THEN NULL ELSE ts END AS seen FROM events) GROUP BY 1),
     dq_datasets AS (SELECT 'events' AS "table", 'datasets present and fresh' AS "check", 'WARN' AS status, {num('count(*)')} AS observed,
         '3 present, <= 45d old' AS expected, 'missing: refund, chargeback; older than 45 days: ' ||
         string_agg(c || ' (' || CASE WHEN age IS NULL THEN 'no timestamp' ELSE age || ' days' END || ')', ', ' ORDER BY c)

@@ -144,7 +144,7 @@ MERGE_SQL = r"""
             o_totalprice AS value, CASE WHEN o_orderkey % 4 = 0 THEN strftime(o_orderdate, '%Y') ELSE strftime(o_orderdate, '%Y-%m') END AS time,
             CASE WHEN o_orderkey % 9 = 0 THEN 'XX9' WHEN o_orderkey % 2 = 0 THEN lpad(CAST(c_nationkey AS VARCHAR), 3, '0')
                  WHEN o_orderkey % 3 = 0 THEN 'ITD' || CAST(c_nationkey AS VARCHAR) ELSE ' ith' || CAST(c_nationkey AS VARCHAR) END AS geo,
-            CASE o_orderstatus WHEN 'O' THEN 'male' WHEN 'F' THEN 'female' END AS gender, o_orderpriority AS age_group, o_orderdate AS at,
+            CASE o_orderstatus WHEN 'O' THEN 'male' WHEN 'F' THEN 'female' END AS gender, o_orderpriority AS age_group, o_orderdate AS seen,
             CASE WHEN o_orderkey % 4 = 0 THEN 'A' ELSE 'M' END AS frequency, CAST(NULL AS VARCHAR) AS education, CAST(NULL AS VARCHAR) AS nace_code
           FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 5 <> 0 AND year(o_orderdate) >= 2015 - 18),
     ah AS (SELECT a.*, x.nuts_code, x.lvl AS nuts_level, 'IT' AS country_code, x.n_name AS nuts_name_it, x.nuts_code IS NULL AS geo_unmatched
@@ -153,18 +153,18 @@ MERGE_SQL = r"""
     b AS (SELECT 'unemployment_rate' AS indicator_code, 'lfst_r_lfu3rt' AS dataset_code, 'eurostat' AS source_id, 2 AS priority, l_quantity AS value,
             CAST(2021 + l_linenumber % 4 AS VARCHAR) AS time, CASE WHEN l_suppkey % 5 = 0 THEN 'EA19' WHEN l_suppkey % 5 = 1 THEN 'FR10'
               WHEN l_suppkey % 5 = 2 THEN 'it' || CAST(l_suppkey % 7 AS VARCHAR) WHEN l_suppkey % 5 = 3 THEN 'DE' ELSE 'ITC' || CAST(l_suppkey % 3 AS VARCHAR) END AS geo,
-            l_returnflag AS gender, 'Y15-74' AS age_group, l_shipdate AS at, 'A' AS frequency, CASE l_linestatus WHEN 'O' THEN 'TOTAL' ELSE 'ED5-8' END AS education,
+            l_returnflag AS gender, 'Y15-74' AS age_group, l_shipdate AS seen, 'A' AS frequency, CASE l_linestatus WHEN 'O' THEN 'TOTAL' ELSE 'ED5-8' END AS education,
             'C' || CAST(l_partkey % 50 AS VARCHAR) AS nace_code FROM lineitem WHERE l_returnflag <> 'N'),
     bh AS (SELECT b.*, upper(geo) AS nuts_code, CASE WHEN length(geo) BETWEEN 2 AND 5 THEN length(geo) - 2 END AS nuts_level, upper(substring(geo, 1, 2)) AS country_code,
             CAST(NULL AS VARCHAR) AS nuts_name_it, CAST(NULL AS BOOLEAN) AS geo_unmatched FROM b
           WHERE (length(geo) = 2 OR geo LIKE 'IT%')),
     u AS (SELECT * FROM ah UNION ALL SELECT * FROM bh),
     k AS (SELECT *, row_number() OVER (PARTITION BY indicator_code, nuts_code, time, nace_code, gender, age_group, education, frequency
-            ORDER BY priority, dataset_code, at DESC, value) AS rn FROM u WHERE nuts_code IS NOT NULL),
+            ORDER BY priority, dataset_code, seen DESC, value) AS rn FROM u WHERE nuts_code IS NOT NULL),
     f AS (SELECT * EXCLUDE (rn) FROM k WHERE rn = 1 UNION ALL SELECT * FROM u WHERE nuts_code IS NULL)
     SELECT indicator_code, dataset_code, source_id, CAST(priority AS BIGINT) AS priority, value, 'percentage' AS unit, CAST(substring(time, 1, 4) AS BIGINT) AS time,
         frequency, time AS period_label, nuts_code, CAST(nuts_level AS BIGINT) AS nuts_level, country_code, nuts_name_it, gender, age_group, education, nace_code,
-        strftime(at, '%Y-%m-%d') AS extracted_on, geo_unmatched
+        strftime(seen, '%Y-%m-%d') AS extracted_on, geo_unmatched
     FROM f WHERE coalesce(nuts_code, '') NOT IN ('EU27_2020', 'EU27', 'EA', 'EA19', 'EA20')"""
 
 

@@ -16,14 +16,14 @@ _CODE = "p_brand || '/' || l_returnflag"
 _TIME = """CASE WHEN l_suppkey % 50 = 7 THEN 'n.d.' WHEN l_suppkey % 4 = 0 THEN {y} WHEN l_suppkey % 4 = 1 THEN {y} || '-Q' || CAST(quarter(l_shipdate) AS VARCHAR)
     ELSE {m} END"""
 SNAP_SQL = f"""src AS (SELECT {_CODE} AS dataset_code, {_TIME.format(y="strftime(l_shipdate, '%Y')", m="strftime(l_shipdate, '%Y-%m')")} AS time,
-        CASE WHEN p_size % 2 = 0 THEN l_shipdate ELSE least(l_shipdate, TIMESTAMP '2000-06-30') END AS at, l_shipdate, p_brand, l_returnflag
+        CASE WHEN p_size % 2 = 0 THEN l_shipdate ELSE least(l_shipdate, TIMESTAMP '2000-06-30') END AS seen, l_shipdate, p_brand, l_returnflag
         FROM lineitem JOIN part ON l_partkey = p_partkey),
     prev AS (SELECT * FROM src WHERE l_shipdate < TIMESTAMP '2000-07-01' AND dataset_code <> 'Brand#3/N'),
     cur AS (SELECT * FROM src WHERE dataset_code <> 'Brand#5/A' AND NOT (p_brand = 'Brand#7' AND l_shipdate >= TIMESTAMP '2000-07-01')
         AND NOT (p_brand = 'Brand#9' AND year(l_shipdate) = 1996)),
     want AS (SELECT DISTINCT dataset_code FROM src WHERE p_brand <> 'Brand#11' UNION ALL SELECT 'Brand#0/X'),
-    cs AS (SELECT dataset_code, count(*) AS n, max(at) AS at FROM cur GROUP BY 1),
-    ps AS (SELECT dataset_code, count(*) AS n, max(at) AS at FROM prev GROUP BY 1),
+    cs AS (SELECT dataset_code, count(*) AS n, max(seen) AS seen FROM cur GROUP BY 1),
+    ps AS (SELECT dataset_code, count(*) AS n, max(seen) AS seen FROM prev GROUP BY 1),
     cp AS (SELECT DISTINCT dataset_code, time AS period FROM cur), pp AS (SELECT DISTINCT dataset_code, time AS period FROM prev),
     fq AS (SELECT period, CASE WHEN length(period) = 4 AND period <> 'n.d.' THEN 'A' WHEN contains(period, 'Q') THEN 'Q' WHEN period = 'n.d.' THEN '?' ELSE 'M' END AS f
         FROM (SELECT period FROM cp UNION SELECT period FROM pp)),
@@ -34,8 +34,8 @@ SNAP_SQL = f"""src AS (SELECT {_CODE} AS dataset_code, {_TIME.format(y="strftime
         AND dataset_code IN (SELECT dataset_code FROM ps)),
     codes AS (SELECT dataset_code FROM want UNION SELECT dataset_code FROM cs UNION SELECT dataset_code FROM ps),
     facts AS (SELECT codes.dataset_code, want.dataset_code IS NOT NULL AS expected,
-        CASE WHEN cs.n IS NULL THEN 'missing' WHEN ps.n IS NULL THEN 'new_dataset' WHEN cs.at > ps.at THEN 'updated' ELSE 'not_updated' END AS status,
-        cs.n AS n_rows, CAST(cs.at AS DATE) AS extracted_on, CASE WHEN cs.n IS NULL THEN CAST(ps.at AS DATE) END AS last_extracted_on,
+        CASE WHEN cs.n IS NULL THEN 'missing' WHEN ps.n IS NULL THEN 'new_dataset' WHEN cs.seen > ps.seen THEN 'updated' ELSE 'not_updated' END AS status,
+        cs.n AS n_rows, CAST(cs.seen AS DATE) AS extracted_on, CASE WHEN cs.n IS NULL THEN CAST(ps.seen AS DATE) END AS last_extracted_on,
         cs.n - ps.n AS rows_change,
         (SELECT string_agg(period, ',' ORDER BY period) FROM both_sides b WHERE b.dataset_code = codes.dataset_code AND change = 'new') AS new_periods,
         (SELECT string_agg(period, ',' ORDER BY period) FROM both_sides b WHERE b.dataset_code = codes.dataset_code AND change = 'removed') AS removed_periods,
@@ -97,7 +97,7 @@ def release_baseline(t):
 
 
 @query("dataset_summary", f"""
-    WITH {SNAP_SQL} SELECT dataset_code, count(*) AS n_rows, CAST(max(at) AS DATE) AS extracted_on FROM cur GROUP BY 1""")
+    WITH {SNAP_SQL} SELECT dataset_code, count(*) AS n_rows, CAST(max(seen) AS DATE) AS extracted_on FROM cur GROUP BY 1""")
 def dataset_summary(t):
     current, _, _ = snapshots(t)
     return release.dataset_summary(release.observed(current)).select(

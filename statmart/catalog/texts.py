@@ -113,7 +113,7 @@ def _it(n: str) -> str:
 
 
 @query("offered_values", f"""
-    WITH {TOTALS_SQL}, few AS (SELECT name FROM (SELECT CASE WHEN split_part(dataset_code, '/', 1) <> 'Brand#2' THEN 'Serie ' || split_part(dataset_code, '/', 1)
+    WITH {TOTALS_SQL}, few AS (SELECT name, d FROM (SELECT CASE WHEN split_part(dataset_code, '/', 1) <> 'Brand#2' THEN 'Serie ' || split_part(dataset_code, '/', 1)
         ELSE dataset_code END AS name, min(dataset_code) AS d FROM facts WHERE new_periods IS NOT NULL AND dataset_code < 'Brand#11' GROUP BY 1))
     SELECT * FROM (
       SELECT 'mese' AS name, 'novembre 2001' AS value UNION ALL SELECT 'mese_precedente', 'ottobre 2001'
@@ -123,7 +123,8 @@ def _it(n: str) -> str:
       UNION ALL SELECT 'n_non_aggiornati', {_it('n_non_aggiornati')} FROM tot WHERE n_non_aggiornati > 0
       UNION ALL SELECT 'n_mancanti', {_it('n_mancanti')} FROM tot WHERE n_mancanti > 0
       UNION ALL SELECT 'n_nuovi_dataset', {_it('n_nuovi_dataset')} FROM tot WHERE n_nuovi_dataset > 0
-      UNION ALL SELECT 'elenco_nuovi_periodi', string_agg(name, ', ' ORDER BY name) FROM few HAVING count(*) BETWEEN 1 AND 1)""")
+      UNION ALL SELECT 'elenco_nuovi_periodi', CASE len(l) WHEN 1 THEN l[1] ELSE array_to_string(l[1:len(l) - 1], ', ') || ' e ' || l[len(l)] END
+        FROM (SELECT list(name ORDER BY d) AS l FROM few) WHERE len(l) BETWEEN 1 AND 3)""")
 def offered_values(t):
     facts = release_facts(t)
     totals = release.totals(facts, MONTH)

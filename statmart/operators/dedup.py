@@ -32,25 +32,28 @@ def keep_last(df: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
 
 
 def resolve_priority(df: DataFrame, keys: list[str], priority: str, newest: str | None = None,
-                     name: str | None = None) -> DataFrame:
-    """Lowest priority number wins; then dataset name, then the newest extraction, then the remaining columns."""
+                     name: str | None = None, value: str | None = None) -> DataFrame:
+    """Lowest priority number wins; then dataset name, newest extraction, smallest value, the remaining columns."""
     order = [F.col(priority).asc_nulls_last()]
     if name and name not in keys:
         order.append(F.col(name).asc_nulls_first())
     if newest:
         order.append(F.col(newest).desc_nulls_last())
+    if value:
+        order.append(F.col(value).asc_nulls_first())
     return first_per_key(df, keys, order)
 
 
 def resolve_priority_located(df: DataFrame, territory: str, keys: list[str], priority: str,
-                             newest: str | None = None, name: str | None = None) -> DataFrame:
+                             newest: str | None = None, name: str | None = None,
+                             value: str | None = None) -> DataFrame:
     """As :func:`resolve_priority`, but rows without a territory are all kept.
 
     They only share the absence of a code, so they are not duplicates. They take no part in the shuffle, which also
     keeps what could be the hottest key (no territory) out of it.
     """
     blank = is_blank(F.col(territory))
-    kept = resolve_priority(df.filter(~blank), keys, priority, newest, name)
+    kept = resolve_priority(df.filter(~blank), keys, priority, newest, name, value)
     return kept.unionByName(df.filter(blank))
 
 

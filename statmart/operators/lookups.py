@@ -118,18 +118,18 @@ def legal_forms(df: DataFrame, mapping: DataFrame, provider: Column, code: Colum
     """
     names = list(LEGAL_FORM_FIELDS)
     lookup = (
-        mapping.groupBy(F.col("source_system").alias("_system"), F.upper("source_code").alias("_form"))
+        mapping.groupBy(F.col("source_system").alias("_lk_system"), F.upper("source_code").alias("_lk_form"))
         .agg(F.max_by(F.struct(*names), F.col(ordinal)).alias("_found"))
     )
     keyed = df.withColumns({"_own_system": provider, "_own_form": F.when(present, fold(code.cast("string")))})
-    on = (F.col("_own_system") == F.col("_system")) & (F.col("_own_form") == F.col("_form"))
+    on = (F.col("_own_system") == F.col("_lk_system")) & (F.col("_own_form") == F.col("_lk_form"))
     return (
         keyed.join(lookup, on, "left")
         .withColumns({
             **{out: F.col(f"_found.{c}") for c, out in LEGAL_FORM_FIELDS.items()},
             "legal_form_unmatched": present & F.col("_found.unified_category").isNull(),
         })
-        .drop("_own_system", "_own_form", "_system", "_form", "_found")
+        .drop("_own_system", "_own_form", "_lk_system", "_lk_form", "_found")
     )
 
 

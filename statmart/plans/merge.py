@@ -147,7 +147,8 @@ def merge_domain(domain: Domain, raw: dict[str, DataFrame], crosswalk: DataFrame
     if same_sex_codes:
         rows = unify_sex_codes(rows)
     keys = domain.full_grain if full_grain else domain.dedup_keys
-    rows = resolve_priority_located(rows, "nuts_code", keys, "priority", "extracted_at", "dataset_code")
+    rows = resolve_priority_located(rows, "nuts_code", keys, "priority", "extracted_at", "dataset_code",
+                                    "value")
     return finished(rows, domain)
 
 

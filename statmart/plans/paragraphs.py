@@ -127,13 +127,13 @@ def offered_values(totals: DataFrame, facts: DataFrame, labels: DataFrame, limit
     names = top.agg(F.transform(F.sort_array(F.collect_list(F.struct("_i", "name"))), lambda s: s["name"])).scalar()
     row = totals.withColumn("_names", names)
     few = F.size("_names").between(1, limit)
-    entries = F.array(
-        F.struct(F.lit("mese").alias("key"), month_year_it(F.col("month")).alias("value")),
-        F.struct(F.lit("n_dataset"), thousands_it(F.col("n_dataset"))),
-        F.struct(F.lit("mese_precedente"), F.when(F.col("previous_month").isNotNull(),
-                                                  month_year_it(F.col("previous_month")))),
-        *[F.struct(F.lit(c), F.when(F.col(c) > 0, thousands_it(F.col(c)))) for c in OFFERED_COUNTS],
-        F.struct(F.lit("elenco_nuovi_periodi"), F.when(few, all_but_last(F.col("_names")))),
-    )
+    offers = {
+        "mese": month_year_it(F.col("month")),
+        "n_dataset": thousands_it(F.col("n_dataset")),
+        "mese_precedente": F.when(F.col("previous_month").isNotNull(), month_year_it(F.col("previous_month"))),
+        **{c: F.when(F.col(c) > 0, thousands_it(F.col(c))) for c in OFFERED_COUNTS},
+        "elenco_nuovi_periodi": F.when(few, all_but_last(F.col("_names"))),
+    }
+    entries = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in offers.items()])
     kept = F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
     return row.select(F.when(~F.col("prima_rilevazione"), kept).alias("values"))
