@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..plans import release, report
 from ..registry import inline
+from ..session import checkpointed
 from .base import Tables, query
 
 MONTH = "2001-11"
@@ -100,7 +101,7 @@ def release_baseline(t):
     WITH {SNAP_SQL} SELECT dataset_code, count(*) AS n_rows, CAST(max(seen) AS DATE) AS extracted_on FROM cur GROUP BY 1""")
 def dataset_summary(t):
     current, _, _ = snapshots(t)
-    return release.dataset_summary(release.observed(current)).select(
+    return release.dataset_summary(release.snapshot_profile(current)).select(
         "dataset_code", "n_rows", F.to_date("extracted_at").alias("extracted_on"))
 
 
@@ -109,7 +110,7 @@ def dataset_summary(t):
     FROM cp JOIN fq USING (period) GROUP BY 1, 2""")
 def periods_by_frequency(t):
     current, _, _ = snapshots(t)
-    lists = release.by_frequency(release.dataset_periods(release.observed(current)), "periods")
+    lists = release.by_frequency(release.dataset_periods(release.snapshot_profile(current)), "periods")
     p = F.col("periods")
     return lists.select("dataset_code", F.explode("periods").alias("frequency", "periods")).select(
         "dataset_code", "frequency", F.size(p).cast("bigint").alias("n_periods"), F.get(p, F.lit(0)).alias("first_period"),
@@ -119,8 +120,8 @@ def periods_by_frequency(t):
 @query("period_changes", f"WITH {SNAP_SQL} SELECT dataset_code, period, frequency, change FROM both_sides")
 def period_changes(t):
     current, previous, _ = snapshots(t)
-    return release.period_changes(release.dataset_periods(release.observed(current)),
-                                  release.dataset_periods(release.observed(previous)))
+    return release.period_changes(release.dataset_periods(release.snapshot_profile(current)),
+                                  release.dataset_periods(release.snapshot_profile(previous)))
 
 
 TOTALS_SQL = f"""{SNAP_SQL}, tot AS (SELECT '{MONTH}' AS month, '2001-10' AS previous_month, count(*) AS n_dataset,
@@ -224,6 +225,6 @@ _LATEST = f"""(SELECT string_agg(CASE f WHEN 'M' THEN {_MONTHS}[CAST(substring(p
         WHEN rows_change > 0 THEN '+' || {_it('rows_change')} ELSE '−' || {_it('-rows_change')} END || ' |'
     FROM named WHERE status = 'updated' AND new_periods IS NULL""")
 def report_lines(t):
-    facts = release_facts(t)
+    facts = checkpointed(release_facts(t))
     lines = report.report_lines(facts, labels(t), release.totals(facts, MONTH), MONTH, date(2001, 12, 1))
     return lines.filter("section between 20 and 40 and dataset_code <> ''").select("section", "dataset_code", "line")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..plans import paragraphs as p
 from ..plans import release
-from ..registry import inline
+from ..session import checkpointed
 from .base import Tables, query
 from .releases import MONTH, SNAP_SQL, TOTALS_SQL, labels, release_facts
 
@@ -126,7 +126,7 @@ def _it(n: str) -> str:
       UNION ALL SELECT 'elenco_nuovi_periodi', CASE len(l) WHEN 1 THEN l[1] ELSE array_to_string(l[1:len(l) - 1], ', ') || ' e ' || l[len(l)] END
         FROM (SELECT list(name ORDER BY d) AS l FROM few) WHERE len(l) BETWEEN 1 AND 3)""")
 def offered_values(t):
-    facts = release_facts(t)
+    facts = checkpointed(release_facts(t))
     totals = release.totals(facts, MONTH)
     named = facts.filter("dataset_code < 'Brand#11'")
     return p.offered_values(totals, named, labels(t)).select(F.explode("values").alias("name", "value"))

@@ -17,7 +17,10 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column], ties: lis
     key that holds a third of the table sends one row per map task, not a third of the table, to its reducer.
     """
     rest = ties if ties is not None else [c for c in df.columns if c not in keys]
-    w = Window.partitionBy(*keys).orderBy(*order, *[F.col(c).asc_nulls_first() for c in rest])
+    # text keys share long prefixes (indicator and territory codes): sorting by a hash first settles almost every
+    # comparison on eight bytes, and the keys themselves keep the grouping exact
+    lead = [F.xxhash64(*keys)] if dict(df.dtypes)[keys[0]] == "string" else []
+    w = Window.partitionBy(*lead, *keys).orderBy(*order, *[F.col(c).asc_nulls_first() for c in rest])
     return df.withColumn(_RANK, F.row_number().over(w)).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
@@ -45,14 +48,18 @@ def resolve_priority(df: DataFrame, keys: list[str], priority: str, newest: str
 
 
 def resolve_priority_located(df: DataFrame, territory: str, keys: list[str], priority: str,
-                             newest: str | None = None, name: str | None = None,
-                             value: str | None = None) -> DataFrame:
+                             newest: str | None = None, name: str | None = None, value: str | None = None,
+                             row_id: str | None = None) -> DataFrame:
     """As :func:`resolve_priority`, but rows without a territory are all kept.
 
-    They only share the absence of a code, so they are not duplicates. They take no part in the shuffle, which also
-    keeps what could be the hottest key (no territory) out of it.
+    They only share the absence of a code, so they are not duplicates. With ``row_id`` (a column that identifies a
+    row of the source files) each of them is a key of its own, spread over all reducers, and the input is read
+    once. Without it they are split off and take no part in the shuffle, at the price of a second pass.
     """
     blank = is_blank(F.col(territory))
+    if row_id is not None:
+        alone = df.withColumn("_alone", F.when(blank, F.col(row_id)))
+        return resolve_priority(alone, [*keys, "_alone"], priority, newest, name, value).drop("_alone")
     kept = resolve_priority(df.filter(~blank), keys, priority, newest, name, value)
     return kept.unionByName(df.filter(blank))
 

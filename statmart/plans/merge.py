@@ -16,9 +16,12 @@ from ..operators.align import column_or_null, enforce_schema, first_present, sta
 from ..operators.dedup import resolve_priority_located
 from ..operators.lookups import CROSSWALK_FIELDS, crosswalk_index, legal_forms, territory_lookup
 from ..registry import (GENDER, GENDER_COLUMNS, GEO_COLUMNS, LEGAL_FORM_COLUMNS, PRIORITY, TIME_COLUMNS,
-                        UNKNOWN_INDICATOR, UNKNOWN_UNIT, DATASETS, Dataset, Domain, dataset_table)
+                        UNKNOWN_INDICATOR, UNKNOWN_UNIT, Dataset, Domain, dataset_table)
 from ..schemas import PROCESSED
 from ..sources.delimited import dataset_rows
+from ..sources.snapshots import latest_paths
+
+ROW_ID = "_row"   # file and position of a landed row
 
 _CARRIED = ["dataset_code", "provider", "_geo", "_has_geo", "_form", "_has_form", "_gender", "_nace", "time",
             "value", "extracted_at"]
@@ -53,6 +56,8 @@ def aligned(df: DataFrame, dataset: Dataset, domain: Domain) -> DataFrame:
         "value": measured(to_number(F.col("value"))),
         "extracted_at": column_or_null(df, "extracted_at").try_cast("timestamp"),
     }
+    if ROW_ID in df.columns:
+        chosen[ROW_ID] = F.col(ROW_ID)
     axis_of = {out: axis for axis, out in domain.cube_axes.items()} if cube else {}
     for name in breakdowns(domain):
         source = axis_of.get(name, name)
@@ -146,9 +151,13 @@ def merge_domain(domain: Domain, raw: dict[str, DataFrame], crosswalk: DataFrame
     rows = tagged(harmonised(stack(frames), crosswalk, forms, activities), domain.name)
     if same_sex_codes:
         rows = unify_sex_codes(rows)
+    identified = all(ROW_ID in f.columns for f in frames)
+    # only what the processed table holds goes through the shuffle
+    wanted = [c for c in PROCESSED[domain.name].names if c in rows.columns] + [ROW_ID] * identified
     keys = domain.full_grain if full_grain else domain.dedup_keys
-    rows = resolve_priority_located(rows, "nuts_code", keys, "priority", "extracted_at", "dataset_code",
-                                    "value")
+    rows = resolve_priority_located(
+        rows.select(*wanted), "nuts_code", keys, "priority", "extracted_at", "dataset_code", "value",
+        row_id=ROW_ID if identified else None)
     return finished(rows, domain)
 
 
@@ -162,12 +171,7 @@ def finished(rows: DataFrame, domain: Domain) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, root: str, domain: Domain, before: str | None = None) -> dict[str, DataFrame]:
-    """Newest landed snapshot of every registered dataset of a domain."""
-    from ..sources.snapshots import latest_paths
-
+    """Newest landed snapshot of every registered dataset of a domain, each row with its file and position."""
     paths = latest_paths(spark, f"{root}/{domain.name}", [d.code for d in domain.datasets], before)
-    return {code: spark.read.parquet(path) for code, path in sorted(paths.items())}
-
-
-def registered(code: str, domain: str) -> Dataset | None:
-    return next((d for d in DATASETS if d.code == code and d.domain == domain), None)
+    position = F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    return {code: spark.read.parquet(path).withColumn(ROW_ID, position) for code, path in sorted(paths.items())}

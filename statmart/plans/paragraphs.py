@@ -26,8 +26,12 @@ OFFERED_COUNTS = ["n_aggiornati", "n_nuovi_periodi", "n_non_aggiornati", "n_manc
 
 
 def word_pattern(words: list[str]) -> str:
-    """Whole words, any case, with Unicode word boundaries ('metà' ends in a letter)."""
-    return r"(?iU)\b(?:" + "|".join(words) + r")\b"
+    """Whole words, any case, with Unicode word boundaries ('metà' ends in a letter).
+
+    The look-ahead on first letters rejects most positions before the costlier boundary test.
+    """
+    initials = "".join(sorted({w[0] for w in words}))
+    return rf"(?iU)(?=[{initials}])\b(?:" + "|".join(words) + r")\b"
 
 
 def first_match(text: Column, pattern: str) -> Column:
@@ -63,36 +67,44 @@ def flags(text: Column) -> dict[str, Column]:
     }
 
 
-def problems(text: Column, values: Column, max_chars: int = MAX_CHARS) -> Column:
-    """Every reason to reject the text; an empty array means it may be used."""
-    t = strip(text)
-    offered, found = F.map_keys(values), placeholders(t)
+def _staged(texts: DataFrame, text: str, values: Column) -> DataFrame:
+    """Stripped text, the placeholders in it and its final wording, computed once per row for the rules below."""
+    return texts.withColumn("_text", F.coalesce(strip(F.col(text)), F.lit(""))).withColumns({
+        "_found": placeholders(F.col("_text")), "_offered": F.map_keys(values),
+        "_final": substitute(F.col("_text"), values)})
+
+
+def _rules(max_chars: int) -> Column:
+    t, found, offered = F.col("_text"), F.col("_found"), F.col("_offered")
     unknown = F.sort_array(F.array_except(found, offered))
     missing = F.sort_array(F.array_except(offered, found))
-    n = F.length(substitute(t, values))
+    n = F.length("_final")
     rules = [F.when(t.rlike(r"\d"), F.lit("contains digits"))]
-    for name, words in BANNED.items():
-        hit = first_match(t, word_pattern(words))
-        rules.append(F.when(hit.isNotNull(), F.concat(F.lit(f"{name}: '"), hit, F.lit("'"))))
+    # concat is NULL when there is no offending word
+    rules += [F.concat(F.lit(f"{name}: '"), first_match(t, word_pattern(words)), F.lit("'"))
+              for name, words in BANNED.items()]
     rules += [
         F.when(t.rlike(FORMATTING), F.lit("formatting characters")),
         F.when(F.size(unknown) > 0, F.concat(F.lit("unknown placeholders: "), name_list(unknown))),
         F.when(F.size(missing) > 0, F.concat(F.lit("missing placeholders: "), name_list(missing))),
         F.when(F.regexp_replace(t, PLACEHOLDER, "").rlike("[{}]"), F.lit("stray braces")),
-        F.when((F.size(unknown) == 0) & (n > max_chars), F.concat(F.lit("too long: "), n.cast("string"),
-                                                                  F.lit(" characters")))
-        .when((F.size(unknown) == 0) & (n < MIN_CHARS), F.concat(F.lit("too short: "), n.cast("string"),
-                                                                F.lit(" characters"))),
+        F.when((F.size(unknown) == 0) & (n > max_chars),
+               F.concat(F.lit("too long: "), n.cast("string"), F.lit(" characters")))
+        .when((F.size(unknown) == 0) & (n < MIN_CHARS),
+              F.concat(F.lit("too short: "), n.cast("string"), F.lit(" characters"))),
     ]
-    return F.when(F.coalesce(t, F.lit("")) == "", F.array(F.lit("empty response"))).otherwise(
-        F.array_compact(F.array(*rules)))
+    return F.array_compact(F.array(*rules))
 
 
 def checked(texts: DataFrame, text: str, values: Column, max_chars: int = MAX_CHARS) -> DataFrame:
-    """Every candidate with its problems and, when it has none, its final wording."""
-    out = texts.withColumn("problems", problems(F.col(text), values, max_chars))
+    """Every candidate with the reasons to reject it (an empty array means none) and, when accepted, its final
+    wording."""
+    out = _staged(texts, text, values).withColumn("problems", _rules(max_chars))
+    out = out.withColumn("problems", F.when(F.col("_text") == "", F.array(F.lit("empty response")))
+                         .otherwise(F.col("problems")))
     ok = F.size("problems") == 0
-    return out.withColumns({"accepted": ok, "final_text": F.when(ok, substitute(strip(F.col(text)), values))})
+    return out.withColumns({"accepted": ok, "final_text": F.when(ok, F.col("_final"))}).drop(
+        "_text", "_found", "_offered", "_final")
 
 
 def first_accepted(attempts: DataFrame, group: list[str], rank: str, template: Column | None = None) -> DataFrame:

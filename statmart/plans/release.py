@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.periods import frequency_of, reference_period
+from ..session import checkpointed
 from ..sources.snapshots import metadata_columns
 
 STATUSES = ["updated", "not_updated", "new_dataset", "missing", "baseline", "not_processed"]
@@ -19,19 +20,27 @@ def observed(snapshot: DataFrame) -> DataFrame:
         F.col("extracted_at").try_cast("timestamp").alias("extracted_at"))
 
 
-def dataset_summary(rows: DataFrame) -> DataFrame:
+def snapshot_profile(snapshot: DataFrame) -> DataFrame:
+    """Rows and newest extraction per dataset and period.
+
+    Everything a comparison needs follows from this small table, so a snapshot is scanned once; it is written to the
+    shared folder because several steps read it.
+    """
+    rows = observed(snapshot).filter(F.col("dataset_code").isNotNull())
+    return checkpointed(rows.groupBy("dataset_code", "period").agg(
+        F.count("*").alias("n_rows"), F.max("extracted_at").alias("extracted_at")))
+
+
+def dataset_summary(profile: DataFrame) -> DataFrame:
     """Rows and newest extraction per dataset."""
-    return rows.filter(F.col("dataset_code").isNotNull()).groupBy("dataset_code").agg(
-        F.count("*").alias("n_rows"), F.max("extracted_at").alias("extracted_at"))
+    return profile.groupBy("dataset_code").agg(
+        F.sum("n_rows").alias("n_rows"), F.max("extracted_at").alias("extracted_at"))
 
 
-def dataset_periods(rows: DataFrame) -> DataFrame:
-    """Distinct periods per dataset with their frequency."""
-    return (
-        rows.filter(F.col("dataset_code").isNotNull() & F.col("period").isNotNull())
-        .select("dataset_code", "period").distinct()
-        .withColumn("frequency", frequency_of(F.col("period")))
-    )
+def dataset_periods(profile: DataFrame) -> DataFrame:
+    """Periods per dataset with their frequency."""
+    return profile.filter(F.col("period").isNotNull()).select(
+        "dataset_code", "period", frequency_of(F.col("period")).alias("frequency"))
 
 
 def by_frequency(periods: DataFrame, name: str, keys: list[str] | None = None) -> DataFrame:
@@ -70,8 +79,8 @@ def compare(current: DataFrame | None, previous: DataFrame | None, expected: Dat
     want = expected.select("dataset_code").distinct().withColumn("expected", F.lit(True))
     if current is None:
         return want.select("dataset_code", "expected", F.lit("not_processed").alias("status"), *_empty_facts())
-    now = observed(current)
-    then = observed(previous) if previous is not None else now.limit(0)
+    now = snapshot_profile(current)
+    then = snapshot_profile(previous) if previous is not None else now.filter(F.lit(False))
     has_previous = F.lit(previous is not None)
     c = dataset_summary(now).select("dataset_code", F.col("n_rows").alias("_n"), F.col("extracted_at").alias("_at"))
     p = dataset_summary(then).select("dataset_code", F.col("n_rows").alias("_pn"), F.col("extracted_at").alias("_pat"))

@@ -12,6 +12,7 @@ from ..functions.periods import FREQUENCY_ORDER, date_it, frequency_of, frequenc
 from ..functions.strings import all_but_last, map_literal
 from ..operators.diff import runs
 from ..registry import DOMAINS
+from ..session import checkpointed
 from .release import has_new
 
 DOMAIN_LABELS = {name: d.label_it for name, d in DOMAINS.items() if d.enabled}
@@ -170,7 +171,7 @@ def report_lines(facts: DataFrame, labels: DataFrame, totals: DataFrame, month:
     """
     order = domain_order or list(DOMAINS)
     rank = F.coalesce(F.array_position(F.array(*[F.lit(d) for d in order]), F.col("domain")), F.lit(0)).cast("int")
-    rows = named(facts, labels)
+    rows = checkpointed(named(facts, labels))   # one row per dataset, read by every section
 
     def body(df: DataFrame, section: int, position: int = 10) -> DataFrame:
         code = F.col("dataset_code") if "dataset_code" in df.columns else F.lit("")
