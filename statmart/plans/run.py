@@ -62,12 +62,15 @@ def build(spark: SparkSession, layout: Layout, domains: list[Domain], at: dateti
         if path is None:
             counts[domain.name] = 0
             continue
-        fact, dims, out_of_scope, unresolved = warehouse.build_fact(
-            domain, spark.read.parquet(path), load_dimensions(spark, layout))
-        publish(fact, layout.table(domain.fact))
-        publish(dims["dim_geography"], layout.table("dim_geography"))
+        # the dimension goes first and is read back: facts never point at keys that are not published yet, and
+        # Catalyst knows the real size of every dimension when it plans the joins
+        kept, out_of_scope = warehouse.in_scope_rows(spark.read.parquet(path))
+        geography = load_dimensions(spark, layout)["dim_geography"]
+        publish(warehouse.add_unseen_territories(geography, kept), layout.table("dim_geography"))
+        keyed = warehouse.with_keys(kept, load_dimensions(spark, layout))
+        publish(warehouse.fact_table(keyed, domain.fact), layout.table(domain.fact))
         publish(out_of_scope, layout.table(f"quarantine_scope_{domain.name}"))
-        publish(unresolved, layout.table(f"quarantine_keys_{domain.name}"))
+        publish(keyed.filter(F.col("unresolved_key").isNotNull()), layout.table(f"quarantine_keys_{domain.name}"))
         counts[domain.name] = spark.read.parquet(layout.table(domain.fact)).count()
         append_load_log(spark, layout.table("load_log"), domain.name, path, counts[domain.name], at)
     return counts
