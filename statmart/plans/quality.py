@@ -7,7 +7,8 @@ its profile (weight ``n_rows``): the suite scans a fact table once, and reads th
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -423,10 +424,13 @@ def _labelled(check: Check) -> DataFrame:
     return df.select(F.lit(check.table).alias("table"), name.alias("check"), "status", "observed", "expected", "detail")
 
 
-def _error(spark: SparkSession, check: Check, e: Exception) -> DataFrame:
+def _error_row(check: Check, e: Exception) -> tuple:
     message = f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"
-    return inline(spark, [(check.table, check.name, ERROR, "-", "", message)],
-                  ", ".join(f"{n} string" for n in CHECK_RESULT.names))
+    return check.table, check.name, ERROR, "-", "", message
+
+
+def _error(spark: SparkSession, check: Check, e: Exception) -> DataFrame:
+    return inline(spark, [_error_row(check, e)], ", ".join(f"{n} string" for n in CHECK_RESULT.names))
 
 
 def results(spark: SparkSession, checks: list[Check]) -> DataFrame:
@@ -440,14 +444,19 @@ def results(spark: SparkSession, checks: list[Check]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def run_checks(spark: SparkSession, checks: list[Check]) -> DataFrame:
-    """Each check on its own, so that one failing at run time is an ERROR row and the others still report."""
-    rows: list[tuple] = []
-    for check in checks:
+def run_checks(spark: SparkSession, checks: list[Check], at_once: int = 6) -> DataFrame:
+    """Each check on its own, so that one failing at run time is an ERROR row and the others still report.
+
+    A few checks run at the same time: most are small jobs that would leave a cluster idle one after the other.
+    """
+    def evaluate(check: Check) -> list[tuple]:
         try:
-            rows += [tuple(r) for r in _labelled(check).collect()]   # one row per check
+            return [tuple(r) for r in _labelled(check).collect()]   # one row, or one per folded check
         except Exception as e:  # noqa: BLE001
-            rows += [tuple(r) for r in _error(spark, check, e).collect()]
+            return [_error_row(check, e)]
+
+    with ThreadPoolExecutor(at_once) as pool:
+        rows = [r for found in pool.map(evaluate, checks) for r in found]
     return inline(spark, rows, ", ".join(f"{n} string" for n in CHECK_RESULT.names))
 
 
