@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.codes import HOME, country_of, level_of
 from ..functions.strings import fold, has_many
+from .small import checked_broadcast
 
 CROSSWALK_FIELDS = ["nuts_code", "nuts_level", "nuts_name_it", "nuts_name_en", "region_name", "macro_area"]
 
@@ -147,11 +148,12 @@ def code_list(df: DataFrame, codes: DataFrame, breakdown: str, column: str, prov
     """Harmonised code, label, total flag and bounds of a breakdown code.
 
     A NULL code means the dataset has no such breakdown and counts as a total. ``strict`` makes an unlisted code an
-    error at run time; otherwise ``<column>_unlisted`` marks it.
+    error at run time; otherwise ``<column>_unlisted`` marks it. The list's size is checked before it is broadcast,
+    since one code may stand on a third of all rows.
     """
-    rows = codes.filter(F.col("breakdown") == breakdown).select(
+    rows = checked_broadcast(codes.filter(F.col("breakdown") == breakdown).select(
         F.col("provider").alias("_p"), F.col("code").alias("_c"),
-        F.struct("harmonised_code", "label", "is_total", "lower_bound", "upper_bound").alias("_entry"))
+        F.struct("harmonised_code", "label", "is_total", "lower_bound", "upper_bound").alias("_entry")))
     on = (F.col(provider) == F.col("_p")) & (fold(F.col(column)) == F.col("_c"))
     out = df.join(rows, on, "left")
     unlisted = F.col(column).isNotNull() & F.col("_entry").isNull()

@@ -1,0 +1,19 @@
+"""Broadcasting a side whose size has been checked."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from ..session import checkpointed
+
+MAX_ROWS = 200_000
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """``df`` written once, and hinted for broadcast only if it has at most ``max_rows`` rows.
+
+    For sides that come out of an aggregation: Catalyst assumes them as large as their input, and would shuffle the
+    other side on a key that may be hot. Beyond the bound the join is left to Catalyst and AQE's skew handling.
+    """
+    fixed = checkpointed(df)
+    return F.broadcast(fixed) if fixed.limit(max_rows + 1).count() <= max_rows else fixed

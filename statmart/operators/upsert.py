@@ -5,13 +5,15 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
 from .align import column_or_null, enforce_schema
 from .dedup import keep_last
 from .keys import contiguous_keys, max_key
 
+FEW_ROWS = 20_000   # up to here new dimension rows are numbered by one sort
+
 
 def clean_incoming(incoming: DataFrame, natural: list[str], ordinal: str | None = None) -> DataFrame:
     """Drop rows with an incomplete natural key; of repeated keys keep the last."""
@@ -49,7 +51,12 @@ def numbered_inserts(existing: DataFrame, fresh: DataFrame, schema: StructType,
     """Rows of ``fresh`` whose natural key is not known yet, numbered after the largest key in use."""
     unknown = fresh.join(existing.select(*natural), natural, "left_anti")
     body = enforce_schema(unknown, StructType([f for f in schema if f.name != key]))
-    return contiguous_keys(body, natural, key, after=max_key(existing, key)).select(*schema.names)
+    if body.limit(FEW_ROWS + 1).count() <= FEW_ROWS:
+        # the usual month: a handful of new codes, counted before they are sorted in one task
+        numbered = body.withColumn(key, (F.row_number().over(Window.orderBy(*natural)) + max_key(existing, key)).cast("bigint"))
+    else:
+        numbered = contiguous_keys(body, natural, key, after=max_key(existing, key))
+    return numbered.select(*schema.names)
 
 
 def insert_unseen(existing: DataFrame, codes: DataFrame, derive: dict[str, Column], schema: StructType, key: str,

@@ -35,10 +35,7 @@ def process(spark: SparkSession, layout: Layout, domain: Domain, month: str) ->
     merged = merge_domain(
         domain, read_raw(spark, layout.raw, domain), layout.seed(spark, mappings.CROSSWALK),
         layout.seed(spark, mappings.LEGAL_FORMS), layout.seed(spark, mappings.ACTIVITIES))
-    if merged.isEmpty():
-        return 0
-    path = land_snapshot(merged, f"{layout.processed}/{domain.name}", domain.name, month)
-    return spark.read.parquet(path).count()
+    return land_snapshot(merged, f"{layout.processed}/{domain.name}", domain.name, month)
 
 
 def load_dimensions(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
@@ -68,10 +65,9 @@ def build(spark: SparkSession, layout: Layout, domains: list[Domain], at: dateti
         geography = load_dimensions(spark, layout)["dim_geography"]
         publish(warehouse.add_unseen_territories(geography, kept), layout.table("dim_geography"))
         keyed = warehouse.with_keys(kept, load_dimensions(spark, layout))
-        publish(warehouse.fact_table(keyed, domain.fact), layout.table(domain.fact))
+        counts[domain.name] = publish(warehouse.fact_table(keyed, domain.fact), layout.table(domain.fact))
         publish(out_of_scope, layout.table(f"quarantine_scope_{domain.name}"))
         publish(keyed.filter(F.col("unresolved_key").isNotNull()), layout.table(f"quarantine_keys_{domain.name}"))
-        counts[domain.name] = spark.read.parquet(layout.table(domain.fact)).count()
         append_load_log(spark, layout.table("load_log"), domain.name, path, counts[domain.name], at)
     return counts
 

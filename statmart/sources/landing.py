@@ -18,12 +18,11 @@ def with_provenance(df: DataFrame, source: str, dataset: str, extracted_at: date
                            "extracted_at": at.cast("timestamp")})
 
 
-def land_snapshot(df: DataFrame, root: str, name: str, month: str, required: list[str] = RAW_METADATA) -> str:
-    """Write one month of one dataset. The same month is replaced, older months stay."""
+def land_snapshot(df: DataFrame, root: str, name: str, month: str, required: list[str] = RAW_METADATA) -> int:
+    """Write one month of one dataset and return its row count. The same month is replaced, older months stay;
+    nothing is written for an empty result."""
     required_present(df, required)
-    path = snapshot_path(root, name, month)
-    publish(df, path)
-    return path
+    return publish(df, snapshot_path(root, name, month), skip_empty=True)
 
 
 def manifest(landed: DataFrame, **attributes: str) -> DataFrame:
@@ -40,19 +39,23 @@ def missing_datasets(expected: DataFrame, landed: DataFrame) -> DataFrame:
     return expected.join(counts_by(landed, ["dataset_code"]), "dataset_code", "left_anti")
 
 
-def publish(df: DataFrame, path: str) -> None:
-    """Replace the table at ``path`` as a whole.
+def publish(df: DataFrame, path: str, skip_empty: bool = False) -> int:
+    """Replace the table at ``path`` as a whole and return its row count (read from the written footers).
 
     The new contents are written in full next to it and moved into place only then: a failed job leaves the old
-    table, and a table can be rebuilt from itself.
+    table, and a table can be rebuilt from itself. With ``skip_empty`` an empty result leaves the old table too.
     """
     spark = df.sparkSession
     staging, retired = f"{path}.__new", f"{path}.__old"
     df.write.mode("overwrite").parquet(staging)
+    n = spark.read.parquet(staging).count()
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     new, old = jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(retired)
+    if skip_empty and n == 0:
+        fs.delete(new, True)
+        return 0
     if fs.exists(old):
         fs.delete(old, True)
     if fs.exists(target):
@@ -61,6 +64,7 @@ def publish(df: DataFrame, path: str) -> None:
         fs.rename(old, target)
         raise OSError(f"could not publish {path}")
     fs.delete(old, True)
+    return n
 
 
 def append_load_log(spark: SparkSession, path: str, domain: str, file: str, n_rows: int, at: datetime) -> None:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.align import column_or_null
+from ..operators.small import checked_broadcast
 
 NAME = r"/([^/]+)_(\d{4}-\d{2})\.parquet(/|$)"
 META_COLUMNS = ["dataset_code", "extracted_at", "period_label", "time"]
@@ -37,9 +38,14 @@ def newest(df: DataFrame, by: list[str], month: str, before: str | None = None)
 
 
 def newest_rows(df: DataFrame, by: list[str], month: str, before: str | None = None) -> DataFrame:
-    """All rows of each group's latest snapshot."""
+    """All rows of each group's latest snapshot.
+
+    A dataset may hold a third of all rows, so rows are not shuffled by dataset: the small (group, month) table goes
+    to them, once its size has been checked.
+    """
     pool = df.filter(F.col(month) < before) if before is not None else df
     top = newest(pool, by, month).select(*[F.col(c).alias(f"_{c}") for c in by], F.col(month).alias("_month"))
+    top = checked_broadcast(top)
     on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by] + [F.col(month) == F.col("_month")]
     return pool.join(top, on, "left_semi")
 

@@ -78,7 +78,9 @@ def test_copies_are_spread_and_numbered(spark, tmp_path):
 SCHEMA = ddl("key bigint, code string, name string, note string")
 
 
-def test_upsert_keeps_keys_and_is_repeatable(table):
+@pytest.mark.parametrize("few", [20_000, 0])     # one sort for a few new rows, the distributed numbering beyond
+def test_upsert_keeps_keys_and_is_repeatable(table, monkeypatch, few):
+    monkeypatch.setattr(upsert, "FEW_ROWS", few)
     existing = table([(1, "A", "a", "n"), (2, "B", "b", "n")], "key bigint, code string, name string, note string")
     incoming = table([("B", "draft", 0), ("D", "d", 1), ("B", "b2", 2), ("C", "c", 3), (None, "x", 4)],
                      "code string, name string, ord bigint")

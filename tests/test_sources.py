@@ -89,7 +89,9 @@ def test_same_month_is_replaced_older_months_stay(spark, table, tmp_path):
     schema = "source_id string, dataset_code string, extracted_at timestamp, value double"
     landing.land_snapshot(table([("s", "d", None, 1.0)], schema), root, "d", "2026-01")
     landing.land_snapshot(table([("s", "d", None, 2.0)], schema), root, "d", "2026-02")
-    path = landing.land_snapshot(table([("s", "d", None, 3.0)], schema), root, "d", "2026-02")
+    assert landing.land_snapshot(table([("s", "d", None, 3.0)], schema), root, "d", "2026-02") == 1
+    assert landing.land_snapshot(table([], schema), root, "d", "2026-02") == 0      # an empty result replaces nothing
+    path = snapshots.snapshot_path(root, "d", "2026-02")
     assert spark.read.parquet(path).first()["value"] == 3.0
     assert spark.read.parquet(snapshots.snapshot_path(root, "d", "2026-01")).first()["value"] == 1.0
     with pytest.raises(ValueError, match="extracted_at"):
