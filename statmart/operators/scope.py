@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.strings import blank_to_null
+from ..session import checkpointed
 
 
 def classify(df: DataFrame, reason: Column, name: str = "drop_reason", keep: str = "keep") -> tuple[DataFrame, DataFrame]:
@@ -31,9 +32,10 @@ def suspicious(quarantined: DataFrame, provider: str, source: str = "source_id",
 def sample_codes(df: DataFrame, group: list[str], code: str, limit: int) -> DataFrame:
     """The first ``limit`` distinct codes of every group in order, how many there are, and rows behind them.
 
-    Codes are counted first and ranked with a limit, so a group with millions of codes never meets in one task.
+    Codes are counted first and ranked with a limit, so a group with millions of codes never meets in one task. The
+    counts are written once, since both the totals and the ranking read them.
     """
-    per_code = df.groupBy(*group, code).agg(F.count("*").alias("_rows"))
+    per_code = checkpointed(df.groupBy(*group, code).agg(F.count("*").alias("_rows")))
     totals = per_code.groupBy(*group).agg(F.count(code).alias("n_codes"), F.sum("_rows").alias("n_rows"))
     w = Window.partitionBy(*group).orderBy(code)
     first = (
