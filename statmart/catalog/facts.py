@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.strings import strip
 from ..operators.keys import KeyLookup, resolve_keys, resolved
 from ..operators.scope import counts_by, sample_codes
-from ..plans.merge import merge_domain
+from ..plans.merge import ROW_ID, merge_domain
 from ..plans.warehouse import build_fact
 from ..registry import DOMAINS
 from ..schemas import DIMENSIONS
@@ -174,7 +174,8 @@ def landings(t: Tables) -> dict[str, DataFrame]:
     geo = F.when(key % 9 == 0, "XX9").when(key % 2 == 0, F.lpad(nation, 3, "0")) \
         .when(key % 3 == 0, F.concat(F.lit("ITD"), nation)).otherwise(F.concat(F.lit(" ith"), nation))
     annual = key % 4 == 0
-    a = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+    position = F.col("_metadata.row_index").cast("string").alias(ROW_ID)
+    a = t.orders.select("*", position).join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
         geo.alias("geo"),
         # dates are moved on by 18 years so that they pass the dataset's first year
         F.when(annual, F.date_format("o_orderdate", "yyyy")).otherwise(F.date_format("o_orderdate", "yyyy-MM")).alias("_t"),
@@ -182,19 +183,19 @@ def landings(t: Tables) -> dict[str, DataFrame]:
         F.when(F.col("o_orderstatus") == "O", "1").when(F.col("o_orderstatus") == "F", " females").otherwise("x").alias("gender"),
         F.col("o_orderpriority").alias("age_group"),
         F.when(key % 5 == 0, ":").otherwise(F.col("o_totalprice").cast("string")).alias("value"),
-        F.col("o_orderdate").alias("extracted_at"))
+        F.col("o_orderdate").alias("extracted_at"), ROW_ID)
     a = a.withColumn("time", F.concat((F.substring("_t", 1, 4).cast("int") + 18).cast("string"), F.substring("_t", 5, 3))).drop("_t")
     n = F.col("l_suppkey") % 5
     place = F.when(n == 0, "EA19").when(n == 1, "FR10").when(n == 2, F.concat(F.lit("it"), (F.col("l_suppkey") % 7).cast("string"))) \
         .when(n == 3, "DE").otherwise(F.concat(F.lit("ITC"), (F.col("l_suppkey") % 3).cast("string")))
-    b = t.lineitem.select(
+    b = t.lineitem.select("*", position).select(
         place.alias("geo"), (F.lit(2021) + F.col("l_linenumber") % 4).cast("string").alias("time"),
         F.when(F.col("l_returnflag") == "N", "X").otherwise(
             F.when(F.col("l_returnflag") == "A", "T").otherwise("F")).alias("sex"),
         F.lit("Y15-74").alias("age"), F.lit("A").alias("freq"), F.lit("PC").alias("unit"),
         F.when(F.col("l_linestatus") == "O", "TOTAL").otherwise("ED5-8").alias("isced11"),
         F.concat(F.lit(" c"), (F.col("l_partkey") % 50).cast("string")).alias("nace_r2"),
-        F.col("l_quantity").cast("string").alias("value"), F.col("l_shipdate").alias("extracted_at"))
+        F.col("l_quantity").cast("string").alias("value"), F.col("l_shipdate").alias("extracted_at"), ROW_ID)
     return {"150_915_DF_DCCV_TAXOCCU1_5": a, "lfst_r_lfu3rt": b}
 
 

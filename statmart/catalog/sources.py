@@ -8,7 +8,7 @@ from ..functions.periods import any_year
 from ..operators.align import stack, typed
 from ..registry import Dataset, RENAME
 from ..schemas import ddl
-from ..sources.cubes import decode_cubes, encode_cubes
+from ..sources.cubes import cube_problems, decode_cubes
 from ..sources.delimited import dataset_rows, observations
 from ..sources.landing import manifest, missing_datasets, with_provenance
 from ..sources.snapshots import metadata_columns, newest, newest_rows
@@ -82,6 +82,29 @@ CELLS_SQL = """
     FROM lineitem GROUP BY 1, 2, 3, 4"""
 
 
+def encode_cubes(df: DataFrame, by: list[str], axes: list[str], value: str) -> DataFrame:
+    """Test input: one JSON cube per ``by`` group, the inverse of decoding. Cells must be unique in a group.
+
+    A cube holds one value per cell, so a group is as large as the product of its axes, whatever the fact table's
+    size; aggregate to cells first.
+    """
+    sets = df.groupBy(*by).agg(*[F.sort_array(F.collect_set(a)).alias(f"_set_{a}") for a in axes])
+    keyed = df.join(sets.select(*[F.col(b).alias(f"_{b}") for b in by], *[f"_set_{a}" for a in axes]),
+                    [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by])
+    flat = F.lit(0).cast("bigint")
+    for a in axes:
+        flat = flat * F.size(f"_set_{a}") + F.array_position(f"_set_{a}", F.col(a)) - 1
+    cells = keyed.groupBy(*by).agg(
+        F.map_from_entries(F.collect_list(F.struct(flat.cast("string"), F.col(value)))).alias("value"),
+        *[F.first(f"_set_{a}").alias(f"_set_{a}") for a in axes])
+    axis = [
+        F.struct(F.struct(F.map_from_entries(F.transform(
+            F.col(f"_set_{a}"), lambda x, i: F.struct(x.cast("string"), i))).alias("index")).alias("category")).alias(a)
+        for a in axes
+    ]
+    return cells.select(*by, F.to_json(F.struct(F.struct(*axis).alias("dimension"), F.col("value"))).alias("body"))
+
+
 def line_cubes(t: Tables) -> DataFrame:
     """One JSON cube per supplier: return flag x line status x year."""
     cells = t.lineitem.groupBy(
@@ -98,7 +121,6 @@ def cube_decode(t):
 
 @query("cube_problems", "SELECT s_suppkey AS cube_id, 'missing key: value' AS problem FROM supplier WHERE s_nationkey = 3")
 def cube_problem_rows(t):
-    from ..sources.cubes import cube_problems
     good = '{"dimension": {"geo": {"category": {"index": {"IT": 0}}}}, "value": {"0": 1.5}}'
     bad = '{"dimension": {"geo": {"category": {"index": {"IT": 0}}}}}'
     files = t.supplier.select(F.col("s_suppkey").alias("cube_id"),

@@ -53,12 +53,12 @@ def resolve_priority_located(df: DataFrame, territory: str, keys: list[str], pri
     """As :func:`resolve_priority`, but rows without a territory are all kept.
 
     They only share the absence of a code, so they are not duplicates. With ``row_id`` (a column that identifies a
-    row of the source files) each of them is a key of its own, spread over all reducers, and the input is read
-    once. Without it they are split off and take no part in the shuffle, at the price of a second pass.
+    row of the source files, dropped here) each of them is a key of its own, spread over all reducers, and the
+    input is read once. Without it they are split off and take no part in the shuffle, at the price of a second pass.
     """
     blank = is_blank(F.col(territory))
     if row_id is not None:
-        alone = df.withColumn("_alone", F.when(blank, F.col(row_id)))
+        alone = df.withColumn("_alone", F.when(blank, F.col(row_id))).drop(row_id)   # NULL on all other rows
         return resolve_priority(alone, [*keys, "_alone"], priority, newest, name, value).drop("_alone")
     kept = resolve_priority(df.filter(~blank), keys, priority, newest, name, value)
     return kept.unionByName(df.filter(blank))

@@ -152,22 +152,22 @@ def merge_domain(domain: Domain, raw: dict[str, DataFrame], crosswalk: DataFrame
     if same_sex_codes:
         rows = unify_sex_codes(rows)
     identified = all(ROW_ID in f.columns for f in frames)
-    # only what the processed table holds goes through the shuffle
+    # only what the processed table holds goes through the shuffle, without supranational totals
     wanted = [c for c in PROCESSED[domain.name].names if c in rows.columns] + [ROW_ID] * identified
     keys = domain.full_grain if full_grain else domain.dedup_keys
     rows = resolve_priority_located(
-        rows.select(*wanted), "nuts_code", keys, "priority", "extracted_at", "dataset_code", "value",
+        rows.select(*wanted).filter(~is_supranational(F.col("nuts_code"))), "nuts_code", keys, "priority", "extracted_at", "dataset_code", "value",
         row_id=ROW_ID if identified else None)
     return finished(rows, domain)
 
 
 def finished(rows: DataFrame, domain: Domain) -> DataFrame:
-    """Full period label kept where the domain has one, time cut to the year, supranational totals removed."""
+    """Full period label kept where the domain has one, time cut to the year."""
     full = F.col("time")
     if domain.sub_annual:
         rows = rows.withColumn("period_label", period_label(F.col("period_label"), full))
     rows = rows.withColumns({"time": leading_year(full), "nuts_code": blank_to_null(F.col("nuts_code"))})
-    return enforce_schema(rows.filter(~is_supranational(F.col("nuts_code"))), PROCESSED[domain.name])
+    return enforce_schema(rows, PROCESSED[domain.name])
 
 
 def read_raw(spark: SparkSession, root: str, domain: Domain, before: str | None = None) -> dict[str, DataFrame]:

@@ -7,7 +7,7 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..registry import DOMAINS, Domain, dataset_table, inline, select_domains
+from ..registry import DOMAINS, MIN_DIMENSION_ROWS, Domain, dataset_table, inline, select_domains
 from ..schemas import DIMENSIONS, FACTS
 from ..sources import mappings
 from ..sources.landing import append_load_log, land_snapshot, publish, write_lines, write_run_log
@@ -81,7 +81,13 @@ def flat_marts(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 
 def check(spark: SparkSession, layout: Layout, domains: list[Domain], now: datetime) -> DataFrame:
     dims = load_dimensions(spark, layout)
-    checks = quality.dimension_checks(dims) + quality.geography_checks(dims["dim_geography"], {0: 1, 2: 21, 3: 107})
+    # a dimension must hold at least what its mapping table lists
+    minimums = {
+        **MIN_DIMENSION_ROWS,
+        "dim_source": layout.seed(spark, mappings.SOURCES).select("source_id").dropna().distinct().count(),
+        "dim_legal_form": layout.seed(spark, mappings.LEGAL_FORMS).count(),
+    }
+    checks = quality.dimension_checks(dims, minimums) + quality.geography_checks(dims["dim_geography"], {0: 1, 2: 21, 3: 107})
     checks += quality.unregistered(spark, [d.name for d in domains], DOMAINS, requested=False)
     for domain in domains:
         if domain.checks:

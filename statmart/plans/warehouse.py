@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.codes import EXTRA_REGIO, HOME, country_of, scope_reason
 from ..functions.numbers import to_whole
 from ..functions.periods import any_year
 from ..functions.strings import blank_to_null, has_many, strip
-from ..operators.align import enforce_schema, typed
+from ..operators.align import enforce_schema, typed, unknown_columns
 from ..operators.keys import KeyLookup, contiguous_keys, resolve_keys, resolved
 from ..operators.scope import classify
 from ..operators.upsert import delete_where, insert_unseen, retire_missing, upsert_dimension
 from ..registry import YEAR_RANGE, Domain, indicator_table
 from ..schemas import DIMENSIONS, FACTS, NATURAL_KEY, SURROGATE_KEY
 
+log = logging.getLogger("statmart")
+
 # ---- fixed values: origin of a territory row ----
 FROM_CROSSWALK, FROM_AGGREGATE, FROM_DATA = "nuts_istat_csv", "istat_aggregate", "eurostat_auto"
 MANAGED = [FROM_CROSSWALK, FROM_AGGREGATE]
@@ -123,6 +127,10 @@ def with_keys(rows: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
 def fact_table(keyed: DataFrame, name: str) -> DataFrame:
     """The table's declared columns, numbered 1..n along its grain."""
     schema = FACTS[name]
+    consumed = ["source_id", "indicator_code", "nuts_code", "time", "unresolved_key"]   # replaced by keys
+    unknown = [c for c in unknown_columns(keyed, schema) if c not in consumed]
+    if unknown:
+        log.warning("%s: columns not in the table schema, not loaded: %s", name, unknown)
     body = enforce_schema(typed(resolved(keyed), schema), schema).drop("fact_key")
     grain = [c for c in body.columns if c not in ("value", "extracted_at", "nace_label_en")]
     return contiguous_keys(body, grain, "fact_key").select(*schema.names)

@@ -102,26 +102,3 @@ def decode_cubes(files: DataFrame, declared: list[str], body: str = "body", stri
         code = F.coalesce(F.get(f"_codes_{n}", spot), F.concat(F.lit("unknown_"), spot.cast("string")))
         out += [F.when(F.col(f"_at_{n}") >= 0, code).alias(n), F.get(f"_labels_{n}", spot).alias(f"{n}_label")]
     return exploded.select(*out, "value")
-
-
-def encode_cubes(df: DataFrame, by: list[str], axes: list[str], value: str) -> DataFrame:
-    """Inverse of :func:`decode_cubes`: one JSON cube per ``by`` group. Cells must be unique in a group.
-
-    A cube holds one value per cell, so a group is as large as the product of its axes, whatever the fact table's
-    size; aggregate to cells first.
-    """
-    sets = df.groupBy(*by).agg(*[F.sort_array(F.collect_set(a)).alias(f"_set_{a}") for a in axes])
-    keyed = df.join(sets.select(*[F.col(b).alias(f"_{b}") for b in by], *[f"_set_{a}" for a in axes]),
-                    [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by])
-    flat = F.lit(0).cast("bigint")
-    for a in axes:
-        flat = flat * F.size(f"_set_{a}") + F.array_position(f"_set_{a}", F.col(a)) - 1
-    cells = keyed.groupBy(*by).agg(
-        F.map_from_entries(F.collect_list(F.struct(flat.cast("string"), F.col(value)))).alias("value"),
-        *[F.first(f"_set_{a}").alias(f"_set_{a}") for a in axes])
-    axis = [
-        F.struct(F.struct(F.map_from_entries(F.transform(
-            F.col(f"_set_{a}"), lambda x, i: F.struct(x.cast("string"), i))).alias("index")).alias("category")).alias(a)
-        for a in axes
-    ]
-    return cells.select(*by, F.to_json(F.struct(F.struct(*axis).alias("dimension"), F.col("value"))).alias("body"))

@@ -26,10 +26,10 @@ def test_ties_do_not_depend_on_input_order(table):
     assert first == again == [("a", 1, 0.0, "t0")]
 
 
-@pytest.mark.parametrize("row_id", [None, "id"])
+@pytest.mark.parametrize("row_id", [None, "row"])
 def test_rows_without_territory_are_all_kept(table, row_id):
     df = table([("", "k", 1, "r1"), (" ", "k", 1, "r2"), (None, "k", 2, "r3"), ("IT", "k", 1, "r4"), ("IT", "k", 2, "r5")],
-               "nuts_code string, k string, priority int, id string")
+               "nuts_code string, k string, priority int, id string").withColumn("row", F.col("id"))
     out = dedup.resolve_priority_located(df, "nuts_code", ["nuts_code", "k"], "priority", row_id=row_id)
     assert [r[0] for r in rows(out, "id")] == ["r1", "r2", "r3", "r4"]
 

@@ -7,6 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from statmart.catalog.sources import encode_cubes
 from statmart.operators import align
 from statmart.registry import RENAME
 from statmart.schemas import FACTS, LOAD_LOG, ddl
@@ -46,7 +47,7 @@ def test_broken_slices_do_not_stop_the_others(table):
 
 def test_encode_then_decode(table):
     cells = table([("x", "a", "p", 1.0), ("x", "b", "q", 2.0), ("y", "a", "q", 3.0)], "id string, u string, v string, value double")
-    back = cubes.decode_cubes(cubes.encode_cubes(cells, ["id"], ["u", "v"], "value"), ["u", "v"])
+    back = cubes.decode_cubes(encode_cubes(cells, ["id"], ["u", "v"], "value"), ["u", "v"])
     assert rows(back, "id", "u", "v", "value") == rows(cells)
 
 
