@@ -76,7 +76,7 @@ def breakdowns(domain: Domain) -> list[str]:
         "source_id", "dataset_code", "indicator_code", "value", "unit", "time", "nuts_code", "nuts_level",
         "country_code", "nuts_name_it", "nuts_name_en", "macro_area", "legal_form_unified", "legal_form_unified_en",
         "ets_classification", "nace_code", "nace_label_en", "gender", "priority", "extracted_at", "geo_unmatched",
-        "legal_form_unmatched"}
+        "legal_form_unmatched", "legal_form_code"}
     return [c for c in PROCESSED[domain.name].names if c not in derived]
 
 
@@ -109,6 +109,7 @@ def harmonised(df: DataFrame, crosswalk: DataFrame, forms: DataFrame, activities
         "macro_area": F.when(local & ~national, unit("macro_area")),
         "geo_unmatched": F.when(national, F.lit(False)).when(local, unit("nuts_code").isNull()),
     }).drop("_unit")
+    located = located.withColumn("legal_form_code", F.when(F.col("_has_form"), fold(F.col("_form"))))
     formed = legal_forms(located, forms, F.col("provider"), F.col("_form"), F.col("_has_form"))
     labels = activities.groupBy(F.col("nace_code").alias("_code")).agg(
         F.max_by("label_en", "ord").alias("nace_label_en"))
@@ -170,8 +171,20 @@ def finished(rows: DataFrame, domain: Domain) -> DataFrame:
     return enforce_schema(rows, PROCESSED[domain.name])
 
 
-def read_raw(spark: SparkSession, root: str, domain: Domain, before: str | None = None) -> dict[str, DataFrame]:
-    """Newest landed snapshot of every registered dataset of a domain, each row with its file and position."""
+def read_raw(spark: SparkSession, root: str, domain: Domain, before: str | None = None,
+             failed: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """Newest landed snapshot of every registered dataset of a domain, each row with its file and position.
+
+    A snapshot that cannot be opened is noted in ``failed`` and left out, so that the other datasets go on.
+    """
     paths = latest_paths(spark, f"{root}/{domain.name}", [d.code for d in domain.datasets], before)
     position = F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-    return {code: spark.read.parquet(path).withColumn(ROW_ID, position) for code, path in sorted(paths.items())}
+    frames = {}
+    for code, path in sorted(paths.items()):
+        try:
+            frames[code] = spark.read.parquet(path).withColumn(ROW_ID, position)
+        except Exception as e:  # noqa: BLE001  named after the rest has been written
+            if failed is None:
+                raise
+            failed[code] = type(e).__name__
+    return frames

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 
@@ -10,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..registry import DOMAINS, MIN_DIMENSION_ROWS, Domain, dataset_table, inline, select_domains
 from ..schemas import DIMENSIONS, FACTS
 from ..sources import mappings
-from ..sources.landing import append_load_log, land_snapshot, publish, write_lines, write_run_log
+from ..sources.landing import append_load_log, create_if_absent, land_snapshot, publish, write_lines, write_run_log
 from ..sources.snapshots import latest_paths, list_snapshots, open_or_empty
 from . import marts, quality, release, report, warehouse
 from .merge import merge_domain, read_raw
 
+log = logging.getLogger("statmart")
+
 
 class Layout:
     """Where the layers live below one root."""
@@ -31,11 +34,22 @@ class Layout:
 
 
 def process(spark: SparkSession, layout: Layout, domain: Domain, month: str) -> int:
-    """Merge a domain's newest landed datasets into this month's processed snapshot. Nothing is written if empty."""
+    """Merge a domain's newest landed datasets into this month's processed snapshot. Nothing is written if empty.
+
+    Datasets that could not be opened are raised by name after the others have been written.
+    """
+    failed: dict[str, str] = {}
+    raw = read_raw(spark, layout.raw, domain, failed=failed)
+    absent = [d.code for d in domain.datasets if d.code not in raw and d.code not in failed]
+    if absent:
+        log.warning("%s: no landed snapshot of %s", domain.name, ", ".join(absent))
     merged = merge_domain(
-        domain, read_raw(spark, layout.raw, domain), layout.seed(spark, mappings.CROSSWALK),
+        domain, raw, layout.seed(spark, mappings.CROSSWALK),
         layout.seed(spark, mappings.LEGAL_FORMS), layout.seed(spark, mappings.ACTIVITIES))
-    return land_snapshot(merged, f"{layout.processed}/{domain.name}", domain.name, month)
+    n = land_snapshot(merged, f"{layout.processed}/{domain.name}", domain.name, month)
+    if failed:
+        raise RuntimeError("unreadable snapshots: " + ", ".join(f"{c} ({e})" for c, e in failed.items()))
+    return n
 
 
 def load_dimensions(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
@@ -45,9 +59,7 @@ def load_dimensions(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]
 def build(spark: SparkSession, layout: Layout, domains: list[Domain], at: datetime) -> dict[str, int]:
     """Refresh the dimensions, then replace each domain's fact table with its newest processed snapshot."""
     for name, schema in {**DIMENSIONS, **FACTS}.items():
-        path = layout.table(name)
-        if open_or_empty(spark, path, schema).schema.names != schema.names:
-            raise ValueError(f"{name} does not have its declared columns")
+        create_if_absent(spark, layout.table(name), schema)
     dims = warehouse.refresh_dimensions(
         load_dimensions(spark, layout), layout.seed(spark, mappings.CROSSWALK),
         layout.seed(spark, mappings.SOURCES), layout.seed(spark, mappings.LEGAL_FORMS))

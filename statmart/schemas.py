@@ -17,7 +17,7 @@ def ddl(text: str) -> StructType:
 
 RAW_METADATA = ["source_id", "dataset_code", "extracted_at"]
 
-# ---- processed layer ----
+# ---- processed layer; legal_form_code is what the legal-form key is resolved on ----
 PROCESSED = {
     "social_economy": ddl("""
         source_id string, dataset_code string, indicator_code string, value double, unit string, time bigint,
@@ -27,7 +27,7 @@ PROCESSED = {
         activity_type string, years_active string, education string, labour_status string, household_size string,
         econ_resources string, municipality_type string, org_sector string, org_type string, motivation string,
         personal_impact string, multi_membership string, association_type string, priority bigint,
-        extracted_at timestamp, geo_unmatched boolean, legal_form_unmatched boolean"""),
+        extracted_at timestamp, geo_unmatched boolean, legal_form_unmatched boolean, legal_form_code string"""),
     "labour": ddl("""
         source_id string, dataset_code string, indicator_code string, value double, unit string, time bigint,
         frequency string, period_label string, nuts_code string, nuts_level bigint, country_code string,

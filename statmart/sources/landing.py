@@ -5,10 +5,11 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.scope import counts_by, required_present
 from ..schemas import LOAD_LOG, RAW_METADATA
-from .snapshots import snapshot_path
+from .snapshots import open_or_empty, snapshot_path
 
 
 def with_provenance(df: DataFrame, source: str, dataset: str, extracted_at: datetime | Column) -> DataFrame:
@@ -67,6 +68,15 @@ def publish(df: DataFrame, path: str, skip_empty: bool = False) -> int:
     return n
 
 
+def create_if_absent(spark: SparkSession, path: str, schema: StructType) -> None:
+    """An empty table with the declared columns where there is none; other columns there are an error."""
+    found = open_or_empty(spark, path, schema)
+    if found.columns != schema.names:
+        raise ValueError(f"{path} does not have its declared columns")
+    if not found.inputFiles():
+        found.write.mode("ignore").parquet(path)
+
+
 def append_load_log(spark: SparkSession, path: str, domain: str, file: str, n_rows: int, at: datetime) -> None:
     """One row per load; rows are only ever added."""
     spark.createDataFrame([(domain, file, n_rows, at)], LOAD_LOG).coalesce(1).write.mode("append").parquet(path)

@@ -112,6 +112,34 @@ def test_star(spark, layout, finished):
         ("labour", 6), ("labour", 7), ("social_economy", 4), ("social_economy", 4)]
 
 
+def test_legal_form_key(spark, layout, finished):
+    fact = read(spark, layout, "fact_social_economy").join(read(spark, layout, "dim_legal_form"), "legal_form_key")
+    assert rows(fact, "value", "source_code", "unified_category") == [(12.5, "ODV", "odv")]
+
+
+def test_declared_tables_exist_empty(spark, layout, finished):
+    for name in ("fact_housing", "fact_sdg", "fact_poverty", "fact_welfare", "fact_immigration", "fact_civil_society"):
+        assert read(spark, layout, name).columns == FACTS[name].names and read(spark, layout, name).count() == 0
+
+
+def test_unreadable_snapshot_is_named_after_the_rest_is_written(spark, layout, finished, tmp_path):
+    import shutil
+    root = tmp_path / "copy"
+    shutil.copytree(f"{layout.root}/raw/labour", root / "raw" / "labour")
+    bad = root / "raw" / "labour" / "lfst_r_lfur2gan_2026-03.parquet"
+    bad.write_text("not parquet")
+    other = run.Layout(str(root), layout.seeds)
+    with pytest.raises(RuntimeError, match="lfst_r_lfur2gan"):
+        run.process(spark, other, DOMAINS["labour"], "2026-03")
+    assert spark.read.parquet(f"{other.processed}/labour/labour_2026-03.parquet").count() == 9
+
+
+def test_one_list_of_sex_codes(spark, layout, finished):
+    args = [layout.seed(spark, n) for n in ("nuts_istat.csv", "legal_form_map.csv", "nace_labels.csv")]
+    out = merge_domain(DOMAINS["labour"], read_raw(spark, layout.raw, DOMAINS["labour"]), *args, same_sex_codes=True)
+    assert rows(out.filter("source_id = 'eurostat'").select("gender").distinct()) == [("total",)]
+
+
 def test_second_build_of_the_same_month_changes_nothing(spark, layout, finished):
     before = {n: rows(read(spark, layout, n)) for n in ("fact_labour", "fact_social_economy", "dim_geography", "dim_source")}
     run.build(spark, layout, [DOMAINS["labour"], DOMAINS["social_economy"]], NOW)
