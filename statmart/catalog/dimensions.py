@@ -16,16 +16,17 @@ CUSTOMERS = ddl("customer_key bigint, c_name string, c_mktsegment string, c_acct
 
 
 def existing_customers(t: Tables):
-    """Two thirds of the customers, already keyed, with an older segment."""
-    return t.customer.filter("c_custkey % 3 <> 0").select(
+    """Customers of the later nations are already keyed, with an older segment."""
+    return t.customer.filter("c_nationkey >= 8").select(
         (F.col("c_custkey") + 1).alias("customer_key"), "c_name", F.lit("OLD").alias("c_mktsegment"), "c_acctbal",
         "c_nationkey")
 
 
 def incoming_customers(t: Tables):
-    """Half of the customers, each listed twice; the later line is the one that counts."""
-    rows = t.customer.filter("c_custkey % 2 = 0")
-    name = F.when(F.col("c_custkey") % 50 != 0, F.col("c_name"))
+    """Customers with a fair balance are listed, each twice; the later line is the one that counts. The richest have
+    lost their name, so they have no natural key."""
+    rows = t.customer.filter("c_acctbal > 4000")
+    name = F.when(F.col("c_acctbal") <= 9800, F.col("c_name"))
     one = rows.select(name.alias("c_name"), F.lit("DRAFT").alias("c_mktsegment"), "c_acctbal", F.col("c_custkey").alias("ord"))
     two = rows.select(name.alias("c_name"), "c_mktsegment", (F.col("c_acctbal") + 1).alias("c_acctbal"),
                       (F.col("c_custkey") + 1_000_000_000).alias("ord"))
@@ -33,8 +34,8 @@ def incoming_customers(t: Tables):
 
 
 UPSERT_SQL = """ex AS (SELECT c_custkey + 1 AS customer_key, c_name, 'OLD' AS c_mktsegment, c_acctbal, c_nationkey
-        FROM customer WHERE c_custkey % 3 <> 0),
-    inc AS (SELECT c_name, c_mktsegment, c_acctbal + 1 AS c_acctbal FROM customer WHERE c_custkey % 2 = 0 AND c_custkey % 50 <> 0),
+        FROM customer WHERE c_nationkey >= 8),
+    inc AS (SELECT c_name, c_mktsegment, c_acctbal + 1 AS c_acctbal FROM customer WHERE c_acctbal > 4000 AND c_acctbal <= 9800),
     up AS (SELECT customer_key, ex.c_name, CASE WHEN inc.c_name IS NULL THEN ex.c_mktsegment ELSE inc.c_mktsegment END AS c_mktsegment,
              CASE WHEN inc.c_name IS NULL THEN ex.c_acctbal ELSE inc.c_acctbal END AS c_acctbal,
              CASE WHEN inc.c_name IS NULL THEN ex.c_nationkey END AS c_nationkey,

@@ -114,7 +114,7 @@ def _it(n: str) -> str:
 
 @query("offered_values", f"""
     WITH {TOTALS_SQL}, few AS (SELECT name, d FROM (SELECT CASE WHEN split_part(dataset_code, '/', 1) <> 'Brand#2' THEN 'Serie ' || split_part(dataset_code, '/', 1)
-        ELSE dataset_code END AS name, min(dataset_code) AS d FROM facts WHERE new_periods IS NOT NULL AND dataset_code < 'Brand#11' GROUP BY 1))
+        ELSE dataset_code END AS name, min(dataset_code) AS d FROM facts WHERE new_periods IS NOT NULL GROUP BY 1))
     SELECT * FROM (
       SELECT 'mese' AS name, 'novembre 2001' AS value UNION ALL SELECT 'mese_precedente', 'ottobre 2001'
       UNION ALL SELECT 'n_dataset', {_it('n_dataset')} FROM tot
@@ -128,5 +128,4 @@ def _it(n: str) -> str:
 def offered_values(t):
     facts = checkpointed(release_facts(t))
     totals = release.totals(facts, MONTH)
-    named = facts.filter("dataset_code < 'Brand#11'")
-    return p.offered_values(totals, named, labels(t)).select(F.explode("values").alias("name", "value"))
+    return p.offered_values(totals, facts, labels(t)).select(F.explode("values").alias("name", "value"))
