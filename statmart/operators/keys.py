@@ -16,8 +16,8 @@ def contiguous_keys(df: DataFrame, order: list[str], key: str, after: Column | N
     """Number rows ``after + 1, after + 2, ...`` in the given order.
 
     Range-partitioned and sorted in parallel, then written once to the shared folder so that partitions stay as they
-    are (boundaries are sampled, so computing them twice could move rows). Each partition's row count gives the
-    next one's offset: one small row per partition. No task ever sees the whole table.
+    are (boundaries are sampled, so computing them twice could move rows). Each file's row count gives the next one's
+    offset, and a row's place in its file the rest. No task ever sees the whole table.
 
     ``spread_copies`` lets identical rows fall into different partitions. The extra ordering column is a row's
     position in the scan, so use it on frames read straight from files or a checkpoint.
@@ -31,17 +31,19 @@ def contiguous_keys(df: DataFrame, order: list[str], key: str, after: Column | N
     ordered = ordered.repartitionByRange(*by).sortWithinPartitions(*by).drop(_COPY)
     fixed = checkpointed(ordered)
 
-    partition, position = F.spark_partition_id(), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    sizes = fixed.groupBy(partition.alias("_part")).agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    # each sorted partition is one file (several if the session limits rows per file), named in partition order
+    file, position = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+    sizes = fixed.groupBy(file.alias("_file")).agg(F.count("*").alias("_n"))
+    number = F.regexp_extract("_file", r"part-(\d+)", 1).cast("bigint")   # names pad to five digits only
+    before = Window.orderBy(number, "_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     start = after if after is not None else F.lit(0)
-    # one row per partition of `fixed`: bounded by the partition count, not by the data
+    # one row per file of `fixed`: bounded by the partition count, not by the data
     return (
-        fixed.withColumn("_part", partition).withColumn("_pos", position)
-        .join(F.broadcast(offsets), "_part")
+        fixed.select("*", file.alias("_file"), position.alias("_pos"))
+        .join(F.broadcast(offsets), "_file")
         .withColumn(key, (F.col("_before") + F.col("_pos") + 1 + start).cast("bigint"))
-        .drop("_part", "_pos", "_before")
+        .drop("_file", "_pos", "_before")
     )
 
 

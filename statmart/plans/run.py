@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..registry import DOMAINS, MIN_DIMENSION_ROWS, Domain, dataset_table, inline, select_domains
 from ..schemas import DIMENSIONS, FACTS
+from ..session import forget_checkpoints
 from ..sources import mappings
 from ..sources.landing import append_load_log, create_if_absent, land_snapshot, publish, write_lines, write_run_log
 from ..sources.snapshots import latest_paths, list_snapshots, open_or_empty
@@ -169,4 +170,5 @@ def run(spark: SparkSession, layout: Layout, month: str, requested: list[str] |
     stage("checks", "*", checks)
     stage("digest", "*", lambda: len(digest(spark, layout, domains, month, at.date())) and None)
     write_run_log(spark, f"{layout.root}/logs/run_log", rows)
+    forget_checkpoints(spark)
     return all(r[2] == "ok" for r in rows)
