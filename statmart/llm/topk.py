@@ -82,7 +82,7 @@ def search_cell(query_ids: np.ndarray, queries: np.ndarray, least: np.ndarray, i
     slack = 1e-9 * (1 + long_q * (long_v[0] if len(long_v) else 0))       # for rounding of the bounds, never of scores
     exact = float if float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * len(axes) < 2 ** 53 else np.int64
     q_exact, v_exact = queries.astype(exact), vectors.astype(exact)
-    lowest = np.iinfo(np.int64).min
+    lowest = -np.iinfo(np.int64).max          # its negative is a number, too
     best = np.full((len(queries), k), lowest)
     best_id = np.full((len(queries), k), np.iinfo(np.int64).max)
     bar = least.astype(float) if len(least) else least
