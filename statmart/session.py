@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,13 +33,26 @@ def build_session(app: str = "statmart", master: str | None = None, **settings:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``, or a scratch one on a local master only."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    return spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="statmart-")
+    """The folder every executor can reach: ``spark.checkpoint.dir``; where it is unset, one in the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the package to the Python workers of a session, once."""
+    context = spark.sparkContext
+    if getattr(context, "_statmart_code", None):
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.TemporaryDirectory(prefix="statmart-code-")   # the driver serves it for as long as it runs
+    archive = f"{folder.name}/statmart.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for top, _, names in os.walk(home):
+            for n in names:
+                if n.endswith(".py"):
+                    z.write(os.path.join(top, n), os.path.relpath(os.path.join(top, n), os.path.dirname(home)))
+    context.addPyFile(archive)
+    context._statmart_code = folder
 
 
 _WRITTEN: list[str] = []

@@ -14,8 +14,9 @@ from statmart.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("tests", "local[8]", **{
+        "spark.checkpoint.dir": tmp_path_factory.mktemp("shared").as_uri(),
         "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "6g", "spark.ui.showConsoleProgress": "false"})
     yield session
     session.stop()
