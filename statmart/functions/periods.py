@@ -122,7 +122,3 @@ def run_it(freq: Column, first: Column, last: Column) -> Column:
         .otherwise(words("dal ", first_label, " al ", last_label))
     )
     return F.when(freq == "M", months).when(freq == "Q", quarters).when(freq == "A", years)
-
-
-def clean_label(label: Column) -> Column:
-    return blank_to_null(label)

@@ -6,8 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.periods import frequency_of, label_of, ordinal_of
-from ..functions.strings import blank_to_null, has_many
+from ..functions.periods import frequency_of, ordinal_of
+from ..functions.strings import blank_to_null, fold
+from ..operators.keys import left_join_spread
 from ..registry import HEADLINE_AGE
 
 
@@ -24,14 +25,14 @@ def flatten(fact: DataFrame, stars: list[Star], output: list[str]) -> DataFrame:
     """Left-join every dimension on its key and select the output columns.
 
     Only the key and the columns in use leave a dimension, and no join is hinted: dimensions Catalyst knows to be
-    small are broadcast, the others are shuffled once with skewed fact partitions split by AQE.
+    small are broadcast, the others are shuffled once, with facts that lack the key spread over all tasks.
     """
     out = fact
     for s in stars:
         side = s.dimension.select(F.col(s.key).alias(f"_{s.key}"),
                                   *[F.col(c).alias(n) for c, n in s.columns.items()])
         clash = [n for n in s.columns.values() if n in out.columns]
-        out = out.drop(*clash).join(side, F.col(s.key) == F.col(f"_{s.key}"), "left").drop(f"_{s.key}")
+        out = left_join_spread(out.drop(*clash), side, [(F.col(s.key), f"_{s.key}")]).drop(f"_{s.key}")
     return out.select(*output)
 
 
@@ -105,6 +106,7 @@ class Mart:
         return self.of(flat).orderBy(*self.order)
 
 
+# ---- fixed values: filters, columns and orders of the marts ----
 def marts() -> dict[str, Mart]:
     """Every filtered mart by name."""
     indicator, level, home = F.col("indicator_code"), F.col("nuts_level"), F.col("country_code") == "IT"
@@ -230,11 +232,26 @@ def headline_rates(flat: DataFrame, breakdowns: dict[str, str], provider: str =
                        "unit", "dataset_code")
 
 
-def single_units(flat: DataFrame, code: str = "nuts_code") -> DataFrame:
-    """Without packed aggregates."""
-    return flat.filter(~has_many(F.col(code)))
+# ---- fixed values: total code of each breakdown ----
+TOTALS = {
+    "social_economy": {"gender": "total", "education": "TOTAL", "labour_status": "TOTAL", "volunteering_form": "TOTAL"},
+    "labour": {"gender": "total", "education": "TOTAL", "citizenship": "TOTAL"},
+}
 
 
-def labels_between(freq: Column, first: Column, last: Column) -> Column:
-    """All period labels of a run."""
-    return F.transform(F.sequence(first, last), lambda o: label_of(freq, o))
+def labelled(flat: DataFrame, name: str, codes: DataFrame | None = None) -> DataFrame:
+    """A flat mart with ``<breakdown>_is_total`` per breakdown, ``is_headline``, and ``<breakdown>_label``.
+
+    ``codes`` is a code list (breakdown, provider, code, label); without one, or for a code it does not name, the code
+    itself is the label.
+    """
+    out = headline(flat, TOTALS[name])
+    for b in TOTALS[name]:
+        label = F.col(b)
+        if codes is not None:
+            table = codes.filter(F.col("breakdown") == b).groupBy(
+                fold(F.col("provider")).alias("_label_provider"), fold(F.col("code")).alias("_label_code")).agg(F.min("label").alias("_label"))
+            out = left_join_spread(out, table, [(fold(F.col("provider")), "_label_provider"), (fold(F.col(b)), "_label_code")])
+            label = F.coalesce("_label", F.col(b))
+        out = out.withColumn(f"{b}_label", label).drop("_label_provider", "_label_code", "_label")
+    return out

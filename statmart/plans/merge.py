@@ -11,10 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.codes import HOME, in_scope, is_supranational, level_of, country_of
 from ..functions.numbers import measured, to_number
 from ..functions.periods import leading_year, period_label
-from ..functions.strings import blank_to_null, fold, map_literal, pad_to_two, strip
+from ..functions.strings import blank_to_null, fold, is_blank, map_literal, pad_to_two, strip
 from ..operators.align import column_or_null, enforce_schema, first_present, stack
-from ..operators.dedup import resolve_priority_located
-from ..operators.lookups import CROSSWALK_FIELDS, crosswalk_index, legal_forms, territory_lookup
+from ..operators.dedup import collisions, resolve_priority_located
+from ..operators.lookups import ambiguous_keys, crosswalk_index, legal_forms, territory_lookup
+from ..operators.scope import breakdown, sample_codes
 from ..registry import (GENDER, GENDER_COLUMNS, GEO_COLUMNS, LEGAL_FORM_COLUMNS, PRIORITY, TIME_COLUMNS,
                         UNKNOWN_INDICATOR, UNKNOWN_UNIT, Dataset, Domain, dataset_table)
 from ..schemas import PROCESSED
@@ -23,14 +24,10 @@ from ..sources.snapshots import latest_paths
 
 ROW_ID = "_row"   # file and position of a landed row
 
-_CARRIED = ["dataset_code", "provider", "_geo", "_has_geo", "_form", "_has_form", "_gender", "_nace", "time",
-            "value", "extracted_at"]
-
-
 def aligned(df: DataFrame, dataset: Dataset, domain: Domain) -> DataFrame:
     """One raw dataset in the shared shape: chosen source columns under fixed names, breakdowns as text."""
     if "value" not in df.columns:
-        return df.sparkSession.createDataFrame([], aligned_schema(domain))
+        raise ValueError(f"{dataset.code}: no column 'value'")
     df = dataset_rows(df, dataset)
     cube = dataset.provider == "eurostat"
     geo = ("geo" if "geo" in df.columns else None) if cube else first_present(df, GEO_COLUMNS[domain.name])
@@ -80,12 +77,6 @@ def breakdowns(domain: Domain) -> list[str]:
     return [c for c in PROCESSED[domain.name].names if c not in derived]
 
 
-def aligned_schema(domain: Domain) -> str:
-    typed = {"_has_geo": "boolean", "_has_form": "boolean", "value": "double", "extracted_at": "timestamp"}
-    names = _CARRIED + breakdowns(domain) + ["gender"]
-    return ", ".join(f"{n} {typed.get(n, 'string')}" for n in names)
-
-
 def harmonised(df: DataFrame, crosswalk: DataFrame, forms: DataFrame, activities: DataFrame) -> DataFrame:
     """Territory, legal form, sex and activity codes of all datasets at once."""
     known = df.withColumn("provider", F.when(
@@ -182,9 +173,39 @@ def read_raw(spark: SparkSession, root: str, domain: Domain, before: str | None
     frames = {}
     for code, path in sorted(paths.items()):
         try:
-            frames[code] = spark.read.parquet(path).withColumn(ROW_ID, position)
+            found = spark.read.parquet(path)
+            if "value" not in found.columns:
+                raise ValueError("no column 'value'")
+            frames[code] = found.withColumn(ROW_ID, position)
         except Exception as e:  # noqa: BLE001  named after the rest has been written
             if failed is None:
                 raise
-            failed[code] = type(e).__name__
+            failed[code] = f"{type(e).__name__}: {e}"
     return frames
+
+
+def merge_reports(domain: Domain, raw: dict[str, DataFrame], processed: DataFrame, crosswalk: DataFrame,
+                  forms: DataFrame) -> dict[str, DataFrame]:
+    """What a merge leaves to be looked at, one small table each.
+
+    ``breakdown``: processed rows per source, indicator and unit. ``unmatched_territories`` and ``unmatched_forms``: the
+    first codes without a match per dataset, with counts. ``ambiguous_territories`` and ``ambiguous_forms``: mapping keys
+    with several meanings. ``collisions``: what the dedup keys merged although a breakdown outside of them differs.
+    """
+    registered = {d.code: d for d in domain.datasets}
+    landed = stack([aligned(df, registered[code], domain) for code, df in raw.items() if code in registered])
+    local = landed.filter((F.col("provider") == "istat") & F.col("_has_geo"))
+    found = territory_lookup(local.select("dataset_code", "_geo"), crosswalk_index(crosswalk), F.col("_geo"))
+    formed = legal_forms(landed.filter((F.col("provider") == "istat") & F.col("_has_form")).select("dataset_code", "provider", "_form"),
+                         forms, F.col("provider"), F.col("_form"), F.lit(True))
+    keyed = tagged(landed, domain.name).withColumns({"nuts_code": fold(F.col("_geo")), "nace_code": F.col("_nace")})
+    keys = [k for k in domain.dedup_keys if k in keyed.columns]
+    return {
+        "breakdown": breakdown(processed),
+        "unmatched_territories": sample_codes(found.filter("_unit.nuts_code is null"), ["dataset_code"], "_geo", 10),
+        "unmatched_forms": sample_codes(formed.filter("legal_form_unmatched"), ["dataset_code"], "_form", 10),
+        "ambiguous_territories": ambiguous_keys(crosswalk.withColumn("key", fold(F.col("istat_code"))).filter("key <> ''"), "key", "nuts_code"),
+        "ambiguous_forms": ambiguous_keys(
+            forms.withColumn("key", F.concat_ws("/", "source_system", fold(F.col("source_code")))), "key", "unified_category"),
+        "collisions": collisions(keyed.filter(~is_blank(F.col("nuts_code"))), keys, ["indicator_code", "dataset_code"]),
+    }

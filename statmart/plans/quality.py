@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 from functools import reduce
 
@@ -425,8 +426,7 @@ def _labelled(check: Check) -> DataFrame:
 
 
 def _error_row(check: Check, e: Exception) -> tuple:
-    message = f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"
-    return check.table, check.name, ERROR, "-", "", message
+    return check.table, check.name, ERROR, "-", "", f"{type(e).__name__}: {e}"
 
 
 def _error(spark: SparkSession, check: Check, e: Exception) -> DataFrame:
@@ -455,8 +455,8 @@ def run_checks(spark: SparkSession, checks: list[Check], at_once: int = 6) -> Da
         except Exception as e:  # noqa: BLE001
             return [_error_row(check, e)]
 
-    with ThreadPoolExecutor(at_once) as pool:
-        rows = [r for found in pool.map(evaluate, checks) for r in found]
+    with ThreadPoolExecutor(at_once) as pool:     # each in a copy of this thread's context, so that it shares its scratch
+        rows = [r for found in pool.map(lambda x: x[0].run(evaluate, x[1]), [(copy_context(), c) for c in checks]) for r in found]
     return inline(spark, rows, ", ".join(f"{n} string" for n in CHECK_RESULT.names))
 
 

@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..registry import DOMAINS, MIN_DIMENSION_ROWS, Domain, dataset_table, inline, select_domains
 from ..schemas import DIMENSIONS, FACTS
-from ..session import forget_checkpoints
+from ..session import checkpointed, file_system, scratch
 from ..sources import mappings
 from ..sources.landing import append_load_log, create_if_absent, land_snapshot, publish, write_lines, write_run_log
-from ..sources.snapshots import latest_paths, list_snapshots, open_or_empty
+from ..sources.snapshots import latest_paths, list_snapshots, open_or_empty, snapshot_path
 from . import marts, quality, release, report, warehouse
-from .merge import merge_domain, read_raw
+from .ingest import ingest
+from .merge import merge_domain, merge_reports, read_raw
 
 log = logging.getLogger("statmart")
 
@@ -48,6 +49,11 @@ def process(spark: SparkSession, layout: Layout, domain: Domain, month: str) ->
         domain, raw, layout.seed(spark, mappings.CROSSWALK),
         layout.seed(spark, mappings.LEGAL_FORMS), layout.seed(spark, mappings.ACTIVITIES))
     n = land_snapshot(merged, f"{layout.processed}/{domain.name}", domain.name, month)
+    if n:
+        for name, df in merge_reports(domain, raw, spark.read.parquet(
+                snapshot_path(f"{layout.processed}/{domain.name}", domain.name, month)),
+                layout.seed(spark, mappings.CROSSWALK), layout.seed(spark, mappings.LEGAL_FORMS)).items():
+            publish(df, f"{layout.root}/reports/{domain.name}_{name}_{month}")
     if failed:
         raise RuntimeError("unreadable snapshots: " + ", ".join(f"{c} ({e})" for c, e in failed.items()))
     return n
@@ -77,7 +83,7 @@ def build(spark: SparkSession, layout: Layout, domains: list[Domain], at: dateti
         kept, out_of_scope = warehouse.in_scope_rows(spark.read.parquet(path))
         geography = load_dimensions(spark, layout)["dim_geography"]
         publish(warehouse.add_unseen_territories(geography, kept), layout.table("dim_geography"))
-        keyed = warehouse.with_keys(kept, load_dimensions(spark, layout))
+        keyed = checkpointed(warehouse.with_keys(kept, load_dimensions(spark, layout)))   # the joins run once
         counts[domain.name] = publish(warehouse.fact_table(keyed, domain.fact), layout.table(domain.fact))
         publish(out_of_scope, layout.table(f"quarantine_scope_{domain.name}"))
         publish(keyed.filter(F.col("unresolved_key").isNotNull()), layout.table(f"quarantine_keys_{domain.name}"))
@@ -92,6 +98,27 @@ def flat_marts(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
             "labour": marts.labour(fact["fact_labour"], dims)}
 
 
+def publish_marts(spark: SparkSession, layout: Layout) -> int:
+    """Write every mart as a table; the number of marts."""
+    flat = flat_marts(spark, layout)
+    tables = {**{f"mart_{name}": df for name, df in flat.items()},
+              **{f"mart_{name}": mart.of(flat[mart.base]) for name, mart in marts.marts().items()},
+              **{f"mart_{name}_labelled": marts.labelled(df, name) for name, df in flat.items()}}
+    for name, df in tables.items():
+        publish(df, layout.table(name))
+    return len(tables)
+
+
+def published_marts(spark: SparkSession, layout: Layout, domain: str) -> dict[str, DataFrame | None]:
+    """The marts of a domain as they lie there; None for one that is missing."""
+    names = [domain, f"{domain}_labelled", *(n for n, m in marts.marts().items() if m.base == domain)]
+    out: dict[str, DataFrame | None] = {}
+    for name in names:
+        fs, where = file_system(spark, layout.table(f"mart_{name}"))
+        out[f"mart_{name}"] = spark.read.parquet(layout.table(f"mart_{name}")) if fs.exists(where) else None
+    return out
+
+
 def check(spark: SparkSession, layout: Layout, domains: list[Domain], now: datetime) -> DataFrame:
     dims = load_dimensions(spark, layout)
     # a dimension must hold at least what its mapping table lists
@@ -105,7 +132,7 @@ def check(spark: SparkSession, layout: Layout, domains: list[Domain], now: datet
     for domain in domains:
         if domain.checks:
             fact = open_or_empty(spark, layout.table(domain.fact), FACTS[domain.fact])
-            checks += quality.fact_checks(domain, fact, dims, F.lit(now))
+            checks += quality.fact_checks(domain, fact, dims, F.lit(now), published_marts(spark, layout, domain.name))
     return quality.run_checks(spark, checks)
 
 
@@ -143,8 +170,8 @@ def digest(spark: SparkSession, layout: Layout, domains: list[Domain], month: st
 
 
 def run(spark: SparkSession, layout: Layout, month: str, requested: list[str] | None = None,
-        now: datetime | None = None) -> bool:
-    """All stages in order. A failing domain or stage is logged and does not stop the others; False if any failed."""
+        now: datetime | None = None, landed: str | None = None) -> bool:
+    """All stages in order, beginning with the response files below ``landed`` if there are any. A failing domain or stage is logged and does not stop the others; False if any failed."""
     at = now or datetime.now(timezone.utc).replace(tzinfo=None)
     domains = select_domains(requested)
     rows: list[tuple] = []
@@ -153,15 +180,21 @@ def run(spark: SparkSession, layout: Layout, month: str, requested: list[str] |
         started = datetime.now(timezone.utc).replace(tzinfo=None)
         status, n, error = "ok", None, None
         try:
-            n = work()
+            with scratch(spark):
+                n = work()
         except Exception as e:  # noqa: BLE001
-            status, error = "failed", f"{type(e).__name__}: {e}"[:2000]
+            status, error = "failed", f"{type(e).__name__}: {e}"
         rows.append((name, domain, status, n, error, started, datetime.now(timezone.utc).replace(tzinfo=None)))
 
+    if landed:
+        for d in domains:
+            stage("ingest", d.name, lambda d=d: sum(ingest(spark, landed, layout.raw, d, month, at).values()))
     for d in domains:
         stage("process", d.name, lambda d=d: process(spark, layout, d, month))
     stage("database", "*", lambda: sum(build(spark, layout, domains, at).values()))
 
+    stage("marts", "*", lambda: publish_marts(spark, layout))
+
     def checks() -> int:
         found = check(spark, layout, domains, at)
         found.write.mode("overwrite").parquet(layout.table("check_results"))
@@ -170,5 +203,4 @@ def run(spark: SparkSession, layout: Layout, month: str, requested: list[str] |
     stage("checks", "*", checks)
     stage("digest", "*", lambda: len(digest(spark, layout, domains, month, at.date())) and None)
     write_run_log(spark, f"{layout.root}/logs/run_log", rows)
-    forget_checkpoints(spark)
     return all(r[2] == "ok" for r in rows)

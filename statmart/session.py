@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,7 +57,27 @@ def ship_package(spark: SparkSession) -> None:
     context._statmart_code = folder
 
 
-_WRITTEN: list[str] = []
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it knows it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("tables written in the current scope", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables that :func:`checkpointed` writes inside are deleted at the end; those of other callers are not touched."""
+    mine: list[str] = []
+    token = _WRITTEN.set(mine)
+    try:
+        yield
+    finally:
+        _WRITTEN.reset(token)
+        for path in mine:
+            fs, where = file_system(spark, path)
+            fs.delete(where, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -67,12 +89,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/statmart-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _WRITTEN.append(path)
+    written = _WRITTEN.get()
+    if written is not None:
+        written.append(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def forget_checkpoints(spark: SparkSession) -> None:
-    """Delete the tables written by :func:`checkpointed`, once nothing built on them is needed any more."""
-    while _WRITTEN:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

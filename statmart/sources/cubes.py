@@ -18,15 +18,27 @@ def read_cube_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def _codes_by_position(index: Column) -> Column:
-    """Code at each position; 'unknown_<n>' where the index names none."""
-    by_position = F.map_from_entries(
-        F.transform(F.map_entries(index), lambda e: F.struct(e["value"].alias("key"), e["key"].alias("value"))))
-    last = F.array_max(F.map_values(index))
+    """Code at each position; 'unknown_<n>' where the index names none.
+
+    As long as twice the number of codes at most, whatever positions the document names: see :func:`_codes_beyond`.
+    """
+    by_position = _by_position(index)
+    last = F.least(F.array_max(F.map_values(index)), 2 * F.size(index))
     return F.transform(
-        F.sequence(F.lit(0), last),
+        F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
         lambda p: F.coalesce(F.try_element_at(by_position, p), F.concat(F.lit("unknown_"), p.cast("string"))))
 
 
+def _by_position(index: Column) -> Column:
+    return F.map_from_entries(
+        F.transform(F.map_entries(index), lambda e: F.struct(e["value"].alias("key"), e["key"].alias("value"))))
+
+
+def _codes_beyond(index: Column) -> Column:
+    """Codes at positions far beyond their number: a map, empty for any sound document."""
+    return F.map_filter(_by_position(index), lambda p, _: p > 2 * F.size(index))
+
+
 def _labels_by_position(codes: Column, label: Column) -> Column:
     return F.transform(
         codes, lambda c: F.nullif(F.nullif(F.try_element_at(label, c), c), F.lit("")))
@@ -80,6 +92,7 @@ def decode_cubes(files: DataFrame, declared: list[str], body: str = "body", stri
         category = F.element_at(F.col("cube.dimension"), F.get("axes", spot))["category"]
         per_axis[f"_at_{name}"] = spot
         per_axis[f"_codes_{name}"] = F.when(spot >= 0, _codes_by_position(category["index"]))
+        per_axis[f"_beyond_{name}"] = F.when(spot >= 0, _codes_beyond(category["index"]))
         per_axis[f"_stride_{name}"] = F.get("strides", spot)
         per_axis[f"_size_{name}"] = F.get("sizes", spot)
     prepared = prepared.withColumns(per_axis)
@@ -90,7 +103,7 @@ def decode_cubes(files: DataFrame, declared: list[str], body: str = "body", stri
         for n in declared
     })
     carried = [c for n in declared
-               for c in (f"_at_{n}", f"_codes_{n}", f"_labels_{n}", f"_stride_{n}", f"_size_{n}")]
+               for c in (f"_at_{n}", f"_codes_{n}", f"_beyond_{n}", f"_labels_{n}", f"_stride_{n}", f"_size_{n}")]
     exploded = prepared.select(*ids, *carried, F.explode("cube.value").alias("_flat", "value")) \
         .withColumn("_flat", F.col("_flat").cast("bigint"))
 
@@ -99,6 +112,6 @@ def decode_cubes(files: DataFrame, declared: list[str], body: str = "body", stri
         # the first axis has no modulus: a flat index beyond the cube shows as an unknown position
         whole = F.expr(f"_flat div _stride_{n}")
         spot = F.when(F.col(f"_at_{n}") == 0, whole).otherwise(whole % F.col(f"_size_{n}")).cast("int")
-        code = F.coalesce(F.get(f"_codes_{n}", spot), F.concat(F.lit("unknown_"), spot.cast("string")))
+        code = F.coalesce(F.get(f"_codes_{n}", spot), F.try_element_at(f"_beyond_{n}", spot), F.concat(F.lit("unknown_"), spot.cast("string")))
         out += [F.when(F.col(f"_at_{n}") >= 0, code).alias(n), F.get(f"_labels_{n}", spot).alias(f"{n}_label")]
     return exploded.select(*out, "value")

@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.scope import counts_by, required_present
 from ..schemas import LOAD_LOG, RAW_METADATA
+from ..session import file_system
 from .snapshots import open_or_empty, snapshot_path
 
 
@@ -48,22 +49,24 @@ def publish(df: DataFrame, path: str, skip_empty: bool = False) -> int:
     """
     spark = df.sparkSession
     staging, retired = f"{path}.__new", f"{path}.__old"
+    fs, target = file_system(spark, path)
+    (_, new), (_, old) = file_system(spark, staging), file_system(spark, retired)
+    if fs.exists(old) and not fs.exists(target):      # an earlier run was cut off between its two renames
+        if not fs.rename(old, target):
+            raise OSError(f"could not restore {path} from {retired}")
     df.write.mode("overwrite").parquet(staging)
     n = spark.read.parquet(staging).count()
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    new, old = jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(retired)
     if skip_empty and n == 0:
         fs.delete(new, True)
         return 0
-    if fs.exists(old):
-        fs.delete(old, True)
-    if fs.exists(target):
-        fs.rename(target, old)
+    fs.delete(old, True)
+    replaced = fs.exists(target)
+    if replaced and not fs.rename(target, old):
+        raise OSError(f"could not set {path} aside; the new contents are in {staging}")
     if not fs.rename(new, target):
-        fs.rename(old, target)
-        raise OSError(f"could not publish {path}")
+        if replaced and not fs.rename(old, target):
+            raise OSError(f"could not publish {path}; the old table is in {retired}, the new one in {staging}")
+        raise OSError(f"could not publish {path}; the old table is in place")
     fs.delete(old, True)
     return n
 
@@ -73,7 +76,8 @@ def create_if_absent(spark: SparkSession, path: str, schema: StructType) -> None
     found = open_or_empty(spark, path, schema)
     if found.columns != schema.names:
         raise ValueError(f"{path} does not have its declared columns")
-    if not found.inputFiles():
+    fs, where = file_system(spark, path)
+    if not fs.exists(where):
         found.write.mode("ignore").parquet(path)
 
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.align import column_or_null
-from ..operators.small import checked_broadcast
+from ..registry import inline
+from ..session import checkpointed, file_system
 
-NAME = r"/([^/]+)_(\d{4}-\d{2})\.parquet(/|$)"
+NAME = r"([^/]+)_(\d{4}-\d{2})\.parquet"
 META_COLUMNS = ["dataset_code", "extracted_at", "period_label", "time"]
 
 
@@ -17,18 +20,19 @@ def snapshot_path(root: str, name: str, month: str) -> str:
 
 
 def list_snapshots(spark: SparkSession, root: str) -> DataFrame:
-    """(name, month, path) of every snapshot below ``root``. File names only: no file is opened."""
-    listed = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-        .load(root).select("path")
-    )
-    return (
-        listed.withColumn("name", F.regexp_extract("path", NAME, 1))
-        .withColumn("month", F.regexp_extract("path", NAME, 2))
-        .filter("name != ''")
-        .select("name", "month", F.regexp_extract("path", r"^(.*?_\d{4}-\d{2}\.parquet)(/|$)", 1).alias("path"))
-        .distinct()
-    )
+    """(name, month, path) of every snapshot in ``root``; empty if there is no such folder.
+
+    One listing of the folder itself: a snapshot is an entry there, whether file or folder, and its part files are not
+    looked at. There is an entry per dataset and month, whatever the tables hold.
+    """
+    fs, path = file_system(spark, root)
+    found = []
+    if fs.exists(path):
+        for entry in fs.listStatus(path):
+            name = re.fullmatch(NAME, entry.getPath().getName())
+            if name:
+                found.append((name[1], name[2], entry.getPath().toString()))
+    return inline(spark, sorted(found), "name string, month string, path string")
 
 
 def newest(df: DataFrame, by: list[str], month: str, before: str | None = None) -> DataFrame:
@@ -40,12 +44,12 @@ def newest(df: DataFrame, by: list[str], month: str, before: str | None = None)
 def newest_rows(df: DataFrame, by: list[str], month: str, before: str | None = None) -> DataFrame:
     """All rows of each group's latest snapshot.
 
-    A dataset may hold a third of all rows, so rows are not shuffled by dataset: the small (group, month) table goes
-    to them, once its size has been checked.
+    A dataset may hold a third of all rows, so rows should not be shuffled by dataset: the (group, month) table is
+    written once, and from its size in bytes Catalyst sees that it can go to the rows.
     """
     pool = df.filter(F.col(month) < before) if before is not None else df
     top = newest(pool, by, month).select(*[F.col(c).alias(f"_{c}") for c in by], F.col(month).alias("_month"))
-    top = checked_broadcast(top)
+    top = checkpointed(top)
     on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by] + [F.col(month) == F.col("_month")]
     return pool.join(top, on, "left_semi")
 
@@ -56,15 +60,12 @@ def latest_paths(spark: SparkSession, root: str, names: list[str] | None = None,
 
     The result is one entry per dataset of a registry, needed on the driver to open the files.
     """
-    try:
-        snaps = list_snapshots(spark, root)
-    except Exception as e:  # the folder does not exist yet
-        if "PATH_NOT_FOUND" in str(e):
-            return {}
-        raise
+    snaps = list_snapshots(spark, root)
     if names is not None:
         snaps = snaps.filter(F.col("name").isin(names))
-    rows = newest_rows(snaps, ["name"], "month", before).select("name", "path").collect()
+    if before is not None:
+        snaps = snaps.filter(F.col("month") < before)
+    rows = snaps.groupBy("name").agg(F.max_by("path", "month").alias("path")).collect()
     return {r["name"]: r["path"] for r in rows}
 
 

@@ -177,7 +177,7 @@ def test_digest_and_run_log(spark, layout, finished):
     assert any(x.startswith("| Lavoro | **Tasso di occupazione** (ISTAT, `150_915_DF_DCCV_TAXOCCU1_5`) | II trimestre 2023 / 2023 | nessuna |")
                for x in text)
     log = spark.read.json(f"{layout.root}/logs/run_log")
-    assert rows(log, "stage", "status") == [("checks", "ok"), ("database", "ok"), ("digest", "ok"), ("process", "ok"), ("process", "ok")]
+    assert rows(log, "stage", "status") == [("checks", "ok"), ("database", "ok"), ("digest", "ok"), ("marts", "ok"), ("process", "ok"), ("process", "ok")]
 
 
 def test_a_failing_stage_is_logged_and_the_rest_runs(spark, layout, tmp_path):
