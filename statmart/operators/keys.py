@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.strings import fold
 from ..session import checkpointed
 
 _COPY = "_copy"
@@ -60,11 +63,32 @@ class KeyLookup:
     dimension: DataFrame
     natural: dict[str, Column]   # dimension column -> expression on the fact row
     required: bool = True
+    folded: bool = False         # dimension codes are compared stripped and in upper case
 
     def table(self) -> DataFrame:
-        return self.dimension.select(
-            *[F.col(c).alias(f"_{self.key}_{c}") for c in self.natural], F.col(self.key)
-        ).filter(F.col(f"_{self.key}_{next(iter(self.natural))}").isNotNull())
+        """One row per complete natural key, the smallest surrogate key where a code is repeated: a lookup never
+        multiplies fact rows."""
+        names = [f"_{self.key}_{c}" for c in self.natural]
+        known = self.dimension.select(
+            *[(fold(F.col(c)) if self.folded else F.col(c)).alias(n) for c, n in zip(self.natural, names)], F.col(self.key))
+        return known.filter(reduce(and_, [F.col(n).isNotNull() for n in names])).groupBy(*names).agg(
+            F.min(self.key).alias(self.key))
+
+
+def left_join_spread(df: DataFrame, table: DataFrame, on: list[tuple[Column, str]], parts: int = 200) -> DataFrame:
+    """Left join where many rows of ``df`` may lack the key.
+
+    Rows without a key match nothing, but an ordinary shuffle would send all of them to one task. A second equality
+    spreads them: it is 0 on both sides wherever there is a key, and any of ``parts`` numbers where there is none. If
+    Catalyst broadcasts ``table`` it costs nothing.
+    """
+    keyed = df.withColumns({f"_on{i}": k for i, (k, _) in enumerate(on)})
+    absent = reduce(or_, [F.col(f"_on{i}").isNull() for i in range(len(on))])
+    keyed = keyed.withColumn("_part", F.when(absent, F.pmod(F.monotonically_increasing_id(), F.lit(parts))).otherwise(F.lit(0).cast("bigint")))
+    # always 0, but not a constant that the optimizer would fold out of the join keys
+    side = table.withColumn("_side", F.pmod(F.xxhash64(*[F.col(c) for _, c in on]), F.lit(1)))
+    condition = reduce(and_, [F.col(f"_on{i}") == F.col(c) for i, (_, c) in enumerate(on)]) & (F.col("_part") == F.col("_side"))
+    return keyed.join(side, condition, "left").drop("_side", "_part", *[f"_on{i}" for i in range(len(on))])
 
 
 def resolve_keys(df: DataFrame, lookups: list[KeyLookup], reason: str = "unresolved_key") -> DataFrame:
@@ -76,8 +100,8 @@ def resolve_keys(df: DataFrame, lookups: list[KeyLookup], reason: str = "unresol
     out = df
     for lk in lookups:
         table = lk.table()
-        on = [expr == F.col(f"_{lk.key}_{c}") for c, expr in lk.natural.items()]
-        out = out.join(table, on, "left").drop(*[f"_{lk.key}_{c}" for c in lk.natural])
+        on = [(expr, f"_{lk.key}_{c}") for c, expr in lk.natural.items()]
+        out = left_join_spread(out, table, on).drop(*[f"_{lk.key}_{c}" for c in lk.natural])
     missing = F.lit(None).cast("string")
     for lk in reversed([x for x in lookups if x.required]):
         missing = F.when(F.col(lk.key).isNull(), F.lit(lk.key)).otherwise(missing)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.codes import HOME, country_of, level_of
 from ..functions.strings import fold, has_many
-from .small import checked_broadcast
+from .keys import left_join_spread
 
 CROSSWALK_FIELDS = ["nuts_code", "nuts_level", "nuts_name_it", "nuts_name_en", "region_name", "macro_area"]
 
@@ -59,8 +59,8 @@ def territory_lookup(df: DataFrame, index: DataFrame, geo: Column, code: str = "
     joined = (
         df.withColumn("_key", key).withColumn("_modern", modern_code(F.col("_key")))
         .join(now, F.col("_key") == F.col("_k1"), "left")
-        .join(old, F.col("_modern") == F.col("_k2"), "left")
     )
+    joined = left_join_spread(joined, old, [(F.col("_modern"), "_k2")])
     old_unit = F.when(F.col("_key").rlike(OLD_LETTERS), F.col("_old_code")).otherwise(F.col("_old_local"))
     unit = (
         F.when(F.col(f"_local.{code}").isNotNull(), F.col("_local"))
@@ -119,7 +119,7 @@ def legal_forms(df: DataFrame, mapping: DataFrame, provider: Column, code: Colum
     """
     names = list(LEGAL_FORM_FIELDS)
     lookup = (
-        mapping.groupBy(F.col("source_system").alias("_lk_system"), F.upper("source_code").alias("_lk_form"))
+        mapping.groupBy(F.col("source_system").alias("_lk_system"), fold(F.col("source_code")).alias("_lk_form"))
         .agg(F.max_by(F.struct(*names), F.col(ordinal)).alias("_found"))
     )
     keyed = df.withColumns({"_own_system": provider, "_own_form": F.when(present, fold(code.cast("string")))})
@@ -148,12 +148,12 @@ def code_list(df: DataFrame, codes: DataFrame, breakdown: str, column: str, prov
     """Harmonised code, label, total flag and bounds of a breakdown code.
 
     A NULL code means the dataset has no such breakdown and counts as a total. ``strict`` makes an unlisted code an
-    error at run time; otherwise ``<column>_unlisted`` marks it. The list's size is checked before it is broadcast,
-    since one code may stand on a third of all rows.
+    error at run time; otherwise ``<column>_unlisted`` marks it. The list is an input of known size, so Catalyst decides
+    by bytes whether it is broadcast, and AQE splits a code with a third of all rows where it is not.
     """
-    rows = checked_broadcast(codes.filter(F.col("breakdown") == breakdown).select(
-        F.col("provider").alias("_p"), F.col("code").alias("_c"),
-        F.struct("harmonised_code", "label", "is_total", "lower_bound", "upper_bound").alias("_entry")))
+    rows = codes.filter(F.col("breakdown") == breakdown).select(
+        F.col("provider").alias("_p"), fold(F.col("code")).alias("_c"),
+        F.struct("harmonised_code", "label", "is_total", "lower_bound", "upper_bound").alias("_entry"))
     on = (F.col(provider) == F.col("_p")) & (fold(F.col(column)) == F.col("_c"))
     out = df.join(rows, on, "left")
     unlisted = F.col(column).isNotNull() & F.col("_entry").isNull()

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.codes import EXTRA_REGIO, HOME, country_of, scope_reason
 from ..functions.numbers import to_whole
 from ..functions.periods import any_year
-from ..functions.strings import blank_to_null, has_many, strip
+from ..functions.strings import blank_to_null, fold, has_many, strip
 from ..operators.align import enforce_schema, typed, unknown_columns
 from ..operators.keys import KeyLookup, contiguous_keys, resolve_keys, resolved
 from ..operators.scope import classify
 from ..operators.upsert import delete_where, insert_unseen, retire_missing, upsert_dimension
 from ..registry import YEAR_RANGE, Domain, indicator_table
 from ..schemas import DIMENSIONS, FACTS, NATURAL_KEY, SURROGATE_KEY
+from ..session import checkpointed
 
 log = logging.getLogger("statmart")
 
@@ -112,8 +113,8 @@ def fact_lookups(dims: dict[str, DataFrame], by_form_code: bool = False) -> list
     if by_form_code:
         lookups.append(KeyLookup(
             "legal_form_key", dims["dim_legal_form"],
-            {"source_system": F.col("source_id"), "source_code": F.upper(strip(F.col("legal_form_code")))},
-            required=False))
+            {"source_system": fold(F.col("source_id")), "source_code": fold(F.col("legal_form_code"))},
+            required=False, folded=True))
     return lookups
 
 
@@ -141,5 +142,5 @@ def build_fact(domain: Domain, processed: DataFrame, dims: dict[str, DataFrame]
     """(fact table, dimensions with unseen territories added, out-of-scope rows, rows with unresolved keys)."""
     kept, out_of_scope = in_scope_rows(processed.drop("geo_unmatched", "legal_form_unmatched"))
     dims = {**dims, "dim_geography": add_unseen_territories(dims["dim_geography"], kept)}
-    keyed = with_keys(kept, dims)
+    keyed = checkpointed(with_keys(kept, dims))   # read by the numbering, which samples it first, and by the quarantine
     return fact_table(keyed, domain.fact), dims, out_of_scope, keyed.filter(F.col("unresolved_key").isNotNull())

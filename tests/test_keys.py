@@ -79,9 +79,7 @@ def test_copies_are_spread_and_numbered(spark, tmp_path):
 SCHEMA = ddl("key bigint, code string, name string, note string")
 
 
-@pytest.mark.parametrize("few", [20_000, 0])     # one sort for a few new rows, the distributed numbering beyond
-def test_upsert_keeps_keys_and_is_repeatable(table, monkeypatch, few):
-    monkeypatch.setattr(upsert, "FEW_ROWS", few)
+def test_upsert_keeps_keys_and_is_repeatable(table):
     existing = table([(1, "A", "a", "n"), (2, "B", "b", "n")], "key bigint, code string, name string, note string")
     incoming = table([("B", "draft", 0), ("D", "d", 1), ("B", "b2", 2), ("C", "c", 3), (None, "x", 4)],
                      "code string, name string, ord bigint")
@@ -142,3 +140,28 @@ def test_expected_vs_present(table):
     out = diff.expected_vs_present(table([("a",), ("b",)], "c string"), table([("b",), ("x",), (None,)], "c string"), "c",
                                    table([("b",)], "c string"))
     assert rows(out) == [("a", "missing", False), ("b", "present", True), ("x", "extra", False)]
+
+
+def test_repeated_codes_never_multiply_rows(table):
+    dim = table([(1, "A"), (2, "A"), (3, " b "), (None, "C")], "key bigint, code string")
+    df = table([("A",), ("a",), ("B",), (None,), ("x",)], "c string")
+    plain = keys.resolve_keys(df, [keys.KeyLookup("key", dim, {"code": F.col("c")})])
+    assert rows(plain, "c", "key") == sorted([("A", 1), ("a", None), ("B", None), (None, None), ("x", None)], key=repr)
+    folded = keys.resolve_keys(df, [keys.KeyLookup("key", dim, {"code": F.upper("c")}, folded=True)])
+    assert rows(folded, "c", "key") == sorted([("A", 1), ("a", 1), ("B", 3), (None, None), ("x", None)], key=repr)
+
+
+def test_rows_without_a_key_are_spread(spark, table):
+    """A third of all rows without a key must not meet in one task when the dimension is too large to broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(0, 3000, 1, 4).select(F.when(F.col("id") % 3 > 0, F.col("id") % 50).alias("k"), "id")
+        side = spark.range(0, 50).select(F.col("id").alias("code"), (F.col("id") * 2).alias("twice"))
+        out = keys.left_join_spread(df, side, [(F.col("k"), "code")])
+        assert out.filter("k is not null and twice is null or twice <> 2 * k").count() == 0 and out.count() == 3000
+        per = out.filter("k is null").groupBy(F.spark_partition_id()).count().collect()
+        assert len(per) > 4 and max(r["count"] for r in per) < 500
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
