@@ -191,7 +191,7 @@ def unit_geography(t: Tables):
 
 UNIT_SQL = f"""units AS (SELECT c_custkey, c_name AS nuts_code, CAST(n_nationkey % 4 AS BIGINT) AS nuts_level,
         CASE WHEN n_regionkey = 0 THEN 'IT' WHEN n_regionkey < 4 THEN 'C' || CAST(n_nationkey AS VARCHAR) END AS country_code
-      FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')),
+      FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey IN (SELECT o_custkey FROM orders)),
     lv AS (SELECT count(DISTINCT nuts_code) FILTER (nuts_level = 0) AS a, count(DISTINCT nuts_code) FILTER (nuts_level = 2) AS b,
         count(DISTINCT nuts_code) FILTER (nuts_level = 3) AS c FROM units WHERE country_code = 'IT'),
     dq_units AS (SELECT 'orders' AS "table", 'home units by level' AS "check", CASE WHEN a < 1 OR b < 21 OR c < 100000 THEN 'FAIL' ELSE 'PASS' END AS status,
@@ -204,17 +204,17 @@ UNIT_SQL = f"""units AS (SELECT c_custkey, c_name AS nuts_code, CAST(n_nationkey
         CAST(n AS VARCHAR) AS observed, '>= 30' AS expected, '' AS detail FROM ct)"""
 
 
-def open_orders(t: Tables):
-    return t.orders.filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"))
+def ordering_customers(t: Tables):
+    return t.orders.select(F.col("o_custkey").alias("c_custkey"))
 
 
 def dq_units_frame(t: Tables):
-    units = q.used_units(open_orders(t), unit_geography(t), "c_custkey")
+    units = q.used_units(ordering_customers(t), unit_geography(t), "c_custkey")
     return labelled(q.units_by_level(units, {0: 1, 2: 21, 3: 100000}), "orders", "home units by level")
 
 
 def dq_countries_frame(t: Tables):
-    units = q.used_units(open_orders(t), unit_geography(t), "c_custkey", home=None)
+    units = q.used_units(ordering_customers(t), unit_geography(t), "c_custkey", home=None)
     return labelled(q.other_countries(units, 30, "IT"), "orders", "other countries at level 0")
 
 

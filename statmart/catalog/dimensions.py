@@ -112,9 +112,9 @@ def dim_delete(t):
 
 @query("surrogate_keys", """
     SELECT (SELECT max(s_suppkey) FROM supplier) + row_number() OVER (ORDER BY c_name) AS supplier_key, c_name
-    FROM customer WHERE c_acctbal < 1000""")
+    FROM customer""")
 def surrogate_keys(t):
-    fresh = t.customer.filter("c_acctbal < 1000").select("c_name")
+    fresh = t.customer.select("c_name")
     return contiguous_keys(fresh, ["c_name"], "supplier_key", after=max_key(t.supplier, "s_suppkey"))
 
 

@@ -147,9 +147,10 @@ MERGE_SQL = r"""
             CASE o_orderstatus WHEN 'O' THEN 'male' WHEN 'F' THEN 'female' END AS gender, o_orderpriority AS age_group, o_orderdate AS seen,
             CASE WHEN o_orderkey % 4 = 0 THEN 'A' ELSE 'M' END AS frequency, CAST(NULL AS VARCHAR) AS education, CAST(NULL AS VARCHAR) AS nace_code
           FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 5 <> 0 AND year(o_orderdate) >= 2015 - 18),
-    ah AS (SELECT a.*, x.nuts_code, x.lvl AS nuts_level, 'IT' AS country_code, x.n_name AS nuts_name_it, x.nuts_code IS NULL AS geo_unmatched
-          FROM a LEFT JOIN xw x ON upper(trim(a.geo)) = x.istat_code OR upper(trim(a.geo)) = x.nuts_code
-            OR (upper(trim(a.geo)) LIKE 'ITD%' AND 'ITH' || substring(trim(a.geo), 4) = x.nuts_code)),
+    ah AS (SELECT a.*, coalesce(x.nuts_code, y.nuts_code, z.nuts_code) AS nuts_code, coalesce(x.lvl, y.lvl, z.lvl) AS nuts_level, 'IT' AS country_code,
+            coalesce(x.n_name, y.n_name, z.n_name) AS nuts_name_it, coalesce(x.nuts_code, y.nuts_code, z.nuts_code) IS NULL AS geo_unmatched
+          FROM a LEFT JOIN xw x ON upper(trim(a.geo)) = x.istat_code LEFT JOIN xw y ON upper(trim(a.geo)) = y.nuts_code
+            LEFT JOIN xw z ON CASE WHEN upper(trim(a.geo)) LIKE 'ITD%' THEN 'ITH' || substring(trim(a.geo), 4) END = z.nuts_code),
     b AS (SELECT 'unemployment_rate' AS indicator_code, 'lfst_r_lfu3rt' AS dataset_code, 'eurostat' AS source_id, 2 AS priority, l_quantity AS value,
             CAST(2021 + l_linenumber % 4 AS VARCHAR) AS time, CASE WHEN l_suppkey % 5 = 0 THEN 'EA19' WHEN l_suppkey % 5 = 1 THEN 'FR10'
               WHEN l_suppkey % 5 = 2 THEN 'it' || CAST(l_suppkey % 7 AS VARCHAR) WHEN l_suppkey % 5 = 3 THEN 'DE' ELSE 'ITC' || CAST(l_suppkey % 3 AS VARCHAR) END AS geo,
@@ -174,7 +175,7 @@ def landings(t: Tables) -> dict[str, DataFrame]:
     geo = F.when(key % 9 == 0, "XX9").when(key % 2 == 0, F.lpad(nation, 3, "0")) \
         .when(key % 3 == 0, F.concat(F.lit("ITD"), nation)).otherwise(F.concat(F.lit(" ith"), nation))
     annual = key % 4 == 0
-    position = F.col("_metadata.row_index").cast("string").alias(ROW_ID)
+    position = F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias(ROW_ID)
     a = t.orders.select("*", position).join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
         geo.alias("geo"),
         # dates are moved on by 18 years so that they pass the dataset's first year
@@ -223,3 +224,123 @@ def merge_labour(t):
         "indicator_code", "dataset_code", "source_id", "priority", "value", "unit", "time", "frequency", "period_label",
         "nuts_code", "nuts_level", "country_code", "nuts_name_it", "gender", "age_group", "education", "nace_code",
         F.date_format("extracted_at", "yyyy-MM-dd").alias("extracted_on"), "geo_unmatched")
+
+
+# ---- merge of the social-economy domain: short codes to pad, legal forms, a dataset without territory ----
+SE_SQL = r"""
+    xw AS (SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS istat_code, 'ITF' || CAST(n_nationkey AS VARCHAR) AS nuts_code,
+            CAST(n_regionkey AS BIGINT) AS lvl, n_name FROM nation),
+    fm AS (SELECT upper(r_name) AS code, lower(r_name) AS unified, r_regionkey AS key FROM region),
+    nl AS (SELECT CASE n_nationkey WHEN 3 THEN 'O-U' ELSE 'C' || CAST(n_nationkey AS VARCHAR) END AS nace_code, n_name AS label FROM nation),
+    a AS (SELECT 'volunteering_rate' AS indicator_code, 'mixed' AS unit, '85_84_DF_DCSA_VOLON1_1' AS dataset_code, 'istat' AS source_id, 1 AS priority,
+            o_totalprice AS value, CAST(year(o_orderdate) + 25 AS VARCHAR) AS time, CASE WHEN length(CAST(c_nationkey AS VARCHAR)) < 2
+              THEN '0' || CAST(c_nationkey AS VARCHAR) ELSE CAST(c_nationkey AS VARCHAR) END AS geo, true AS has_geo,
+            CASE o_orderkey % 6 WHEN 5 THEN 'NOSUCH' ELSE (SELECT upper(r_name) FROM region WHERE r_regionkey = o_orderkey % 6) END AS form,
+            CASE o_orderstatus WHEN 'O' THEN 'male' WHEN 'F' THEN 'female' END AS gender, o_orderpriority AS age_group, o_orderdate AS seen,
+            CAST(NULL AS VARCHAR) AS nace_code
+          FROM orders JOIN customer ON o_custkey = c_custkey WHERE year(o_orderdate) + 25 >= 2015),
+    n AS (SELECT 'association_membership_rate' AS indicator_code, 'percentage' AS unit, '83_63_DF_DCCV_AVQ_PERSONE_129' AS dataset_code, 'istat' AS source_id,
+            1 AS priority, p_retailprice AS value, '2020' AS time, CAST(NULL AS VARCHAR) AS geo, false AS has_geo, CAST(NULL AS VARCHAR) AS form,
+            CAST(NULL AS VARCHAR) AS gender, p_type AS age_group, TIMESTAMP '2024-01-01' AS seen, CAST(NULL AS VARCHAR) AS nace_code FROM part),
+    e AS (SELECT 'n_employed' AS indicator_code, 'thousands_persons' AS unit, 'nama_10r_3empers' AS dataset_code, 'eurostat' AS source_id, 2 AS priority,
+            l_quantity AS value, CAST(2021 + l_linenumber % 4 AS VARCHAR) AS time, CASE WHEN l_suppkey % 4 = 0 THEN 'EU27_2020' WHEN l_suppkey % 4 = 1 THEN 'ITC' || CAST(l_suppkey % 9 AS VARCHAR)
+              ELSE 'FR' END AS geo, true AS has_geo, CAST(NULL AS VARCHAR) AS form, CAST(NULL AS VARCHAR) AS gender, CAST(NULL AS VARCHAR) AS age_group,
+            l_shipdate AS seen, 'O-U' AS nace_code FROM lineitem WHERE l_partkey % 2 = 0),
+    u AS (SELECT * FROM a UNION ALL SELECT * FROM n UNION ALL SELECT * FROM e),
+    h AS (SELECT u.*, CASE WHEN NOT has_geo THEN 'IT' WHEN source_id = 'istat' THEN xw.nuts_code ELSE upper(trim(geo)) END AS nuts_code,
+            CASE WHEN NOT has_geo THEN 0 WHEN source_id = 'istat' THEN xw.lvl WHEN length(trim(geo)) BETWEEN 2 AND 5 THEN length(trim(geo)) - 2 END AS nuts_level,
+            CASE WHEN NOT has_geo THEN 'Italia' WHEN source_id = 'istat' THEN xw.n_name END AS nuts_name_it,
+            fm.unified AS legal_form_unified, CASE WHEN form IS NOT NULL THEN fm.unified IS NULL WHEN source_id = 'istat' THEN false END AS legal_form_unmatched,
+            nl.label AS nace_label_en
+          FROM u LEFT JOIN xw ON xw.istat_code = u.geo LEFT JOIN fm ON fm.code = u.form LEFT JOIN nl USING (nace_code)),
+    k AS (SELECT *, row_number() OVER (PARTITION BY indicator_code, nuts_code, time, legal_form_unified, nace_code, gender, age_group
+            ORDER BY priority, dataset_code, seen DESC, value, form) AS rn FROM h WHERE nuts_code IS NOT NULL),
+    se AS (SELECT * EXCLUDE (rn) FROM k WHERE rn = 1 UNION ALL SELECT * FROM h WHERE nuts_code IS NULL),
+    merged AS (SELECT * FROM se WHERE coalesce(nuts_code, '') <> 'EU27_2020')"""
+
+
+def social_landings(t: Tables) -> dict[str, DataFrame]:
+    """Three raw datasets: local codes without their leading zero and with legal forms, no territory, common codes."""
+    position = F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias(ROW_ID)
+    key = F.col("o_orderkey") % 6
+    names = t.region.select(F.col("r_regionkey").alias("_r"), F.col("r_name").alias("_name"))
+    a = t.orders.select("*", position).join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(names, key == F.col("_r"), "left").select(
+        F.col("c_nationkey").cast("string").alias("ref_area"), F.when(key == 5, "nosuch").otherwise(F.lower("_name")).alias("tipoente"),
+        F.when(F.col("o_orderstatus") == "O", "1").when(F.col("o_orderstatus") == "F", " females").otherwise("x").alias("gender"),
+        F.col("o_orderpriority").alias("age_group"), (F.year("o_orderdate") + 25).cast("string").alias("time"),
+        F.col("o_totalprice").cast("string").alias("value"), F.col("o_orderdate").alias("extracted_at"), ROW_ID)
+    n = t.part.select(F.col("p_type").alias("age_group"), F.lit("2020").alias("time"), F.col("p_retailprice").cast("string").alias("value"),
+                      F.lit("2024-01-01").alias("extracted_at"), position)
+    place = F.col("l_suppkey") % 4
+    e = t.lineitem.select(
+        F.when(place == 0, "EU27_2020").when(place == 1, F.concat(F.lit("ITC"), (F.col("l_suppkey") % 9).cast("string"))).otherwise("FR").alias("geo"),
+        F.when(F.col("l_partkey") % 2 == 0, "O-U").otherwise("A").alias("nace_r2"), (F.lit(2021) + F.col("l_linenumber") % 4).cast("string").alias("time"), F.lit("THS").alias("unit"),
+        F.lit("EMP").alias("wstatus"), F.col("l_quantity").cast("string").alias("value"), F.col("l_shipdate").alias("extracted_at"), position)
+    return {"85_84_DF_DCSA_VOLON1_1": a, "83_63_DF_DCCV_AVQ_PERSONE_129": n, "nama_10r_3empers": e}
+
+
+def social_merged(t: Tables) -> DataFrame:
+    crosswalk = t.nation.select(
+        F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("istat_code"),
+        F.concat(F.lit("ITF"), F.col("n_nationkey").cast("string")).alias("nuts_code"),
+        F.col("n_regionkey").cast("string").alias("nuts_level"), F.col("n_name").alias("nuts_name_it"),
+        F.lower("n_name").alias("nuts_name_en"), F.lit("r").alias("region_name"), F.lit("m").alias("macro_area"),
+        F.col("n_nationkey").cast("bigint").alias("ord"))
+    forms = t.region.select(
+        F.lit("istat").alias("source_system"), F.lower("r_name").alias("source_code"), F.lower("r_name").alias("unified_category"),
+        F.col("r_name").alias("unified_category_en"), F.lit("").alias("nace_primary"), F.lit("").alias("ets_classification"),
+        F.col("r_regionkey").cast("bigint").alias("ord"))
+    activity = F.when(F.col("n_nationkey") == 3, "O-U").otherwise(F.concat(F.lit("C"), F.col("n_nationkey").cast("string")))
+    activities = t.nation.select(activity.alias("nace_code"),
+                                 F.col("n_name").alias("label_en"), F.col("n_nationkey").cast("bigint").alias("ord"))
+    return merge_domain(DOMAINS["social_economy"], social_landings(t), crosswalk, forms, activities)
+
+
+@query("merge_social_economy", f"""
+    WITH {SE_SQL}
+    SELECT indicator_code, dataset_code, source_id, value, unit, CAST(time AS BIGINT) AS time, nuts_code, CAST(nuts_level AS BIGINT) AS nuts_level, nuts_name_it,
+        legal_form_unified, form AS legal_form_code, legal_form_unmatched, gender, age_group, nace_code, nace_label_en, strftime(seen, '%Y-%m-%d') AS extracted_on
+    FROM merged""")
+def merge_social_economy(t):
+    return social_merged(t).select(
+        "indicator_code", "dataset_code", "source_id", "value", "unit", "time", "nuts_code", "nuts_level", "nuts_name_it",
+        "legal_form_unified", "legal_form_code", "legal_form_unmatched", "gender", "age_group", "nace_code", "nace_label_en",
+        F.date_format("extracted_at", "yyyy-MM-dd").alias("extracted_on"))
+
+
+def social_dimensions(t: Tables) -> dict[str, DataFrame]:
+    geo = {f.name: F.lit(None).cast(f.dataType) for f in DIMENSIONS["dim_geography"]}
+    geo["geo_key"] = (F.col("n_nationkey") + 1).cast("bigint")
+    geo["nuts_code"] = F.concat(F.lit("ITF"), F.col("n_nationkey").cast("string"))
+    codes = ["volunteering_rate", "association_membership_rate", "n_employed"]
+    names = ["istat_85_84_DF_DCSA_VOLON1_1", "istat_83_63_DF_DCCV_AVQ_PERSONE_129", "eurostat_nama_10r_3empers"]
+    # codes in the dimension are spelled as their publishers do, some twice
+    forms = t.region.select(F.lit(" istat").alias("source_system"), F.lower("r_name").alias("source_code"),
+                            (F.col("r_regionkey") + 1).cast("bigint").alias("legal_form_key"))
+    return {
+        "dim_geography": t.nation.select(*[c.alias(n) for n, c in geo.items()]),
+        "dim_time": t.orders.select((F.year("o_orderdate") + 25).cast("bigint").alias("year")).distinct().select("year", F.col("year").alias("time_key")),
+        "dim_source": t.region.filter(F.col("r_regionkey") < 3).select(
+            F.get(F.array(*[F.lit(n) for n in names]), F.col("r_regionkey").cast("int")).alias("source_id"),
+            (F.col("r_regionkey") + 1).cast("bigint").alias("source_key")),
+        "dim_indicator": t.region.filter(F.col("r_regionkey") < 3).select(
+            F.get(F.array(*[F.lit(c) for c in codes]), F.col("r_regionkey").cast("int")).alias("indicator_code"),
+            (F.col("r_regionkey") + 1).cast("bigint").alias("indicator_key")),
+        "dim_legal_form": forms.union(forms.select("source_system", F.upper("source_code"), F.col("legal_form_key") + 100)),
+    }
+
+
+@query("fact_build_social_economy", f"""
+    WITH {SE_SQL},
+    kept AS (SELECT * FROM merged WHERE nuts_code IS NOT NULL AND (length(nuts_code) = 2 OR nuts_code LIKE 'IT%')),
+    geo0 AS (SELECT 'ITF' || CAST(n_nationkey AS VARCHAR) AS nuts_code, CAST(n_nationkey + 1 AS BIGINT) AS geo_key FROM nation),
+    geo AS (SELECT * FROM geo0 UNION ALL SELECT nuts_code, (SELECT max(geo_key) FROM geo0) + row_number() OVER (ORDER BY nuts_code)
+        FROM (SELECT DISTINCT nuts_code FROM kept WHERE nuts_code NOT IN (SELECT nuts_code FROM geo0))),
+    times AS (SELECT DISTINCT CAST(year(o_orderdate) + 25 AS BIGINT) AS year FROM orders)
+    SELECT geo_key, times.year AS time_key, CASE indicator_code WHEN 'volunteering_rate' THEN 1 WHEN 'association_membership_rate' THEN 2 ELSE 3 END AS indicator_key,
+        CASE WHEN form IS NOT NULL THEN CAST(fm.key + 1 AS BIGINT) END AS legal_form_key, value, unit, gender, age_group, nace_code, dataset_code
+    FROM kept JOIN geo USING (nuts_code) JOIN times ON times.year = CAST(time AS BIGINT) LEFT JOIN fm ON fm.code = form""")
+def fact_build_social_economy(t):
+    fact, _, _, _ = build_fact(DOMAINS["social_economy"], social_merged(t), social_dimensions(t))
+    return fact.select("geo_key", "time_key", F.col("indicator_key").cast("int").alias("indicator_key"), "legal_form_key", "value", "unit",
+                       "gender", "age_group", "nace_code", "dataset_code")

@@ -144,18 +144,20 @@ def _it(n: str) -> str:
     return f"replace(format('{{:,}}', {n}), ',', '.')"
 
 
-@query("release_sentence", f"""
-    WITH {TOTALS_SQL}, issues AS (SELECT *, list_filter([
+SENTENCE_SQL = f"""issues AS (SELECT *, list_filter([
         CASE WHEN n_non_aggiornati > 0 THEN {_it('n_non_aggiornati')} || ' dataset non ' || CASE n_non_aggiornati WHEN 1 THEN 'aggiornato' ELSE 'aggiornati' END END,
         CASE WHEN n_mancanti > 0 THEN {_it('n_mancanti')} || ' ' || CASE n_mancanti WHEN 1 THEN 'mancante' ELSE 'mancanti' END END,
         CASE WHEN n_nuovi_dataset > 0 THEN {_it('n_nuovi_dataset')} || ' ' || CASE n_nuovi_dataset WHEN 1 THEN 'nuovo' ELSE 'nuovi' END END],
-        lambda x: x IS NOT NULL) AS p FROM tot)
-    SELECT 'Riepilogo dell''aggiornamento dati di novembre 2001, rispetto a ottobre 2001. Dei ' || {_it('n_dataset')} || ' dataset monitorati, '
+        lambda x: x IS NOT NULL) AS p FROM tot),
+    sentence AS (SELECT 'Riepilogo dell''aggiornamento dati di novembre 2001, rispetto a ottobre 2001. Dei ' || {_it('n_dataset')} || ' dataset monitorati, '
         || {_it('n_aggiornati')} || CASE n_aggiornati WHEN 1 THEN ' è stato scaricato' ELSE ' sono stati scaricati' END || ' di nuovo dalla fonte'
         || CASE WHEN n_nuovi_periodi > 0 THEN ' e ' || {_it('n_nuovi_periodi')} || CASE n_nuovi_periodi WHEN 1 THEN ' contiene' ELSE ' contengono' END
         || ' periodi nuovi.' ELSE ', ma nessuno contiene periodi nuovi.' END || CASE WHEN len(p) = 0 THEN '' ELSE ' Da verificare: ' ||
         CASE WHEN len(p) = 1 THEN p[1] ELSE array_to_string(p[1:len(p) - 1], ', ') || ' e ' || p[len(p)] END || '.' END AS sentence
-    FROM issues""")
+    FROM issues)"""
+
+
+@query("release_sentence", f"WITH {TOTALS_SQL}, {SENTENCE_SQL} SELECT sentence FROM sentence")
 def release_sentence(t):
     return report.summary_sentence(release.totals(release_facts(t), MONTH)).select("sentence")
 
@@ -204,27 +206,37 @@ _LATEST = f"""(SELECT string_agg(CASE f WHEN 'M' THEN {_MONTHS}[CAST(substring(p
 
 
 @query("report_lines", f"""
-    WITH {SNAP_SQL}, {_RUNS_SQL},
+    WITH {TOTALS_SQL}, {SENTENCE_SQL}, {_RUNS_SQL},
     nm AS (SELECT dataset_code, p_brand <> 'Brand#2' AS has, 'Serie ' || p_brand AS label FROM (SELECT dataset_code, split_part(dataset_code, '/', 1) AS p_brand FROM codes)
         WHERE p_brand IN (SELECT p_brand FROM part)),
     named AS (SELECT facts.*, words.periods_it, CASE WHEN coalesce(has, false) THEN '**' || label || '** (Lavoro, ISTAT, `' || dataset_code || '`)'
             ELSE '`' || dataset_code || '` (Lavoro, `' || dataset_code || '`)' END AS name,
         CASE WHEN coalesce(has, false) THEN '**' || label || '** (ISTAT, `' || dataset_code || '`)' ELSE '`' || dataset_code || '` (`' || dataset_code || '`)' END AS plain,
         {_LATEST} AS last_words
-      FROM facts LEFT JOIN nm USING (dataset_code) LEFT JOIN words USING (dataset_code))
-    SELECT 20 AS section, dataset_code, '- ' || name || ': ' || periods_it || '.' AS line FROM named WHERE new_periods IS NOT NULL
+      FROM facts LEFT JOIN nm USING (dataset_code) LEFT JOIN words USING (dataset_code)),
+    body AS (SELECT 20 AS section, 12 AS position, dataset_code, '- ' || name || ': ' || periods_it || '.' AS line FROM named WHERE new_periods IS NOT NULL
     UNION ALL
-    SELECT 30, dataset_code, '- ' || name || CASE status
+    SELECT 30, 1002, dataset_code, '- ' || name || CASE status
         WHEN 'not_updated' THEN ': non aggiornato. I dati risalgono all''estrazione del ' || {_DAY.format('extracted_on')} || ' (ultimo periodo: ' || last_words || ').'
         WHEN 'missing' THEN ': assente dal file elaborato (' || CASE WHEN last_extracted_on IS NOT NULL THEN 'ultima estrazione disponibile: ' || {_DAY.format('last_extracted_on')}
             ELSE 'assente anche nell''elaborazione precedente' END || ').'
         ELSE ': nuovo dataset, assente nell''elaborazione precedente.' END
     FROM named WHERE status IN ('not_updated', 'missing', 'new_dataset')
     UNION ALL
-    SELECT 40, dataset_code, '| Lavoro | ' || plain || ' | ' || last_words || ' | ' || CASE WHEN rows_change = 0 THEN 'nessuna'
+    SELECT 40, 12, dataset_code, '| Lavoro | ' || plain || ' | ' || last_words || ' | ' || CASE WHEN rows_change = 0 THEN 'nessuna'
         WHEN rows_change > 0 THEN '+' || {_it('rows_change')} ELSE '−' || {_it('-rows_change')} END || ' |'
-    FROM named WHERE status = 'updated' AND new_periods IS NULL""")
+    FROM named WHERE status = 'updated' AND new_periods IS NULL),
+    fixed AS (
+        SELECT 10 AS section, unnest([0, 1, 2, 3]) AS position, unnest(['# Aggiornamento dati: novembre 2001', '', sentence, '']) AS line FROM sentence
+        UNION ALL SELECT 20, unnest([0, 1, 9000]), unnest(['## Nuovi periodi disponibili', '', '']) FROM (SELECT 1 FROM body WHERE section = 20 LIMIT 1)
+        UNION ALL SELECT 30, unnest([0, 1, 9000]), unnest(['## Da verificare', '', '']) FROM (SELECT 1 FROM body WHERE section = 30 LIMIT 1)
+        UNION ALL SELECT 40, unnest([0, 1, 2, 3, 9000, 9001, 9002]), unnest(['## Altri dataset', '', '| Dominio | Dataset | Ultimo periodo | Variazione righe |',
+            '|---|---|---|---|', '', 'Le variazioni nel numero di righe possono derivare da dati arrivati in ritardo alla fonte oppure da modifiche alla pipeline.', ''])
+            FROM (SELECT 1 FROM body WHERE section = 40 LIMIT 1)
+        UNION ALL SELECT 90, unnest([0, 1, 2]), unnest(['---', '', '_Generato automaticamente il 1º dicembre 2001 (esecuzione locale). '
+            || 'Il riepilogo descrive quali dati sono stati aggiornati e non riporta valori statistici._']))
+    SELECT section, position, dataset_code, line FROM body UNION ALL SELECT section, position, '', line FROM fixed""")
 def report_lines(t):
     facts = checkpointed(release_facts(t))
     lines = report.report_lines(facts, labels(t), release.totals(facts, MONTH), MONTH, date(2001, 12, 1))
-    return lines.filter("section between 20 and 40 and dataset_code <> ''").select("section", "dataset_code", "line")
+    return lines.select("section", "position", "dataset_code", "line")

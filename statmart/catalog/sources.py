@@ -132,13 +132,19 @@ def cube_problem_rows(t):
     SELECT 'A' AS slice, l_orderkey, l_quantity AS value, l_linestatus AS status, CAST(NULL AS VARCHAR) AS mode
       FROM lineitem WHERE l_returnflag = 'A'
     UNION ALL
-    SELECT 'R', l_orderkey, l_extendedprice, CAST(NULL AS VARCHAR), 'price' FROM lineitem WHERE l_returnflag = 'R'""")
+    SELECT 'R', l_orderkey, l_extendedprice, CAST(NULL AS VARCHAR), 'price' FROM lineitem WHERE l_returnflag = 'R'
+    UNION ALL
+    SELECT l_returnflag, l_orderkey, l_discount, l_linestatus, 'discount' FROM lineitem
+    WHERE l_returnflag IS NULL OR l_returnflag NOT IN ('A', 'R')""")
 def slice_union(t):
     a = t.lineitem.filter("l_returnflag = 'A'").select(
         F.lit("A").alias("slice"), "l_orderkey", F.col("l_quantity").alias("value"), F.col("l_linestatus").alias("status"))
     r = t.lineitem.filter("l_returnflag = 'R'").select(
         F.lit("R").alias("slice"), "l_orderkey", F.col("l_extendedprice").alias("value"), F.lit("price").alias("mode"))
-    return stack([a, r])
+    n = t.lineitem.filter("l_returnflag is null or l_returnflag not in ('A', 'R')").select(
+        F.col("l_returnflag").alias("slice"), "l_orderkey", F.col("l_discount").alias("value"),
+        F.col("l_linestatus").alias("status"), F.lit("discount").alias("mode"))
+    return stack([a, r, n])
 
 
 @query("provenance_manifest", """
