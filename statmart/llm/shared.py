@@ -34,14 +34,17 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def join_on_hot_key(left: DataFrame, right: DataFrame, key: str, share: int = 1000) -> DataFrame:
+def join_on_hot_key(left: DataFrame, right: DataFrame, key: str, share: int = 1000, sizes: DataFrame | None = None) -> DataFrame:
     """Left join on one key of which any value may hold a third of ``left``; ``right`` has a key at most once.
 
     Keys with more than one ``share``-th of the left rows are at most ``share`` - 1 by counting, whatever the size: they
     are joined by broadcast. Every other key holds too few rows to burden a task and goes through an ordinary shuffle
-    join; rows without a key skip the join. ``left`` is evaluated three times: pass something written, or a scan.
+    join; rows without a key skip the join. ``left`` is evaluated more than once: pass something written, or a scan.
+    ``sizes``: rows of ``left`` per key (``key``, ``_n``) where they are known already.
     """
-    counts = checkpointed(left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n")))
+    if sizes is None:
+        sizes = left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    counts = checkpointed(sizes)
     total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
     hot = counts.filter(F.col("_n") * share > total).select(key)
     extra = [c for c in right.columns if c != key]

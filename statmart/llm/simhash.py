@@ -70,7 +70,7 @@ def linked_groups(run: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.nd
     parent = np.arange(n)
     left, apart = np.flatnonzero(run[1:] == run[:-1]), 1
     while left.size:
-        x = fp[left] ^ fp[left + apart]
+        x = (fp[left] ^ fp[left + apart]).view(np.uint64)      # signed numbers would be counted by absolute value
         shared = (x.view(np.uint8).reshape(-1, 8) == 0).sum(1)                      # tally of shared positional bytes
         hit = left[(shared >= 8 - max_bits) & (np.bitwise_count(x) <= max_bits)]    # count filter, then verification
         a, b = _find(parent, hit), _find(parent, hit + apart)
