@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators.lookups import code_list
 from ..plans import quality as q
@@ -378,19 +378,22 @@ REPORT_SQL = ", ".join([SCAN_SQL, KEYS_SQL, GRAIN_SQL, ORPHAN_SQL, BOUNDS_SQL, P
                         DATASET_SQL, VIEWS_SQL, UNMANAGED_SQL, LISTED_SQL, ACCEPTED_SQL])
 ALL_CHECKS = " UNION ALL ".join(f"SELECT * FROM {n}" for n in [
     "dq_scan", "dq_keys", "dq_grain", "dq_orphans", "dq_bounds", "dq_providers", "dq_units", "dq_countries", "dq_indicators",
-    "dq_frequencies", "dq_datasets", "dq_views", "dq_unmanaged", "dq_code_list", "dq_accepted"])
+    "dq_frequencies", "dq_datasets", "dq_views", "dq_unmanaged", "dq_code_list", "dq_accepted"]) \
+    + """ UNION ALL SELECT 'orders', 'broken check', 'ERROR', '-', '', 'ValueError: no such rule'"""
 
 
-def report_frame(t: Tables):
-    return q.results(t.spark, [q.Check("", f.__name__, lambda f=f: f(t)) for f in FRAMES])
+def broken_rule() -> DataFrame:
+    raise ValueError("no such rule")
+
+
+def suite(t: Tables) -> list[q.Check]:
+    """All checks, and one that cannot be evaluated: it must not stop the others."""
+    return [q.Check("", f.__name__, lambda f=f: f(t)) for f in FRAMES] + [q.Check("orders", "broken check", broken_rule)]
 
 
 @query("dq_report", f"WITH {REPORT_SQL} {ALL_CHECKS}")
 def dq_report(t):
-    from functools import reduce
-
-    from pyspark.sql import DataFrame
-    return q.problems_first(reduce(DataFrame.unionByName, [f(t) for f in FRAMES]))
+    return q.problems_first(q.run_checks(t.spark, suite(t)))
 
 
 @query("dq_tally", f"""
@@ -399,4 +402,4 @@ def dq_report(t):
         count(*) FILTER (status = 'FAIL') AS n_fail, count(*) FILTER (status = 'ERROR') AS n_error,
         count(*) FILTER (status IN ('FAIL', 'ERROR')) > 0 AS failed FROM r""")
 def dq_tally(t):
-    return q.tally(report_frame(t))
+    return q.tally(q.run_checks(t.spark, suite(t)))

@@ -416,13 +416,14 @@ def accepted_values(df: DataFrame, column: str, values: list[str]) -> DataFrame:
 class Check:
     table: str
     name: str
-    build: Callable[[], DataFrame]      # one outcome row, or several with their own ``check`` column
+    build: Callable[[], DataFrame]      # outcome rows, with a ``check`` or ``table`` of their own if they have one
 
 
 def _labelled(check: Check) -> DataFrame:
     df = check.build()
     name = F.col("check") if "check" in df.columns else F.lit(check.name)
-    return df.select(F.lit(check.table).alias("table"), name.alias("check"), "status", "observed", "expected", "detail")
+    table = F.col("table") if "table" in df.columns else F.lit(check.table)
+    return df.select(table.alias("table"), name.alias("check"), "status", "observed", "expected", "detail")
 
 
 def _error_row(check: Check, e: Exception) -> tuple:

@@ -1,8 +1,12 @@
-"""The release report: Italian lines built from release facts (one row per dataset)."""
+"""The release report: Italian lines built from release facts (one row per dataset).
+
+The Italian texts are fixed values: readers and tests know them word for word.
+"""
 
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -11,7 +15,7 @@ from ..functions.periods import FREQUENCY_ORDER, date_it, frequency_of, frequenc
     period_it, run_it
 from ..functions.strings import all_but_last, map_literal
 from ..operators.diff import runs
-from ..registry import DOMAINS
+from ..registry import DOMAINS, inline
 from ..session import checkpointed
 from .release import has_new
 
@@ -178,41 +182,28 @@ def report_lines(facts: DataFrame, labels: DataFrame, totals: DataFrame, month:
         return df.select(F.lit(section).alias("section"), (F.lit(position) + rank).alias("position"),
                          code.alias("dataset_code"), "line")
 
-    def fixed(df: DataFrame, section: int, lines: list[str], start: int) -> DataFrame:
-        """Constant lines, present only if ``df`` has rows."""
-        any_row = df.limit(1)
-        return any_row.select(F.lit(section).alias("section"), F.posexplode(
-            F.array(*[F.lit(x) for x in lines])).alias("_i", "line")).select(
-            "section", (F.col("_i") + start).alias("position"), F.lit("").alias("dataset_code"), "line")
-
-    new = new_period_lines(rows)
-    unprocessed = unprocessed_lines(rows, month)
-    issues = issue_lines(rows, month)
-    others = other_lines(rows)
-    any_issue = unprocessed.select("line").union(issues.select("line"))
+    # one line per dataset or domain: written once, since the headings depend on which sections have any
+    lines = checkpointed(reduce(DataFrame.unionByName, [
+        body(new_period_lines(rows), 20), body(unprocessed_lines(rows, month), 30, 10), body(issue_lines(rows, month), 30, 1000),
+        body(other_lines(rows), 40)]))
+    headings = inline(facts.sparkSession, [
+        (section, place, "", line) for section, top, bottom in (
+            (20, [SECTIONS["new"][1], ""], [""]), (30, [SECTIONS["issues"][1], ""], [""]),
+            (40, [SECTIONS["others"][1], "", *TABLE_HEAD], ["", TABLE_NOTE, ""]))
+        for start, texts in ((0, top), (9000, bottom)) for place, line in enumerate(texts, start)],
+        "section int, position int, dataset_code string, line string")
     sentence = summary_sentence(totals)
     text = F.lit(paragraph) if paragraph is not None else F.col("sentence")
-    head = sentence.select(F.lit(10).alias("section"), F.posexplode(F.array(
-        F.concat(F.lit(f"# {title}: "), month_year_it(F.col("month"))), F.lit(""), text, F.lit(""))
-    ).alias("position", "line")).select("section", "position", F.lit("").alias("dataset_code"), "line")
-    foot = totals.select(F.lit(90).alias("section"), F.posexplode(F.array(
-        F.lit("---"), F.lit(""), F.concat(
-            F.lit("_Generato automaticamente il "), date_it(F.lit(generated_on)),
-            F.lit(f" ({origin}). Il riepilogo descrive quali dati sono stati aggiornati e non riporta valori "
-                  "statistici._")))).alias("position", "line")).select(
-        "section", "position", F.lit("").alias("dataset_code"), "line")
-    frames = [
-        head, foot,
-        fixed(new, 20, [SECTIONS["new"][1], ""], 0), body(new, 20), fixed(new, 20, [""], 9000),
-        fixed(any_issue, 30, [SECTIONS["issues"][1], ""], 0), body(unprocessed, 30, 10), body(issues, 30, 1000),
-        fixed(any_issue, 30, [""], 9000),
-        fixed(others, 40, [SECTIONS["others"][1], "", *TABLE_HEAD], 0), body(others, 40),
-        fixed(others, 40, ["", TABLE_NOTE, ""], 9000),
-    ]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    frame = sentence.select(F.explode(F.array(*[
+        F.struct(F.lit(section).alias("section"), F.lit(place).alias("position"), F.lit("").alias("dataset_code"), line.alias("line"))
+        for section, texts in (
+            (10, [F.concat(F.lit(f"# {title}: "), month_year_it(F.col("month"))), F.lit(""), text, F.lit("")]),
+            (90, [F.lit("---"), F.lit(""), F.concat(
+                F.lit("_Generato automaticamente il "), date_it(F.lit(generated_on)),
+                F.lit(f" ({origin}). Il riepilogo descrive quali dati sono stati aggiornati e non riporta valori statistici._"))]))
+        for place, line in enumerate(texts)])).alias("l")).select("l.*")
+    return frame.unionByName(headings.join(lines.select("section").distinct(), "section", "left_semi").select(lines.columns)) \
+        .unionByName(lines)
 
 
 ORDER = ["section", "position", "dataset_code"]

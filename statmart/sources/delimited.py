@@ -39,7 +39,10 @@ def dataset_rows(df: DataFrame, dataset: Dataset) -> DataFrame:
     """The dataset's own filters: first year, accepted codes, constant columns."""
     out = df
     if dataset.start is not None and "time" in df.columns:
-        out = out.filter(leading_year(F.col("time").cast("string")) >= dataset.start)
+        # a label that begins with a year of at least the first one is not less than it as text either: the second
+        # condition follows from the first, and unlike it reaches the file's statistics
+        label = F.col("time").cast("string")
+        out = out.filter((leading_year(label) >= dataset.start) & (label >= str(dataset.start)))
     for column, codes in dataset.keep.items():
         if column in out.columns:
             out = out.filter(F.col(column).isin(codes))
