@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import checkpointed
 from .shared import whole_text
-from .vocabulary import SOLID, load
+from .vocabulary import END_OF_WORD, LOWER_WORDS, SOLID, WESTERN_BLANKS, byte_letters, load, merges_only
 
 GROUP = 2048              # pieces of a group, on average
 ISLANDS = 3
@@ -33,42 +33,65 @@ _BATCH = 4096             # unknown words that are encoded in one call
 
 
 class WordEncoder:
-    """Ids of a tokenizer that drops blanks, as little-endian 32-bit numbers, word by word.
+    """Ids of a tokenizer that lower-cases and drops blanks, as little-endian 32-bit numbers, word by word.
 
-    Such a tokenizer never looks across a blank, so a text's ids are those of its words one after the other. Words not
-    seen before go to the library in one string, apart from each other by a special token.
+    Such a tokenizer never looks across a word, so a text's ids are those of its words one after the other. Western
+    European text is split here by the tokenizer's own rule; words not seen before go through its merges only, many in
+    one call, and each ends at the id that carries the end-of-word mark. Any other text goes to the library in chunks
+    between blanks.
     """
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
+        self.merges = merges_only(path)
         self.special = [s.content for s in self.tokenizer.get_added_tokens_decoder().values()]
-        self.border = self.special[-1]
-        self.border_id = self.tokenizer.token_to_id(self.border)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(END_OF_WORD)]] = True
         self.known: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
 
     def learn(self, words: set[str]) -> None:
+        """Ids of words not known yet."""
         if len(self.known) + len(words) > CACHE:
             self.known.clear()
-        fresh = [w for w in words if w not in self.known]
-        odd = [w for w in fresh if any(s in w for s in self.special)]
-        plain = sorted(set(fresh).difference(odd))
-        for w in odd:
-            self.known[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
-        for i in range(0, len(plain), _BATCH):
-            part = plain[i:i + _BATCH]
-            ids = np.array(self.tokenizer.encode(self.border.join(part), add_special_tokens=False).ids, "<u4")
-            ends = np.r_[np.flatnonzero(ids == self.border_id), len(ids)]
+        fresh = list(words)
+        for i in range(0, len(fresh), _BATCH):
+            part = fresh[i:i + _BATCH]
+            spelled = " ".join([w if w.isascii() else byte_letters(w) for w in part])
+            ids = np.array(self.merges.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, "<u4")
             raw, begin = ids.tobytes(), 0
-            for w, end in zip(part, ends.tolist(), strict=True):
-                self.known[w] = raw[4 * begin:4 * end]
-                begin = end + 1
+            for w, end in zip(part, (4 * np.flatnonzero(self.ends[ids]) + 4).tolist(), strict=True):
+                self.known[w] = raw[begin:end]
+                begin = end
+
+    def chunk(self, chunk: str) -> bytes:
+        ids = self.chunks.get(chunk)
+        if ids is None:
+            ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+            if len(self.chunks) >= CACHE // 4:
+                self.chunks.clear()
+            if len(chunk) <= 64:
+                self.chunks[chunk] = ids
+        return ids
+
+    def words(self, text: str) -> list[str] | None:
+        """The words of a Western European text, None for any other."""
+        if not WESTERN_BLANKS.fullmatch(text) or any(s in text for s in self.special):
+            return None
+        return LOWER_WORDS.findall(text.lower())
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         for i in range(0, len(texts), 256):
-            words = [SOLID.findall(t) for t in texts[i:i + 256]]
-            self.learn(set().union(*words))
-            for w in words:
-                yield b"".join(map(self.known.__getitem__, w))
+            part = texts[i:i + 256]
+            words = [self.words(t) for t in part]
+            ids = [list(map(self.known.get, w)) if w is not None else None for w in words]
+            gaps = [[j for j, x in enumerate(x) if x is None] if x is not None and None in x else () for x in ids]
+            self.learn({w[j] for w, g in zip(words, gaps) for j in g})
+            for t, w, x, g in zip(part, words, ids, gaps):
+                for j in g:
+                    x[j] = self.known[w[j]]
+                yield b"".join(x) if x is not None else b"".join(map(self.chunk, SOLID.findall(t)))
 
 
 def pieces(df: DataFrame, path: str, limit: int = 2048, end_id: int = 0, id_col: str = "doc_id",

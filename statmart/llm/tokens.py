@@ -19,27 +19,19 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from .shared import from_text, whole_text
-from .vocabulary import BLANK, CHUNKS, PIECES, WESTERN, load
+from .vocabulary import BLANK, CHUNKS, PIECES, WESTERN, byte_alphabet, load
 
 CACHE = 1_000_000          # tables kept by a worker; beyond that it starts anew
 _LONG = 256               # chunks longer than this are not kept
 
 
-@functools.cache
-def _byte_letters() -> dict[str, int]:
-    """The letters a byte-level vocabulary writes for bytes: printable ones for themselves, the rest from U+0100 on."""
-    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
-    other = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
-
-
 class PrefixCounter:
     """Exact token counts at prefixes of strings, for one byte-level BPE file."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        letters = _byte_letters()
+        letters = {c: b for b, c in byte_alphabet().items()}
         raw = lambda s: bytes(letters[c] for c in s)
         self.vocabulary = {raw(t): i for t, i in spec["model"]["vocab"].items()}
         self.bytes_of = {i: t for t, i in self.vocabulary.items()}
