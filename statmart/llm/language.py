@@ -20,7 +20,8 @@ BUCKETS = 1 << 14
 GRAMS = (1, 2, 3)
 UNKNOWN = "und"
 PER_LANGUAGE = 1500       # labelled texts of a language that are learned from, at most
-MAX_LANGUAGES = 200
+MAX_LANGUAGES = 200       # the most frequent labels that can be learned
+MAX_TEXTS = 30_000        # of all languages together, evenly
 _STEP = 1 << 20           # letters handled at once
 
 _LETTERS: np.ndarray | None = None
@@ -93,6 +94,7 @@ def labelled_sample(df: DataFrame, allowed: Column, id_col: str, text: str, labe
     sizes = known.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "label").limit(MAX_LANGUAGES).collect()
     if not sizes:
         return pd.DataFrame({"label": [], "at": [], "n": []})
+    per_language = min(per_language, MAX_TEXTS // len(sizes))
     known = known.withColumn("draw", F.pmod(F.xxhash64("id", "text"), F.lit(1_000_000)))
     wanted = F.lit(False)
     for r in sizes:
@@ -105,8 +107,7 @@ def labelled_sample(df: DataFrame, allowed: Column, id_col: str, text: str, labe
 
     drawn = from_text(known.filter(wanted).select("label", "text"), "text", "at binary, n binary", lambda: answer, 128) \
         .filter(F.octet_length("at") > 0)
-    bound = per_language * len(sizes)
-    return drawn.orderBy(F.sha2(F.concat(F.col("at"), F.col("n")), 256), "label").limit(2 * bound).toPandas()
+    return drawn.orderBy(F.sha2(F.concat(F.col("at"), F.col("n")), 256), "label").limit(MAX_TEXTS).toPandas()
 
 
 def trained(sample: pd.DataFrame, width: int = 16, epochs: int = 12, rate: float = 0.5, seed: int = 5,
