@@ -8,8 +8,9 @@ from ..functions.strings import fold, map_literal
 from ..operators.dedup import collisions, keep_first, keep_last, resolve_priority, resolve_priority_located
 from ..operators.diff import expected_vs_present, orphans, parity, runs
 from ..operators.lookups import (ambiguous_keys, code_list, crosswalk_index, legal_forms, local_territory,
-                                 standard_territory, with_label)
-from ..registry import GENDER
+                                 standard_territory, territory, with_label)
+from ..plans.warehouse import year_rows
+from ..registry import GENDER, indicator_table, inline, slice_codes
 from .base import Tables, query
 
 # ---- three-pass territory lookup ----
@@ -256,3 +257,59 @@ def parity_report(t):
 def period_runs(t):
     months = t.orders.select("o_custkey", (F.year("o_orderdate").cast("bigint") * 12 + F.month("o_orderdate") - 1).alias("m"))
     return runs(months, ["o_custkey"], "m")
+
+
+# ---- registries joined to the tables ----
+
+@query("provider_dispatch", f"""
+    WITH {XWALK_SQL}, lines AS (SELECT l_orderkey, l_linenumber, 'IT' || CAST(l_suppkey % 9 AS VARCHAR) AS geo, lpad(CAST(l_suppkey % 100 AS VARCHAR), 3, '0') AS own,
+        l_returnflag FROM lineitem),
+    last AS (SELECT istat_code, max_by(coalesce(nuts_code, '?'), ord) AS nuts_code, max_by(nuts_level, ord) AS nuts_level FROM xwalk GROUP BY 1)
+    SELECT 'eurostat' AS provider, l_orderkey, l_linenumber, geo AS nuts_code, CAST(length(geo) - 2 AS BIGINT) AS nuts_level FROM lines WHERE l_returnflag = 'A'
+    UNION ALL SELECT 'istat', l_orderkey, l_linenumber, CASE WHEN last.nuts_code <> '?' THEN last.nuts_code END,
+        CASE WHEN last.nuts_code <> '?' THEN CAST(last.nuts_level AS BIGINT) END
+    FROM lines LEFT JOIN last ON own = istat_code WHERE l_returnflag IS DISTINCT FROM 'A'""")
+def provider_dispatch(t):
+    """Each provider's territory rule, chosen by its name."""
+    common = t.lineitem.filter("l_returnflag = 'A'").select(
+        "l_orderkey", "l_linenumber", F.concat(F.lit("IT"), (F.col("l_suppkey") % 9).cast("string")).alias("geo"))
+    own = t.lineitem.filter("l_returnflag is null or l_returnflag <> 'A'").select(
+        "l_orderkey", "l_linenumber", F.lpad((F.col("l_suppkey") % 100).cast("string"), 3, "0").alias("geo"))
+    index = crosswalk_index(supplier_crosswalk(t))
+    out = [territory(df, p, F.col("geo"), index).select(F.lit(p).alias("provider"), "l_orderkey", "l_linenumber", "nuts_code", "nuts_level")
+           for p, df in (("eurostat", common), ("istat", own))]
+    return out[0].unionByName(out[1])
+
+
+@query("year_dimension", """
+    SELECT y AS year, 'A' AS period_type, CAST(y AS VARCHAR) AS period_label, CAST(y AS VARCHAR) AS reference_period, count(o_orderkey) AS n_orders
+    FROM generate_series(1990, 2030) g(y) LEFT JOIN orders ON year(o_orderdate) = y GROUP BY 1""")
+def year_dimension(t):
+    """The generated year dimension with the orders of each year."""
+    used = t.orders.groupBy(F.year("o_orderdate").cast("bigint").alias("year")).agg(F.count("*").alias("n_orders"))
+    return year_rows(t.spark).join(used, "year", "left").withColumn("n_orders", F.coalesce("n_orders", F.lit(0)))
+
+
+_ACTIVITY = "['D35', 'E38', 'L68', 'M72', 'R90', 'T97', 'A02', 'TOTAL', 'C33', 'X00']"
+
+
+@query("activity_slices", f"""
+    SELECT CASE left(code, 1) WHEN 'D' THEN 'D_E' WHEN 'E' THEN 'D_E' WHEN 'L' THEN 'L_M_N' WHEN 'M' THEN 'L_M_N' WHEN 'R' THEN 'R_S_T_U'
+        WHEN 'T' THEN CASE code WHEN 'TOTAL' THEN 'TOTAL' ELSE 'R_S_T_U' END WHEN 'A' THEN 'A' WHEN 'C' THEN 'C' END AS slice, code, count(*) AS n_parts
+    FROM (SELECT {_ACTIVITY}[p_size % 10 + 1] AS code FROM part) GROUP BY 1, 2""")
+def activity_slices(t):
+    """In which slice each activity code is delivered."""
+    table = inline(t.spark, [(s, c) for s, codes in slice_codes().items() for c in codes], "slice string, code string")
+    code = F.get(F.expr(f"array({_ACTIVITY[1:-1]})"), (F.col("p_size") % 10).cast("int"))
+    return t.part.groupBy(code.alias("code")).agg(F.count("*").alias("n_parts")).join(table, "code", "left")
+
+
+@query("indicator_use", """
+    SELECT i.code AS indicator_code, i.label AS label_en, i.unit AS unit_default, i.domain, count(p_partkey) AS n_parts
+    FROM (VALUES ('n_employed', 'Employed persons', 'thousands_persons', 'social_economy', 0), ('labour_force', 'Labour force', 'thousands_persons', 'labour', 1),
+        ('neet_rate', 'NEET rate', 'percentage', 'labour', 2)) i(code, label, unit, domain, k) JOIN part ON p_size % 4 = k GROUP BY ALL""")
+def indicator_use(t):
+    """The registered indicators that rows name; rows with a code that is not registered fall out."""
+    code = F.get(F.array(*[F.lit(c) for c in ("n_employed", "labour_force", "neet_rate", "not_registered")]), (F.col("p_size") % 4).cast("int"))
+    used = t.part.groupBy(code.alias("indicator_code")).agg(F.count("*").alias("n_parts"))
+    return used.join(indicator_table(t.spark), "indicator_code").select("indicator_code", "label_en", "unit_default", "domain", "n_parts")

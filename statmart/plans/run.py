@@ -98,12 +98,18 @@ def flat_marts(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
             "labour": marts.labour(fact["fact_labour"], dims)}
 
 
+def code_lists(spark: SparkSession, layout: Layout) -> DataFrame | None:
+    """The code lists of the mappings folder, if there are any."""
+    fs, where = file_system(spark, f"{layout.seeds}/{mappings.CODE_LISTS}")
+    return layout.seed(spark, mappings.CODE_LISTS) if fs.exists(where) else None
+
+
 def publish_marts(spark: SparkSession, layout: Layout) -> int:
     """Write every mart as a table; the number of marts."""
     flat = flat_marts(spark, layout)
     tables = {**{f"mart_{name}": df for name, df in flat.items()},
               **{f"mart_{name}": mart.of(flat[mart.base]) for name, mart in marts.marts().items()},
-              **{f"mart_{name}_labelled": marts.labelled(df, name) for name, df in flat.items()}}
+              **{f"mart_{name}_labelled": marts.labelled(df, name, code_lists(spark, layout)) for name, df in flat.items()}}
     for name, df in tables.items():
         publish(df, layout.table(name))
     return len(tables)
