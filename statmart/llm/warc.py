@@ -23,19 +23,20 @@ CRLF, GAP = "\r\n", "\r\n\r\n"
 VERSION = "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"       # what conv() writes
 
 CAPTURES_PER_FILE = 20_000
 
 
 def base32_sha1(data: Column) -> Column:
-    """Upper-case base-32 SHA-1: five hexadecimal digits at a time are four letters."""
-    digest = F.sha1(data)
+    """Upper-case base-32 SHA-1."""
+    return base32(F.sha1(data))
 
-    def four(i: Column) -> Column:
-        number = F.conv(F.substring(digest, i * 5 + 1, F.lit(5)), 16, 10).cast("int")
-        return F.concat(*[F.substring(F.lit(BASE32), F.shiftright(number, s).bitwiseAND(31) + 1, F.lit(1)) for s in (15, 10, 5, 0)])
 
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), four), "")
+def base32(digest: Column) -> Column:
+    """40 hexadecimal digits in base 32: ten at a time are a number of eight digits, which then get their letters."""
+    digits = [F.lpad(F.conv(F.substring(digest, at, 10), 16, 32), 8, "0") for at in (1, 11, 21, 31)]
+    return F.translate(F.concat(*digits), DIGITS, BASE32)
 
 
 def _record_id(kind: str) -> Column:
@@ -46,7 +47,7 @@ def _record_id(kind: str) -> Column:
 
 
 def _record(kind: Column | str, record_id: Column, headers: list[tuple[str, Column]], body: Column) -> Column:
-    lines = [F.concat(F.lit(f"{n}: "), F.regexp_replace(v, "[\r\n]", " "), F.lit(CRLF)) for n, v in headers]
+    lines = [F.concat(F.lit(f"{n}: "), F.translate(v, "\r\n", "  "), F.lit(CRLF)) for n, v in headers]
     kind = F.lit(kind) if isinstance(kind, str) else kind
     return F.concat(
         F.lit(f"{VERSION}{CRLF}WARC-Type: "), kind, F.lit(f"{CRLF}WARC-Record-ID: "), record_id, F.lit(CRLF),
@@ -64,14 +65,13 @@ def prepared(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     payload = F.coalesce(F.col(html).cast("string"), F.lit(""))
     slim = pages.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"),
                         F.coalesce(F.col(url).cast("string"), F.lit("")).alias("url"), payload.alias("payload"))
-    known = slim.withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("payload_digest", base32_sha1(F.col("payload")))
-    firsts = (
-        known.filter(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest")
-        .agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row", "url")).alias("first"), F.count("*").alias("copies"))
-        .filter("copies > 1").select("payload_digest", "first")
-    )
-    return join_on_hot_key(known, checkpointed(firsts), "payload_digest").withColumn(
-        "first", F.when(F.col("payload_bytes") >= min_bytes, F.col("first")))
+    known = slim.withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("sha1", F.sha1("payload"))
+    copies = checkpointed(known.groupBy("sha1").agg(
+        F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row", "url")).alias("first"), F.count("*").alias("_n")))
+    firsts = copies.filter("_n > 1").select("sha1", "first")
+    return join_on_hot_key(known, firsts, "sha1", sizes=copies.select("sha1", "_n")).select(
+        "row", "key", "url", "payload", "payload_bytes", base32(F.col("sha1")).alias("payload_digest"),
+        F.when(F.col("payload_bytes") >= min_bytes, F.col("first")).alias("first"))
 
 
 def write_archives(pages: DataFrame, path: str, captures_per_file: int = CAPTURES_PER_FILE, **columns) -> None:
