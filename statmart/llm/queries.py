@@ -20,8 +20,8 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 def domain():
     """Documents carry no domain: sources are dealt into four by their number."""
-    number = F.try_to_number(F.regexp_extract(F.col("source"), "[0-9]+", 0), F.lit("999999999"))
-    return F.concat(F.lit("d"), (F.coalesce(number, F.lit(0)).cast("int") % 4).cast("string"))
+    number = F.regexp_extract(F.col("source"), "[0-9]+", 0).try_cast("int")
+    return F.concat(F.lit("d"), (F.coalesce(number, F.lit(0)) % 4).cast("string"))
 
 
 def op1_topk(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,7 +87,7 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = checkpointed(mixing.described(_read(spark, folder, "documents"), domain()))
-    return mixing.selection(docs.withColumn("row", F.col("doc").cast("long")), MIXTURE).select(
+    return mixing.selection(docs.withColumn("row", F.col("doc").try_cast("long")), MIXTURE).select(
         F.col("row").alias("doc_id"), "domain", "language", "source", "epoch", F.col("tokens").alias("n_tokens"),
         F.col("budget").alias("leaf_budget"))
 

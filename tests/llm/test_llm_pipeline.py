@@ -99,3 +99,46 @@ def test_query_answers_every_document(name, spark):
     df = queries.QUERIES[name](spark, FOLDER)
     want = {r["doc_id"] for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id").collect()}
     assert {r["doc_id"] for r in df.select("doc_id").collect()} == want
+
+
+ODD = [
+    (1, "the of and to in is was for on are with from at by be", "en", "src1", 53), (2, None, None, None, None), (None, "the of and", None, "src0", 10),
+    (3, "", "en", "src2", 0), (4, "?? 12 \n", "en", "src2", 7), (5, "x " * 60_000, "en", "src0", 120_000),
+    (6, "the of and to in is was for on are with from at by be", "en", "src1", 53), (7, "der die und", "de", "src3", 11),
+    (7, "der die und", "de", "src3", 11), (8, "token = Zk3v9QmW71xTb2Lp and the of and to in is", "en", None, 40),
+]
+
+
+def test_odd_rows_go_through_everything(spark, tmp_path):
+    """Nulls in any column, empty and long texts, copies, repeated rows, columns with names used inside."""
+    folder = str(tmp_path)
+    table = ODD + [(100 + i, f"the of and to {i} in is was {i * 7} for on are {i * 3} with from", "en", f"src{i % 9}", 40) for i in range(40)] \
+        + [(200 + i, f"der die und {i} das ist nicht {i * 5} ein von mit", "de", f"src{i % 9}", 40) for i in range(40)]
+    df = spark.createDataFrame([(*r, 1, "w", 2) for r in table],
+                               "doc_id long, text string, lang string, source string, n_chars long, row int, whole string, rank int")
+    df.repartition(3).write.parquet(f"{folder}/documents.parquet")
+    for name in ("op2_packing", "op3_secrets", "op5_language", "op6_simhash", "op8_tokens", "op9_quality", "op10_mixing"):
+        found = queries.QUERIES[name](spark, folder)
+        if name in queries.ORACLE_SQL or name == "op2_packing":
+            assert found.count() > 0
+        else:
+            assert found.count() == len(table)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, folder)
+        out.write.parquet(f"{folder}/{name}")
+        if name != "best_fit_packing":
+            assert out.columns == docs.columns
+        docs = spark.read.parquet(f"{folder}/{name}")
+    assert len({r["doc_id"] for r in docs.select("doc_id").collect()}) > 50
+
+
+def test_empty_tables(spark, tmp_path):
+    folder = str(tmp_path)
+    kinds = {"documents": "doc_id long, text string, lang string, source string, n_chars long", "pages": "page_id long, url string, html string",
+             "embeddings": "vec_id long, embedding array<float>, label int", "conversations": "conv_id long, turn long, role string, text string"}
+    for name, kind in kinds.items():
+        spark.createDataFrame([], kind).write.parquet(f"{folder}/{name}.parquet")
+    for name, q in queries.QUERIES.items():
+        assert q(spark, folder).count() == (1 if name == "op7_chat" else 0)
+    assert corpus_pipeline.run(spark, folder).count() == 0
