@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..operators.keys import contiguous_keys
 from ..session import checkpointed
 
 BLOCK = 4096              # candidates of a block
@@ -58,15 +59,13 @@ def rotation(vectors: DataFrame, width: int) -> np.ndarray:
 
 
 def blocks(vectors: DataFrame, size: int) -> DataFrame:
-    """``id``, ``v`` -> also ``norm2`` and ``block``: longest vectors first, at most ``size`` rows each.
+    """``id``, ``v`` -> also ``norm2`` and ``block`` (from 0): longest vectors first, ``size`` rows each.
 
-    The range partitions of the sort are cut one by one, so no task sees more than its own.
+    Places come from a parallel sort, so blocks are the same however the table is partitioned.
     """
     measured = vectors.withColumn("norm2", F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
-    ordered = measured.repartitionByRange(F.col("norm2").desc(), F.col("id")).sortWithinPartitions(F.col("norm2").desc(), F.col("id"))
-    placed = checkpointed(ordered)
-    file = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long")
-    return placed.select("id", "v", "norm2", (file * (1 << 24) + F.floor(F.col("_metadata.row_index") / size)).alias("block"))
+    placed = contiguous_keys(measured.withColumn("shorter", -F.col("norm2")), ["shorter", "id"], "place")
+    return placed.select("id", "v", "norm2", F.expr(f"(place - 1) div {size}").alias("block"))
 
 
 def search_cell(query_ids: np.ndarray, queries: np.ndarray, least: np.ndarray, ids: np.ndarray, vectors: np.ndarray,
@@ -159,7 +158,6 @@ def top_k(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
     candidates = checkpointed(blocks(table.select("id", "v"), BLOCK))
     asking = checkpointed(blocks(table.filter("asks").select("id", "v"), QUERY_BLOCK)).withColumnRenamed("block", "qb")
     sizes = checkpointed(candidates.groupBy("block").agg(F.max("norm2").alias("longest")))
-    ordered = checkpointed(sizes.withColumn("nr", F.row_number().over(Window.orderBy(F.col("longest").desc(), "block"))))
     work = _search(axes, k)
 
     def cells(met: DataFrame, query_side: DataFrame) -> DataFrame:
@@ -169,7 +167,7 @@ def top_k(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
         return q.unionByName(c).groupBy("qb", "block").applyInPandas(work, _FOUND)
 
     query_blocks = asking.select("qb").distinct()
-    seeds = query_blocks.withColumn("nr", F.lit(1)).join(ordered, "nr").select("qb", "block")
+    seeds = query_blocks.withColumn("block", F.lit(0).cast("long"))
     none = F.lit(float("-inf"))
     first = checkpointed(_best(cells(seeds, asking.withColumn("least", none)), k))
     known = first.groupBy("query_id").agg(F.min(F.when(F.col("rank") == k, F.col("score").cast("double"))).alias("least"))
@@ -177,10 +175,10 @@ def top_k(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
                          .withColumn("least", F.coalesce("least", none)))
     # a block is of use to a query block if its longest vector could still reach the k-th score of one of the queries
     needs = aware.groupBy("qb").agg(F.min(F.when(F.col("norm2") > 0, F.col("least") / F.sqrt("norm2")).otherwise(none)).alias("needs"))
-    last = sizes.count()
+    last = sizes.agg(F.coalesce(F.max("block"), F.lit(0))).first()[0]
     met = (
-        needs.select("qb", "needs", F.explode(F.sequence(F.lit(2), F.greatest(F.lit(last), F.lit(2)))).alias("nr"))
-        .join(ordered, "nr").filter(F.sqrt("longest") * (1 + 1e-9) >= F.col("needs")).select("qb", "block")
+        needs.select("qb", "needs", F.explode(F.sequence(F.lit(1).cast("long"), F.greatest(F.lit(last), F.lit(1)).cast("long"))).alias("block"))
+        .join(sizes, "block").filter(F.sqrt("longest") * (1 + 1e-9) >= F.col("needs")).select("qb", "block")
     )
     found = first.select("query_id", "vec_id", "score").unionByName(cells(checkpointed(met), aware))
     return _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
