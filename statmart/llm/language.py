@@ -21,7 +21,7 @@ GRAMS = (1, 2, 3)
 UNKNOWN = "und"
 PER_LANGUAGE = 1500       # labelled texts of a language that are learned from, at most
 MAX_LANGUAGES = 200       # the most frequent labels that can be learned
-MAX_TEXTS = 30_000        # of all languages together, evenly
+MAX_TEXTS = 8_000         # of all languages together, evenly; a text is at most BUCKETS pairs of numbers
 _STEP = 1 << 20           # letters handled at once
 
 _LETTERS: np.ndarray | None = None
@@ -111,7 +111,7 @@ def labelled_sample(df: DataFrame, allowed: Column, id_col: str, text: str, labe
 
 
 def trained(sample: pd.DataFrame, width: int = 16, epochs: int = 12, rate: float = 0.5, seed: int = 5,
-            lost: float = 0.001) -> LanguageModel | None:
+            lost: float = 0.0) -> LanguageModel | None:
     """Model from sparse counts; None without any. A fifth of the sample is held back for calibration.
 
     ``lost``: of held back texts with the right answer at most this share is rejected; the level is never above one half.
