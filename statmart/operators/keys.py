@@ -75,6 +75,10 @@ class KeyLookup:
             F.min(self.key).alias(self.key))
 
 
+def left_join(df: DataFrame, table: DataFrame, on: list[tuple[Column, str]]) -> DataFrame:
+    return df.join(table, reduce(and_, [k == F.col(c) for k, c in on]), "left")
+
+
 def left_join_spread(df: DataFrame, table: DataFrame, on: list[tuple[Column, str]], parts: int = 200) -> DataFrame:
     """Left join where many rows of ``df`` may lack the key.
 
@@ -94,14 +98,16 @@ def left_join_spread(df: DataFrame, table: DataFrame, on: list[tuple[Column, str
 def resolve_keys(df: DataFrame, lookups: list[KeyLookup], reason: str = "unresolved_key") -> DataFrame:
     """Attach every surrogate key by left join; ``reason`` names the first required key that was not found.
 
-    Joins carry no hint: Catalyst broadcasts a dimension it knows to be small, and splits skewed partitions of the
-    fact side otherwise.
+    Joins carry no hint: a lookup table is written first, so that Catalyst sees its size in bytes and broadcasts it if
+    it is small; otherwise rows without an optional key are spread and skewed partitions of the fact side are split.
     """
     out = df
     for lk in lookups:
-        table = lk.table()
+        table = checkpointed(lk.table())
         on = [(expr, f"_{lk.key}_{c}") for c, expr in lk.natural.items()]
-        out = left_join_spread(out, table, on).drop(*[f"_{lk.key}_{c}" for c in lk.natural])
+        # a required key is absent only from rows on their way to quarantine; an optional one may be from most rows
+        join = left_join if lk.required else left_join_spread
+        out = join(out, table, on).drop(*[f"_{lk.key}_{c}" for c in lk.natural])
     missing = F.lit(None).cast("string")
     for lk in reversed([x for x in lookups if x.required]):
         missing = F.when(F.col(lk.key).isNull(), F.lit(lk.key)).otherwise(missing)

@@ -8,6 +8,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from ..session import checkpointed
 from .align import column_or_null, enforce_schema
 from .dedup import keep_last
 from .keys import contiguous_keys, max_key
@@ -48,7 +49,7 @@ def numbered_inserts(existing: DataFrame, fresh: DataFrame, schema: StructType,
                      natural: list[str]) -> DataFrame:
     """Rows of ``fresh`` whose natural key is not known yet, numbered after the largest key in use."""
     unknown = fresh.join(existing.select(*natural), natural, "left_anti")
-    body = enforce_schema(unknown, StructType([f for f in schema if f.name != key]))
+    body = checkpointed(enforce_schema(unknown, StructType([f for f in schema if f.name != key])))   # the sort samples it
     return contiguous_keys(body, natural, key, after=max_key(existing, key)).select(*schema.names)
 
 

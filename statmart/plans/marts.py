@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.periods import frequency_of, ordinal_of
 from ..functions.strings import blank_to_null, fold
-from ..operators.keys import left_join_spread
+from ..operators.keys import left_join, left_join_spread
 from ..registry import HEADLINE_AGE
 
 
@@ -19,20 +19,22 @@ class Star:
     dimension: DataFrame
     key: str
     columns: dict[str, str]
+    optional: bool = False      # most facts may have no such key
 
 
 def flatten(fact: DataFrame, stars: list[Star], output: list[str]) -> DataFrame:
     """Left-join every dimension on its key and select the output columns.
 
     Only the key and the columns in use leave a dimension, and no join is hinted: dimensions Catalyst knows to be
-    small are broadcast, the others are shuffled once, with facts that lack the key spread over all tasks.
+    small are broadcast, the others are shuffled once, with facts that lack an optional key spread over all tasks.
     """
     out = fact
     for s in stars:
         side = s.dimension.select(F.col(s.key).alias(f"_{s.key}"),
                                   *[F.col(c).alias(n) for c, n in s.columns.items()])
         clash = [n for n in s.columns.values() if n in out.columns]
-        out = left_join_spread(out.drop(*clash), side, [(F.col(s.key), f"_{s.key}")]).drop(f"_{s.key}")
+        join = left_join_spread if s.optional else left_join
+        out = join(out.drop(*clash), side, [(F.col(s.key), f"_{s.key}")]).drop(f"_{s.key}")
     return out.select(*output)
 
 
@@ -66,7 +68,7 @@ def social_economy(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
         Star(dims["dim_indicator"], "indicator_key", _INDICATOR),
         Star(dims["dim_legal_form"], "legal_form_key", {
             "unified_category": "legal_form", "unified_category_en": "legal_form_en",
-            "ets_classification": "ets_classification"}),
+            "ets_classification": "ets_classification"}, optional=True),
     ], SOCIAL_ECONOMY)
 
 
