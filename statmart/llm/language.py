@@ -2,8 +2,9 @@
 
 A text is the mean of the embeddings of its hashed subwords (letter n-grams that know where a word begins and ends); a
 linear layer and a softmax make probabilities of it. Both are trained together by stochastic gradient descent on a
-bounded sample. A held back part of the sample calibrates the probabilities (one temperature) and sets the level below
-which an answer is rejected.
+bounded sample. A held back part of the sample calibrates the probabilities (one temperature) and sets the levels at
+which an answer is rejected: its probability is too low, or the subwords of the text are too surprising for the answer.
+A softmax shares out all probability among what it knows, so only the second tells a language that was never learned.
 """
 
 from __future__ import annotations
@@ -22,6 +23,9 @@ UNKNOWN = "und"
 PER_LANGUAGE = 1500       # labelled texts of a language that are learned from, at most
 MAX_LANGUAGES = 200       # the most frequent labels that can be learned
 MAX_TEXTS = 8_000         # of all languages together, evenly; a text is at most BUCKETS pairs of numbers
+BESIDE = 64               # a text is judged as if so many typical subwords stood beside it: few subwords prove little
+WEIGHT = 1000             # subwords a text counts for in its language's frequencies, at most
+LOST = 0.005              # share of held back texts with the right answer beyond each level
 _STEP = 1 << 20           # letters handled at once
 
 _LETTERS: np.ndarray | None = None
@@ -74,6 +78,8 @@ class LanguageModel:
     bias: np.ndarray
     temperature: float
     least: float               # scores below are rejected
+    surprise: np.ndarray       # bucket -> minus log frequency in each language, less the mean of the language
+    most: np.ndarray           # by language: texts of more excess surprise are rejected
 
     def probabilities(self, counts: np.ndarray) -> np.ndarray:
         """One row per text."""
@@ -82,6 +88,13 @@ class LanguageModel:
         e = np.exp(logits - logits.max(1, keepdims=True))
         return e / e.sum(1, keepdims=True)
 
+    def excess(self, counts: np.ndarray) -> np.ndarray:
+        """Excess surprise a subword in each language, one row per text; about 0 for texts of the language."""
+        return counts @ self.surprise / (counts.sum(1, keepdims=True) + BESIDE)
+
+    def rejects(self, language: int, score: float, excess: float) -> bool:
+        return bool(score < self.least or excess > self.most[language])
+
 
 def labelled_sample(df: DataFrame, allowed: Column, id_col: str, text: str, label: str, per_language: int) -> pd.DataFrame:
     """Subword counts of at most ``per_language`` texts of each label, drawn by a hash of id and label.
@@ -111,10 +124,15 @@ def labelled_sample(df: DataFrame, allowed: Column, id_col: str, text: str, labe
 
 
 def trained(sample: pd.DataFrame, width: int = 16, epochs: int = 12, rate: float = 0.5, seed: int = 5,
-            lost: float = 0.0) -> LanguageModel | None:
+            lost: float = LOST) -> LanguageModel | None:
     """Model from sparse counts; None without any. A fifth of the sample is held back for calibration.
 
-    ``lost``: of held back texts with the right answer at most this share is rejected; the level is never above one half.
+    The temperature has the least loss against targets that stay short of certainty, by the rule of succession: n texts
+    told right prove (n + 1) / (n + 2). The levels come from held back texts with the right answer. ``least`` is the
+    ``lost`` quantile of their scores, but never nearer to certainty than to a guess. ``most`` lies midway between the
+    1 - ``lost`` quantile of their excess in their own language and the ``lost`` quantile of their least excess in any
+    other one, which is how a language looks that was not learned (where there is no other: subwords no better than
+    guessed). A language whose own texts spread further has its own quantile, one without a held back text no level.
     """
     if not len(sample):
         return None
@@ -122,6 +140,7 @@ def trained(sample: pd.DataFrame, width: int = 16, epochs: int = 12, rate: float
     languages = sorted(set(sample["label"]))
     y = sample["label"].map({v: i for i, v in enumerate(languages)}).to_numpy()
     rows = [(np.frombuffer(a, "<u2"), np.frombuffer(n, "<f4")) for a, n in zip(sample["at"], sample["n"])]
+    sizes = np.array([n.sum() for _, n in rows], np.float64)
     rows = [(a, n / n.sum()) for a, n in rows]
     order = rng.permutation(len(rows))
     held = order[:len(rows) // 5]
@@ -144,23 +163,50 @@ def trained(sample: pd.DataFrame, width: int = 16, epochs: int = 12, rate: float
             bias -= now * p
             embedding[at] -= (now * len(at) ** 0.5) * np.outer(n, back)
             step += 1
-    model = LanguageModel(languages, (embedding @ layer).astype(np.float64), bias.astype(np.float64), 1.0, 0.0)
-    if not len(held) or len(languages) < 2:
+    often = np.full((BUCKETS, len(languages)), 0.5)
+    for i in used:
+        at, n = rows[i]
+        often[at, y[i]] += n * min(sizes[i], WEIGHT)
+    often /= often.sum(0)
+    surprise = -np.log(often)
+    surprise -= (often * surprise).sum(0)
+    model = LanguageModel(languages, (embedding @ layer).astype(np.float64), bias.astype(np.float64), 1.0, 0.0,
+                          surprise, np.full(len(languages), np.inf))
+    if not len(held):
         return model
     logits = np.array([n @ model.table[at] + model.bias for at, n in (rows[i] for i in held)])
     truth = y[held]
+    sure = (len(held) + 1) / (len(held) + 2)
 
     def loss(t: float) -> float:
         z = logits / t
         z = z - z.max(1, keepdims=True)
-        return float(np.mean(np.log(np.exp(z).sum(1)) - z[np.arange(len(z)), truth]))
+        logs = z - np.log(np.exp(z).sum(1, keepdims=True))
+        own = logs[np.arange(len(z)), truth]
+        return float(-np.mean(sure * own + (1 - sure) / (len(languages) - 1) * (logs.sum(1) - own)))
 
-    model.temperature = float(min(np.geomspace(0.02, 50, 120), key=loss))
+    if len(languages) > 1:
+        model.temperature = float(min(np.geomspace(0.02, 50, 120), key=loss))
     z = logits / model.temperature
     p = np.exp(z - z.max(1, keepdims=True))
     p /= p.sum(1, keepdims=True)
-    right = p.max(1)[p.argmax(1) == truth]
-    model.least = float(min(0.5, np.quantile(right, lost))) if len(right) else 0.0
+    right = p.argmax(1) == truth
+    if not right.any():
+        return model
+    if len(languages) > 1:
+        model.least = float(min((1 + 1 / len(languages)) / 2, np.quantile(p.max(1)[right], lost)))
+    excess = np.array([n @ surprise[at] * sizes[i] / (sizes[i] + BESIDE) for i in held[right] for at, n in [rows[i]]])
+    kind = truth[right]
+    own = excess[np.arange(len(kind)), kind]
+    if len(languages) > 1:
+        excess[np.arange(len(kind)), kind] = np.inf
+        foreign = np.quantile(excess.min(1), lost)
+    else:
+        foreign = np.log(BUCKETS) + (often * np.log(often)).sum()
+    inside = np.quantile(own, 1 - lost)
+    level = (inside + max(inside, foreign)) / 2
+    for k in np.unique(kind):
+        model.most[k] = max(level, np.quantile(own[kind == k], 1 - lost))
     return model
 
 
@@ -171,12 +217,15 @@ def predicted(df: DataFrame, model: LanguageModel | None, text: str = "text") ->
     but the text is looked at.
     """
     def answer(texts: list) -> list[list]:
-        names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        names, scores, rejected = [UNKNOWN] * len(texts), [0.0] * len(texts), [True] * len(texts)
         found = [(i, c) for i, t in enumerate(texts) if t and (c := subword_counts(t)) is not None] if model else []
         if found:
-            for (i, _), row in zip(found, model.probabilities(np.stack([c for _, c in found]))):
-                names[i], scores[i] = model.languages[int(row.argmax())], float(row.max())
-        return [names, scores, [n == UNKNOWN or s < model.least for n, s in zip(names, scores)]]
+            counts = np.stack([c for _, c in found]).astype(np.float64)
+            for (i, _), row, excess in zip(found, model.probabilities(counts), model.excess(counts)):
+                k = int(row.argmax())
+                names[i], scores[i] = model.languages[k], float(row[k])
+                rejected[i] = model.rejects(k, scores[i], excess[k])
+        return [names, scores, rejected]
 
     return from_text(df, text, "lang_pred string, score double, rejected boolean", lambda: answer, 128)
 

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 from hypothesis import given, settings, strategies as st
 
 from llm_tables import scan  # noqa: F401
@@ -93,3 +94,43 @@ def test_one_language_only(scan):
     table = [(i, text("xx", 9, random.Random(i)), "xx") for i in range(40)]
     got = language.identified(scan(table, "doc_id long, text string, lang string")).collect()
     assert {r["lang_pred"] for r in got} == {"xx"}
+
+
+def test_unlearned_languages_are_rejected_and_clean_held_back_texts_stay(scan):
+    """Two of three languages have labels, so a winning score is never below one half."""
+    table = corpus(600)
+    df = scan([(i, t, k if k != "zz" else None) for i, t, k in table], "doc_id long, text string, lang string")
+    rejected = {r["doc_id"]: r["rejected"] for r in language.identified(df).collect()}
+    strange = [i for i, _, k in table if k == "zz"]
+    clean = [i for i, _, k in table if k != "zz" and zlib.crc32(str(i).encode()) % 4 == 2]
+    assert np.mean([rejected[i] for i in strange]) >= 0.98
+    assert np.mean([rejected[i] for i in clean]) <= 0.02
+    kept = {r["doc_id"] for r in language.accepted(df).collect()}
+    assert kept == {i for i, _, _ in table if not rejected[i]}
+
+
+def sample_of(table):
+    counts = [language.subword_counts(t) for _, t, _ in table]
+    at = [np.flatnonzero(c) for c in counts]
+    return pd.DataFrame({"label": [k for *_, k in table], "at": [a.astype("<u2").tobytes() for a in at],
+                         "n": [c[a].astype("<f4").tobytes() for a, c in zip(at, counts)]})
+
+
+def test_levels_stay_off_saturation_and_one_unsure_text_does_not_set_them():
+    table = corpus(600)
+    model = language.trained(sample_of(table))
+    scores = model.probabilities(np.stack([language.subword_counts(t) for _, t, _ in table]).astype(float)).max(1)
+    assert model.temperature > 0.02 and scores.max() < 1 - 1e-9
+    mixed = [(1000 + i, " ".join(text(k, 9, random.Random(i)) for k in ("xx", "yy")), "xx") for i in range(2)]
+    again = language.trained(sample_of(table + mixed))
+    assert again.least > 0.6 and np.isfinite(again.most).all() and (again.most < 2 * model.most).all()
+
+
+def test_a_language_with_few_texts_is_not_rejected_for_that():
+    table = corpus(900)
+    rare = [(2000 + i, " ".join("".join(random.Random(i * 99 + j).choice(["pö", "lū", "ŋa"]) for _ in range(3)) for j in range(30)), "ww") for i in range(12)]
+    model = language.trained(sample_of(table + rare))
+    counts = np.stack([language.subword_counts(t) for _, t, _ in rare]).astype(float)
+    k = model.languages.index("ww")
+    assert (model.probabilities(counts).argmax(1) == k).all()
+    assert (model.excess(counts)[:, k] <= model.most[k]).mean() >= 0.8
