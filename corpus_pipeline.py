@@ -21,7 +21,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Live-looking credentials of one owner are masked; ``n_chars`` follows the text; no document goes."""
+    """Random-looking credentials of one or two owners are masked; ``n_chars`` follows the text; no document goes."""
     masked = secrets.redacted(docs, F.col("source"), F.col("source"))
     return masked.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)))
 

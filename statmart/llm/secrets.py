@@ -2,8 +2,8 @@
 
 A scan finds candidates by three fixed patterns. Over the whole corpus the hash of each candidate's value is aggregated
 by distinct repositories and distinct owners: a value that many owners have is a widely copied example; one that a
-single owner has and that looks random is a live-looking credential. The verdict comes back to every document as spans
-of the values themselves.
+single owner has and that looks random is a live-looking credential; one that a few owners have may have been copied with
+a document and is hidden like a live one. The verdict comes back to every document as spans of the values themselves.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ ASSIGN = re.compile(r"((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")        # maximal runs; shorter ones would be dropped
 LEAST = {"assign": 6, "access": 20}
-KINDS = ("assign", "access", "hex", "live", "shared")   # order at equal starts; the last two are added by ownership
+KINDS = ("assign", "access", "hex", "live", "shared", "few")   # order at equal starts; the last three are added by ownership
+HIDDEN = ("live", "few")                  # verdicts whose values are masked
 
 FOUND = "array<struct<kind:string,start:int,end:int,value_start:int,hash:string,random:boolean>>"
 
@@ -84,8 +85,9 @@ def classified(df: DataFrame, repo: Column, owner: Column, id_col: str = "doc_id
     """One row per input row: ``row``, the id, and ``found`` with ``repos``, ``owners`` and a ``verdict`` per candidate.
 
     ``shared``: at least ``example_owners`` owners have the value. ``live``: at most one owner has it and it looks
-    random. ``unclear``: the rest. Null or empty text: nothing found. Null owners and repositories count as none. Ids
-    may be null or repeated. ``df`` must be a scan of files; only the columns named are read.
+    random. ``few``: it looks random and has more owners than one, but too few for an example. ``unclear``: the rest.
+    Null or empty text: nothing found. Null owners and repositories count as none. Ids may be null or repeated. ``df``
+    must be a scan of files; only the columns named are read.
     """
     slim = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), repo.cast("string").alias("repo"),
                      owner.cast("string").alias("owner"), F.col(text).alias("text"))
@@ -94,7 +96,7 @@ def classified(df: DataFrame, repo: Column, owner: Column, id_col: str = "doc_id
     each = checkpointed(found.select("row", F.posexplode("found").alias("pos", "f")).select("row", "pos", "f", F.col("f.hash").alias("hash")))
     verdict = (
         F.when(F.col("owners") >= example_owners, "shared")
-        .when((F.col("owners") <= 1) & F.col("f.random"), "live").otherwise("unclear"))
+        .when((F.col("owners") <= 1) & F.col("f.random"), "live").when(F.col("f.random"), "few").otherwise("unclear"))
     judged = join_on_hot_key(each, known, "hash").select(
         "row", F.struct("pos", F.col("f.kind").alias("kind"), F.col("f.start").alias("start"), F.col("f.end").alias("end"),
                         F.col("f.value_start").alias("value_start"), "hash", "repos", "owners", verdict.alias("verdict")).alias("c"))
@@ -105,7 +107,7 @@ def classified(df: DataFrame, repo: Column, owner: Column, id_col: str = "doc_id
 
 
 def spans_of(found: Column) -> Column:
-    """All spans ``kind:start:end``: base candidates, and a span ``live`` or ``shared`` over each value so judged."""
+    """All spans ``kind:start:end``: base candidates, and a span ``live``, ``shared`` or ``few`` over each value so judged."""
     def placed(f: Column, kind: Column, start: Column) -> Column:
         order = F.array_position(F.lit(list(KINDS)), kind)
         return F.struct(start.alias("start"), order.alias("order"), f["end"].alias("end"), kind.alias("kind"))
@@ -122,13 +124,13 @@ def joined(spans: Column) -> Column:
 
 def redacted(df: DataFrame, repo: Column, owner: Column, id_col: str = "doc_id", text: str = "text",
              mark: str = "[secret]", example_owners: int = 3) -> DataFrame:
-    """``df`` with every live-looking value replaced by ``mark``; all rows, all columns, other texts as they are.
+    """``df`` with every value judged ``live`` or ``few`` replaced by ``mark``; all rows, all columns, other texts as they are.
 
     Examples that many owners share stay. Only rows with something to hide meet the spans by a join.
     """
     found = classified(df, repo, owner, id_col, text, example_owners)
-    live = checkpointed(found.select("row", F.transform(
-        F.filter("found", lambda f: f["verdict"] == "live"),
+    hide = checkpointed(found.select("row", F.transform(
+        F.filter("found", lambda f: f["verdict"].isin(*HIDDEN)),
         lambda f: F.struct(f["value_start"].alias("start"), f["end"].alias("end"))).alias("spans")).filter(F.size("spans") > 0))
     kind = df.schema[text].dataType.simpleString()
     whole = df.select(F.struct("*").alias("whole"), F.monotonically_increasing_id().alias("row"))
@@ -147,7 +149,7 @@ def redacted(df: DataFrame, repo: Column, owner: Column, id_col: str = "doc_id",
             s["start"] - F.coalesce(F.get("merged", i - 1)["end"], F.lit(0)))),
         F.array(F.substring(body, F.element_at("merged", -1)["end"] + 1, F.length(body))))
     hidden = (
-        whole.join(live, "row").withColumn("merged", merged)
+        whole.join(hide, "row").withColumn("merged", merged)
         .select(F.col("whole").withField(text, F.array_join(between, mark).cast(kind)).alias("whole"))
     )
-    return whole.join(live.select("row"), "row", "left_anti").select("whole").unionByName(hidden).select("whole.*")
+    return whole.join(hide.select("row"), "row", "left_anti").select("whole").unionByName(hidden).select("whole.*")

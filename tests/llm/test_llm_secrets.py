@@ -98,3 +98,18 @@ def test_a_value_in_a_third_of_all_documents(scan):
     got = found.select("doc_id", F.explode("found").alias("f")).groupBy("f.verdict").count().collect()
     got = {r["verdict"]: r["count"] for r in got}
     assert got["shared"] == 300 and sum(got.values()) == 900 and got["live"] > 300
+
+
+def test_a_random_value_of_two_owners_is_masked(scan):
+    """Two different documents of two owners; a third owner makes an example, and what is not random stays."""
+    table = [(1, f"first note token={LIVE} end", "r1", "o1"), (2, f"other words passwd: {LIVE}", "r2", "o2"),
+             (3, "secret=aaaaaaaaaaaaaaaaaaaa", "r1", "o1"), (4, "secret=aaaaaaaaaaaaaaaaaaaa", "r2", "o2"),
+             *((5 + i, f"{i} token=commonexample1", f"r{i}", f"o{i}") for i in range(3))]
+    df = scan(table, KIND)
+    found = secrets.classified(df, F.col("source"), F.col("org"))
+    verdict = {r["doc_id"]: r["f"]["verdict"] for r in found.select("doc_id", F.explode("found").alias("f")).collect()}
+    assert verdict == {1: "few", 2: "few", 3: "unclear", 4: "unclear", 5: "shared", 6: "shared", 7: "shared"}
+    spans = dict(rows(found.select("doc_id", secrets.joined(secrets.spans_of(F.col("found"))))))
+    assert spans[1] == "assign:11:33,few:17:33"
+    text = {r["doc_id"]: r["text"] for r in secrets.redacted(df, F.col("source"), F.col("org")).collect()}
+    assert text == {i: t for i, t, *_ in table} | {1: "first note token=[secret] end", 2: "other words passwd: [secret]"}
