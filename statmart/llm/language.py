@@ -25,6 +25,7 @@ MAX_LANGUAGES = 200       # the most frequent labels that can be learned
 MAX_TEXTS = 8_000         # of all languages together, evenly; a text is at most BUCKETS pairs of numbers
 BESIDE = 64               # a text is judged as if so many typical subwords stood beside it: few subwords prove little
 WEIGHT = 1000             # subwords a text counts for in its language's frequencies, at most
+SLACK = 0.5               # excess surprise that is never held against a text: quantiles of few held back texts are too tight
 LOST = 0.005              # share of held back texts with the right answer beyond each level
 _STEP = 1 << 20           # letters handled at once
 
@@ -206,7 +207,7 @@ def trained(sample: pd.DataFrame, width: int = 16, epochs: int = 12, rate: float
     inside = np.quantile(own, 1 - lost)
     level = (inside + max(inside, foreign)) / 2
     for k in np.unique(kind):
-        model.most[k] = max(level, np.quantile(own[kind == k], 1 - lost))
+        model.most[k] = max(SLACK, level, np.quantile(own[kind == k], 1 - lost))
     return model
 
 
