@@ -1,4 +1,4 @@
-"""The ten operators as queries over whole tables, with equivalent SQL where SQL can say it."""
+"""The dealt operators as queries over whole tables, with equivalent SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import checkpointed, shared_dir
-from . import chat, language, mixing, packing, quality, secrets, simhash, tokens, topk, warc
+from . import chat, hardneg, language, mixing, packing, quality, secrets, simhash, tokens, topk, warc
 from .vocabulary import tokenizer_path
 
 LIMIT = 2048
@@ -92,8 +92,13 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
         F.col("budget").alias("leaf_budget"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mined(_read(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 QUERIES = {f.__name__: f for f in (op1_topk, op2_packing, op3_secrets, op4_warc, op5_language, op6_simhash, op7_chat,
-                                   op8_tokens, op9_quality, op10_mixing)}
+                                   op8_tokens, op9_quality, op10_mixing, op11_hard_negatives)}
 
 _TOPK_SQL = """
 WITH good AS (
@@ -205,4 +210,28 @@ SELECT doc_id, domain, language, source, CAST(unnest(range(0, CAST(n AS BIGINT))
 FROM counted WHERE n > 0
 """
 
-ORACLE_SQL = {"op1_topk": _TOPK_SQL, "op4_warc": _WARC_SQL, "op7_chat": _CHAT_SQL, "op10_mixing": _MIX_SQL}
+_HARD_NEGATIVES_SQL = """
+WITH good AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+         CAST(list_inner_product(CAST(a.v AS DOUBLE[]), CAST(r.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM good a JOIN good r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+  SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS r
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+   AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(r AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE r <= 5
+"""
+
+ORACLE_SQL = {"op1_topk": _TOPK_SQL, "op4_warc": _WARC_SQL, "op7_chat": _CHAT_SQL, "op10_mixing": _MIX_SQL,
+              "op11_hard_negatives": _HARD_NEGATIVES_SQL}
