@@ -108,8 +108,9 @@ def _vectors(column: pa.Array, width: int) -> np.ndarray:
 class _Cell:
     """One block of anchors, and the best keys of the rows that have passed so far."""
 
-    def __init__(self, width: int, windows: Windows, wanted: bool):
-        self.width, self.windows, self.wanted = width, windows, wanted     # wanted: windows are known, negatives are sought
+    def __init__(self, width: int, windows: Windows, wanted: bool, step: int):
+        # wanted: windows are known, negatives are sought
+        self.width, self.windows, self.wanted, self.step = width, windows, wanted, step
         self.parts: list[tuple] = []
         self.ids = None
 
@@ -141,11 +142,11 @@ class _Cell:
                 return
             self._begin()
         codes = self.labels.get_indexer(labels)
-        for at in range(0, len(ids), _STEP):
-            part = at + np.argsort(ids[at:at + _STEP], kind="stable")
-            self._step(ids[part], vectors[part], codes[part])
+        for at in range(0, len(ids), self.step):
+            part = at + np.argsort(ids[at:at + self.step], kind="stable")
+            self._multiply(ids[part], vectors[part], codes[part])
 
-    def _step(self, ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray) -> None:
+    def _multiply(self, ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray) -> None:
         largest = float(np.abs(self.matrix).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * self.width
         kind = np.float64 if largest < 2 ** 53 else np.int64               # products of doubles are exact up to there
         score = (self.matrix.astype(kind) @ vectors.astype(kind).T).astype(np.int64)
@@ -190,7 +191,7 @@ class _Cell:
         return packed(self.ids[found[:, 0]], found[:, 1], NEGATIVE if self.wanted else POSITIVE, found[:, 2])
 
 
-def _stream(width: int, windows: Windows, wanted: bool):
+def _stream(width: int, windows: Windows, wanted: bool, step: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, now = None, None
         for batch in batches:
@@ -204,7 +205,7 @@ def _stream(width: int, windows: Windows, wanted: bool):
                 if cells[at] != now:
                     if cell is not None:
                         yield pa.RecordBatch.from_arrays([cell.keys()], names=["key"])
-                    cell, now = _Cell(width, windows, wanted), cells[at]
+                    cell, now = _Cell(width, windows, wanted, step), cells[at]
                 ids, labels = part.column("id").to_numpy(), part.column("label").to_pylist()
                 vectors = _vectors(part.column("v"), width)
                 if asks[at]:
@@ -262,7 +263,7 @@ def mined(df: DataFrame, is_anchor: Column, label: Column, windows: Windows = Wi
         return (
             cells.repartitionById(parts, F.pmod("cell", F.lit(parts)).cast("int"))
             .sortWithinPartitions("cell", F.col("asks").desc())            # the anchors of a cell come first
-            .mapInArrow(_stream(width, windows, wanted), "key binary")
+            .mapInArrow(_stream(width, windows, wanted, _STEP), "key binary")
         )
 
     anchors = table.filter("asks").select("id", "v", "label")

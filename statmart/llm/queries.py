@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import checkpointed, shared_dir
-from . import chat, hardneg, language, mixing, packing, quality, secrets, simhash, tokens, topk, warc
+from . import chat, hardneg, language, mixing, packing, quality, secrets, simhash, tokens, topk, trie, warc
 from .vocabulary import tokenizer_path
 
 LIMIT = 2048
@@ -97,8 +97,14 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hardneg.mined(_read(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    conv = F.col("conv")
+    return trie.prefix_trie(_read(spark, folder, "conversations"), donor=conv - conv % 20,
+                            borrowed=F.crc32(conv.cast("string").cast("binary")) % 4, most=3)
+
+
 QUERIES = {f.__name__: f for f in (op1_topk, op2_packing, op3_secrets, op4_warc, op5_language, op6_simhash, op7_chat,
-                                   op8_tokens, op9_quality, op10_mixing, op11_hard_negatives)}
+                                   op8_tokens, op9_quality, op10_mixing, op11_hard_negatives, op13_prefix_trie)}
 
 _TOPK_SQL = """
 WITH good AS (
@@ -233,5 +239,44 @@ WITH good AS (
 SELECT anchor_id, positive_id, CAST(r AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE r <= 5
 """
 
+# crc32 by its bits, as the SQL dialect has no function for it
+_TRIE_SQL = r"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS n
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT c, c - c % 20 AS donor, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda s, x: list_reduce(list_prepend(xor(s, x), CAST(range(8) AS BIGINT[])),
+      lambda b, i: CASE WHEN b & 1 = 1 THEN xor(b >> 1, 3988292384) ELSE b >> 1 END))) % 4 AS h
+  FROM (SELECT DISTINCT c FROM t)
+), lead AS (
+  SELECT convs.c, n AS d, role, text FROM convs JOIN t ON t.c = donor AND n <= h
+), rebuilt AS (
+  SELECT * FROM lead UNION ALL
+  SELECT t.c, n - h + (SELECT count(*) FROM lead WHERE lead.c = t.c), role, text FROM t JOIN convs USING (c) WHERE n > h
+), paths AS (
+  SELECT c, d, string_agg(sha256(role) || sha256(text), '') OVER (PARTITION BY c ORDER BY d) AS path,
+         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words, max(d) OVER (PARTITION BY c) = d AS ends
+  FROM rebuilt
+  UNION ALL SELECT c, 0, '', 0, c NOT IN (SELECT c FROM rebuilt) FROM convs
+), nodes AS (
+  SELECT path, min(c) AS conv_id, max(d) AS depth, count(*) AS n_convs, (count(*) - 1) * max(words) AS saved,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM paths GROUP BY path
+), families AS (
+  SELECT n.path, p.conv_id AS parent, n.depth > 0 AS below FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.path = left(n.path, 128 * (n.depth - 1))
+), children AS (
+  SELECT left(path, 128 * (depth - 1)) AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1
+), sums AS (
+  SELECT left(n.path, 128 * e) AS path, sum(CASE WHEN ch.n IS NULL THEN 1 ELSE 0 END) AS leaves, sum(saved) AS saved
+  FROM (SELECT *, unnest(range(0, CAST(depth AS BIGINT) + 1)) AS e FROM nodes) n LEFT JOIN children ch ON ch.path = n.path GROUP BY 1
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, f.parent AS parent_conv_id, n.n_convs, CAST(coalesce(ch.n, 0) AS BIGINT) AS n_children,
+       CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN families f USING (path) JOIN sums s USING (path) LEFT JOIN children ch USING (path)
+"""
+
 ORACLE_SQL = {"op1_topk": _TOPK_SQL, "op4_warc": _WARC_SQL, "op7_chat": _CHAT_SQL, "op10_mixing": _MIX_SQL,
-              "op11_hard_negatives": _HARD_NEGATIVES_SQL}
+              "op11_hard_negatives": _HARD_NEGATIVES_SQL, "op13_prefix_trie": _TRIE_SQL}
