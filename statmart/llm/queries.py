@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import checkpointed, shared_dir
-from . import chat, hardneg, language, mixing, packing, quality, secrets, simhash, tokens, topk, trie, warc
+from . import boosting, chat, hardneg, language, mixing, packing, quality, secrets, simhash, tokens, topk, trie, warc
 from .vocabulary import tokenizer_path
 
 LIMIT = 2048
@@ -97,6 +97,10 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hardneg.mined(_read(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
 
 
+def op12_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return boosting.scored(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
+
+
 def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     conv = F.col("conv")
     return trie.prefix_trie(_read(spark, folder, "conversations"), donor=conv - conv % 20,
@@ -104,7 +108,8 @@ def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_topk, op2_packing, op3_secrets, op4_warc, op5_language, op6_simhash, op7_chat,
-                                   op8_tokens, op9_quality, op10_mixing, op11_hard_negatives, op13_prefix_trie)}
+                                   op8_tokens, op9_quality, op10_mixing, op11_hard_negatives,
+                                   op12_quality_classifier, op13_prefix_trie)}
 
 _TOPK_SQL = """
 WITH good AS (
