@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import checkpointed
-from .shared import join_on_hot_key, whole_text, words_of
+from .shared import as_scan, join_on_hot_key, numbered, whole_text, words_of
 
 LEVELS = ("domain", "language", "source")
 NONE = "(none)"           # stands for a null level
@@ -138,18 +138,19 @@ def selection(docs: DataFrame, mixture: Mixture) -> DataFrame:
 def described(df: DataFrame, domain: Column, id_col: str = "doc_id", text: str = "text", language: str = "lang",
               source: str = "source") -> DataFrame:
     """The columns :func:`selection` needs. ``tokens`` are words. A null level is ``(none)``, a null id an empty text, a
-    null text has no tokens. ``df`` must be a scan of files."""
+    null text has no tokens."""
     named = lambda c: F.coalesce(c.cast("string"), F.lit(NONE))
-    return df.select(
-        F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("doc"),
+    return numbered(as_scan(df).select(
+        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("doc"),
         named(domain).alias("domain"), named(F.col(language)).alias("language"), named(F.col(source)).alias("source"),
-        F.size(words_of(whole_text(text))).cast("long").alias("tokens"))
+        F.size(words_of(whole_text(text))).cast("long").alias("tokens")), "row")
 
 
 def mixed(df: DataFrame, domain: Column, mixture: Mixture, **columns: str) -> DataFrame:
-    """The rows of ``df`` the mixture takes, once per epoch, with all their columns. ``df`` must be a scan of files."""
+    """The rows of ``df`` the mixture takes, once per epoch, with all their columns."""
+    df = as_scan(df)
     taken = selection(checkpointed(described(df, domain, **columns)), mixture).groupBy("row").agg(F.count("*").cast("int").alias("copies"))
-    whole = df.select(F.struct("*").alias("whole"), F.monotonically_increasing_id().alias("row"))
+    whole = numbered(df.select(F.struct("*").alias("whole")), "row")
     return (
         whole.join(taken, "row").select("whole", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
         .select("whole.*")

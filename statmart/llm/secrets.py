@@ -16,7 +16,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import checkpointed
-from .shared import from_text, join_on_hot_key
+from .shared import as_scan, from_text, join_on_hot_key, numbered
 
 # The base patterns, and the smallest lengths that count.
 ASSIGN = re.compile(r"((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]"
@@ -86,11 +86,11 @@ def classified(df: DataFrame, repo: Column, owner: Column, id_col: str = "doc_id
 
     ``shared``: at least ``example_owners`` owners have the value. ``live``: at most one owner has it and it looks
     random. ``few``: it looks random and has more owners than one, but too few for an example. ``unclear``: the rest.
-    Null or empty text: nothing found. Null owners and repositories count as none. Ids may be null or repeated. ``df``
-    must be a scan of files; only the columns named are read.
+    Null or empty text: nothing found. Null owners and repositories count as none. Ids may be null or repeated. Only the
+    columns named are read.
     """
-    slim = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), repo.cast("string").alias("repo"),
-                     owner.cast("string").alias("owner"), F.col(text).alias("text"))
+    slim = numbered(as_scan(df).select(F.col(id_col).alias("id"), repo.cast("string").alias("repo"),
+                                       owner.cast("string").alias("owner"), F.col(text).alias("text")), "row")
     found = checkpointed(candidates(slim))
     known = checkpointed(ownership(found))
     each = checkpointed(found.select("row", F.posexplode("found").alias("pos", "f")).select("row", "pos", "f", F.col("f.hash").alias("hash")))
@@ -128,12 +128,13 @@ def redacted(df: DataFrame, repo: Column, owner: Column, id_col: str = "doc_id",
 
     Examples that many owners share stay. Only rows with something to hide meet the spans by a join.
     """
+    df = as_scan(df)
     found = classified(df, repo, owner, id_col, text, example_owners)
     hide = checkpointed(found.select("row", F.transform(
         F.filter("found", lambda f: f["verdict"].isin(*HIDDEN)),
         lambda f: F.struct(f["value_start"].alias("start"), f["end"].alias("end"))).alias("spans")).filter(F.size("spans") > 0))
     kind = df.schema[text].dataType.simpleString()
-    whole = df.select(F.struct("*").alias("whole"), F.monotonically_increasing_id().alias("row"))
+    whole = numbered(df.select(F.struct("*").alias("whole")), "row")
     # merge overlapping spans, then take what lies between them
     merged = F.aggregate(
         F.sort_array("spans"), F.array().cast("array<struct<start:int,end:int>>"),

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -25,13 +26,39 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, f"[{BLANKS}]+"), "")
 
 
+_SCAN_KEEPS = ("Project", "Filter", "SubqueryAlias", "Relation", "LogicalRelation")   # nodes that neither repeat nor mix rows
+
+
+def as_scan(df: DataFrame) -> DataFrame:
+    """``df`` itself if each of its rows has a place in a file, else a written copy."""
+    node = df._jdf.queryExecution().analyzed()
+    while (name := node.nodeName().split()[0]) in _SCAN_KEEPS and node.children().size() == 1:
+        node = node.children().head()
+    if name in _SCAN_KEEPS:
+        try:
+            df.select(df.metadataColumn("_metadata")["row_index"])
+            return df
+        except AnalysisException:      # files whose rows have no number, such as lines of text
+            pass
+    return checkpointed(df)
+
+
 def numbered(df: DataFrame, name: str) -> DataFrame:
-    """``df`` with a row number that is unique but has gaps.
+    """``df``, a scan (see :func:`as_scan`), with a row number that is unique but has gaps.
 
-    It is the same in every evaluation as long as ``df`` is a plain scan of files (or a projection of one): partitions
-    follow from file sizes and settings, not from the columns read.
+    It is made of the number of the row's file, files in order of their paths, and the row's place in the file. So it is
+    the same in every evaluation, however the scan is split, which follows from the cores there are at that moment and
+    the columns read. The table of files has one row per file and is broadcast.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    place = df.metadataColumn("_metadata")
+    files = checkpointed(df.select(place["file_path"].alias("_file")).distinct()
+                         .withColumn("_number", F.row_number().over(Window.orderBy("_file"))))
+    return (
+        df.select("*", place["file_path"].alias("_file"), place["row_index"].alias("_at"))
+        .join(F.broadcast(files), "_file")
+        .withColumn(name, F.shiftleft(F.col("_number").cast("long"), 40).bitwiseOR(F.col("_at")))
+        .drop("_file", "_at", "_number")
+    )
 
 
 def join_on_hot_key(left: DataFrame, right: DataFrame, key: str, share: int = 1000, sizes: DataFrame | None = None) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import checkpointed
 from .components import components
-from .shared import from_text, join_on_hot_key, numbered
+from .shared import as_scan, from_text, join_on_hot_key, numbered
 
 FOURS = [c for c in itertools.combinations(range(8), 4) if c[0] ^ c[1] ^ c[2] ^ c[3] == 0]
 HOT_SHARE = 1000          # a posting with more than this share of all fingerprints is split by a fifth byte
@@ -152,7 +152,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
     repeat an id are rows of their own. Null, empty and blank texts have fingerprint 0 and link to each other and to any
     fingerprint of up to ``max_bits`` bits. Columns other than id and text are not read.
     """
-    slim = numbered(df.select(F.col(id_col).alias("id"), F.col(text).alias("text")), "row")
+    slim = numbered(as_scan(df).select(F.col(id_col).alias("id"), F.col(text).alias("text")), "row")
     marked = checkpointed(fingerprints(slim, "text", width))
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("least")
     distinct = checkpointed(marked.groupBy("fp").agg(least))
@@ -168,7 +168,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
 
 def without_near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 3,
                             max_bits: int = 3) -> DataFrame:
-    """The rows of ``df`` that stand for their group, with all their columns. ``df`` must be a scan of files."""
+    """The rows of ``df`` that stand for their group, with all their columns."""
+    df = as_scan(df)
     kept = near_duplicates(df, id_col, text, width, max_bits).filter("keeper").select(F.col("row").alias("kept"))
-    whole = df.select(F.struct("*").alias("whole"), F.monotonically_increasing_id().alias("row"))
+    whole = numbered(df.select(F.struct("*").alias("whole")), "row")
     return whole.join(kept, F.col("row") == F.col("kept"), "left_semi").select("whole.*")

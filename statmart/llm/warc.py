@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import checkpointed
-from .shared import join_on_hot_key
+from .shared import as_scan, join_on_hot_key, numbered
 
 # Fixed values of the format.
 CRLF, GAP = "\r\n", "\r\n\r\n"
@@ -60,11 +60,11 @@ def prepared(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
 
     ``row``, ``key``, ``url``, ``payload``, ``payload_bytes``, ``payload_digest``, ``first`` (the key and row of the
     response). Of equal payloads of at least ``min_bytes`` bytes the smallest key is the response (a null key comes last,
-    repeated keys go by row). Null html is empty. ``pages`` must be a scan of files.
+    repeated keys go by row). Null html is empty.
     """
     payload = F.coalesce(F.col(html).cast("string"), F.lit(""))
-    slim = pages.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"),
-                        F.coalesce(F.col(url).cast("string"), F.lit("")).alias("url"), payload.alias("payload"))
+    slim = numbered(as_scan(pages).select(
+        F.col(key).alias("key"), F.coalesce(F.col(url).cast("string"), F.lit("")).alias("url"), payload.alias("payload")), "row")
     known = slim.withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("sha1", F.sha1("payload"))
     copies = checkpointed(known.groupBy("sha1").agg(
         F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row", "url")).alias("first"), F.count("*").alias("_n")))
