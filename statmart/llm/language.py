@@ -13,16 +13,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import checkpointed
 from .shared import from_text
 
 BUCKETS = 1 << 14
 GRAMS = (1, 2, 3)
 UNKNOWN = "und"
 PER_LANGUAGE = 1500       # labelled texts of a language that are learned from, at most
-MAX_LANGUAGES = 200       # the most frequent labels that can be learned
-MAX_TEXTS = 8_000         # of all languages together, evenly; a text is at most BUCKETS pairs of numbers
+MAX_TEXTS = 8_000         # of all languages together, evenly, but at least one each; a text is at most BUCKETS pairs of numbers
 BESIDE = 64               # a text is judged as if so many typical subwords stood beside it: few subwords prove little
 WEIGHT = 1000             # subwords a text counts for in its language's frequencies, at most
 SLACK = 0.5               # excess surprise that is never held against a text: quantiles of few held back texts are too tight
@@ -97,31 +97,39 @@ class LanguageModel:
         return bool(score < self.least or excess > self.most[language])
 
 
+def share_drawn(draw: Column, wanted: Column, n: Column) -> Column:
+    """Whether a hash of 64 bits falls into the share ``wanted`` of ``n``: as a fraction, which no size rounds to nothing.
+
+    Twice the share and a few more, so that hardly any draw is short of ``wanted``; a rank takes away what is too much.
+    """
+    return F.shiftrightunsigned(draw, 1).cast("double") / F.lit(float(1 << 63)) < (2 * wanted + 8) / n.cast("double")
+
+
 def labelled_sample(df: DataFrame, allowed: Column, id_col: str, text: str, label: str, per_language: int) -> pd.DataFrame:
-    """Subword counts of at most ``per_language`` texts of each label, drawn by a hash of id and label.
+    """Subword counts of at most ``per_language`` texts of each label, drawn by a hash of id and text.
 
-    Counts per label say which share of its rows to draw; a task turns drawn texts into sparse counts, so what reaches
-    the driver is bounded by the number of texts times the number of buckets, however long the texts are.
+    Every label that has a row is learned: ``MAX_TEXTS`` is shared out evenly, with one text each at least. Counts per
+    label say which share of its rows to draw; a task turns drawn texts into sparse counts, so what reaches the driver is
+    bounded by the number of texts times the number of buckets, however long the texts are.
     """
     known = df.filter(allowed & F.col(label).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(id_col).cast("string").alias("id"), F.col(text).cast("string").alias("text"), F.col(label).cast("string").alias("label"))
-    sizes = known.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "label").limit(MAX_LANGUAGES).collect()
-    if not sizes:
-        return pd.DataFrame({"label": [], "at": [], "n": []})
-    per_language = min(per_language, MAX_TEXTS // len(sizes))
-    known = known.withColumn("draw", F.pmod(F.xxhash64("id", "text"), F.lit(1_000_000)))
-    wanted = F.lit(False)
-    for r in sizes:
-        wanted = wanted | ((F.col("label") == r["label"]) & (F.col("draw") < int(min(1.0, per_language / r["n"]) * 1_000_000)))
+        F.xxhash64(F.col(id_col).cast("string"), F.col(text).cast("string")).alias("draw"),
+        F.col(text).cast("string").alias("text"), F.col(label).cast("string").alias("label"))
+    sizes = checkpointed(known.groupBy("label").agg(F.count("*").alias("n")))
+    wanted = min(per_language, max(1, MAX_TEXTS // max(1, sizes.count())))
 
     def answer(texts: list) -> list[list]:
         counts = [c if (c := subword_counts(t)) is not None else np.zeros(BUCKETS, np.int64) for t in texts]
         at = [np.flatnonzero(c) for c in counts]
         return [[a.astype("<u2").tobytes() for a in at], [c[a].astype("<f4").tobytes() for a, c in zip(at, counts)]]
 
-    drawn = from_text(known.filter(wanted).select("label", "text"), "text", "at binary, n binary", lambda: answer, 128) \
-        .filter(F.octet_length("at") > 0)
-    return drawn.orderBy(F.sha2(F.concat(F.col("at"), F.col("n")), 256), "label").limit(MAX_TEXTS).toPandas()
+    # repeated rows share a draw and count once, so that they cannot swell it; ranks are over the few rows drawn
+    drawn = known.join(sizes, "label").filter(share_drawn(F.col("draw"), F.lit(wanted), F.col("n"))) \
+        .groupBy("label", "draw").agg(F.first("text").alias("text"))
+    counted = from_text(drawn, "text", "at binary, n binary", lambda: answer, 128).filter(F.octet_length("at") > 0)
+    rank = F.row_number().over(Window.partitionBy("label").orderBy("draw"))
+    sample = counted.withColumn("rank", rank).filter(F.col("rank") <= wanted).select("label", "draw", "at", "n").toPandas()
+    return sample.sort_values(["draw", "label"], kind="stable", ignore_index=True)
 
 
 def trained(sample: pd.DataFrame, width: int = 16, epochs: int = 12, rate: float = 0.5, seed: int = 5,
@@ -144,8 +152,10 @@ def trained(sample: pd.DataFrame, width: int = 16, epochs: int = 12, rate: float
     sizes = np.array([n.sum() for _, n in rows], np.float64)
     rows = [(a, n / n.sum()) for a, n in rows]
     order = rng.permutation(len(rows))
-    held = order[:len(rows) // 5]
-    used = order[len(rows) // 5:]
+    first = np.zeros(len(rows), bool)                      # one text of each language is never held back
+    first[order[np.unique(y[order], return_index=True)[1]]] = True
+    held, rest = np.split(order[~first[order]], [len(rows) // 5])
+    used = np.concatenate([order[first[order]], rest])
     embedding = rng.normal(0, 1 / np.sqrt(width), (BUCKETS, width)).astype(np.float32)
     layer = np.zeros((width, len(languages)), np.float32)
     bias = np.zeros(len(languages), np.float32)

@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from llm_tables import scan  # noqa: F401
 from statmart.llm import language
@@ -134,3 +135,24 @@ def test_a_language_with_few_texts_is_not_rejected_for_that():
     k = model.languages.index("ww")
     assert (model.probabilities(counts).argmax(1) == k).all()
     assert (model.excess(counts)[:, k] <= model.most[k]).mean() >= 0.8
+
+
+def test_the_draw_is_bounded_and_never_rounds_to_nothing(spark):
+    table = spark.range(200_000).select(F.xxhash64("id").alias("draw"))
+    for n, most in ((200_000, 2.2 * 1500 + 200), (10_000_000_000, 10), (100, 200_000)):
+        drawn = table.filter(language.share_drawn(F.col("draw"), F.lit(1500), F.lit(n))).count()
+        assert min(1500, 200_000 * 1500 / n) * 1.5 - 10 < drawn <= most
+    # of ten billion rows the share drawn is still more than what is wanted
+    smallest = spark.range(1).select(F.lit(int(2 ** 64 * 1500 / 10 ** 10)).cast("long").alias("draw"))
+    assert smallest.filter(language.share_drawn(F.col("draw"), F.lit(1500), F.lit(10_000_000_000))).count() == 1
+
+
+def test_many_labels_are_all_learned(scan):
+    table = [(i, text("xx", 5, random.Random(i)), f"l{i % 300}") for i in range(2000)] + [(1, "ba ba", "l1")] * 300
+    sample = language.labelled_sample(scan(table, "doc_id long, text string, lang string"), F.lit(True), "doc_id", "text", "lang", 1500)
+    often = Counter(sample["label"])
+    assert len(often) == 300 and max(often.values()) <= language.MAX_TEXTS // 300
+    few = language.labelled_sample(scan(table, "doc_id long, text string, lang string"), F.lit(True), "doc_id", "text", "lang", 2)
+    assert set(Counter(few["label"]).values()) == {2}
+    rare = sample_of([(0, "ba do", "a"), *[(i, text("yy", 9, random.Random(i)), "b") for i in range(1, 9)]])
+    assert language.trained(rare).languages == ["a", "b"]
