@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.periods import any_year
@@ -10,7 +12,9 @@ from ..registry import Dataset, RENAME
 from ..schemas import ddl
 from ..sources.cubes import cube_problems, decode_cubes
 from ..sources.delimited import dataset_rows, observations
+from ..session import shared_dir
 from ..sources.landing import manifest, missing_datasets, with_provenance
+from ..sources.layers import PartitionedMonths
 from ..sources.snapshots import metadata_columns, newest, newest_rows
 from .base import Tables, query
 
@@ -46,6 +50,34 @@ def metadata_scan(t):
     return meta.groupBy(*meta.columns).agg(F.count("*").alias("n_rows"))
 
 
+def order_layer(t: Tables) -> PartitionedMonths:
+    """Orders as a layer of datasets (priorities) and months; then one month of two datasets is delivered again, dearer."""
+    layer = PartitionedMonths(t.spark, f"{shared_dir(t.spark).rstrip('/')}/layer-{uuid.uuid4().hex}")
+    rows = monthly_orders(t).select("o_orderkey", F.col("o_orderpriority").alias("dataset_code"), "o_totalprice", "month")
+    layer.write_all(rows)
+    again = rows.filter("month = '1998-03' AND o_orderkey % 3 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    for name in ("1-URGENT", "5-LOW"):
+        layer.write(again.filter(F.col("dataset_code") == name).drop("month"), name, "1998-03", [])
+    return layer
+
+
+_LAYER_SQL = """WITH o AS (SELECT o_orderkey, o_orderpriority AS name, o_totalprice, strftime(o_orderdate, '%Y-%m') AS month FROM orders),
+    now AS (SELECT o_orderkey, name, month, CASE WHEN month = '1998-03' AND name IN ('1-URGENT', '5-LOW') AND o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS price
+        FROM o WHERE NOT (month = '1998-03' AND name IN ('1-URGENT', '5-LOW') AND o_orderkey % 3 <> 0
+            AND EXISTS (SELECT 1 FROM o p WHERE p.name = o.name AND p.month = '1998-03' AND p.o_orderkey % 3 = 0)))"""
+
+
+@query("layer_profile", f"{_LAYER_SQL} SELECT name, month, count(*) AS n_rows FROM now GROUP BY 1, 2")
+def layer_profile(t):
+    return order_layer(t).profile()
+
+
+@query("layer_newest", f"""{_LAYER_SQL} SELECT o_orderkey, name AS dataset_code, month, price AS o_totalprice FROM now
+    WHERE (name, month) IN (SELECT (name, max(month)) FROM now WHERE month < '1998-04' GROUP BY name)""")
+def layer_newest(t):
+    return order_layer(t).read_newest(ddl("o_orderkey bigint, o_totalprice double"), before="1998-04")
+
+
 def delimited_lines(t: Tables) -> DataFrame:
     """Line items as a delimited file would give them: odd headers, all text, some values that are not numbers."""
     value = F.expr("""case when l_linenumber = 1 then '-' when l_linenumber = 2 then '1d'

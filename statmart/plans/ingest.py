@@ -11,11 +11,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..registry import Dataset, Domain, inline
+from ..schemas import RAW_METADATA
 from ..session import checkpointed, file_system, scratch
 from ..sources.cubes import cube_problems, decode_cubes, read_cube_files
 from ..sources.delimited import dataset_rows, read_delimited
-from ..sources.landing import land_snapshot, manifest, with_provenance
-from ..sources.snapshots import snapshot_path
+from ..sources.landing import with_provenance
+from ..sources.layers import MonthFiles, Months
 
 MANIFEST = "dataset_code string, row_count bigint, extracted_at timestamp, source_id string, description string"
 
@@ -29,15 +30,17 @@ def responses(spark: SparkSession, folder: str, dataset: Dataset) -> tuple[DataF
     return dataset_rows(read_delimited(spark, folder, dataset.domain), dataset), None
 
 
-def ingest(spark: SparkSession, landed: str, raw: str, domain: Domain, month: str, extracted_at: datetime) -> dict[str, int]:
+def ingest(spark: SparkSession, landed: str, raw: str, domain: Domain, month: str, extracted_at: datetime,
+           layer: Months | None = None) -> dict[str, int]:
     """Write the raw snapshot of every registered dataset of a domain, and the month's manifest beside them.
 
     Datasets stand alone: one that is absent, empty or unreadable stops no other. They, and slices that could not be
     decoded, are named in one error after everything else has been written. Returns rows per dataset.
     """
-    counts: dict[str, int] = {}
+    written: dict[str, dict] = {}
     problems: list[str] = []
     root = f"{raw}/{domain.name}"
+    layer = layer or MonthFiles(spark, root)
     for dataset in domain.datasets:
         folder = f"{landed}/{domain.name}/{dataset.code}"
         fs, where = file_system(spark, folder)
@@ -50,25 +53,23 @@ def ingest(spark: SparkSession, landed: str, raw: str, domain: Domain, month: st
                 if "value" not in rows.columns:
                     raise ValueError("no column 'value'")
                 stamped = checkpointed(with_provenance(rows, dataset.provider, dataset.code, extracted_at))
-                counts[dataset.code] = land_snapshot(stamped, root, dataset.code, month)
+                written[dataset.code] = layer.write(stamped, dataset.code, month, RAW_METADATA)
                 if broken is not None:
                     # one short line per slice file that is broken; slices per dataset are bounded by its registry entry
                     problems += [f"{dataset.code}: {r['source']}: {r['problem']}" for r in broken.orderBy("source").collect()]
-            if not counts[dataset.code]:
+            if not written[dataset.code]["n_rows"]:
                 problems.append(f"{dataset.code}: no observations")
         except Exception as e:  # noqa: BLE001  named below, after the others
             problems.append(f"{dataset.code}: {type(e).__name__}: {e}")
-    write_manifest(spark, root, domain, month, [c for c, n in counts.items() if n])
+    write_manifest(spark, f"{root}/manifest_{month}.json" if isinstance(layer, MonthFiles) else f"{raw}/manifests/{domain.name}_{month}.json",
+                   domain, written)
     if problems:
         raise RuntimeError("; ".join(problems))
-    return counts
+    return {code: w["n_rows"] for code, w in written.items()}
 
 
-def write_manifest(spark: SparkSession, root: str, domain: Domain, month: str, codes: list[str]) -> None:
-    """Row count and extraction time of every dataset written this month, read from what lies there."""
-    lines = inline(spark, [], MANIFEST)
-    by_code = {d.code: d for d in domain.datasets}
-    for code in codes:
-        written = spark.read.parquet(snapshot_path(root, code, month)).select("dataset_code", "extracted_at")
-        lines = lines.unionByName(manifest(written, source_id=by_code[code].provider, description=by_code[code].description))
-    lines.coalesce(1).write.mode("overwrite").json(f"{root}/manifest_{month}.json")
+def write_manifest(spark: SparkSession, path: str, domain: Domain, written: dict[str, dict]) -> None:
+    """Row count and extraction time of every dataset written this month, as the jobs that wrote them have seen them."""
+    lines = [(d.code, w["n_rows"], w["extracted_at"], d.provider, d.description)
+             for d in domain.datasets if (w := written.get(d.code)) and w["n_rows"]]
+    inline(spark, lines, MANIFEST).coalesce(1).write.mode("overwrite").json(path)

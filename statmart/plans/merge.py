@@ -20,7 +20,7 @@ from ..registry import (GENDER, GENDER_COLUMNS, GEO_COLUMNS, LEGAL_FORM_COLUMNS,
                         UNKNOWN_INDICATOR, UNKNOWN_UNIT, Dataset, Domain, dataset_table)
 from ..schemas import PROCESSED
 from ..sources.delimited import dataset_rows
-from ..sources.snapshots import latest_paths
+from ..sources.layers import MonthFiles, Months
 
 ROW_ID = "_row"   # file and position of a landed row
 
@@ -163,17 +163,18 @@ def finished(rows: DataFrame, domain: Domain) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, root: str, domain: Domain, before: str | None = None,
-             failed: dict[str, str] | None = None) -> dict[str, DataFrame]:
+             failed: dict[str, str] | None = None, layer: Months | None = None) -> dict[str, DataFrame]:
     """Newest landed snapshot of every registered dataset of a domain, each row with its file and position.
 
     A snapshot that cannot be opened is noted in ``failed`` and left out, so that the other datasets go on.
     """
-    paths = latest_paths(spark, f"{root}/{domain.name}", [d.code for d in domain.datasets], before)
+    layer = layer or MonthFiles(spark, f"{root}/{domain.name}")
+    months = layer.newest([d.code for d in domain.datasets], before)
     position = F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
     frames = {}
-    for code, path in sorted(paths.items()):
+    for code, month in sorted(months.items()):
         try:
-            found = spark.read.parquet(path)
+            found = layer.open(code, month)
             if "value" not in found.columns:
                 raise ValueError("no column 'value'")
             frames[code] = found.withColumn(ROW_ID, position)

@@ -9,11 +9,12 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..registry import DOMAINS, MIN_DIMENSION_ROWS, Domain, dataset_table, inline, select_domains
-from ..schemas import DIMENSIONS, FACTS
+from ..schemas import DIMENSIONS, FACTS, RAW_METADATA
 from ..session import checkpointed, file_system, scratch
 from ..sources import mappings
-from ..sources.landing import append_load_log, create_if_absent, land_snapshot, publish, write_lines, write_run_log
-from ..sources.snapshots import latest_paths, list_snapshots, open_or_empty, snapshot_path
+from ..sources.landing import append_load_log, create_if_absent, publish, write_lines, write_run_log
+from ..sources.layers import MonthFiles, Months, PartitionedMonths
+from ..sources.snapshots import open_or_empty
 from . import marts, quality, release, report, warehouse
 from .ingest import ingest
 from .merge import merge_domain, merge_reports, read_raw
@@ -22,12 +23,21 @@ log = logging.getLogger("statmart")
 
 
 class Layout:
-    """Where the layers live below one root."""
+    """Where the layers live below one root. ``partitioned``: the raw and the processed layer are one table per domain,
+    partitioned by dataset and month, or by month; otherwise there is a file (or folder) per snapshot."""
 
-    def __init__(self, root: str, seeds: str):
-        self.root, self.seeds = root.rstrip("/"), seeds.rstrip("/")
+    def __init__(self, root: str, seeds: str, partitioned: bool = False):
+        self.root, self.seeds, self.partitioned = root.rstrip("/"), seeds.rstrip("/"), partitioned
         self.raw, self.processed = f"{self.root}/raw", f"{self.root}/processed"
 
+    def raw_layer(self, spark: SparkSession, domain: Domain) -> Months:
+        root = f"{self.raw}/{domain.name}"
+        return PartitionedMonths(spark, root) if self.partitioned else MonthFiles(spark, root)
+
+    def processed_layer(self, spark: SparkSession, domain: Domain) -> Months:
+        root = f"{self.processed}/{domain.name}"
+        return PartitionedMonths(spark, root, domain.name) if self.partitioned else MonthFiles(spark, root)
+
     def table(self, name: str) -> str:
         return f"{self.root}/warehouse/{name}"
 
@@ -41,17 +51,18 @@ def process(spark: SparkSession, layout: Layout, domain: Domain, month: str) ->
     Datasets that could not be opened are raised by name after the others have been written.
     """
     failed: dict[str, str] = {}
-    raw = read_raw(spark, layout.raw, domain, failed=failed)
+    raw = read_raw(spark, layout.raw, domain, failed=failed, layer=layout.raw_layer(spark, domain))
     absent = [d.code for d in domain.datasets if d.code not in raw and d.code not in failed]
     if absent:
         log.warning("%s: no landed snapshot of %s", domain.name, ", ".join(absent))
     merged = merge_domain(
         domain, raw, layout.seed(spark, mappings.CROSSWALK),
         layout.seed(spark, mappings.LEGAL_FORMS), layout.seed(spark, mappings.ACTIVITIES))
-    n = land_snapshot(merged, f"{layout.processed}/{domain.name}", domain.name, month)
+    layer = layout.processed_layer(spark, domain)
+    n = layer.write(merged, domain.name, month, RAW_METADATA)["n_rows"]
     if n:
-        for name, df in merge_reports(domain, raw, spark.read.parquet(
-                snapshot_path(f"{layout.processed}/{domain.name}", domain.name, month)),
+        for name, df in merge_reports(
+                domain, raw, layer.open(domain.name, month),
                 layout.seed(spark, mappings.CROSSWALK), layout.seed(spark, mappings.LEGAL_FORMS)).items():
             publish(df, f"{layout.root}/reports/{domain.name}_{name}_{month}")
     if failed:
@@ -74,20 +85,21 @@ def build(spark: SparkSession, layout: Layout, domains: list[Domain], at: dateti
         publish(df, layout.table(name))
     counts = {}
     for domain in domains:
-        path = latest_paths(spark, f"{layout.processed}/{domain.name}", [domain.name]).get(domain.name)
-        if path is None:
+        layer = layout.processed_layer(spark, domain)
+        month = layer.newest([domain.name]).get(domain.name)
+        if month is None:
             counts[domain.name] = 0
             continue
         # the dimension goes first and is read back: facts never point at keys that are not published yet, and
         # Catalyst knows the real size of every dimension when it plans the joins
-        kept, out_of_scope = warehouse.in_scope_rows(spark.read.parquet(path))
+        kept, out_of_scope = warehouse.in_scope_rows(layer.open(domain.name, month))
         geography = load_dimensions(spark, layout)["dim_geography"]
         publish(warehouse.add_unseen_territories(geography, kept), layout.table("dim_geography"))
         keyed = checkpointed(warehouse.with_keys(kept, load_dimensions(spark, layout)))   # the joins run once
         counts[domain.name] = publish(warehouse.fact_table(keyed, domain.fact), layout.table(domain.fact))
         publish(out_of_scope, layout.table(f"quarantine_scope_{domain.name}"))
         publish(keyed.filter(F.col("unresolved_key").isNotNull()), layout.table(f"quarantine_keys_{domain.name}"))
-        append_load_log(spark, layout.table("load_log"), domain.name, path, counts[domain.name], at)
+        append_load_log(spark, layout.table("load_log"), domain.name, layer.place(domain.name, month), counts[domain.name], at)
     return counts
 
 
@@ -146,12 +158,8 @@ def compare_release(spark: SparkSession, layout: Layout, domains: list[Domain],
     """Release facts of all domains for one month."""
     frames = []
     for domain in domains:
-        folder = f"{layout.processed}/{domain.name}"
-        known = latest_paths(spark, folder, [domain.name])
-        months = {}
-        if known:
-            listed = list_snapshots(spark, folder).filter(F.col("month") <= month).orderBy(F.desc("month")).limit(2)
-            months = {r["month"]: spark.read.parquet(r["path"]) for r in listed.collect()}   # two file names
+        layer = layout.processed_layer(spark, domain)
+        months = {m: layer.open(domain.name, m) for m in layer.latest_two(domain.name, month)}
         frames.append(release.domain_facts(domain.name, month, months, dataset_table(spark, domain.name)))
     out = frames[0]
     for f in frames[1:]:
@@ -194,7 +202,8 @@ def run(spark: SparkSession, layout: Layout, month: str, requested: list[str] |
 
     if landed:
         for d in domains:
-            stage("ingest", d.name, lambda d=d: sum(ingest(spark, landed, layout.raw, d, month, at).values()))
+            stage("ingest", d.name, lambda d=d: sum(ingest(
+                spark, landed, layout.raw, d, month, at, layout.raw_layer(spark, d)).values()))
     for d in domains:
         stage("process", d.name, lambda d=d: process(spark, layout, d, month))
     stage("database", "*", lambda: sum(build(spark, layout, domains, at).values()))

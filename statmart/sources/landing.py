@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.scope import counts_by, required_present
@@ -41,8 +43,26 @@ def missing_datasets(expected: DataFrame, landed: DataFrame) -> DataFrame:
     return expected.join(counts_by(landed, ["dataset_code"]), "dataset_code", "left_anti")
 
 
+def counted(df: DataFrame, write: Callable[[DataFrameWriter], None]) -> dict[str, Any]:
+    """Write ``df`` and return ``n_rows``, and ``extracted_at`` (the newest, if there is such a column), observed by the very
+    job that writes.
+
+    The observation is the last step before the files, in the tasks that write them: a task that has to run again is
+    counted once.
+    """
+    seen = Observation()
+    newest = [F.max("extracted_at").alias("extracted_at")] if "extracted_at" in df.columns else []
+    write(df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *newest).write)
+    return {"n_rows": 0, "extracted_at": None} | seen.get
+
+
 def publish(df: DataFrame, path: str, skip_empty: bool = False) -> int:
-    """Replace the table at ``path`` as a whole and return its row count (read from the written footers).
+    """:func:`publish_counted`, returning just the row count."""
+    return publish_counted(df, path, skip_empty)["n_rows"]
+
+
+def publish_counted(df: DataFrame, path: str, skip_empty: bool = False) -> dict[str, Any]:
+    """Replace the table at ``path`` as a whole and return what :func:`counted` has seen.
 
     The new contents are written in full next to it and moved into place only then: a failed job leaves the old
     table, and a table can be rebuilt from itself. With ``skip_empty`` an empty result leaves the old table too.
@@ -54,11 +74,10 @@ def publish(df: DataFrame, path: str, skip_empty: bool = False) -> int:
     if fs.exists(old) and not fs.exists(target):      # an earlier run was cut off between its two renames
         if not fs.rename(old, target):
             raise OSError(f"could not restore {path} from {retired}")
-    df.write.mode("overwrite").parquet(staging)
-    n = spark.read.parquet(staging).count()
-    if skip_empty and n == 0:
+    seen = counted(df, lambda w: w.mode("overwrite").parquet(staging))
+    if skip_empty and seen["n_rows"] == 0:
         fs.delete(new, True)
-        return 0
+        return seen
     fs.delete(old, True)
     replaced = fs.exists(target)
     if replaced and not fs.rename(target, old):
@@ -68,7 +87,7 @@ def publish(df: DataFrame, path: str, skip_empty: bool = False) -> int:
             raise OSError(f"could not publish {path}; the old table is in {retired}, the new one in {staging}")
         raise OSError(f"could not publish {path}; the old table is in place")
     fs.delete(old, True)
-    return n
+    return seen
 
 
 def create_if_absent(spark: SparkSession, path: str, schema: StructType) -> None:
