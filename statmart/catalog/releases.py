@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from ..operators import periodsets
 from ..plans import release, report
 from ..registry import inline
 from ..session import checkpointed
@@ -110,11 +111,33 @@ def dataset_summary(t):
     FROM cp JOIN fq USING (period) GROUP BY 1, 2""")
 def periods_by_frequency(t):
     current, _, _ = snapshots(t)
-    lists = release.by_frequency(release.dataset_periods(release.snapshot_profile(current)), "periods")
-    p = F.col("periods")
-    return lists.select("dataset_code", F.explode("periods").alias("frequency", "periods")).select(
-        "dataset_code", "frequency", F.size(p).cast("bigint").alias("n_periods"), F.get(p, F.lit(0)).alias("first_period"),
-        F.element_at(p, -1).alias("latest_period"))
+    return release.Periods.of(release.snapshot_profile(current)).summary()
+
+
+@query("period_sets", f"""
+    WITH {SNAP_SQL} SELECT coalesce(cp.dataset_code, pp.dataset_code) AS dataset_code, f AS frequency,
+        count(*) FILTER (cp.period IS NOT NULL) AS n_now, count(*) FILTER (pp.period IS NOT NULL) AS n_then,
+        count(*) FILTER (cp.period IS NOT NULL AND pp.period IS NOT NULL) AS n_both,
+        count(*) FILTER (pp.period IS NULL) AS n_added, count(*) FILTER (cp.period IS NULL) AS n_gone
+    FROM cp FULL JOIN pp ON cp.dataset_code = pp.dataset_code AND cp.period = pp.period
+    JOIN fq ON fq.period = coalesce(cp.period, pp.period) WHERE f <> '?' GROUP BY 1, 2""")
+def period_sets(t):
+    current, previous, _ = snapshots(t)
+    sets = [release.Periods.of(release.snapshot_profile(s)).sets for s in (current, previous)]
+    words = periodsets.differences(periodsets.paired(*sets, ["dataset_code"]))
+    counts = {"n_now": F.col("now"), "n_then": F.col("then"), "n_both": F.col("now").bitwiseAND(F.col("then")),
+              "n_added": F.col("added"), "n_gone": F.col("gone")}
+    return words.groupBy("dataset_code", "frequency").agg(*[F.sum(F.bit_count(c)).cast("bigint").alias(n) for n, c in counts.items()])
+
+
+@query("release_change_counts", f"""
+    WITH {SNAP_SQL} SELECT dataset_code, n_rows, CASE WHEN rows_change IS NOT NULL THEN
+        (SELECT count(*) FROM both_sides b WHERE b.dataset_code = facts.dataset_code AND change = 'new') END AS n_new_periods,
+        CASE WHEN rows_change IS NOT NULL THEN
+        (SELECT count(*) FROM both_sides b WHERE b.dataset_code = facts.dataset_code AND change = 'removed') END AS n_removed_periods
+    FROM facts""")
+def release_change_counts(t):
+    return release_facts(t).select("dataset_code", "n_rows", "n_new_periods", "n_removed_periods")
 
 
 @query("period_changes", f"WITH {SNAP_SQL} SELECT dataset_code, period, frequency, change FROM both_sides")

@@ -106,8 +106,10 @@ def new_period_lines(facts: DataFrame) -> DataFrame:
     exploded = facts.filter(has_new()).select(
         *keys, F.explode("new_periods").alias("frequency", "_p")).select(*keys, F.explode("_p").alias("period"))
     words = periods_in_words(exploded, keys)
+    unnamed = F.col("n_new_periods") - F.size(F.flatten(F.map_values("new_periods")))     # free labels beyond those in the map
+    more = F.when(unnamed > 0, F.concat(F.lit(" e altri "), thousands_it(unnamed))).otherwise("")
     return facts.filter(has_new()).join(words, keys).withColumn(
-        "line", F.concat(F.lit("- "), F.col("name"), F.lit(": "), F.col("periods_it"), F.lit(".")))
+        "line", F.concat(F.lit("- "), F.col("name"), F.lit(": "), F.col("periods_it"), more, F.lit(".")))
 
 
 def issue_lines(facts: DataFrame, month: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from datetime import date, datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -154,13 +155,14 @@ def check(spark: SparkSession, layout: Layout, domains: list[Domain], now: datet
     return quality.run_checks(spark, checks)
 
 
-def compare_release(spark: SparkSession, layout: Layout, domains: list[Domain], month: str) -> DataFrame:
+def compare_release(spark: SparkSession, layout: Layout, domains: list[Domain], month: str,
+                    details: list[DataFrame] | None = None) -> DataFrame:
     """Release facts of all domains for one month."""
     frames = []
     for domain in domains:
         layer = layout.processed_layer(spark, domain)
         months = {m: layer.open(domain.name, m) for m in layer.latest_two(domain.name, month)}
-        frames.append(release.domain_facts(domain.name, month, months, dataset_table(spark, domain.name)))
+        frames.append(release.domain_facts(domain.name, month, months, dataset_table(spark, domain.name), details))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -168,9 +170,13 @@ def compare_release(spark: SparkSession, layout: Layout, domains: list[Domain],
 
 
 def digest(spark: SparkSession, layout: Layout, domains: list[Domain], month: str, today: date) -> str:
-    """Write the audit record first, then the report, so that a report never exists without its facts."""
-    facts = compare_release(spark, layout, domains, month)
+    """Write the audit record first, then the report, so that a report never exists without its facts. Every period that is
+    new or gone is a row of a table beside them."""
+    details: list[DataFrame] = []
+    facts = compare_release(spark, layout, domains, month, details)
     facts.write.mode("overwrite").json(f"{layout.root}/summaries/{month}.json")
+    if details:
+        publish(reduce(DataFrame.unionByName, details), f"{layout.root}/summaries/{month}_periods")
     facts = spark.read.schema(facts.schema).json(f"{layout.root}/summaries/{month}.json")
     try:
         labels = layout.seed(spark, mappings.DATASET_LABELS)
