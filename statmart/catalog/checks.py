@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.groupings import grouped_once
 from ..operators.lookups import code_list
 from ..plans import quality as q
+from ..session import checkpointed
 from .base import Tables, query
-from .lookups import CODES_SQL, size_codes, sized_lines
+from .lookups import CODES_SQL, size_codes, sized_codes, sized_lines
 
 NOW = datetime(2024, 3, 1, 12, 0, 0)
 NOW_SQL = "TIMESTAMP '2024-03-01 12:00:00'"
@@ -258,11 +260,14 @@ FREQUENCY_SQL = rf"""fr AS (SELECT CASE event_type WHEN 'click' THEN 'M' WHEN 'v
         || ': ' || {num('n')}, ', ' ORDER BY coalesce(f, 'None')) AS detail FROM fc)"""
 
 
-def dq_frequencies_frame(t: Tables):
+def frequency_columns() -> dict[str, Column]:
     kind, n = F.col("event_type"), F.col("user_id") % 10
-    rows = t.events.select(
-        F.when(kind == "click", "M").when(kind == "view", "Q").when(kind == "error", "").when(kind == "purchase", "M").alias("frequency"),
-        F.when(n == 1, "2024-1").when(n > 1, F.date_format("ts", "yyyy-MM")).alias("period_label"))
+    return {"frequency": F.when(kind == "click", "M").when(kind == "view", "Q").when(kind == "error", "").when(kind == "purchase", "M"),
+            "period_label": F.when(n == 1, "2024-1").when(n > 1, F.date_format("ts", "yyyy-MM"))}
+
+
+def dq_frequencies_frame(t: Tables):
+    rows = t.events.withColumns(frequency_columns())
     return labelled(q.frequencies(rows, ["A", "Q", "M"]), "events", "frequencies and period labels")
 
 
@@ -279,10 +284,20 @@ DATASET_SQL = f"""ds AS (SELECT event_type AS c, date_sub('day', max(seen), {NOW
           FILTER (age IS NULL OR age > 45) AS detail FROM ds)"""
 
 
-def dq_datasets_frame(t: Tables):
+def extraction_time() -> Column:
     kind, ts = F.col("event_type"), F.col("ts")
-    at = F.when(kind == "click", ts - F.expr("interval 40 days")).when(kind != "error", ts)
-    rows = t.events.select(kind.alias("dataset_code"), at.alias("extracted_at"))
+    return F.when(kind == "click", ts - F.expr("interval 40 days")).when(kind != "error", ts)
+
+
+def event_facts(t: Tables) -> DataFrame:
+    """What the checks of events look at, in one frame."""
+    rows = t.events.withColumns(frequency_columns())
+    return rows.select("user_id", "event_type", F.hour("ts").alias("hour"), "frequency", F.col("event_type").alias("dataset_code"),
+                       q.bad_month_label("frequency", "period_label").cast("bigint").alias("bad"), extraction_time().alias("at"))
+
+
+def dq_datasets_frame(t: Tables):
+    rows = t.events.select(F.col("event_type").alias("dataset_code"), extraction_time().alias("extracted_at"))
     now = F.lit(NOW.isoformat(sep=" ")).cast("timestamp_ntz")
     return labelled(q.datasets_fresh(rows, ["view", "refund", "chargeback"], now), "events", "datasets present and fresh")
 
@@ -371,9 +386,6 @@ def dq_accepted(t):
 
 
 # ---- report over all checks ----
-FRAMES = [dq_scan_frame, dq_keys_frame, dq_grain_frame, dq_orphans_frame, dq_bounds_frame, dq_providers_frame, dq_units_frame,
-          dq_countries_frame, dq_indicators_frame, dq_frequencies_frame, dq_datasets_frame, dq_views_frame, dq_unmanaged_frame,
-          dq_code_list_frame, dq_accepted_frame]
 REPORT_SQL = ", ".join([SCAN_SQL, KEYS_SQL, GRAIN_SQL, ORPHAN_SQL, BOUNDS_SQL, PROVIDER_SQL, UNIT_SQL, INDICATOR_SQL, FREQUENCY_SQL,
                         DATASET_SQL, VIEWS_SQL, UNMANAGED_SQL, LISTED_SQL, ACCEPTED_SQL])
 ALL_CHECKS = " UNION ALL ".join(f"SELECT * FROM {n}" for n in [
@@ -387,8 +399,66 @@ def broken_rule() -> DataFrame:
 
 
 def suite(t: Tables) -> list[q.Check]:
-    """All checks, and one that cannot be evaluated: it must not stop the others."""
-    return [q.Check("", f.__name__, lambda f=f: f(t)) for f in FRAMES] + [q.Check("orders", "broken check", broken_rule)]
+    """All checks, and one that cannot be evaluated: it must not stop the others.
+
+    The checks of a table share what one scan of it has counted, as those of a domain do: line items and events are read
+    once, orders once for the row checks and once for the rest.
+    """
+    n = F.col("n_rows")
+    lines = grouped_once(t.lineitem, {
+        "order": ["l_orderkey"], "line": ["l_orderkey", "l_linenumber"], "part": ["l_partkey"], "supplier": ["l_suppkey"],
+        "size": ["l_quantity", "l_linestatus"], "quantity": ["l_partkey", "l_quantity"]}, repeated=("order", "line"))
+    typed = checkpointed(lines["quantity"].join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_type", "p_brand", "l_quantity").agg(
+        F.sum("n_rows").alias("n_rows")))
+    sized = sized_codes(lines["size"])
+    ordered = grouped_once(t.orders, {"customer": ["o_custkey"], "priority": ["o_orderpriority"]})
+    events = grouped_once(event_facts(t), {"grain": ["user_id", "event_type", "hour"], "frequency": ["frequency"], "dataset": ["dataset_code"]}, {
+        "n_bad": F.sum("bad"), "extracted_at": F.max("at")}, repeated=("grain",))
+    units = checkpointed(q.used_units(ordered["customer"].withColumnRenamed("o_custkey", "c_custkey"), unit_geography(t), "c_custkey", home=None))
+    keys = [["l_orderkey"], ["l_orderkey", "l_linenumber"]]
+    known = {"l_partkey": ("part", t.part.filter("p_size <> 13"), "p_partkey"),
+             "l_suppkey": ("supplier", t.supplier.filter("s_nationkey <> 5"), "s_suppkey")}
+    at = F.lit(NOW.isoformat(sep=" ")).cast("timestamp_ntz")
+    violating = checkpointed(q.violations(typed, "p_type", "l_quantity", BOUNDS, n))
+    expected = ["PROMO", "SMALL", "COPPER", "STEEL"]
+    return [
+        q.Check("orders", "table scan", lambda: dq_scan_frame(t)),
+        q.Check("lineitem", "key uniqueness", lambda: q.unique_outcome(list(zip(keys, (lines["order"], lines["line"]))))),
+        q.Check("events", "duplicate rows at grain", lambda: q.grain_outcome(events["grain"], "event_type")),
+        q.Check("lineitem", "orphan foreign keys", lambda: q.orphan_keys(
+            t.lineitem, known, {"l_partkey": lines["part"], "l_suppkey": lines["supplier"]})),
+        q.Check("lineitem", "values within bounds", lambda: q.values_within_bounds(violating, BOUNDS), lambda: q.bounds_details(violating)),
+        q.Check("lineitem", "providers present", lambda: q.providers_present(
+            typed, ["economy", "brand#2", "nobody"], "p_type", "p_brand", n)),
+        q.Check("orders", "home units by level", lambda: q.units_by_level(
+            units.filter("country_code = 'IT'"), {0: 1, 2: 21, 3: 100000})),
+        q.Check("orders", "other countries at level 0", lambda: q.other_countries(units, 30, "IT")),
+        q.Check("lineitem", "indicator coverage", lambda: q.expected_codes(typed, "p_type", expected, t.part.select("p_type")),
+                lambda: q.extra_code_details(typed, "p_type", expected, n)),
+        q.Check("events", "frequencies and period labels", lambda: q.frequencies(
+            events["frequency"], ["A", "Q", "M"], weight=n, bad=F.col("n_bad")), lambda: q.frequency_details(events["frequency"], weight=n)),
+        q.Check("events", "datasets present and fresh", lambda: q.datasets_fresh(
+            events["dataset"], ["view", "refund", "chargeback"], at), lambda: q.stale_details(events["dataset"], at)),
+        q.Check("marts", "views return rows", lambda: dq_views_frame(t)),
+        q.Check("customer", "auto-inserted home codes", lambda: dq_unmanaged_frame(t)),
+        q.Check("lineitem", "codes listed", lambda: q.code_list_complete(code_list(sized, size_codes(t), "size", "size"), "size", n)),
+        q.Check("orders", "accepted values", lambda: q.accepted_values(
+            ordered["priority"], "o_orderpriority", ["1-URGENT", "2-HIGH", "3-MEDIUM"], n)),
+        q.Check("orders", "broken check", broken_rule),
+    ]
+
+
+@query("dq_details", f"""
+    WITH {VIOLATION_SQL}, {FREQUENCY_SQL}, {INDICATOR_SQL}, ds AS (SELECT event_type AS c, date_sub('day', max(seen), {NOW_SQL}) AS age
+        FROM (SELECT event_type, CASE event_type WHEN 'click' THEN ts - INTERVAL 40 DAY WHEN 'error' THEN NULL ELSE ts END AS seen FROM events) GROUP BY 1)
+    SELECT 'lineitem' AS "table", 'values within bounds' AS "check", code, n_out AS n_rows,
+        'observed ' || format('{{:g}}', min_out) || ' to ' || format('{{:g}}', max_out) AS note FROM viol
+    UNION ALL SELECT 'lineitem', 'indicator coverage', p_type, count(*), 'not in expected list' FROM lineitem JOIN part ON l_partkey = p_partkey
+        WHERE p_type NOT IN (SELECT code FROM ex) GROUP BY 3
+    UNION ALL SELECT 'events', 'frequencies and period labels', f, n, 'rows by frequency' FROM fc
+    UNION ALL SELECT 'events', 'datasets present and fresh', c, age, 'days since extraction' FROM ds WHERE age IS NULL OR age > 45""")
+def dq_details(t):
+    return q.check_details(t.spark, suite(t))
 
 
 @query("dq_report", f"WITH {REPORT_SQL} {ALL_CHECKS}")

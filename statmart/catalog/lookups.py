@@ -140,11 +140,14 @@ def size_codes(t: Tables):
         F.col("p_size").alias("lower_bound"), (F.col("p_size") + 4).alias("upper_bound")).distinct()
 
 
-def sized_lines(t: Tables):
+def sized_codes(lines):
+    """Lines, or their groups, with a size code and the provider it is from."""
     code = F.when(F.col("l_quantity") <= 48, F.concat(F.lit("s"), F.col("l_quantity").cast("int").cast("string")))
-    return t.lineitem.select(
-        "l_orderkey", "l_linenumber", "l_suppkey", code.alias("size"),
-        F.when(F.col("l_linestatus") == "O", "istat").otherwise("eurostat").alias("provider"))
+    return lines.withColumns({"size": code, "provider": F.when(F.col("l_linestatus") == "O", "istat").otherwise("eurostat")})
+
+
+def sized_lines(t: Tables):
+    return sized_codes(t.lineitem).select("l_orderkey", "l_linenumber", "l_suppkey", "size", "provider")
 
 
 @query("code_list", f"""

@@ -58,6 +58,10 @@ def orphans(fact: DataFrame, dimension: DataFrame, key: str, dimension_key: str
 
     Fact rows are counted per key before the anti join: the join sees distinct keys only.
     """
+    return unknown_keys(fact.groupBy(key).agg(F.count("*").alias("n_rows")), dimension, key, dimension_key)
+
+
+def unknown_keys(used: DataFrame, dimension: DataFrame, key: str, dimension_key: str | None = None) -> DataFrame:
+    """:func:`orphans` of a fact that is counted per key already (``key``, ``n_rows``)."""
     known = dimension.select(F.col(dimension_key or key).alias(key))
-    used = fact.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n_rows"))
-    return used.join(known, key, "left_anti")
+    return used.filter(F.col(key).isNotNull()).join(known, key, "left_anti")

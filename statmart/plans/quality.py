@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.numbers import six_digits, thousands
 from ..functions.periods import MONTH
 from ..functions.strings import has_many
-from ..operators.diff import orphans
+from ..operators.diff import unknown_keys
+from ..operators.groupings import grouped_once
 from ..registry import MAX_AGE_DAYS, MIN_DIMENSION_ROWS, Domain, inline
 from ..schemas import CHECK_RESULT, DIMENSIONS, NATURAL_KEY, SURROGATE_KEY
 from ..session import checkpointed
@@ -42,6 +43,10 @@ AGGREGATE = "geo_source = 'istat_aggregate'"   # territories that have no level
 # ----------------------
 
 
+PROFILE = "profile"
+LISTED = 50     # codes named in the text of a check; all of them are rows of the detail table
+
+
 def _zero() -> Column:
     return F.lit(0).cast("bigint")
 
@@ -67,6 +72,13 @@ def listed(df: DataFrame, order: list[Column], text: Column, sep: str = ", ") ->
     return df.agg(F.array_join(F.transform(packed, lambda s: s["t"]), sep).alias("t")).scalar() if n else None
 
 
+def first_listed(rows: DataFrame, order: list[Column], text: Column, sep: str = ", ", limit: int = LISTED) -> Column:
+    """Texts of the first rows in order and how many more there are; empty without rows. ``rows`` is read twice."""
+    n = rows.agg(F.count("*")).scalar()
+    more = F.when(n > limit, F.concat(F.lit(" and "), thousands(n - limit), F.lit(" more"))).otherwise("")
+    return F.concat(listed(rows.orderBy(*order).limit(limit), order, text, sep), more)
+
+
 # ---- checks answered by one pass over a table ----
 
 def scan_checks(df: DataFrame, min_rows: int | Column, required: list[str], exempt: dict[str, str] | None = None,
@@ -114,14 +126,10 @@ def scan_checks(df: DataFrame, min_rows: int | Column, required: list[str], exem
 
 # ---- uniqueness ----
 
-def duplicate_groups(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.groupBy(*columns).agg(F.count("*").alias("_n")).filter("_n > 1")
-
-
 def top_excess(groups: DataFrame, by: str, limit: int = 5) -> Column:
     """'code (+12), other (+3)': where most of the excess rows are."""
     top = (
-        groups.groupBy(F.col(by).cast("string").alias("_k")).agg(F.sum(F.col("_n") - 1).alias("_excess"))
+        groups.groupBy(F.col(by).cast("string").alias("_k")).agg(F.sum(F.col("n_rows") - 1).alias("_excess"))
         .orderBy(F.desc("_excess"), F.asc_nulls_first("_k")).limit(limit)
     )
     text = F.concat(F.coalesce("_k", F.lit("NULL")), F.lit(" (+"), thousands(F.col("_excess")), F.lit(")"))
@@ -129,20 +137,18 @@ def top_excess(groups: DataFrame, by: str, limit: int = 5) -> Column:
 
 
 def _duplicate_totals(groups: DataFrame) -> DataFrame:
-    return groups.agg(F.count("*").alias("_groups"), F.coalesce(F.sum(F.col("_n") - 1), _zero()).alias("_excess"))
+    return groups.agg(F.count("*").alias("_groups"), F.coalesce(F.sum(F.col("n_rows") - 1), _zero()).alias("_excess"))
 
 
-def key_uniqueness(df: DataFrame, key: str, natural: list[str]) -> DataFrame:
-    """Surrogate key and natural key must each be unique."""
+def unique_outcome(groups: list[tuple[list[str], DataFrame]]) -> DataFrame:
+    """One outcome for several keys, from the groups of each that occur more than once."""
     rows = []
-    for i, columns in enumerate([[key], natural]):
-        if columns:
-            groups = duplicate_groups(df, columns)
-            detail = F.concat(
-                F.lit(f"{'+'.join(columns)}: "), thousands(F.col("_groups")), F.lit(" values duplicated ("),
-                thousands(F.col("_excess")), F.lit(" excess rows), top: "), top_excess(groups, columns[0]))
-            rows.append(_duplicate_totals(groups).select(
-                F.lit(i).alias("_i"), "_excess", F.when(F.col("_groups") > 0, detail).alias("_detail")))
+    for i, (columns, found) in enumerate(groups):
+        detail = F.concat(
+            F.lit(f"{'+'.join(columns)}: "), thousands(F.col("_groups")), F.lit(" values duplicated ("),
+            thousands(F.col("_excess")), F.lit(" excess rows), top: "), top_excess(found, columns[0]))
+        rows.append(_duplicate_totals(found).select(
+            F.lit(i).alias("_i"), "_excess", F.when(F.col("_groups") > 0, detail).alias("_detail")))
     both = reduce(DataFrame.unionByName, rows).agg(
         F.sum("_excess").alias("_excess"),
         F.sort_array(F.collect_list(F.when(F.col("_detail").isNotNull(), F.struct("_i", "_detail")))).alias("_d"))
@@ -150,24 +156,59 @@ def key_uniqueness(df: DataFrame, key: str, natural: list[str]) -> DataFrame:
                    F.array_join(F.transform("_d", lambda x: x["_detail"]), "; "))
 
 
-def grain(df: DataFrame, exclude: list[str] = GRAIN_EXCLUDE, breakdown: str | None = None) -> DataFrame:
-    """No two rows may agree on every descriptive column; the list follows the table's schema."""
-    columns = [c for c in df.columns if c not in exclude]
-    by = breakdown or ("dataset_code" if "dataset_code" in columns else columns[0])
-    groups = duplicate_groups(df, columns)
+def grain_outcome(found: DataFrame, by: str) -> DataFrame:
     detail = F.concat(thousands(F.col("_groups")), F.lit(
-        f" dimension combinations occur more than once. Excess rows by {by}: "), top_excess(groups, by))
-    return outcome(_duplicate_totals(groups), F.col("_groups") > 0, thousands(F.col("_excess")), "0",
+        f" dimension combinations occur more than once. Excess rows by {by}: "), top_excess(found, by))
+    return outcome(_duplicate_totals(found), F.col("_groups") > 0, thousands(F.col("_excess")), "0",
                    F.when(F.col("_groups") > 0, detail))
 
 
+def grain_columns(df: DataFrame, exclude: list[str] = GRAIN_EXCLUDE, breakdown: str | None = None) -> tuple[list[str], str]:
+    """The descriptive columns of a table, and the one its duplicates are broken down by."""
+    columns = [c for c in df.columns if c not in exclude]
+    return columns, breakdown or ("dataset_code" if "dataset_code" in columns else columns[0])
+
+
+def repeated_groups(df: DataFrame, sets: dict[str, list[str]]) -> dict[str, DataFrame]:
+    """Groups of more than one row for every list of columns: one scan, one shuffle, written once."""
+    return grouped_once(df, sets, repeated=tuple(sets))
+
+
+def key_uniqueness(df: DataFrame, key: str, natural: list[str]) -> DataFrame:
+    """Surrogate key and natural key must each be unique."""
+    keys = {f"{i}": columns for i, columns in enumerate([[key], natural]) if columns}
+    found = repeated_groups(df, keys)
+    return unique_outcome([(columns, found[name]) for name, columns in keys.items()])
+
+
+def grain(df: DataFrame, exclude: list[str] = GRAIN_EXCLUDE, breakdown: str | None = None) -> DataFrame:
+    """No two rows may agree on every descriptive column; the list follows the table's schema."""
+    columns, by = grain_columns(df, exclude, breakdown)
+    return grain_outcome(repeated_groups(df, {"grain": columns})["grain"], by)
+
+
+def duplicate_checks(df: DataFrame, keys: list[list[str]], exclude: list[str] = GRAIN_EXCLUDE, breakdown: str | None = None) -> DataFrame:
+    """:func:`key_uniqueness` of several keys and :func:`grain` of one table, all from the same shuffle."""
+    columns, by = grain_columns(df, exclude, breakdown)
+    sets = {**{f"key {i}": key for i, key in enumerate(keys)}, "grain": columns}
+    found = repeated_groups(df, sets)
+    named = lambda out, check: out.withColumn("check", F.lit(check))
+    return named(unique_outcome([(key, found[f"key {i}"]) for i, key in enumerate(keys)]), "key uniqueness").unionByName(
+        named(grain_outcome(found["grain"], by), "duplicate rows at grain"))
+
+
 # ---- relationships ----
 
-def orphan_keys(fact: DataFrame, dimensions: dict[str, tuple[str, DataFrame, str]]) -> DataFrame:
-    """Foreign key -> (dimension name, dimension, its key column); one row over all keys."""
+def orphan_keys(fact: DataFrame, dimensions: dict[str, tuple[str, DataFrame, str]],
+                used: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Foreign key -> (dimension name, dimension, its key column); one row over all keys.
+
+    ``used``: rows per key of every foreign key, where they are counted already; otherwise one scan counts all of them.
+    """
     rows = []
+    used = used or grouped_once(fact, {fk: [fk] for fk in dimensions})
     for i, (fk, (name, dim, key)) in enumerate(dimensions.items()):
-        lost = orphans(fact, dim, fk, key)
+        lost = checkpointed(unknown_keys(used[fk], dim, fk, key))      # read for the totals and for the examples
         first = lost.orderBy(F.desc("n_rows"), F.col(fk)).limit(5)
         examples = listed(first, [-F.col("n_rows"), F.col(fk)], F.col(fk).cast("string"))
         detail = F.concat(F.lit(f"{fk} -> {name}: "), thousands(F.col("_rows")), F.lit(" rows, "),
@@ -202,11 +243,11 @@ def outside(value: str) -> Column:
     return F.coalesce(F.col(value) < F.col("_lo"), F.lit(False)) | F.coalesce(F.col(value) > F.col("_hi"), F.lit(False))
 
 
-def violations(df: DataFrame, code: str, value: str, bounds: dict[str, tuple]) -> DataFrame:
+def violations(df: DataFrame, code: str, value: str, bounds: dict[str, tuple], weight: Column | None = None) -> DataFrame:
     """Per code: rows outside their bounds, smallest and largest of them."""
     rows = bound_columns(df.filter(F.col(code).isNotNull()), code, bounds)
     return rows.filter(outside(value)).groupBy(F.col(code).alias("code")).agg(
-        F.count("*").alias("n_out"), F.min(value).alias("min_out"), F.max(value).alias("max_out"))
+        (F.sum(weight) if weight is not None else F.count("*")).alias("n_out"), F.min(value).alias("min_out"), F.max(value).alias("max_out"))
 
 
 def bounds_text(lo: float | None, hi: float | None) -> str:
@@ -224,9 +265,10 @@ def values_within_bounds(found: DataFrame, bounds: dict[str, tuple]) -> DataFram
     text = F.concat(F.col("code"), F.lit(": "), thousands(F.col("n_out")), F.lit(" rows outside "), label,
                     F.lit(" (observed "), six_digits(F.col("min_out")), F.lit(" to "), six_digits(F.col("max_out")),
                     F.lit(")"))
+    found = checkpointed(found)          # a row per code; read for the total, the number of codes and their texts
     total = found.agg(F.coalesce(F.sum("n_out"), _zero()).alias("_n"))
     return outcome(total, F.col("_n") > 0, thousands(F.col("_n")), "0",
-                   listed(found, [-F.col("n_out"), F.col("code")], text, "; "))
+                   first_listed(found, [-F.col("n_out"), F.col("code")], text, "; "))
 
 
 # ---- coverage ----
@@ -284,9 +326,9 @@ def expected_codes(df: DataFrame, code: str, expected: list[str], known: DataFra
     """Every expected code occurs. Extra codes are listed, not failed; for missing ones, say when the dimension does
     not list them either."""
     size = len(expected)
-    present = df.filter(F.col(code).isNotNull()).select(F.col(code).alias("_code")).distinct()
+    present = checkpointed(df.filter(F.col(code).isNotNull()).select(F.col(code).alias("_code")).distinct())
     table = inline(df.sparkSession, list(enumerate(expected)), "_i bigint, _expected string")
-    sides = present.join(table, F.col("_code") == F.col("_expected"), "full_outer")
+    sides = table.join(present, F.col("_code") == F.col("_expected"), "left")
     if known is not None:
         listed_codes = known.select(F.col(known.columns[0]).alias("_known")).distinct()
         sides = sides.join(listed_codes, F.col("_expected") == F.col("_known"), "left")
@@ -294,16 +336,20 @@ def expected_codes(df: DataFrame, code: str, expected: list[str], known: DataFra
             .otherwise(F.col("_expected"))
     else:
         text = F.col("_expected")
-    row = sides.agg(
-        F.sort_array(F.collect_list(F.when(F.col("_code").isNull(), F.struct("_i", text.alias("t"))))).alias("_m"),
-        F.sort_array(F.collect_list(F.when(F.col("_expected").isNull(), F.col("_code")))).alias("_x"))
+    row = sides.agg(        # a row per expected code, which are settings
+        F.sort_array(F.collect_list(F.when(F.col("_code").isNull(), F.struct("_i", text.alias("t"))))).alias("_m"))
+    extra = first_listed(_others(present, "_code", expected), [F.col("_code")], F.col("_code"))
     found = F.lit(size) - F.size("_m")
     detail = joined([
         F.when(F.size("_m") > 0, F.concat(F.lit("missing: "), F.array_join(F.transform("_m", lambda s: s["t"]), ", "))),
-        F.when(F.size("_x") > 0, F.concat(F.lit("present but not in expected list: "), F.array_join("_x", ", ")))])
+        F.when(extra != "", F.concat(F.lit("present but not in expected list: "), extra))])
     return outcome(row, F.size("_m") > 0, F.concat(found.cast("string"), F.lit(f"/{size}")), f"{size}/{size}", detail)
 
 
+def _others(df: DataFrame, code: str, expected: list[str]) -> DataFrame:
+    return df.filter(F.col(code).isNotNull() & ~F.col(code).isin(expected)) if expected else df.filter(F.col(code).isNotNull())
+
+
 def frequencies(df: DataFrame, expected: list[str], frequency: str = "frequency", label: str = "period_label",
                 weight: Column | None = None, bad: Column | None = None) -> DataFrame:
     """Expected frequencies occur, and monthly labels look like months."""
@@ -312,21 +358,19 @@ def frequencies(df: DataFrame, expected: list[str], frequency: str = "frequency"
         return outcome(df.sparkSession.range(1), F.lit(True), F.lit("-"), ", ".join(expected),
                        F.lit(f"column {absent[0]} missing from table"))
     wrong = bad if bad is not None else bad_month_label(frequency, label).cast("bigint")
-    per = df.groupBy(F.col(frequency).alias("_f")).agg(
-        F.sum(weight if weight is not None else F.lit(1)).cast("bigint").alias("_n"), F.sum(wrong).cast("bigint").alias("_bad"))
+    per = checkpointed(df.groupBy(F.col(frequency).alias("_f")).agg(
+        F.sum(weight if weight is not None else F.lit(1)).cast("bigint").alias("_n"), F.sum(wrong).cast("bigint").alias("_bad")))
     name = F.when(F.coalesce("_f", F.lit("")) == "", F.lit("(blank)")).otherwise(F.col("_f"))
-    row = per.agg(
-        F.sum("_bad").alias("_bad"), F.collect_set("_f").alias("_set"),
-        F.sort_array(F.collect_list(F.struct(
-            F.coalesce("_f", F.lit("None")).alias("k"),
-            F.concat(name, F.lit(": "), thousands(F.col("_n"))).alias("t")))).alias("_rows"))
-    missing = joined([F.when(~F.array_contains("_set", f), F.lit(f)) for f in expected], ", ")
-    seen = joined([F.when(F.array_contains("_set", f), F.lit(f)) for f in expected], ", ")
+    row = per.agg(F.sum("_bad").alias("_bad"), *[
+        F.coalesce(F.max(F.col("_f") == f), F.lit(False)).alias(f"_has{i}") for i, f in enumerate(expected)])
+    texts = first_listed(per, [F.coalesce("_f", F.lit("None"))], F.concat(name, F.lit(": "), thousands(F.col("_n"))))
+    missing = joined([F.when(~F.col(f"_has{i}"), F.lit(f)) for i, f in enumerate(expected)], ", ")
+    seen = joined([F.when(F.col(f"_has{i}"), F.lit(f)) for i, f in enumerate(expected)], ", ")
     detail = joined([
         F.when(missing != "", F.concat(F.lit("missing: "), missing)),
         F.when(F.col("_bad") > 0, F.concat(thousands(F.col("_bad")), F.lit(
             " monthly rows with period_label not in YYYY-MM format"))),
-        F.concat(F.lit("rows by frequency: "), F.array_join(F.transform("_rows", lambda s: s["t"]), ", "))])
+        F.concat(F.lit("rows by frequency: "), texts)])
     return outcome(row, (missing != "") | (F.coalesce("_bad", _zero()) > 0),
                    F.when(seen == "", F.lit("-")).otherwise(seen), ", ".join(expected), detail)
 
@@ -339,28 +383,61 @@ def bad_month_label(frequency: str, label: str) -> Column:
 def datasets_fresh(df: DataFrame, expected: list[str], now: Column, max_age: int = MAX_AGE_DAYS,
                    code: str = "dataset_code", extracted: str = "extracted_at") -> DataFrame:
     """WARN when an expected dataset is absent or a dataset's newest extraction is older than ``max_age`` days."""
-    newest = df.groupBy(F.col(code).alias("_code")).agg(F.max(extracted).alias("_at"))
-    ages = newest.withColumn("_age", F.timestamp_diff("DAY", F.col("_at"), now))
+    ages = checkpointed(dataset_ages(df, now, code, extracted))        # a row per dataset
     table = inline(df.sparkSession, list(enumerate(expected)), "_i bigint, _expected string")
-    sides = ages.join(table, F.col("_code") == F.col("_expected"), "full_outer")
-    stale = F.col("_code").isNotNull() & (F.col("_age").isNull() | (F.col("_age") > max_age))
+    absent = table.join(ages, F.col("_code") == F.col("_expected"), "left").agg(F.sort_array(F.collect_list(
+        F.when(F.col("_code").isNull(), F.struct("_i", "_expected")))).alias("_m"))
     age = F.when(F.col("_age").isNull(), F.lit("no timestamp")).otherwise(
         F.concat(F.col("_age").cast("string"), F.lit(" days")))
-    row = sides.agg(
-        F.count("_code").alias("_n"),
-        F.sort_array(F.collect_list(F.when(F.col("_code").isNull(), F.struct("_i", "_expected")))).alias("_m"),
-        F.sort_array(F.collect_list(F.when(stale, F.struct(
-            "_code", F.concat("_code", F.lit(" ("), age, F.lit(")")).alias("t"))))).alias("_s"))
+    stale = first_listed(ages.filter(_stale(max_age)), [F.col("_code")], F.concat("_code", F.lit(" ("), age, F.lit(")")))
+    row = ages.agg(F.count("_code").alias("_n")).select("_n", absent.scalar().alias("_m"), stale.alias("_s"))
     detail = joined([
         F.when(F.size("_m") > 0, F.concat(
             F.lit("missing: "), F.array_join(F.transform("_m", lambda s: s["_expected"]), ", "))),
-        F.when(F.size("_s") > 0, F.concat(
-            F.lit(f"older than {max_age} days: "), F.array_join(F.transform("_s", lambda s: s["t"]), ", ")))])
+        F.when(F.col("_s") != "", F.concat(F.lit(f"older than {max_age} days: "), F.col("_s")))])
     target = f"<= {max_age}d old"
     return outcome(row, detail != "", thousands(F.col("_n")),
                    f"{len(expected)} present, {target}" if expected else target, detail, level=WARN)
 
 
+def dataset_ages(df: DataFrame, now: Column, code: str = "dataset_code", extracted: str = "extracted_at") -> DataFrame:
+    """Days since the newest extraction of each dataset; NULL without a timestamp."""
+    newest = df.groupBy(F.col(code).alias("_code")).agg(F.max(extracted).alias("_at"))
+    return newest.withColumn("_age", F.timestamp_diff("DAY", F.col("_at"), now))
+
+
+def _stale(max_age: int) -> Column:
+    return F.col("_code").isNotNull() & (F.col("_age").isNull() | (F.col("_age") > max_age))
+
+
+# ---- details: what the texts of checks abbreviate, as rows (code, n_rows, note) ----
+
+def detail_rows(df: DataFrame, code: Column, n_rows: Column, note: Column) -> DataFrame:
+    return df.select(code.cast("string").alias("code"), n_rows.cast("bigint").alias("n_rows"), note.cast("string").alias("note"))
+
+
+def bounds_details(found: DataFrame) -> DataFrame:
+    note = F.concat(F.lit("observed "), six_digits(F.col("min_out")), F.lit(" to "), six_digits(F.col("max_out")))
+    return detail_rows(found, F.col("code"), F.col("n_out"), note)
+
+
+def extra_code_details(df: DataFrame, code: str, expected: list[str], weight: Column | None = None) -> DataFrame:
+    """Codes that occur but are not expected, with their rows."""
+    n = F.sum(weight if weight is not None else F.lit(1)).alias("_n")
+    return detail_rows(_others(df, code, expected).groupBy(code).agg(n), F.col(code), F.col("_n"), F.lit("not in expected list"))
+
+
+def frequency_details(df: DataFrame, frequency: str = "frequency", weight: Column | None = None) -> DataFrame:
+    n = F.sum(weight if weight is not None else F.lit(1)).alias("_n")
+    return detail_rows(df.groupBy(frequency).agg(n), F.col(frequency), F.col("_n"), F.lit("rows by frequency"))
+
+
+def stale_details(df: DataFrame, now: Column, max_age: int = MAX_AGE_DAYS, code: str = "dataset_code",
+                  extracted: str = "extracted_at") -> DataFrame:
+    """Datasets without a timestamp or older than allowed; ``n_rows`` is their age in days."""
+    return detail_rows(dataset_ages(df, now, code, extracted).filter(_stale(max_age)), F.col("_code"), F.col("_age"), F.lit("days since extraction"))
+
+
 def views_return_rows(views: dict[str, DataFrame | None]) -> DataFrame:
     """Each view exists (not None) and has a row. One row per view is read, whatever its size."""
     spark = next(v for v in views.values() if v is not None).sparkSession
@@ -392,18 +469,22 @@ def unmanaged_codes(geography: DataFrame, home: str, managed: list[str] = MANAGE
 
 # ---- code lists (checks of harmonised breakdowns) ----
 
-def code_list_complete(df: DataFrame, column: str) -> DataFrame:
+def _rows_of(df: DataFrame, column: str, weight: Column | None) -> DataFrame:
+    """Rows per value, written: read for the total and for the first five."""
+    return checkpointed(df.groupBy(column).agg((F.sum(weight) if weight is not None else F.count("*")).alias("_n")))
+
+
+def code_list_complete(df: DataFrame, column: str, weight: Column | None = None) -> DataFrame:
     """No row carries a code its code list does not contain (see ``code_list``)."""
-    lost = df.filter(F.col(f"{column}_unlisted")).groupBy(column).agg(F.count("*").alias("_n"))
+    lost = _rows_of(df.filter(F.col(f"{column}_unlisted")), column, weight)
     first = lost.orderBy(F.desc("_n"), column).limit(5)
     total = lost.agg(F.coalesce(F.sum("_n"), _zero()).alias("_n"))
     text = F.concat(F.col(column), F.lit(" (+"), thousands(F.col("_n")), F.lit(")"))
     return outcome(total, F.col("_n") > 0, thousands(F.col("_n")), "0", listed(first, [-F.col("_n"), F.col(column)], text))
 
 
-def accepted_values(df: DataFrame, column: str, values: list[str]) -> DataFrame:
-    other = df.filter(F.col(column).isNotNull() & ~F.col(column).isin(values)).groupBy(column) \
-        .agg(F.count("*").alias("_n"))
+def accepted_values(df: DataFrame, column: str, values: list[str], weight: Column | None = None) -> DataFrame:
+    other = _rows_of(df.filter(F.col(column).isNotNull() & ~F.col(column).isin(values)), column, weight)
     first = other.orderBy(F.desc("_n"), column).limit(5)
     total = other.agg(F.coalesce(F.sum("_n"), _zero()).alias("_n"))
     text = F.concat(F.col(column).cast("string"), F.lit(" (+"), thousands(F.col("_n")), F.lit(")"))
@@ -417,6 +498,7 @@ class Check:
     table: str
     name: str
     build: Callable[[], DataFrame]      # outcome rows, with a ``check`` or ``table`` of their own if they have one
+    details: Callable[[], DataFrame] | None = None      # all that the text abbreviates, as rows
 
 
 def _labelled(check: Check) -> DataFrame:
@@ -461,6 +543,19 @@ def run_checks(spark: SparkSession, checks: list[Check], at_once: int = 6) -> Da
     return inline(spark, rows, ", ".join(f"{n} string" for n in CHECK_RESULT.names))
 
 
+def check_details(spark: SparkSession, checks: list[Check]) -> DataFrame:
+    """``table``, ``check``, ``code``, ``n_rows``, ``note``: an ordinary frame, written by Spark and never gathered. A check
+    whose details cannot be analysed has none; its own row says so."""
+    frames = [inline(spark, [], "table string, check string, code string, n_rows bigint, note string")]
+    for check in checks:
+        if check.details:
+            try:
+                frames.append(check.details().select(F.lit(check.table).alias("table"), F.lit(check.name).alias("check"), "code", "n_rows", "note"))
+            except Exception:  # noqa: BLE001  an ERROR row of run_checks
+                continue
+    return reduce(DataFrame.unionByName, frames)
+
+
 def tally(found: DataFrame) -> DataFrame:
     """Results per status, and whether the run failed."""
     return found.agg(
@@ -476,7 +571,13 @@ def problems_first(found: DataFrame) -> DataFrame:
 # ---- the suite of one domain ----
 
 def fact_profile(fact: DataFrame, dims: dict[str, DataFrame], bounds: dict[str, tuple]) -> DataFrame:
-    """A fact table rolled up to its keys: all coverage checks read this instead of the fact.
+    """A fact table rolled up to its keys: all coverage checks read this instead of the fact."""
+    return fact_profiles(fact, dims, bounds, [])[0]
+
+
+def fact_profiles(fact: DataFrame, dims: dict[str, DataFrame], bounds: dict[str, tuple], foreign: list[str]
+                  ) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """:func:`fact_profile`, and rows per value of each foreign key for the orphan check.
 
     One scan with map-side combine; written once, since several checks prune it differently.
     """
@@ -486,11 +587,11 @@ def fact_profile(fact: DataFrame, dims: dict[str, DataFrame], bounds: dict[str,
     has_freq = "frequency" in fact.columns
     wrong = bad_month_label("frequency", "period_label") if has_freq else F.lit(False)
     keys = ["geo_key", "source_key", "indicator_key", "indicator_code", "dataset_code"] + ["frequency"] * has_freq
-    rolled = rows.groupBy(*keys).agg(
-        F.count("*").alias("n_rows"), F.max("extracted_at").alias("extracted_at"),
-        F.sum(wrong.cast("bigint")).alias("n_bad_labels"), F.sum(out.cast("bigint")).alias("n_out"),
-        F.min(F.when(out, F.col("value"))).alias("min_out"), F.max(F.when(out, F.col("value"))).alias("max_out"))
-    return checkpointed(rolled)
+    measures = {
+        "extracted_at": F.max("extracted_at"), "n_bad_labels": F.sum(wrong.cast("bigint")), "n_out": F.sum(out.cast("bigint")),
+        "min_out": F.min(F.when(out, F.col("value"))), "max_out": F.max(F.when(out, F.col("value")))}
+    found = grouped_once(rows, {PROFILE: keys, **{fk: [fk] for fk in foreign}}, measures)
+    return found[PROFILE], {fk: found[fk].select(fk, "n_rows") for fk in foreign}
 
 
 def dimension_checks(dims: dict[str, DataFrame], minimums: dict[str, int] = MIN_DIMENSION_ROWS) -> list[Check]:
@@ -519,27 +620,27 @@ def fact_checks(domain: Domain, fact: DataFrame, dims: dict[str, DataFrame], now
     """The checks configured for a domain; what is not configured is skipped."""
     spec, table = domain.checks, domain.fact
     bounds = spec.get("value_bounds", {})
-    profile = fact_profile(fact, dims, bounds)
+    fks = {fk: (d, dims[d], fk) for fk, d in FOREIGN_KEYS.items() if fk in fact.columns}
+    profile, used = fact_profiles(fact, dims, bounds, list(fks))
     geography = dims["dim_geography"]
     n = F.col("n_rows")
-    fks = {fk: (d, dims[d], fk) for fk, d in FOREIGN_KEYS.items() if fk in fact.columns}
     sources = profile.join(dims["dim_source"].select("source_key", "provider", "source_id"), "source_key")
     checks = [
         Check(table, "table scan", lambda: scan_checks(
             fact, spec["min_rows"], FACT_REQUIRED, populated=spec.get("populated_columns"))),
-        Check(table, "key uniqueness", lambda: key_uniqueness(fact, "fact_key", [])),
-        Check(table, "duplicate rows at grain", lambda: grain(fact)),
-        Check(table, "orphan foreign keys", lambda: orphan_keys(fact, fks)),
+        Check(table, "duplicates", lambda: duplicate_checks(fact, [["fact_key"]])),
+        Check(table, "orphan foreign keys", lambda: orphan_keys(fact, fks, used)),
         Check(table, "indicator coverage", lambda: expected_codes(
             profile, "indicator_code", spec.get("expected_indicators", []),
-            dims["dim_indicator"].select("indicator_code"))),
+            dims["dim_indicator"].select("indicator_code")),
+            lambda: extra_code_details(profile, "indicator_code", spec.get("expected_indicators", []), n)),
         Check(table, "datasets present and fresh", lambda: datasets_fresh(
-            profile, spec.get("expected_datasets", []), now, max_age)),
+            profile, spec.get("expected_datasets", []), now, max_age), lambda: stale_details(profile, now, max_age)),
     ]
     if bounds:
         found = profile.filter("n_out > 0").groupBy(F.col("indicator_code").alias("code")).agg(
             F.sum("n_out").alias("n_out"), F.min("min_out").alias("min_out"), F.max("max_out").alias("max_out"))
-        checks.append(Check(table, "values within bounds", lambda: values_within_bounds(found, bounds)))
+        checks.append(Check(table, "values within bounds", lambda: values_within_bounds(found, bounds), lambda: bounds_details(found)))
     if spec.get("expected_providers"):
         checks.append(Check(table, "providers present", lambda: providers_present(
             sources, spec["expected_providers"], weight=n)))
@@ -551,7 +652,8 @@ def fact_checks(domain: Domain, fact: DataFrame, dims: dict[str, DataFrame], now
             used_units(profile, geography, home=None), spec["min_other_countries"], "IT")))
     if spec.get("expected_frequencies"):
         checks.append(Check(table, "frequencies and period labels", lambda: frequencies(
-            profile, spec["expected_frequencies"], weight=n, bad=F.col("n_bad_labels"))))
+            profile, spec["expected_frequencies"], weight=n, bad=F.col("n_bad_labels")),
+            lambda: frequency_details(profile, weight=n)))
     if views:
         checks.append(Check(table, "views return rows", lambda: views_return_rows(views)))
     return checks

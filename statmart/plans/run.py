@@ -152,6 +152,7 @@ def check(spark: SparkSession, layout: Layout, domains: list[Domain], now: datet
         if domain.checks:
             fact = open_or_empty(spark, layout.table(domain.fact), FACTS[domain.fact])
             checks += quality.fact_checks(domain, fact, dims, F.lit(now), published_marts(spark, layout, domain.name))
+    publish(quality.check_details(spark, checks), layout.table("check_details"))
     return quality.run_checks(spark, checks)
 
 

@@ -80,15 +80,15 @@ def scratch(spark: SparkSession):
             fs.delete(where, True)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
+def checkpointed(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there and survives a lost executor.
 
-    A parquet table rather than ``df.checkpoint()``: columnar and compressed, later readers prune columns, and Catalyst
+    ``by``: partition columns, for readers that need one part each. A parquet table rather than ``df.checkpoint()``: columnar and compressed, later readers prune columns, and Catalyst
     knows its real size.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/statmart-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
     written = _WRITTEN.get()
     if written is not None:
         written.append(path)
