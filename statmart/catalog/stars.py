@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..plans.marts import Star, flatten, headline, headline_rates, labour, marts, paired, social_economy
+from ..plans.marts import Star, flatten, headline, headline_rates, labelled, labour, mart_of, marts, paired, social_economy, spread
+from ..session import checkpointed
 from .base import Tables, query
 
 INDICATOR = """CASE p_type WHEN 'ECONOMY' THEN {0} WHEN 'SMALL' THEN {1} WHEN 'MEDIUM' THEN {2} WHEN 'PROMO' THEN {3}
@@ -151,7 +152,7 @@ def mart_labour(t):
 
 
 _RATES = "indicator_code IN ('employment_rate', 'unemployment_rate', 'inactivity_rate')"
-# Plain SQL of every filtered mart: (base, columns, condition).
+# Plain SQL of every filtered mart: (base, columns, condition). The conditions are fixed values, as in plans/marts.py.
 MART_SQL = {
     "se_volunteering_national": ("social_economy", "year, indicator_code, indicator_label_it, volunteering_form, gender, value, unit, source_id, dataset_code",
         "nuts_code = 'IT' AND nuts_level = 0 AND indicator_code = 'volunteering_rate'"),
@@ -188,6 +189,52 @@ def _register_marts() -> None:
 
 _register_marts()
 
+_COUNT_SQL = " UNION ALL ".join(
+    f"SELECT '{name}' AS mart, count(*) AS n_rows, count(DISTINCT {columns.split(',')[1].strip()}) AS n_second FROM flat_{base} WHERE {where} HAVING count(*) > 0"
+    for name, (base, columns, where) in MART_SQL.items())
+
+
+@query("marts_in_one_pass", f"""
+    WITH flat_labour AS MATERIALIZED ({_STAR['labour']}), flat_social_economy AS MATERIALIZED ({_STAR['social_economy']}) {_COUNT_SQL}""")
+def marts_in_one_pass(t):
+    """Every mart of both domains from one written table each; its second column counted."""
+    tables = {base: checkpointed(spread(flat(t, base), base), by=["mart"]) for base in ("labour", "social_economy")}
+    frames = []
+    for base, table in tables.items():
+        second = F.lit(None).cast("string")
+        for name, mart in marts().items():
+            if mart.base == base:
+                second = F.when(F.col("mart") == name, F.col(mart.columns[1]).cast("string")).otherwise(second)
+        frames.append(table.groupBy("mart").agg(F.count("*").alias("n_rows"), F.count_distinct(second).alias("n_second")))
+    return frames[0].unionByName(frames[1])
+
+
+@query("mart_from_partition", f"""
+    WITH flat AS ({_STAR['labour']}) SELECT {MART_SQL['labour_unemployment_by_education'][1]} FROM flat
+    WHERE {MART_SQL['labour_unemployment_by_education'][2]}""")
+def mart_from_partition(t):
+    return mart_of(checkpointed(spread(flat(t, "labour"), "labour"), by=["mart"]), "labour_unemployment_by_education")
+
+
+@query("mart_labour_labelled", f"""
+    WITH flat AS ({_STAR['labour']}),
+    codes AS (SELECT DISTINCT CASE l_linestatus WHEN 'O' THEN 'istat' ELSE 'eurostat' END AS p, 'ED' || l_linenumber AS code, 'education ' || l_linenumber AS label
+        FROM lineitem WHERE l_linenumber <> 5)
+    SELECT flat.*, coalesce(gender = 'total', true) AS gender_is_total, coalesce(education = 'TOTAL', true) AS education_is_total,
+        coalesce(citizenship = 'TOTAL', true) AS citizenship_is_total,
+        coalesce(gender = 'total', true) AND coalesce(education = 'TOTAL', true) AND coalesce(citizenship = 'TOTAL', true)
+            AND coalesce(age_group = CASE indicator_code WHEN 'employment_rate' THEN 'Y15-64' WHEN 'unemployment_rate' THEN 'Y15-74'
+                WHEN 'inactivity_rate' THEN 'Y15-64' WHEN 'neet_rate' THEN 'Y15-29' END, false) AS is_headline,
+        gender AS gender_label, coalesce(codes.label, education) AS education_label, citizenship AS citizenship_label
+    FROM (SELECT {_LABOUR_COLUMNS} FROM flat) flat LEFT JOIN codes ON codes.p = flat.provider AND codes.code = flat.education""")
+def mart_labour_labelled(t):
+    codes = t.lineitem.filter("l_linenumber <> 5").select(
+        F.lit("education").alias("breakdown"), F.when(F.col("l_linestatus") == "O", "istat").otherwise("eurostat").alias("provider"),
+        F.concat(F.lit("ED"), F.col("l_linenumber").cast("string")).alias("code"),
+        F.concat(F.lit("education "), F.col("l_linenumber").cast("string")).alias("label")).distinct()
+    return labelled(flat(t, "labour"), "labour", codes)
+
+
 _TOTAL = "coalesce(gender = 'total', true) AND coalesce(education = 'ED7', true)"
 _BAND = """CASE indicator_code WHEN 'employment_rate' THEN 'Y15-64' WHEN 'unemployment_rate' THEN 'Y15-74'
     WHEN 'inactivity_rate' THEN 'Y15-64' WHEN 'neet_rate' THEN 'Y15-29' END"""

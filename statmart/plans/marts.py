@@ -175,6 +175,28 @@ def marts() -> dict[str, Mart]:
     }
 
 
+NAME = "mart"
+
+
+def spread(flat: DataFrame, base: str) -> DataFrame:
+    """All filtered marts over one flat mart in one frame: a row once for every mart it belongs to, with the mart's name.
+
+    The flat mart is read once, whatever the number of marts. Columns that a mart does not have are NULL in its rows, and
+    what it renames is renamed by :func:`mart_of`.
+    """
+    mine = {name: mart for name, mart in marts().items() if mart.base == base}
+    columns = [c for c in flat.columns if any(c in m.columns for m in mine.values())]
+    belongs = F.array_compact(F.array(*[F.when(m.where, F.lit(name)) for name, m in mine.items()]))
+    rows = flat.withColumn(NAME, F.explode(belongs))
+    return rows.select(*[F.when(F.col(NAME).isin([n for n, m in mine.items() if c in m.columns]), F.col(c)).alias(c) for c in columns], NAME)
+
+
+def mart_of(table: DataFrame, name: str) -> DataFrame:
+    """One mart of a table that :func:`spread` has made."""
+    mart = marts()[name]
+    return table.filter(F.col(NAME) == name).select(*[F.col(c).alias(mart.renamed.get(c, c)) for c in mart.columns])
+
+
 def register(flats: dict[str, DataFrame]) -> list[str]:
     """Expose the flat and filtered marts of the given domains as temporary views; returns their names."""
     names = []

@@ -8,12 +8,13 @@ from datetime import date, datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..registry import DOMAINS, MIN_DIMENSION_ROWS, Domain, dataset_table, inline, select_domains
 from ..schemas import DIMENSIONS, FACTS, RAW_METADATA
 from ..session import checkpointed, file_system, scratch
 from ..sources import mappings
-from ..sources.landing import append_load_log, create_if_absent, publish, write_lines, write_run_log
+from ..sources.landing import append_load_log, create_if_absent, publish, publish_counted, write_lines, write_run_log
 from ..sources.layers import MonthFiles, Months, PartitionedMonths
 from ..sources.snapshots import open_or_empty
 from . import marts, quality, release, report, warehouse
@@ -118,24 +119,34 @@ def code_lists(spark: SparkSession, layout: Layout) -> DataFrame | None:
 
 
 def publish_marts(spark: SparkSession, layout: Layout) -> int:
-    """Write every mart as a table; the number of marts."""
-    flat = flat_marts(spark, layout)
-    tables = {**{f"mart_{name}": df for name, df in flat.items()},
-              **{f"mart_{name}": mart.of(flat[mart.base]) for name, mart in marts.marts().items()},
-              **{f"mart_{name}_labelled": marts.labelled(df, name, code_lists(spark, layout)) for name, df in flat.items()}}
-    for name, df in tables.items():
-        publish(df, layout.table(name))
-    return len(tables)
+    """Write every mart; the number of marts.
+
+    The star of a domain is joined once, for its flat mart. The labelled mart and, in one job, all filtered marts (one
+    table, partitioned by mart) are made from the flat mart as published.
+    """
+    n = 0
+    for name, df in flat_marts(spark, layout).items():
+        publish(df, layout.table(f"mart_{name}"))
+        flat = spark.read.parquet(layout.table(f"mart_{name}"))
+        publish(marts.labelled(flat, name, code_lists(spark, layout)), layout.table(f"mart_{name}_labelled"))
+        publish_counted(marts.spread(flat, name), layout.table(f"marts_{name}"), by=[marts.NAME])
+        n += 2 + sum(m.base == name for m in marts.marts().values())
+    return n
 
 
 def published_marts(spark: SparkSession, layout: Layout, domain: str) -> dict[str, DataFrame | None]:
     """The marts of a domain as they lie there; None for one that is missing."""
-    names = [domain, f"{domain}_labelled", *(n for n, m in marts.marts().items() if m.base == domain)]
-    out: dict[str, DataFrame | None] = {}
-    for name in names:
-        fs, where = file_system(spark, layout.table(f"mart_{name}"))
-        out[f"mart_{name}"] = spark.read.parquet(layout.table(f"mart_{name}")) if fs.exists(where) else None
-    return out
+    def table(name: str, columns: StructType | None = None) -> DataFrame | None:
+        fs, where = file_system(spark, layout.table(name))
+        reader = spark.read.schema(columns) if columns else spark.read
+        return reader.parquet(layout.table(name)) if fs.exists(where) else None
+
+    out = {f"mart_{name}": table(f"mart_{name}") for name in (domain, f"{domain}_labelled")}
+    flat = out[f"mart_{domain}"]
+    # a table without any row has no file to tell its columns
+    spread = table(f"marts_{domain}", marts.spread(flat, domain).schema) if flat is not None else None
+    return out | {f"mart_{n}": marts.mart_of(spread, n) if spread is not None else None
+                  for n, m in marts.marts().items() if m.base == domain}
 
 
 def check(spark: SparkSession, layout: Layout, domains: list[Domain], now: datetime) -> DataFrame:

@@ -61,8 +61,8 @@ def publish(df: DataFrame, path: str, skip_empty: bool = False) -> int:
     return publish_counted(df, path, skip_empty)["n_rows"]
 
 
-def publish_counted(df: DataFrame, path: str, skip_empty: bool = False) -> dict[str, Any]:
-    """Replace the table at ``path`` as a whole and return what :func:`counted` has seen.
+def publish_counted(df: DataFrame, path: str, skip_empty: bool = False, by: list[str] | None = None) -> dict[str, Any]:
+    """Replace the table at ``path`` (partitioned ``by`` columns) as a whole and return what :func:`counted` has seen.
 
     The new contents are written in full next to it and moved into place only then: a failed job leaves the old
     table, and a table can be rebuilt from itself. With ``skip_empty`` an empty result leaves the old table too.
@@ -74,7 +74,7 @@ def publish_counted(df: DataFrame, path: str, skip_empty: bool = False) -> dict[
     if fs.exists(old) and not fs.exists(target):      # an earlier run was cut off between its two renames
         if not fs.rename(old, target):
             raise OSError(f"could not restore {path} from {retired}")
-    seen = counted(df, lambda w: w.mode("overwrite").parquet(staging))
+    seen = counted(df, lambda w: (w.partitionBy(*by) if by else w).mode("overwrite").parquet(staging))
     if skip_empty and seen["n_rows"] == 0:
         fs.delete(new, True)
         return seen

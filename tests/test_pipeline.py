@@ -201,3 +201,38 @@ def test_nothing_landed(spark, layout):
     args = [layout.seed(spark, n) for n in ("nuts_istat.csv", "legal_form_map.csv", "nace_labels.csv")]
     out = merge_domain(DOMAINS["labour"], {}, *args)
     assert out.count() == 0 and out.columns == PROCESSED["labour"].names
+
+
+def test_marts_are_written_in_one_pass(spark, layout, finished):
+    """Each published mart has the rows and columns it has over the star itself, and none is evaluated on the star again."""
+    flats = run.flat_marts(spark, layout)
+    for domain, flat in flats.items():
+        found = run.published_marts(spark, layout, domain)
+        assert set(found) == {f"mart_{domain}", f"mart_{domain}_labelled", *(f"mart_{n}" for n, m in marts.marts().items() if m.base == domain)}
+        for name, mart in marts.marts().items():
+            if mart.base == domain:
+                got, want = found[f"mart_{name}"], mart.of(flat)
+                assert got.columns == want.columns and rows(got) == rows(want), name
+                plan = got._jdf.queryExecution().executedPlan().toString()
+                assert plan.count("FileScan") == 1 and f"mart#" in plan and "Join" not in plan
+    spread = marts.spread(spark.read.parquet(layout.table("mart_labour")), "labour")
+    assert spread._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_the_fact_is_scanned_once_and_never_exchanged(spark, layout, finished):
+    plan = run.flat_marts(spark, layout)["labour"]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("fact_labour") == 1 and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_partitioned_layers_give_the_same_run(spark, layout, finished, tmp_path):
+    """The same landed rows through one table per layer instead of a file per snapshot."""
+    other = run.Layout(str(tmp_path / "data"), layout.seeds, partitioned=True)
+    for domain in select_domains():
+        for code, df in read_raw(spark, layout.raw, DOMAINS[domain.name]).items():
+            other.raw_layer(spark, domain).write(df.drop("_row"), code, "2026-03", ["dataset_code"])
+    assert run.run(spark, other, "2026-03", now=NOW)
+    for table in ("fact_labour", "fact_social_economy"):
+        columns = [c for c in FACTS[table].names if not c.endswith("_key")]
+        assert rows(read(spark, other, table), *columns) == rows(read(spark, layout, table), *columns)
+    assert other.processed_layer(spark, DOMAINS["labour"]).newest() == {"labour": "2026-03"}
+    assert read(spark, other, "load_log").filter("file like '%month=2026-03'").count() == 2
