@@ -68,7 +68,8 @@ def prepared(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     known = slim.withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("sha1", F.sha1("payload"))
     copies = checkpointed(known.groupBy("sha1").agg(
         F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row", "url")).alias("first"), F.count("*").alias("_n")))
-    firsts = copies.filter("_n > 1").select("sha1", "first")
+    # written on its own, so that the size Catalyst plans the join by is that of the repeated payloads only
+    firsts = checkpointed(copies.filter("_n > 1").select("sha1", "first"))
     return join_on_hot_key(known, firsts, "sha1", sizes=copies.select("sha1", "_n")).select(
         "row", "key", "url", "payload", "payload_bytes", base32(F.col("sha1")).alias("payload_digest"),
         F.when(F.col("payload_bytes") >= min_bytes, F.col("first")).alias("first"))
