@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..functions.strings import fold, map_literal
 from ..operators.dedup import collisions, keep_first, keep_last, resolve_priority, resolve_priority_located
-from ..operators.diff import expected_vs_present, orphans, parity, runs
+from ..operators.diff import expected_vs_present, orphans, parity, parity_of_rows, runs
 from ..operators.lookups import (ambiguous_keys, code_list, crosswalk_index, legal_forms, local_territory,
                                  standard_territory, territory, with_label)
 from ..plans.warehouse import year_rows
@@ -236,6 +236,25 @@ def expected_present(t):
         t.customer.filter("c_nationkey < 12").select(code))
 
 
+_TURNED = """turned AS (SELECT l_orderkey, l_returnflag, l_linenumber, CASE WHEN l_orderkey % 10 = 0
+        THEN coalesce(lead(l_quantity) OVER w, first_value(l_quantity) OVER w) ELSE l_quantity END AS l_quantity FROM lineitem
+        WINDOW w AS (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber, l_quantity, l_extendedprice, l_partkey, l_suppkey, l_shipdate, l_discount, l_tax))"""
+
+
+@query("parity_of_rows", f"""
+    WITH {_TURNED}, a AS (SELECT l_orderkey, l_returnflag, count(*) AS n, list_sort(list(l_linenumber || ':' || l_quantity)) AS rows FROM lineitem GROUP BY 1, 2),
+    b AS (SELECT l_orderkey, l_returnflag, count(*) AS n, list_sort(list(l_linenumber || ':' || l_quantity)) AS rows FROM turned GROUP BY 1, 2)
+    SELECT a.l_orderkey, a.l_returnflag, a.n AS n_old, b.n AS n_new FROM a JOIN b ON a.l_orderkey = b.l_orderkey AND a.l_returnflag = b.l_returnflag
+    WHERE a.rows <> b.rows""")
+def parity_of_rows_report(t):
+    """Quantities that changed places inside an order: counts and sums agree, the rows do not."""
+    w = Window.partitionBy("l_orderkey", "l_returnflag").orderBy(
+        "l_linenumber", "l_quantity", "l_extendedprice", "l_partkey", "l_suppkey", "l_shipdate", "l_discount", "l_tax")
+    turned = t.lineitem.withColumn("l_quantity", F.when(F.col("l_orderkey") % 10 == 0, F.coalesce(
+        F.lead("l_quantity").over(w), F.first("l_quantity").over(w))).otherwise(F.col("l_quantity")))
+    return parity_of_rows(t.lineitem, turned, ["l_orderkey", "l_returnflag"], ["l_linenumber", "l_quantity"])
+
+
 @query("parity", f"""
     WITH d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {RANK}, {TIES}) AS rn
         FROM lineitem) WHERE rn = 1),

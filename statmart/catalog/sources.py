@@ -10,12 +10,13 @@ from ..functions.periods import any_year
 from ..operators.align import stack, typed
 from ..registry import Dataset, RENAME
 from ..schemas import ddl
-from ..sources.cubes import cube_problems, decode_cubes
-from ..sources.delimited import dataset_rows, observations
-from ..session import shared_dir
+from ..sources.cubes import axes_found, cube_problems, decode_any, decode_cubes
+from ..sources.delimited import dataset_rows, observations, read_checked
+from ..session import checkpointed, shared_dir
 from ..sources.landing import manifest, missing_datasets, with_provenance
 from ..sources.layers import PartitionedMonths
 from ..sources.snapshots import metadata_columns, newest, newest_rows
+from ..streaming.landing import land_once
 from .base import Tables, query
 
 
@@ -98,6 +99,29 @@ def delimited_observations(t):
     return observations(delimited_lines(t), RENAME["social_economy"])
 
 
+@query("delimited_quarantine", """
+    SELECT CASE WHEN l_linenumber = 1 AND l_suppkey % 5 = 0 THEN 'too few fields' WHEN l_linenumber = 2 AND l_suppkey % 5 = 1 THEN 'too many fields'
+        WHEN l_linenumber = 3 THEN 'missing' ELSE 'kept' END AS outcome, count(*) AS n_lines,
+        CAST(sum(CASE WHEN (l_linenumber <> 1 OR l_suppkey % 5 <> 0) AND (l_linenumber <> 2 OR l_suppkey % 5 <> 1) AND l_linenumber <> 3
+            THEN CAST(l_quantity AS BIGINT) END) AS BIGINT) AS quantity
+    FROM lineitem GROUP BY 1""")
+def delimited_quarantine(t):
+    """Line items as delimited text, some lines with a field too few or too many, some values no numbers."""
+    few, many, missing = "l_linenumber = 1 and l_suppkey % 5 = 0", "l_linenumber = 2 and l_suppkey % 5 = 1", "l_linenumber = 3"
+    value = F.when(F.expr(missing), ":").otherwise(F.col("l_quantity").cast("int").cast("string"))
+    fields = [F.col("l_orderkey").cast("string"), F.concat(F.lit('"a, b '), F.col("l_returnflag"), F.lit('"')), value]
+    line = F.when(F.expr(few), F.concat_ws(",", *fields[:2])).when(F.expr(many), F.concat_ws(",", *fields, F.lit("more"))) \
+        .otherwise(F.concat_ws(",", *fields))
+    path = f"{shared_dir(t.spark).rstrip('/')}/lines-{uuid.uuid4().hex}"
+    t.lineitem.select(line.alias("value")).write.text(path)
+    found = read_checked(t.spark, path, "labour", ["REF_AREA", "NOTE", "OBS_VALUE"])
+    none = F.lit(None).cast("bigint")
+    kept = found.observations.agg(F.lit("kept").alias("outcome"), F.count("*").alias("n_lines"), F.sum("value").cast("bigint").alias("quantity"))
+    missed = found.tally.select(F.lit("missing").alias("outcome"), F.col("n_missing").alias("n_lines"), none.alias("quantity"))
+    return kept.unionByName(missed.filter("n_lines > 0")).unionByName(
+        found.quarantine.groupBy(F.col("reason").alias("outcome")).agg(F.count("*").alias("n_lines"), none.alias("quantity")))
+
+
 @query("dataset_filters", """
     SELECT o_orderkey, o_orderpriority, strftime(o_orderdate, '%Y-%m') AS time FROM orders
     WHERE year(o_orderdate) >= 1998 AND o_orderpriority IN ('1-URGENT', '2-HIGH')""")
@@ -151,6 +175,38 @@ def cube_decode(t):
     return decode_cubes(line_cubes(t), ["flag", "status", "time"]).select("cube_id", "flag", "status", "time", "value")
 
 
+@query("cubes_of_any_axes", """
+    SELECT l_suppkey AS cube_id, 'flag=' || l_returnflag || CASE WHEN l_suppkey % 2 = 0 THEN ';status=' || l_linestatus ELSE '' END
+        || ';time=' || year(l_shipdate) AS place, CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) AS value
+    FROM lineitem GROUP BY 1, 2""")
+def cubes_of_any_axes(t):
+    """Two shapes of cubes in one scan, none of them declared."""
+    rows = decode_any(mixed_cubes(t))
+    place = F.array_join(F.transform(F.array_sort(F.map_entries("coordinates")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+    return rows.select("cube_id", place.alias("place"), "value")
+
+
+def mixed_cubes(t: Tables) -> DataFrame:
+    """Cubes with three axes for some suppliers and with two for the others."""
+    cells = t.lineitem.select(
+        F.col("l_suppkey").alias("cube_id"), F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"),
+        F.year("l_shipdate").cast("string").alias("time"), F.col("l_quantity").cast("bigint").alias("n"))
+    even, odd = cells.filter("cube_id % 2 = 0"), cells.filter("cube_id % 2 <> 0")
+    return encode_cubes(even.groupBy("cube_id", "flag", "status", "time").agg(F.sum("n").cast("double").alias("value")),
+                        ["cube_id"], ["flag", "status", "time"], "value").unionByName(
+        encode_cubes(odd.groupBy("cube_id", "flag", "time").agg(F.sum("n").cast("double").alias("value")),
+                     ["cube_id"], ["time", "flag"], "value"))
+
+
+@query("cubes_with_found_axes", """
+    SELECT l_suppkey AS cube_id, l_returnflag AS flag, CASE WHEN l_suppkey % 2 = 0 THEN l_linestatus END AS status,
+        CAST(year(l_shipdate) AS VARCHAR) AS time, CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) AS value
+    FROM lineitem GROUP BY 1, 2, 3, 4""")
+def cubes_with_found_axes(t):
+    cubes = checkpointed(mixed_cubes(t))
+    return decode_cubes(cubes, axes_found(cubes)).select("cube_id", "flag", "status", "time", "value")
+
+
 @query("cube_problems", "SELECT s_suppkey AS cube_id, 'missing key: value' AS problem FROM supplier WHERE s_nationkey = 3")
 def cube_problem_rows(t):
     good = '{"dimension": {"geo": {"category": {"index": {"IT": 0}}}}, "value": {"0": 1.5}}'
@@ -179,6 +235,20 @@ def slice_union(t):
     return stack([a, r, n])
 
 
+@query("events_in_batches", """
+    SELECT event_type, count(*) AS n_events, min(event_id) AS first_event, CAST(sum(user_id) AS BIGINT) AS users FROM events GROUP BY 1""")
+def events_in_batches(t):
+    """Events delivered in several files, a third of them twice, landed by a stream that stops in between."""
+    home = f"{shared_dir(t.spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    delivered = t.events.unionByName(t.events.filter("event_id % 3 = 0")).withColumn("ts", F.col("ts").cast("timestamp"))
+    for part in (0, 1):
+        delivered.filter(F.col("event_id") % 2 == part).repartition(3).write.mode("append").parquet(f"{home}/inbox")
+        stream = t.spark.readStream.schema(delivered.schema).option("maxFilesPerTrigger", 1).parquet(f"{home}/inbox")
+        land_once(stream, f"{home}/out", f"{home}/progress", ["event_id"], "ts", "365 days").awaitTermination()
+    return t.spark.read.parquet(f"{home}/out").groupBy("event_type").agg(
+        F.count("*").alias("n_events"), F.min("event_id").alias("first_event"), F.sum("user_id").alias("users"))
+
+
 @query("provenance_manifest", """
     SELECT event_type AS dataset_code, count(*) AS row_count, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS extracted_at,
            'events' AS description

@@ -24,6 +24,35 @@ def parity(old: DataFrame, new: DataFrame, keys: list[str], value: str, digits:
     )
 
 
+def fingerprints(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Per key group an order-free fingerprint of its rows over ``columns``: count, sums of both halves of a row's hash, and
+    their exclusive or. Two groups with equal fingerprints hold the same rows, repeats included (but for a chance of one in
+    2 to the 64th); each row is hashed where it lies and groups are combined before the shuffle.
+
+    Whether a value is NULL is hashed beside it, as the hash function passes NULLs over.
+    """
+    h = F.xxhash64(*[x for c in columns for x in (F.col(c), F.col(c).isNull())])
+    low, high = h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32)
+    return df.select(*keys, h.alias("_h"), low.alias("_low"), high.alias("_high")).groupBy(*keys).agg(
+        F.count("*").alias("n_rows"), F.sum("_low").alias("low"), F.sum("_high").alias("high"), F.bit_xor("_h").alias("mixed"))
+
+
+def parity_of_rows(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Key groups whose rows differ between two versions in any of ``columns``, whatever their order: values that changed
+    places between rows are found, which counts and sums (:func:`parity`) cannot see. ``n_old`` and ``n_new`` are NULL for a
+    group that one side lacks."""
+    marks = ["low", "high", "mixed"]
+    a = fingerprints(old, keys, columns).withColumnRenamed("n_rows", "n_old")
+    b = fingerprints(new, keys, columns).select(*[F.col(k).alias(f"_b_{k}") for k in keys], F.col("n_rows").alias("n_new"),
+                                                 *[F.col(m).alias(f"_b_{m}") for m in marks])
+    same = [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys]
+    equal = F.col("n_old").eqNullSafe(F.col("n_new"))
+    for m in marks:
+        equal = equal & F.col(m).eqNullSafe(F.col(f"_b_{m}"))
+    return a.join(b, same, "full_outer").filter(~equal).select(
+        *[F.coalesce(F.col(k), F.col(f"_b_{k}")).alias(k) for k in keys], "n_old", "n_new")
+
+
 def expected_vs_present(expected: DataFrame, present: DataFrame, key: str, known: DataFrame | None = None) -> DataFrame:
     """Every code of either side: missing, extra or present; for missing ones, whether ``known`` lists them."""
     e = expected.select(key).distinct().withColumn("_e", F.lit(True))

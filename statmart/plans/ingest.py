@@ -13,21 +13,29 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..registry import Dataset, Domain, inline
 from ..schemas import RAW_METADATA
 from ..session import checkpointed, file_system, scratch
-from ..sources.cubes import cube_problems, decode_cubes, read_cube_files
-from ..sources.delimited import dataset_rows, read_delimited
-from ..sources.landing import with_provenance
+from ..sources.cubes import axes_found, cube_problems, decode_cubes, read_cube_files
+from ..sources.delimited import dataset_rows, read_checked
+from ..sources.landing import publish, with_provenance
 from ..sources.layers import MonthFiles, Months
 
+NAMED = 20      # broken slices of a dataset named in the error
 MANIFEST = "dataset_code string, row_count bigint, extracted_at timestamp, source_id string, description string"
 
 
-def responses(spark: SparkSession, folder: str, dataset: Dataset) -> tuple[DataFrame, DataFrame | None]:
-    """(observations, responses that cannot be decoded: ``source`` and ``problem``) of one dataset's folder."""
+def responses(spark: SparkSession, folder: str, dataset: Dataset) -> tuple[DataFrame, DataFrame]:
+    """(observations, quarantine) of one dataset's folder. The quarantine has a row for every slice that cannot be decoded
+    and every broken line: ``file``, ``line`` (NULL for a whole slice) and ``reason``.
+
+    A dataset without declared axes takes those its cubes have.
+    """
     if dataset.provider == "eurostat":
         files = read_cube_files(spark, folder)
-        rows = decode_cubes(files, dataset.axes).drop("source").filter(F.col("value").isNotNull())
-        return dataset_rows(rows, dataset), cube_problems(files)
-    return dataset_rows(read_delimited(spark, folder, dataset.domain), dataset), None
+        axes = dataset.axes or axes_found(files)
+        rows = decode_cubes(files, axes).drop("source").filter(F.col("value").isNotNull())
+        broken = cube_problems(files).select(F.col("source").alias("file"), F.lit(None).cast("string").alias("line"), F.col("problem").alias("reason"))
+        return dataset_rows(rows, dataset), broken
+    found = read_checked(spark, folder, dataset.domain)
+    return dataset_rows(found.observations, dataset), found.quarantine
 
 
 def ingest(spark: SparkSession, landed: str, raw: str, domain: Domain, month: str, extracted_at: datetime,
@@ -54,9 +62,15 @@ def ingest(spark: SparkSession, landed: str, raw: str, domain: Domain, month: st
                     raise ValueError("no column 'value'")
                 stamped = checkpointed(with_provenance(rows, dataset.provider, dataset.code, extracted_at))
                 written[dataset.code] = layer.write(stamped, dataset.code, month, RAW_METADATA)
-                if broken is not None:
-                    # one short line per slice file that is broken; slices per dataset are bounded by its registry entry
-                    problems += [f"{dataset.code}: {r['source']}: {r['problem']}" for r in broken.orderBy("source").collect()]
+                n_lines = publish(broken.filter("line is not null"), f"{raw}/quarantine/{domain.name}/{dataset.code}_{month}/lines")
+                n_slices = publish(broken.filter("line is null"), f"{raw}/quarantine/{domain.name}/{dataset.code}_{month}/slices")
+                if n_lines:
+                    problems.append(f"{dataset.code}: {n_lines} broken lines in quarantine")
+                if n_slices:
+                    # the first few by name; all of them are in the quarantine
+                    first = spark.read.parquet(f"{raw}/quarantine/{domain.name}/{dataset.code}_{month}/slices").orderBy("file").limit(NAMED)
+                    problems += [f"{dataset.code}: {r['file']}: {r['reason']}" for r in first.collect()]
+                    problems += [f"{dataset.code}: {n_slices - NAMED} more broken slices in quarantine"] * (n_slices > NAMED)
             if not written[dataset.code]["n_rows"]:
                 problems.append(f"{dataset.code}: no observations")
         except Exception as e:  # noqa: BLE001  named below, after the others

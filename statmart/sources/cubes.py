@@ -115,3 +115,52 @@ def decode_cubes(files: DataFrame, declared: list[str], body: str = "body", stri
         code = F.coalesce(F.get(f"_codes_{n}", spot), F.try_element_at(f"_beyond_{n}", spot), F.concat(F.lit("unknown_"), spot.cast("string")))
         out += [F.when(F.col(f"_at_{n}") >= 0, code).alias(n), F.get(f"_labels_{n}", spot).alias(f"{n}_label")]
     return exploded.select(*out, "value")
+
+
+def axes_found(files: DataFrame, body: str = "body") -> list[str]:
+    """Lower-case axis names of all responses. Names of dimensions, not codes: a few, whatever the data."""
+    names = files.select(F.explode(F.json_object_keys(F.get_json_object(F.col(body), "$.dimension"))).alias("a"))
+    return sorted(r["a"] for r in names.select(F.lower("a").alias("a")).distinct().collect())
+
+
+def decode_any(files: DataFrame, body: str = "body") -> DataFrame:
+    """One row per observation of responses with any axes, in one scan: the identifying columns of ``files``,
+    ``coordinates`` (axis -> code, in document order), ``labels`` (axis -> label where one exists and differs), ``value``.
+
+    Strides follow the axes in the order of the document, so the order has to come from its text: parsed into a VARIANT,
+    an object has its keys in order of the alphabet.
+    """
+    ids = [c for c in files.columns if c != body]
+    usable = parse_cubes(files, body).filter(F.col("problem").isNull())
+    category = lambda a: F.element_at(F.col("cube.dimension"), a)["category"]
+    axis = F.transform("axes", lambda a: F.struct(
+        F.lower(a).alias("name"), F.size(category(a)["index"]).cast("bigint").alias("size"),
+        _codes_by_position(category(a)["index"]).alias("codes"), _codes_beyond(category(a)["index"]).alias("beyond"),
+        category(a)["label"].alias("label")))
+    strided = F.transform("axis", lambda x, i: F.struct(
+        F.aggregate(F.slice("axis", i + 2, F.size("axis")), F.lit(1).cast("bigint"), lambda acc, y: acc * y["size"]).alias("stride"), i.alias("at"),
+        _labels_by_position(x["codes"], x["label"]).alias("labels")))
+    prepared = usable.withColumn("axis", axis).withColumn("plan", strided)
+    rows = prepared.select(*ids, "axis", "plan", F.explode("cube.value").alias("_flat", "value")).withColumn("_flat", F.col("_flat").cast("bigint"))
+
+    def spot(x: Column, p: Column) -> Column:
+        # the first axis has no modulus: a flat index beyond the cube shows as an unknown position
+        whole = F.floor(F.col("_flat") / p["stride"]).cast("bigint")
+        return F.when(p["at"] == 0, whole).otherwise(whole % F.greatest(x["size"], F.lit(1))).cast("int")
+
+    def entry(x: Column, p: Column) -> Column:
+        at = spot(x, p)
+        code = F.coalesce(F.get(x["codes"], at), F.try_element_at(x["beyond"], at), F.concat(F.lit("unknown_"), at.cast("string")))
+        return F.struct(x["name"].alias("name"), code.alias("code"), F.get(p["labels"], at).alias("label"))
+
+    placed = rows.withColumn("_place", F.zip_with("axis", "plan", entry))
+    return placed.select(
+        *ids, F.map_from_entries(F.transform("_place", lambda e: F.struct(e["name"], e["code"]))).alias("coordinates"),
+        F.map_from_entries(F.transform(F.filter("_place", lambda e: e["label"].isNotNull()),
+                                       lambda e: F.struct(e["name"], e["label"]))).alias("labels"), "value")
+
+
+def with_axes(rows: DataFrame, axes: list[str]) -> DataFrame:
+    """Rows of :func:`decode_any` in the shape of :func:`decode_cubes`: a code and a label column per axis."""
+    out = [c for name in axes for c in (F.try_element_at("coordinates", F.lit(name)).alias(name), F.try_element_at("labels", F.lit(name)).alias(f"{name}_label"))]
+    return rows.select(*[c for c in rows.columns if c not in ("coordinates", "labels", "value")], *out, "value")
