@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.strings import strip
 from ..operators.keys import KeyLookup, resolve_keys, resolved
 from ..operators.scope import counts_by, sample_codes
-from ..plans.merge import ROW_ID, merge_domain
+from ..plans.merge import ROW_ID, aligned, merge_domain, with_activity_labels
 from ..plans.warehouse import build_fact
 from ..registry import DOMAINS
 from ..schemas import DIMENSIONS
@@ -159,10 +159,10 @@ MERGE_SQL = r"""
     bh AS (SELECT b.*, upper(geo) AS nuts_code, CASE WHEN length(geo) BETWEEN 2 AND 5 THEN length(geo) - 2 END AS nuts_level, upper(substring(geo, 1, 2)) AS country_code,
             CAST(NULL AS VARCHAR) AS nuts_name_it, CAST(NULL AS BOOLEAN) AS geo_unmatched FROM b
           WHERE (length(geo) = 2 OR geo LIKE 'IT%')),
-    u AS (SELECT * FROM ah UNION ALL SELECT * FROM bh),
+    u AS MATERIALIZED (SELECT * FROM ah UNION ALL SELECT * FROM bh),
     k AS (SELECT *, row_number() OVER (PARTITION BY indicator_code, nuts_code, time, nace_code, gender, age_group, education, frequency
-            ORDER BY priority, dataset_code, seen DESC, value) AS rn FROM u WHERE nuts_code IS NOT NULL),
-    f AS (SELECT * EXCLUDE (rn) FROM k WHERE rn = 1 UNION ALL SELECT * FROM u WHERE nuts_code IS NULL)
+            ORDER BY priority, dataset_code, seen DESC, value) AS rn FROM u),
+    f AS MATERIALIZED (SELECT * EXCLUDE (rn) FROM k WHERE rn = 1 OR nuts_code IS NULL)
     SELECT indicator_code, dataset_code, source_id, CAST(priority AS BIGINT) AS priority, value, 'percentage' AS unit, CAST(substring(time, 1, 4) AS BIGINT) AS time,
         frequency, time AS period_label, nuts_code, CAST(nuts_level AS BIGINT) AS nuts_level, country_code, nuts_name_it, gender, age_group, education, nace_code,
         strftime(seen, '%Y-%m-%d') AS extracted_on, geo_unmatched
@@ -217,15 +217,33 @@ def merge_labour(t):
         F.lit("istat").alias("source_system"), F.col("r_name").alias("source_code"), F.lit("").alias("unified_category"),
         F.lit("").alias("unified_category_en"), F.lit("").alias("nace_primary"), F.lit("").alias("ets_classification"),
         F.col("r_regionkey").cast("bigint").alias("ord"))
-    activities = t.nation.select(F.concat(F.lit("C"), F.col("n_nationkey").cast("string")).alias("nace_code"),
-                                 F.col("n_name").alias("label_en"), F.col("n_nationkey").cast("bigint").alias("ord"))
-    merged = merge_domain(DOMAINS["labour"], landings(t), crosswalk, forms, activities)
+    merged = merge_domain(DOMAINS["labour"], landings(t), crosswalk, forms, activity_names(t))
     return merged.select(
         "indicator_code", "dataset_code", "source_id", "priority", "value", "unit", "time", "frequency", "period_label",
         "nuts_code", "nuts_level", "country_code", "nuts_name_it", "gender", "age_group", "education", "nace_code",
         F.date_format("extracted_at", "yyyy-MM-dd").alias("extracted_on"), "geo_unmatched")
 
 
+# ---- the parts of a merge on their own ----
+@query("canonical_axes", """
+    SELECT CASE l_returnflag WHEN 'A' THEN 'T' ELSE 'F' END AS gender, 'Y15-74' AS age_group, CASE l_linestatus WHEN 'O' THEN 'TOTAL' ELSE 'ED5-8' END AS education,
+        'A' AS frequency, 'C' || CAST(l_partkey % 50 AS VARCHAR) AS nace_code, n_name AS nace_label_en, count(*) AS n_rows, CAST(sum(l_quantity) AS BIGINT) AS quantity
+    FROM lineitem LEFT JOIN nation ON n_nationkey = l_partkey % 50
+    WHERE l_returnflag <> 'N' AND l_suppkey % 5 IN (3, 4) GROUP BY ALL""")
+def canonical_axes(t):
+    """Axes of a cube under the names all datasets share, with the label of the activity."""
+    cube = landings(t)["lfst_r_lfu3rt"]
+    registered = next(d for d in DOMAINS["labour"].datasets if d.code == "lfst_r_lfu3rt")
+    rows = with_activity_labels(aligned(cube, registered, DOMAINS["labour"]).withColumnRenamed("_nace", "nace_code"), activity_names(t))
+    return rows.groupBy("gender", "age_group", "education", "frequency", "nace_code", "nace_label_en").agg(
+        F.count("*").alias("n_rows"), F.sum("value").cast("bigint").alias("quantity"))
+
+
+def activity_names(t: Tables) -> DataFrame:
+    return t.nation.select(F.concat(F.lit("C"), F.col("n_nationkey").cast("string")).alias("nace_code"),
+                           F.col("n_name").alias("label_en"), F.col("n_nationkey").cast("bigint").alias("ord"))
+
+
 # ---- merge of the social-economy domain: short codes to pad, legal forms, a dataset without territory ----
 SE_SQL = r"""
     xw AS (SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS istat_code, 'ITF' || CAST(n_nationkey AS VARCHAR) AS nuts_code,
@@ -247,15 +265,15 @@ SE_SQL = r"""
               ELSE 'FR' END AS geo, true AS has_geo, CAST(NULL AS VARCHAR) AS form, CAST(NULL AS VARCHAR) AS gender, CAST(NULL AS VARCHAR) AS age_group,
             l_shipdate AS seen, 'O-U' AS nace_code FROM lineitem WHERE l_partkey % 2 = 0),
     u AS (SELECT * FROM a UNION ALL SELECT * FROM n UNION ALL SELECT * FROM e),
-    h AS (SELECT u.*, CASE WHEN NOT has_geo THEN 'IT' WHEN source_id = 'istat' THEN xw.nuts_code ELSE upper(trim(geo)) END AS nuts_code,
+    h AS MATERIALIZED (SELECT u.*, CASE WHEN NOT has_geo THEN 'IT' WHEN source_id = 'istat' THEN xw.nuts_code ELSE upper(trim(geo)) END AS nuts_code,
             CASE WHEN NOT has_geo THEN 0 WHEN source_id = 'istat' THEN xw.lvl WHEN length(trim(geo)) BETWEEN 2 AND 5 THEN length(trim(geo)) - 2 END AS nuts_level,
             CASE WHEN NOT has_geo THEN 'Italia' WHEN source_id = 'istat' THEN xw.n_name END AS nuts_name_it,
             fm.unified AS legal_form_unified, CASE WHEN form IS NOT NULL THEN fm.unified IS NULL WHEN source_id = 'istat' THEN false END AS legal_form_unmatched,
             nl.label AS nace_label_en
           FROM u LEFT JOIN xw ON xw.istat_code = u.geo LEFT JOIN fm ON fm.code = u.form LEFT JOIN nl USING (nace_code)),
     k AS (SELECT *, row_number() OVER (PARTITION BY indicator_code, nuts_code, time, legal_form_unified, nace_code, gender, age_group
-            ORDER BY priority, dataset_code, seen DESC, value, form) AS rn FROM h WHERE nuts_code IS NOT NULL),
-    se AS (SELECT * EXCLUDE (rn) FROM k WHERE rn = 1 UNION ALL SELECT * FROM h WHERE nuts_code IS NULL),
+            ORDER BY priority, dataset_code, seen DESC, value, form) AS rn FROM h),
+    se AS MATERIALIZED (SELECT * EXCLUDE (rn) FROM k WHERE rn = 1 OR nuts_code IS NULL),
     merged AS (SELECT * FROM se WHERE coalesce(nuts_code, '') <> 'EU27_2020')"""
 
 

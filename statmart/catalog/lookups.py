@@ -179,18 +179,31 @@ def priority_dedup(t):
     return resolve_priority(ranked_lines(t), ["l_orderkey", "l_linenumber"], "priority")
 
 
-@query("priority_dedup_located", f"""
+LOCATED_SQL = f"""
     WITH li AS (SELECT l_orderkey, l_suppkey, l_quantity, l_shipdate, {RANK} AS priority,
         CASE WHEN l_suppkey % 3 = 0 THEN '  ' WHEN l_suppkey % 10 = 1 THEN NULL ELSE CAST(l_suppkey AS VARCHAR) END AS geo
         FROM lineitem)
     SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY geo, l_quantity ORDER BY priority,
         l_shipdate DESC, l_orderkey, l_suppkey) AS rn FROM li WHERE coalesce(trim(geo), '') <> '') WHERE rn = 1
-    UNION ALL SELECT * FROM li WHERE coalesce(trim(geo), '') = ''""")
-def priority_dedup_located(t):
+    UNION ALL SELECT * FROM li WHERE coalesce(trim(geo), '') = ''"""
+
+
+def located_lines(t: Tables, *more):
     geo = F.when(F.col("l_suppkey") % 3 == 0, F.lit("  ")) \
         .when(F.col("l_suppkey") % 10 != 1, F.col("l_suppkey").cast("string"))
-    rows = ranked_lines(t).select("l_orderkey", "l_suppkey", "l_quantity", "l_shipdate", "priority", geo.alias("geo"))
-    return resolve_priority_located(rows, "geo", ["geo", "l_quantity"], "priority", newest="l_shipdate")
+    return t.lineitem.select("l_orderkey", "l_suppkey", "l_quantity", "l_shipdate", F.expr(RANK).alias("priority"), geo.alias("geo"), *more)
+
+
+@query("priority_dedup_located", LOCATED_SQL)
+def priority_dedup_located(t):
+    return resolve_priority_located(located_lines(t), "geo", ["geo", "l_quantity"], "priority", newest="l_shipdate")
+
+
+@query("priority_dedup_row_ids", LOCATED_SQL)
+def priority_dedup_row_ids(t):
+    """The same with the position of each row: rows without a territory are keys of their own, and the input is read once."""
+    position = F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("row_id")
+    return resolve_priority_located(located_lines(t, position), "geo", ["geo", "l_quantity"], "priority", newest="l_shipdate", row_id="row_id")
 
 
 @query("dedup_collisions", """

@@ -6,12 +6,13 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.strings import fold
-from ..session import checkpointed
+from ..session import checkpointed, file_system, is_plain_scan, written
 
 _COPY = "_copy"
+_LOOKUP = "_lookup"
 
 
 def contiguous_keys(df: DataFrame, order: list[str], key: str, after: Column | None = None,
@@ -95,15 +96,31 @@ def left_join_spread(df: DataFrame, table: DataFrame, on: list[tuple[Column, str
     return keyed.join(side, condition, "left").drop("_side", "_part", *[f"_on{i}" for i in range(len(on))])
 
 
+def _sized(spark: SparkSession, lookups: list[KeyLookup]) -> dict[str, DataFrame]:
+    """Key -> lookup table of known size. Dimensions that lie in files already are used as they are; all the others are
+    written in one job, as one table with a part for each."""
+    tables = {lk.key: lk.table() for lk in lookups}
+    derived = [lk.key for lk in lookups if not is_plain_scan(lk.dimension)]
+    if derived:
+        path = written(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
+            tables[k].withColumn(_LOOKUP, F.lit(k)) for k in derived]), by=[_LOOKUP])
+        for k in derived:
+            part = f"{path}/{_LOOKUP}={k}"
+            fs, where = file_system(spark, part)
+            tables[k] = spark.read.schema(tables[k].schema).parquet(part) if fs.exists(where) else tables[k].limit(0)
+    return tables
+
+
 def resolve_keys(df: DataFrame, lookups: list[KeyLookup], reason: str = "unresolved_key") -> DataFrame:
     """Attach every surrogate key by left join; ``reason`` names the first required key that was not found.
 
-    Joins carry no hint: a lookup table is written first, so that Catalyst sees its size in bytes and broadcasts it if
-    it is small; otherwise rows without an optional key are spread and skewed partitions of the fact side are split.
+    Joins carry no hint: Catalyst knows the size in bytes of every lookup (see :func:`_sized`) and broadcasts it if it is
+    small; otherwise rows without an optional key are spread and skewed partitions of the fact side are split.
     """
     out = df
+    tables = _sized(df.sparkSession, lookups)
     for lk in lookups:
-        table = checkpointed(lk.table())
+        table = tables[lk.key]
         on = [(expr, f"_{lk.key}_{c}") for c, expr in lk.natural.items()]
         # a required key is absent only from rows on their way to quarantine; an optional one may be from most rows
         join = left_join if lk.required else left_join_spread

@@ -102,14 +102,16 @@ def harmonised(df: DataFrame, crosswalk: DataFrame, forms: DataFrame, activities
     }).drop("_unit")
     located = located.withColumn("legal_form_code", F.when(F.col("_has_form"), fold(F.col("_form"))))
     formed = legal_forms(located, forms, F.col("provider"), F.col("_form"), F.col("_has_form"))
+    named = formed.withColumn("gender", F.when(local, map_literal(GENDER, fold(F.col("_gender")))).otherwise(F.col("gender")))
+    return with_activity_labels(named.withColumnRenamed("_nace", "nace_code"), activities) \
+        .withColumn("legal_form_unmatched", F.when(local, F.col("legal_form_unmatched")))
+
+
+def with_activity_labels(df: DataFrame, activities: DataFrame) -> DataFrame:
+    """``nace_label_en`` of each row's ``nace_code``; of a code listed twice the last line counts."""
     labels = activities.groupBy(F.col("nace_code").alias("_code")).agg(
         F.max_by("label_en", "ord").alias("nace_label_en"))
-    return (
-        formed.withColumn("gender", F.when(local, map_literal(GENDER, fold(F.col("_gender")))).otherwise(F.col("gender")))
-        .withColumnRenamed("_nace", "nace_code")
-        .join(labels, F.col("nace_code") == F.col("_code"), "left").drop("_code")
-        .withColumn("legal_form_unmatched", F.when(local, F.col("legal_form_unmatched")))
-    )
+    return df.join(labels, F.col("nace_code") == F.col("_code"), "left").drop("_code")
 
 
 def tagged(df: DataFrame, domain: str, providers: dict[str, int] = PRIORITY) -> DataFrame:

@@ -80,16 +80,32 @@ def scratch(spark: SparkSession):
             fs.delete(where, True)
 
 
+def written(df: DataFrame, by: list[str] | None = None) -> str:
+    """Write ``df`` to a folder of its own in the shared one and return its path; see :func:`checkpointed`."""
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/statmart-{uuid.uuid4().hex}"
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
+    mine = _WRITTEN.get()
+    if mine is not None:
+        mine.append(path)
+    return path
+
+
 def checkpointed(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there and survives a lost executor.
 
-    ``by``: partition columns, for readers that need one part each. A parquet table rather than ``df.checkpoint()``: columnar and compressed, later readers prune columns, and Catalyst
-    knows its real size.
+    ``by``: partition columns, for readers that need one part each. A parquet table rather than ``df.checkpoint()``:
+    columnar and compressed, later readers prune columns, and Catalyst knows its real size.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/statmart-{uuid.uuid4().hex}"
-    (df.write.partitionBy(*by) if by else df.write).parquet(path)
-    written = _WRITTEN.get()
-    if written is not None:
-        written.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(written(df, by))
+
+
+_SCAN_KEEPS = ("Project", "Filter", "SubqueryAlias", "Relation", "LogicalRelation")
+
+
+def is_plain_scan(df: DataFrame) -> bool:
+    """Whether ``df`` reads files and does no more than drop rows and columns: its rows are rows of files, none repeated,
+    and Catalyst knows its size."""
+    node = df._jdf.queryExecution().analyzed()
+    while (name := node.nodeName().split()[0]) in _SCAN_KEEPS and node.children().size() == 1:
+        node = node.children().head()
+    return name in ("Relation", "LogicalRelation")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from statmart.operators import dedup, diff, keys, upsert
 from statmart.plans import warehouse
 from statmart.schemas import DIMENSIONS, ddl
+from statmart.session import is_plain_scan
 
 
 def test_priority_and_null_keys(table):
@@ -165,3 +166,22 @@ def test_rows_without_a_key_are_spread(spark, table):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_lookups_of_known_size_are_not_written_again(spark, table, tmp_path):
+    """A dimension in files is used as it is; the others are written together, an empty one included."""
+    spark.createDataFrame([(1, "a"), (2, "b")], "geo_key bigint, code string").write.parquet(str(tmp_path / "dim"))
+    filed = spark.read.parquet(str(tmp_path / "dim"))
+    assert is_plain_scan(filed) and is_plain_scan(filed.filter("geo_key > 1").select("code"))
+    assert not is_plain_scan(filed.distinct()) and not is_plain_scan(filed.union(filed)) and not is_plain_scan(spark.range(1))
+    df = table([("a", 2020), ("b", 2021), ("c", 2020)], "code string, year int")
+    years = table([(2020, 7)], "year bigint, time_key bigint")
+    lookups = [keys.KeyLookup("geo_key", filed, {"code": F.col("code")}), keys.KeyLookup("time_key", years, {"year": F.col("year")}),
+               keys.KeyLookup("form_key", table([], "code string, form_key bigint"), {"code": F.col("code")}, required=False)]
+    tables = keys._sized(spark, lookups)
+    places = {k: {f.rsplit("/", 2)[1] for f in t.inputFiles()} for k, t in tables.items()}
+    assert places == {"geo_key": {"dim"}, "time_key": {"_lookup=time_key"}, "form_key": set()}
+    out = keys.resolve_keys(df, lookups)
+    assert rows(out, "code", "geo_key", "time_key", "form_key", "unresolved_key") == [
+        ("a", 1, 7, None, None), ("b", 2, None, None, "time_key"), ("c", None, 7, None, "geo_key")]
+    assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
