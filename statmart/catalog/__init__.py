@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import checks, dimensions, facts, lookups, projections, releases, sources, stars, texts  # noqa: F401
+from . import checks, dimensions, facts, lookups, projections, publishing, releases, sources, stars, texts  # noqa: F401
 from .base import REGISTRY, Query
 
 __all__ = ["REGISTRY", "Query"]
