@@ -4,9 +4,11 @@ A sequence of tokens is the encoding of its bytes exactly if every two neighbour
 tokens. So the encoding of a prefix ends in the one token T for which the encoding of the prefix without T ends in a
 token that stays apart from T, and ``count[i] = count[i - len(T)] + 1``: one table gives the exact count at every prefix.
 
-Pre-tokenization never looks across the border of a chunk (see :mod:`vocabulary`), so counts add up over chunks and the
-table of a chunk is kept for the next time it occurs. The whole text's count is the count at its last prefix; the
-longest prefix within a budget needs the running sum and one chunk's table, and nothing is encoded again.
+Pre-tokenization never looks across the border of a chunk (see :mod:`vocabulary`), so counts add up over chunks, and over
+the pre-tokens of a chunk. The table of a pre-token is kept for the next time it occurs. The whole text's count is the
+count at its last prefix; the longest prefix within a budget needs the running sum and the tables of one chunk's
+pre-tokens, which are there already: nothing is encoded again. A run of blanks is one pre-token as far as a prefix has
+come, so one table serves all of its prefixes, however long it is.
 """
 
 from __future__ import annotations
@@ -38,11 +40,15 @@ class PrefixCounter:
         pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
         self.rank = {(raw(a), raw(b)): i for i, (a, b) in enumerate(pairs)}
         self.special = [t["content"] for t in spec["added_tokens"]]
-        self.longest = max(map(len, self.vocabulary))
+        ends: dict[int, set[int]] = {}
+        for token in self.vocabulary:
+            ends.setdefault(token[-1], set()).add(len(token))
+        self.sizes = {last: tuple(sorted(sizes, reverse=True)) for last, sizes in ends.items()}    # by last byte, longest first
         self.tokenizer = load(path)
         self.apart: dict[int, bool] = {}
         self.totals: dict[str, int] = _Totals(self)
-        self.words: dict[str, int] = {}
+        self.tables: dict[str, array] = {}
+        self.blanks: dict[str, bool] = {}
 
     def merged(self, data: bytes) -> list[bytes]:
         """Plain BPE of a few bytes: the pair of lowest rank first."""
@@ -69,10 +75,13 @@ class PrefixCounter:
 
     def word(self, data: bytes) -> array:
         """Token count at every byte prefix of one pre-token (index 0 is the empty prefix)."""
-        count, last = array("q", [0]), [-1]
-        vocabulary, known, stay_apart, longest = self.vocabulary, self.apart, self.stay_apart, self.longest
+        count, last = array("I", [0]), [-1]
+        vocabulary, known, stay_apart, sizes = self.vocabulary, self.apart, self.stay_apart, self.sizes
         for end in range(1, len(data) + 1):
-            for begin in range(max(0, end - longest), end):
+            for size in sizes.get(data[end - 1], ()):
+                begin = end - size
+                if begin < 0:
+                    continue
                 token = vocabulary.get(data[begin:end])
                 if token is None:
                     continue
@@ -92,18 +101,27 @@ class PrefixCounter:
             return PIECES.findall(text)
         return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
+    def prefixes(self, piece: str) -> array:
+        """:meth:`word` of a pre-token, kept unless it is long."""
+        table = self.tables.get(piece)
+        if table is None:
+            table = self.word(piece.encode())
+            if len(piece) <= _LONG:
+                if len(self.tables) >= CACHE // 2:
+                    self.tables.clear()
+                self.tables[piece] = table
+        return table
+
+    def is_blank(self, c: str) -> bool:
+        """Whether the tokenizer takes a character for white space: two of them before a word are not one pre-token."""
+        known = self.blanks.get(c)
+        if known is None:
+            known = self.blanks[c] = BLANK.match(c) is not None and not any(c + c in p for p in self.pieces(f"a{c}{c}a"))
+        return known
+
     def _plain_total(self, text: str) -> int:
-        total = 0
-        for p in self.pieces(text):
-            n = self.words.get(p)
-            if n is None:
-                n = self.word(p.encode())[-1]
-                if len(p) <= _LONG:
-                    if len(self.words) >= CACHE // 2:
-                        self.words.clear()
-                    self.words[p] = n
-            total += n
-        return total
+        prefixes = self.prefixes
+        return sum([prefixes(p)[-1] for p in self.pieces(text)])
 
     def chunk_total(self, chunk: str) -> int:
         """Tokens of a chunk; a special string in it is one token, as the library has it by default."""
@@ -122,19 +140,27 @@ class PrefixCounter:
         """Count at every code point prefix of a chunk."""
         table, done, settled = array("q", [0]), 0, 0     # settled: tokens of the pre-tokens before the current one
         blanks = 0                                        # where the current run of blanks begins
+        run, place_of = None, 0                           # the table of that run and how many of its bytes are done
         while done < len(chunk):
             at, found = min(((i, s) for s in self.special if (i := chunk.find(s, done)) >= 0), default=(len(chunk), ""))
             begin = last = blanks = done
+            run = None
             upheld = settled                              # tokens before position last
             for p in self.pieces(chunk[done:at]) if at > done else []:
-                counts, place, last, upheld = self.word(p.encode()), 0, begin, settled
+                counts, place, last, upheld = self.prefixes(p), 0, begin, settled
                 for q, c in enumerate(p, 1):
                     place += len(c.encode())
                     upto = begin + q
-                    if BLANK.match(c):          # blanks at the end of a prefix are one pre-token, however they go on
-                        table.append(table[blanks] + self._plain_total(chunk[blanks:upto]))
+                    if self.is_blank(c):        # blanks at the end of a prefix are one pre-token, however they go on
+                        if run is None:
+                            stop = upto
+                            while stop < at and self.is_blank(chunk[stop]):
+                                stop += 1
+                            run, place_of = self.prefixes(chunk[blanks:stop]), 0
+                        place_of += len(c.encode())
+                        table.append(table[blanks] + run[place_of])
                         continue
-                    blanks = upto
+                    blanks, run = upto, None
                     if p[0] == "'" and q < len(p):           # a contraction is none before its last letter
                         table.append(settled + self._plain_total(p[:q]))
                     else:

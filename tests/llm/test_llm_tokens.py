@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 from conftest import rows
@@ -44,6 +45,27 @@ def test_long_words():
         assert tokens.counter(PATH).total(text) == library(text)
 
 
+@pytest.mark.parametrize("blank", ["\n", " ", "\u3000", "\u200b", " \u00a0", "\u200b ", "\x1c\t"])
+def test_runs_of_blanks(blank):
+    """Every prefix of a run, before a word and before a special string, as the library has it."""
+    count = tokens.counter(PATH)
+    for text in ("a b " + blank * 60 + "c d", "x" + blank * 40 + "<|endoftext|> y", blank * 50, "é" + blank * 30 + "'s"):
+        want = [library(text[:i]) for i in range(len(text) + 1)]
+        assert count.total(text) == want[-1] and count.table(text).tolist() == want
+        for budget in (3, 7, 20):
+            assert count.longest_prefix(text, budget) == max(i for i, n in enumerate(want) if n <= budget)
+
+
+def test_a_million_blanks_take_seconds():
+    count = tokens.PrefixCounter(PATH)
+    began = time.perf_counter()
+    for blank in ("\n", "\u3000"):
+        text = "a b " + blank * 1_000_000 + " c"
+        fits = count.longest_prefix(text, 1024)
+        assert count.total(text) > 1024 and library(text[:fits]) <= 1024 < library(text[:fits + 1])
+    assert time.perf_counter() - began < 60
+
+
 def test_query_rows(scan, prose):
     table = [(1, None), (2, ""), (3, "it's <|endoftext|> here"), (None, "x y"), (3, "again"), (4, prose(1, 3000)), (5, "日本" * 900)]
     df = scan([(*r, 0, "z") for r in table], "doc_id long, text string, n_tokens int, id string")
