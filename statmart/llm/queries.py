@@ -214,7 +214,7 @@ plan AS (
            ORDER BY md5('{MIXTURE.seed}:' || p.whole || ':' || doc_id), d.tokens, doc_id ROWS UNBOUNDED PRECEDING) AS upto
   FROM d JOIN plan p USING (domain, language, source)
 ), counted AS (
-  SELECT *, whole + CASE WHEN whole < {MIXTURE.max_epochs} AND upto <= prefix THEN 1 ELSE 0 END AS n FROM placed
+  SELECT *, whole + CASE WHEN whole < {MIXTURE.max_epochs} AND (upto <= prefix OR upto - tokens < prefix AND upto - prefix < prefix - (upto - tokens)) THEN 1 ELSE 0 END AS n FROM placed
 )
 SELECT doc_id, domain, language, source, CAST(unnest(range(0, CAST(n AS BIGINT))) AS INTEGER) AS epoch,
        CAST(tokens AS BIGINT) AS n_tokens, CAST(budget AS BIGINT) AS leaf_budget
