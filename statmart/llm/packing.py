@@ -7,20 +7,22 @@ squared filling (few full bins beat many half full ones).
 Pieces are dealt into groups of bounded size by a hash of their place in the file. Several islands evolve a population
 of their own for each group, as tasks of their own; after an epoch the best solution of each island migrates to the next
 one by a shuffle, and evolution goes on; at the end each group takes its best solution. A group is never larger than a
-few thousand pieces, so memory and time of a task do not depend on the corpus.
+few thousand pieces, so memory and time of a task do not depend on the corpus. What groups leave part empty is pooled over
+all of them and evolved again, until one group is left.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import checkpointed
-from .shared import whole_text
+from .shared import as_scan, numbered, whole_text
 from .vocabulary import END_OF_WORD, LOWER_WORDS, SOLID, WESTERN_BLANKS, byte_letters, load, merges_only
 
 GROUP = 2048              # pieces of a group, on average
@@ -28,6 +30,8 @@ ISLANDS = 3
 POPULATION = 4
 OFFSPRING = 8             # crossovers per island and epoch
 EPOCHS = 2
+REOPENED = 16             # one in so many sequences of a group, the emptiest, is opened again and pooled
+POOLED_OFFSPRING = 64     # crossovers where pooled pieces are packed anew
 CACHE = 1_000_000         # words whose ids a worker keeps
 _BATCH = 4096             # unknown words that are encoded in one call
 
@@ -234,24 +238,14 @@ def _state_rows(grp: int, island: int, sizes: np.ndarray, people: list[np.ndarra
                         columns=["grp", "island", "seat", "bins", "fit", "sizes", "placed"])
 
 
-def pack(parts: DataFrame, limit: int = 2048, group: int = GROUP, islands: int = ISLANDS, epochs: int = EPOCHS,
-         seed: int = 7) -> DataFrame:
-    """Any table with ``length`` (1 to ``limit``) -> all its columns, ``sequence_id`` and ``offset``.
-
-    ``parts`` must be a scan of files or a checkpoint. Pieces as long as a sequence are one each. Within a sequence
-    pieces lie without gaps, longest first. Rows that are equal are still rows of their own; an empty table gives an
-    empty one. Other columns pass through, but a ``sequence_id`` or ``offset`` already there is replaced.
-    """
-    whole = parts.drop("sequence_id", "offset").select(F.struct("*").alias("whole"), F.col("length").cast("int").alias("size"),
-                         F.monotonically_increasing_id().alias("row"))
-    open_rows = whole.filter(F.col("size") < limit)
-    n = open_rows.count()
-    groups = max(1, -(-n // group))
-    dealt = checkpointed(open_rows.withColumn("grp", F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(groups)).cast("long")))
+def _packed_groups(rows: DataFrame, groups: int, limit: int, islands: int, epochs: int, offspring: int, seed: int) -> DataFrame:
+    """``row``, ``size`` -> also ``grp``, ``bin`` and ``offset``: pieces dealt into groups, each packed by islands that send
+    their best to the next one."""
+    dealt = checkpointed(rows.select("row", "size", F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(groups)).cast("long").alias("grp")))
 
     def first(keys: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         sizes = np.sort(rows["size"].to_numpy(np.int64))[::-1].copy()
-        people = evolved(sizes, [], limit, (seed, keys[0], keys[1], 0))
+        people = evolved(sizes, [], limit, (seed, keys[0], keys[1], 0), offspring)
         return _state_rows(keys[0], keys[1], sizes, people, limit)
 
     def later(epoch: int):
@@ -259,7 +253,7 @@ def pack(parts: DataFrame, limit: int = 2048, group: int = GROUP, islands: int =
             rows = rows.sort_values(["bins", "fit", "seat"], ascending=[True, False, True], kind="stable")
             sizes = np.frombuffer(rows["sizes"].iloc[0], "<i4").astype(np.int64)
             people = [np.frombuffer(p, "<i4") for p in rows["placed"]]
-            return _state_rows(keys[0], keys[1], sizes, evolved(sizes, people, limit, (seed, *keys, epoch)), limit)
+            return _state_rows(keys[0], keys[1], sizes, evolved(sizes, people, limit, (seed, *keys, epoch), offspring), limit)
         return work
 
     apart = dealt.select("grp", "size", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"))
@@ -271,7 +265,7 @@ def pack(parts: DataFrame, limit: int = 2048, group: int = GROUP, islands: int =
 
     def place(keys: tuple, rows: pd.DataFrame, winner: pd.DataFrame) -> pd.DataFrame:
         if not len(rows):
-            return pd.DataFrame(columns=["row", "grp", "bin", "offset"])
+            return pd.DataFrame(columns=["row", "size", "grp", "bin", "offset"])
         rows = rows.sort_values(["size", "row"], ascending=[False, True], kind="stable").reset_index(drop=True)
         where = np.frombuffer(winner["placed"].iloc[0], "<i4").astype(np.int64)
         sizes = rows["size"].to_numpy(np.int64)
@@ -281,12 +275,71 @@ def pack(parts: DataFrame, limit: int = 2048, group: int = GROUP, islands: int =
         first_of = np.r_[True, where[order][1:] != where[order][:-1]]
         offset = np.empty(len(rows), np.int64)
         offset[order] = begin - np.maximum.accumulate(np.where(first_of, begin, 0))
-        return pd.DataFrame({"row": rows["row"], "grp": keys[0], "bin": where, "offset": offset})
+        return pd.DataFrame({"row": rows["row"], "size": sizes, "grp": keys[0], "bin": where, "offset": offset})
+
+    return dealt.groupBy("grp").cogroup(best.groupBy("grp")).applyInPandas(
+        place, "row bigint, size int, grp bigint, bin bigint, offset bigint")
+
+
+def _emptiest(placed: DataFrame) -> DataFrame:
+    """The bins of each group with most room: one in ``REOPENED``, four at least. A group's bins are bounded by its size."""
+    bins = placed.groupBy("grp", "bin").agg(F.sum("size").alias("filled"))
+    group = Window.partitionBy("grp")
+    ranked = bins.withColumns({"rank": F.row_number().over(group.orderBy("filled", "bin")), "n": F.count("*").over(group)})
+    return ranked.filter(F.col("rank") <= F.greatest(F.lit(4), F.col("n") / REOPENED)).select("grp", "bin")
 
-    placed = dealt.select("grp", "size", "row").groupBy("grp").cogroup(best.groupBy("grp")).applyInPandas(
-        place, "row bigint, grp bigint, bin bigint, offset bigint")
-    packed = dealt.join(placed.drop("grp"), "row").select(
-        "whole.*", (F.lit(2) * (F.col("grp") * (1 << 20) + F.col("bin"))).alias("sequence_id"), "offset")
+
+def pack(parts: DataFrame, limit: int = 2048, group: int = GROUP, islands: int = ISLANDS, epochs: int = EPOCHS,
+         seed: int = 7) -> DataFrame:
+    """Any table with ``length`` (1 to ``limit``) -> all its columns, ``sequence_id`` and ``offset``.
+
+    Pieces as long as a sequence are one each. Within a sequence
+    pieces lie without gaps, longest first. Rows that are equal are still rows of their own; an empty table gives an
+    empty one. Other columns pass through, but a ``sequence_id`` or ``offset`` already there is replaced.
+
+    Each group leaves some sequences part empty. So the emptiest ones of all groups are opened again, and their pieces are
+    dealt into new groups, a sixteenth as many, and packed anew; this goes on as long as it saves sequences, down to one
+    group, and at last among the emptiest sequences of all. A level that saves none is not taken.
+    """
+    whole = numbered(as_scan(parts).drop("sequence_id", "offset").select(
+        F.struct("*").alias("whole"), F.col("length").cast("int").alias("size")), "row")
+    left = whole.filter(F.col("size") < limit).select("row", "size")
+    groups = max(1, -(-left.count() // group))
+    placed = checkpointed(_packed_groups(left, groups, limit, islands, epochs, OFFSPRING, seed))
+    settled, level = [], 0
+    while groups > 1:
+        opened = checkpointed(_emptiest(placed))
+        again = checkpointed(placed.join(opened, ["grp", "bin"], "left_semi").select("row", "size"))
+        fewer = max(1, -(-again.count() // group))
+        if fewer >= groups:
+            break
+        anew = checkpointed(_packed_groups(again, fewer, limit, islands, epochs, POOLED_OFFSPRING, seed + level + 1))
+        if anew.select("grp", "bin").distinct().count() >= opened.count():
+            break
+        settled.append(placed.join(opened, ["grp", "bin"], "left_anti").withColumn("level", F.lit(level)))
+        placed, groups, level = anew, fewer, level + 1
+    settled.append(placed.withColumn("level", F.lit(level)))
+    while True:
+        # the emptiest sequences of all, as many as one task takes, until that saves none
+        found = reduce(DataFrame.unionByName, settled)
+        bins = found.groupBy("level", "grp", "bin").agg(F.sum("size").alias("filled"), F.count("*").alias("n"))
+        used, total = bins.agg(F.count("*"), F.coalesce(F.sum("filled"), F.lit(0))).first()
+        if used <= -(-total // limit):
+            break
+        order = ["filled", "level", "grp", "bin"]
+        upto = F.sum("n").over(Window.orderBy(*order))                      # over the few sequences taken
+        opened = checkpointed(bins.orderBy(*order).limit(max(4, group)).withColumn("upto", upto)
+                              .filter(F.col("upto") <= 4 * group + limit).select("level", "grp", "bin"))
+        again = checkpointed(found.join(opened, ["level", "grp", "bin"], "left_semi").select("row", "size"))
+        level += 1
+        anew = checkpointed(_packed_groups(again, 1, limit, islands, epochs, POOLED_OFFSPRING, seed + level))
+        if anew.select("bin").distinct().count() >= opened.count():
+            break
+        settled = [checkpointed(found.join(opened, ["level", "grp", "bin"], "left_anti")), anew.withColumn("level", F.lit(level))]
+    # an even number: ten bits of level, 32 of group, twenty of bin
+    number = F.lit(2) * ((F.col("level").cast("long") * (1 << 32) + F.col("grp")) * (1 << 20) + F.col("bin"))
+    found = reduce(DataFrame.unionByName, settled).select("row", number.alias("sequence_id"), "offset")
+    packed = whole.join(found, "row").select("whole.*", "sequence_id", "offset")
     full = whole.filter(F.col("size") >= limit).select(
         "whole.*", (F.lit(2) * F.col("row") + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return packed.unionByName(full)

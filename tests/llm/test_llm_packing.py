@@ -6,6 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from statmart.llm import packing
 from llm_tables import prose, scan  # noqa: F401
@@ -69,6 +70,20 @@ def test_many_groups_islands_and_equal_rows(scan, monkeypatch):
     assert check(found, 100) <= 1.06 * -(-sum(sizes) // 100) + 6      # many pieces are longer than half a sequence
 
 
+def test_pooled_groups_come_near_the_bound(scan):
+    """Twenty groups would leave twenty part empty sequences; pooled over levels, all but a few are full."""
+    rng = np.random.default_rng(5)
+    sizes = [int(x) for x in rng.integers(3, 60, 4000)]
+    df = scan([(s, i) for i, s in enumerate(sizes)], "length long, id long")
+    found = packing.pack(df, 200, group=200).collect()
+    assert sorted((r["id"], r["length"]) for r in found) == list(enumerate(sizes))
+    least = -(-sum(sizes) // 200)
+    assert check(found, 200) <= least + 1
+    rows = df.select(F.col("id").alias("row"), F.col("length").cast("int").alias("size"))
+    alone = packing._packed_groups(rows, 20, 200, 3, 2, packing.OFFSPRING, 7)
+    assert alone.select("grp", "bin").distinct().count() > least + 1
+
+
 def test_empty_table(spark, scan):
     assert packing.pack(scan([], "length long")).count() == 0
 
