@@ -25,6 +25,7 @@ from .vocabulary import BLANK, CHUNKS, PIECES, WESTERN, byte_alphabet, load
 
 CACHE = 1_000_000          # tables kept by a worker; beyond that it starts anew
 _LONG = 256               # chunks longer than this are not kept
+_SHORT = 24               # so far into a pre-token every beginning is tried, further on only the sizes of tokens with that end
 
 
 class PrefixCounter:
@@ -78,10 +79,7 @@ class PrefixCounter:
         count, last = array("I", [0]), [-1]
         vocabulary, known, stay_apart, sizes = self.vocabulary, self.apart, self.stay_apart, self.sizes
         for end in range(1, len(data) + 1):
-            for size in sizes.get(data[end - 1], ()):
-                begin = end - size
-                if begin < 0:
-                    continue
+            for begin in range(end) if end <= _SHORT else [end - n for n in sizes.get(data[end - 1], ()) if n <= end]:
                 token = vocabulary.get(data[begin:end])
                 if token is None:
                     continue
