@@ -16,7 +16,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import checkpointed
-from .shared import WORDS, whole_text, words_of
+from .shared import BLANKS, WORDS, whole_text, words_of
 
 GOOD, BAD, ABSTAIN = 1, -1, 0
 
@@ -36,12 +36,18 @@ RULES = (
     Rule("lines", "10 * n_dup_lines < n_lines", "10 * n_dup_lines > 3 * n_lines"),
     Rule("repeats", "100 * n_repeat_words < 20 * n_words", "100 * n_repeat_words > 40 * n_words"),
     Rule("letters", "10 * n_letters > 7 * word_chars", "2 * n_letters < word_chars"),
+    # markup, tables and shouting, which the base does not look at
+    Rule("marked_words", "50 * n_marked < n_words", "10 * n_marked > n_words"),
+    Rule("symbol_share", "200 * n_symbols < n_letters", "25 * n_symbols > n_letters"),
+    Rule("capitals", "10 * n_upper < n_letters", "5 * n_upper > 2 * n_letters"),
+    Rule("sentences", "2 * n_ended > n_lines", "n_lines >= 3 and 10 * n_ended < n_lines"),
 )
 
 
 def text_statistics(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: the id, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``n_lines``
-    (with a word) and ``n_letters``.
+    (with a word), ``n_letters``, ``n_upper`` (upper-case letters), ``n_marked`` (words with a symbol) and ``n_ended`` (lines
+    that end like a sentence).
 
     Null text: all zero. Ids may be null or repeated. Windows of three words are compared by their 64-bit hash within
     their own document. Columns other than id and text are not read.
@@ -57,6 +63,10 @@ def text_statistics(df: DataFrame, id_col: str = "doc_id", text: str = "text") -
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.length(F.regexp_replace("text", r"\P{L}+", "")).cast("long").alias("n_letters"),
+        F.length(F.regexp_replace("text", r"\P{Lu}+", "")).cast("long").alias("n_upper"),
+        # from a word's first symbol to its end: one match for each word that has one
+        F.regexp_count("text", F.lit(f"[#*$%&|<>][^{BLANKS}]*")).cast("long").alias("n_marked"),
+        F.size(F.filter("lines", lambda line: F.substring(F.rtrim(line), -1, 1).isin(*".!?:;\"'"))).cast("long").alias("n_ended"),
         F.when(F.size("words") >= 3, F.transform(
             F.sequence(F.lit(0), F.greatest(F.size("words") - 3, F.lit(0))),
             lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)))).alias("windows"))
@@ -71,7 +81,8 @@ def text_statistics(df: DataFrame, id_col: str = "doc_id", text: str = "text") -
     covered = F.expr("aggregate(at, named_struct('n', 0L, 'upto', 0), (a, i) -> "
                      "named_struct('n', a.n + (i + 3 - greatest(i, a.upto)), 'upto', i + 3), a -> a.n)")
     return twice.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                        F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"), "n_lines", "n_letters")
+                        F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"), "n_lines", "n_letters",
+                        "n_upper", "n_marked", "n_ended")
 
 
 def votes(stats: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

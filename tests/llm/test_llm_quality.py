@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from llm_tables import prose  # noqa: F401
@@ -25,11 +26,12 @@ def plain(text):
             seen.add(line)
     windows = collections.Counter(tuple(words[i:i + 3]) for i in range(len(words) - 2))
     covered = {j for i in range(len(words) - 2) if windows[tuple(words[i:i + 3])] > 1 for j in (i, i + 1, i + 2)}
+    ended = sum(line.rstrip(" ")[-1:] in list(".!?:;\"'") for line in text.split("\n") if [w for w in re.split(BLANK, line) if w])
     return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(covered), lines,
-            sum(c.isalpha() for c in text))
+            sum(c.isalpha() for c in text), sum(c.isupper() for c in text), sum(bool(re.search(r"[#*$%&|<>]", w)) for w in words), ended)
 
 
-COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters")
+COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters", "n_upper", "n_marked", "n_ended")
 
 
 def texts():
@@ -37,7 +39,7 @@ def texts():
     out = [None, "", " \n\t", "a", "a b", "a b c", "a a a", "a a a a", "a b c a b c", "a b a b a b a b", "x\nx\n\nx \nx", "é ß # é ß # é ß",
            "\x0bq\x0cq\rq q q q", "\x1ca\x1ca\x1c", "  nb  nb ", "w " * 3000, "l i n e\n" * 400]
     for _ in range(40):
-        out.append("".join(rng.choice(["a", "b", "c", "dd", "#", "é", " ", " ", " ", "\n", "\t", "<|"]) for _ in range(rng.randint(0, 400))))
+        out.append("".join(rng.choice(["a", "b", "C", "dd.", "#", "é", " ", " ", " ", "\n", "\t", "<|"]) for _ in range(rng.randint(0, 400))))
     return out
 
 
@@ -104,5 +106,15 @@ def test_clean_texts_stay_and_junk_goes(spark, prose):
     assert all(0 <= r["quality"] <= 1 for r in got)
 
 
+def test_the_posterior_rejects_what_the_base_lets_pass(spark):
+    """On the labelled documents: markup that is long and does not repeat itself goes, clean documents all stay."""
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    found = quality.judged(spark.read.parquet(f"{folder}/documents.parquet")).join(labels, "doc_id", "left")
+    by = {(r["base_failed"], r["kept"], r["label"]): r["count"] for r in found.groupBy("base_failed", "kept", "label").count().collect()}
+    assert by.get((False, False, 0), 0) > 0.9 * (by.get((False, False, 0), 0) + by.get((False, True, 0), 0)) > 0
+    assert by.get((False, False, 1), 0) == 0
+
+
 def test_empty_table(spark):
     assert rows(quality.judged(spark.createDataFrame([], "doc_id long, text string"))) == []
