@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import numpy as np
+import pytest
 import xxhash
 from conftest import rows
 from hypothesis import given, settings, strategies as st
@@ -115,6 +117,55 @@ def test_hot_postings_lose_no_link(spark, monkeypatch):
     assert all(got.get(f, f) == w for f, w in zip(ordered, want))
 
 
+@pytest.mark.parametrize("split", [8, 64])
+def test_postings_above_the_bound_equal_brute_force(spark, monkeypatch, split):
+    """Several clusters of fingerprints with four or five bytes in common, far more than are compared pair by pair."""
+    monkeypatch.setattr(simhash, "SPLIT", split)
+    rng = random.Random(split)
+    fps = set()
+    for free in (24, 32):
+        for top in (0, 0xA5):
+            for _ in range(150):
+                fps.add(top << 56 | sum(1 << b for b in {rng.randrange(free) for _ in range(rng.randint(0, 7))}))
+    fps |= {rng.getrandbits(64) for _ in range(40)}
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    links = simhash.near_links(spark.createDataFrame([(f,) for f in signed], "fp long").repartition(3))
+    got = {r["node"]: r["root"] for r in components(links).collect()}
+    want = plain_components([(f, f % (1 << 64)) for f in sorted(signed)], 3)
+    assert all(got.get(f, f) == w for f, w in zip(sorted(signed), want))
+
+
+@pytest.mark.parametrize("bits", [0, 1, 3])
+def test_neighbours_link_what_all_pairs_link(bits):
+    rng = np.random.default_rng(bits)
+    for five in ((0, 1, 2, 3, 4), (0, 3, 5, 6, 7), (1, 2, 4, 6, 7)):
+        fixed = int(rng.integers(0, 2 ** 63)) & sum(0xFF << 8 * p for p in five)
+        free = [p for p in range(8) if p not in five]
+        codes = np.unique(rng.integers(0, 1 << 24, 900) & 0x3F0F1F)
+        fp = np.array([fixed | sum((int(c) >> 8 * k & 0xFF) << 8 * p for k, p in enumerate(free)) for c in codes], np.uint64).view(np.int64)
+
+        def groups(links):
+            up = {int(f): int(f) for f in fp}
+
+            def root(x):
+                while up[x] != x:
+                    x = up[x]
+                return x
+            for x, y in zip(*(v.tolist() for v in links)):
+                up[max(root(x), root(y))] = min(root(x), root(y))
+            return [root(int(f)) for f in fp]
+        assert groups(simhash.linked_neighbours(fp, five, bits)) == groups(simhash.linked_groups(np.zeros(len(fp), np.int64), fp, bits))
+
+
+def test_a_full_posting_takes_time_in_proportion():
+    """Forty thousand fingerprints with five bytes in common: all pairs took half a minute."""
+    rng = np.random.default_rng(1)
+    fp = np.unique(rng.integers(0, 1 << 24, 40_000)).astype(np.int64)
+    began = time.perf_counter()
+    a, _ = simhash.linked_neighbours(fp, (3, 4, 5, 6, 7), 3)
+    assert len(a) and time.perf_counter() - began < 15
+
+
 def test_components_of_a_long_chain_and_of_nothing(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 100), (200, None), (7, 3), (7, 3)]
     got = rows(components(spark.createDataFrame(chain, "a long, b long")))
