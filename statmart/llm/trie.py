@@ -26,7 +26,7 @@ from ..operators.keys import contiguous_keys
 from ..session import checkpointed
 from .shared import whole_text, words_of
 
-SHARD_ROWS = 8192         # prefixes of a subtree that one shard takes whole, and of a shard on average
+SHARD_ROWS = 2048         # prefixes of a subtree that one shard takes whole, and of a shard on average
 BLOCK_ROWS = 4096         # places of a conversation that are summed together
 CHUNK = 4096              # ids of a chunk of a long list that is hashed
 _LANES = ("a", "b", "c", "d")
