@@ -136,7 +136,7 @@ def test_odd_rows_go_through_everything(spark, tmp_path):
 def test_empty_tables(spark, tmp_path):
     folder = str(tmp_path)
     kinds = {"documents": "doc_id long, text string, lang string, source string, n_chars long", "pages": "page_id long, url string, html string",
-             "embeddings": "vec_id long, embedding array<float>, label int", "conversations": "conv_id long, turn long, role string, text string"}
+             "embeddings": "vec_id long, embedding array<float>, label int", "labels": "doc_id long, quality int, toxic int", "conversations": "conv_id long, turn long, role string, text string"}
     for name, kind in kinds.items():
         spark.createDataFrame([], kind).write.parquet(f"{folder}/{name}.parquet")
     for name, q in queries.QUERIES.items():
