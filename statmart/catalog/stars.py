@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..plans.marts import Star, flatten, headline, headline_rates, labelled, labour, mart_of, marts, paired, social_economy, spread
+from ..plans.quality import spec_rows
+from ..registry import DOMAINS
 from ..session import checkpointed
 from .base import Tables, query
 
@@ -259,6 +261,33 @@ def mart_headline_rates(t):
     return headline_rates(flat(t, "labour"), {"gender": "total", "education": "ED7"})
 
 
+_SPECS = ", ".join(
+    f"('fact_{d}', '{code}', {'NULL' if low is None else low}, {'NULL' if high is None else high})"
+    for d in ("labour", "social_economy") for code, (low, high) in DOMAINS[d].checks["value_bounds"].items())
+
+
+@query("check_specs", f"""
+    WITH flat_labour AS MATERIALIZED ({_STAR['labour']}), flat_social_economy AS MATERIALIZED ({_STAR['social_economy']}),
+    spec AS (SELECT * FROM (VALUES {_SPECS}) v("table", code, low, high)),
+    used AS (SELECT 'fact_labour' AS "table", indicator_code AS code, value FROM flat_labour
+        UNION ALL SELECT 'fact_social_economy', indicator_code, value FROM flat_social_economy)
+    SELECT spec."table", spec.code, CAST(low AS DOUBLE) AS low, CAST(high AS DOUBLE) AS high, count(value) AS n_rows,
+        count(*) FILTER (value * 3 < low OR value * 3 > high) AS n_out
+    FROM spec LEFT JOIN used ON used."table" = spec."table" AND used.code = spec.code GROUP BY ALL""")
+def check_specs(t):
+    """The registry's bounds as rows, next to the rows of both flat marts they apply to."""
+    specs = spec_rows(t.spark, [DOMAINS["labour"], DOMAINS["social_economy"]]).filter("setting = 'value_bounds'")
+    used = None
+    for base in ("labour", "social_economy"):
+        rows = flat(t, base).groupBy(F.lit(f"fact_{base}").alias("table"), F.col("indicator_code").alias("code"), (F.col("value") * 3).alias("v")).agg(
+            F.count("value").alias("n"))
+        used = rows if used is None else used.unionByName(rows)
+    joined = specs.join(checkpointed(used.filter("code is not null")), ["table", "code"], "left")
+    outside = F.coalesce((F.col("v") < F.col("low")) | (F.col("v") > F.col("high")), F.lit(False))
+    return joined.groupBy("table", "code", "low", "high").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum(F.when(outside, F.col("n"))), F.lit(0)).alias("n_out"))
+
+
 @query("cross_domain", """
     WITH s AS (SELECT s_nationkey AS territory, year(l_shipdate) AS year, round(sum(l_quantity), 2) AS v FROM lineitem
                JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2),

@@ -570,6 +570,26 @@ def problems_first(found: DataFrame) -> DataFrame:
 
 # ---- the suite of one domain ----
 
+SPEC = "table string, setting string, code string, low double, high double"
+
+
+def spec_rows(spark: SparkSession, domains: list[Domain]) -> DataFrame:
+    """The check settings of domains as rows: minimums in ``low``, bounds in ``low`` and ``high``, expected codes by name."""
+    number = lambda x: None if x is None else float(x)
+    rows = []
+    for domain in domains:
+        for setting, value in domain.checks.items():
+            if isinstance(value, dict):
+                rows += [(domain.fact, setting, str(code), *((number(v[0]), number(v[1])) if isinstance(v, tuple) else (number(v), None)))
+                         for code, v in value.items()]
+            elif isinstance(value, list):
+                rows += [(domain.fact, setting, code, None, None) for code in value]
+            else:
+                rows.append((domain.fact, setting, None, number(value), None))
+    return inline(spark, rows, SPEC)
+
+
+
 def fact_profile(fact: DataFrame, dims: dict[str, DataFrame], bounds: dict[str, tuple]) -> DataFrame:
     """A fact table rolled up to its keys: all coverage checks read this instead of the fact."""
     return fact_profiles(fact, dims, bounds, [])[0]
