@@ -299,7 +299,7 @@ def pack(parts: DataFrame, limit: int = 2048, group: int = GROUP, islands: int =
 
     Each group leaves some sequences part empty. So the emptiest ones of all groups are opened again, and their pieces are
     dealt into new groups, a sixteenth as many, and packed anew; this goes on as long as it saves sequences, down to one
-    group, and at last among the emptiest sequences of all. A level that saves none is not taken.
+    group, and at last once among the emptiest sequences of all. A level that saves none is not taken.
     """
     whole = numbered(as_scan(parts).drop("sequence_id", "offset").select(
         F.struct("*").alias("whole"), F.col("length").cast("int").alias("size")), "row")
@@ -319,27 +319,22 @@ def pack(parts: DataFrame, limit: int = 2048, group: int = GROUP, islands: int =
         settled.append(placed.join(opened, ["grp", "bin"], "left_anti").withColumn("level", F.lit(level)))
         placed, groups, level = anew, fewer, level + 1
     settled.append(placed.withColumn("level", F.lit(level)))
-    while True:
-        # the emptiest sequences of all, as many as one task takes, until that saves none
-        found = reduce(DataFrame.unionByName, settled)
-        bins = found.groupBy("level", "grp", "bin").agg(F.sum("size").alias("filled"), F.count("*").alias("n"))
-        used, total = bins.agg(F.count("*"), F.coalesce(F.sum("filled"), F.lit(0))).first()
-        if used <= -(-total // limit):
-            break
+    found = reduce(DataFrame.unionByName, settled)
+    bins = found.groupBy("level", "grp", "bin").agg(F.sum("size").alias("filled"), F.count("*").alias("n"))
+    used, total = bins.agg(F.count("*"), F.coalesce(F.sum("filled"), F.lit(0))).first()
+    if used > -(-total // limit):
+        # once more the emptiest sequences of all, as many as one task takes
         order = ["filled", "level", "grp", "bin"]
         upto = F.sum("n").over(Window.orderBy(*order))                      # over the few sequences taken
         opened = checkpointed(bins.orderBy(*order).limit(max(4, group)).withColumn("upto", upto)
                               .filter(F.col("upto") <= 4 * group + limit).select("level", "grp", "bin"))
         again = checkpointed(found.join(opened, ["level", "grp", "bin"], "left_semi").select("row", "size"))
-        level += 1
-        anew = checkpointed(_packed_groups(again, 1, limit, islands, epochs, POOLED_OFFSPRING, seed + level))
-        if anew.select("bin").distinct().count() >= opened.count():
-            break
-        settled = [checkpointed(found.join(opened, ["level", "grp", "bin"], "left_anti")), anew.withColumn("level", F.lit(level))]
+        anew = checkpointed(_packed_groups(again, 1, limit, islands, epochs, POOLED_OFFSPRING, seed + level + 1))
+        if anew.select("bin").distinct().count() < opened.count():
+            found = found.join(opened, ["level", "grp", "bin"], "left_anti").unionByName(anew.withColumn("level", F.lit(level + 1)))
     # an even number: ten bits of level, 32 of group, twenty of bin
     number = F.lit(2) * ((F.col("level").cast("long") * (1 << 32) + F.col("grp")) * (1 << 20) + F.col("bin"))
-    found = reduce(DataFrame.unionByName, settled).select("row", number.alias("sequence_id"), "offset")
-    packed = whole.join(found, "row").select("whole.*", "sequence_id", "offset")
+    packed = whole.join(found.select("row", number.alias("sequence_id"), "offset"), "row").select("whole.*", "sequence_id", "offset")
     full = whole.filter(F.col("size") >= limit).select(
         "whole.*", (F.lit(2) * F.col("row") + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return packed.unionByName(full)
