@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from ..session import checkpointed
+from ..session import checkpointed, is_plain_scan
 
 BLANKS = r"\x20\x09-\x0D"            # what separates words, for a regular expression's character class
 WORDS = f"[^{BLANKS}]+"
@@ -26,15 +26,9 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, f"[{BLANKS}]+"), "")
 
 
-_SCAN_KEEPS = ("Project", "Filter", "SubqueryAlias", "Relation", "LogicalRelation")   # nodes that neither repeat nor mix rows
-
-
 def as_scan(df: DataFrame) -> DataFrame:
     """``df`` itself if each of its rows has a place in a file, else a written copy."""
-    node = df._jdf.queryExecution().analyzed()
-    while (name := node.nodeName().split()[0]) in _SCAN_KEEPS and node.children().size() == 1:
-        node = node.children().head()
-    if name in _SCAN_KEEPS:
+    if is_plain_scan(df):
         try:
             df.select(df.metadataColumn("_metadata")["row_index"])
             return df
