@@ -31,7 +31,7 @@ POPULATION = 4
 OFFSPRING = 8             # crossovers per island and epoch
 EPOCHS = 2
 REOPENED = 16             # one in so many sequences of a group, the emptiest, is opened again and pooled
-POOLED_OFFSPRING = 64     # crossovers where pooled pieces are packed anew
+LAST_OFFSPRING = 48       # crossovers where pooled pieces are one group: nothing can be pooled any more
 CACHE = 1_000_000         # words whose ids a worker keeps
 _BATCH = 4096             # unknown words that are encoded in one call
 
@@ -313,7 +313,8 @@ def pack(parts: DataFrame, limit: int = 2048, group: int = GROUP, islands: int =
         fewer = max(1, -(-again.count() // group))
         if fewer >= groups:
             break
-        anew = checkpointed(_packed_groups(again, fewer, limit, islands, epochs, POOLED_OFFSPRING, seed + level + 1))
+        offspring = LAST_OFFSPRING if fewer == 1 else OFFSPRING
+        anew = checkpointed(_packed_groups(again, fewer, limit, islands, epochs, offspring, seed + level + 1))
         if anew.select("grp", "bin").distinct().count() >= opened.count():
             break
         settled.append(placed.join(opened, ["grp", "bin"], "left_anti").withColumn("level", F.lit(level)))
@@ -329,7 +330,7 @@ def pack(parts: DataFrame, limit: int = 2048, group: int = GROUP, islands: int =
         opened = checkpointed(bins.orderBy(*order).limit(max(4, group)).withColumn("upto", upto)
                               .filter(F.col("upto") <= 4 * group + limit).select("level", "grp", "bin"))
         again = checkpointed(found.join(opened, ["level", "grp", "bin"], "left_semi").select("row", "size"))
-        anew = checkpointed(_packed_groups(again, 1, limit, islands, epochs, POOLED_OFFSPRING, seed + level + 1))
+        anew = checkpointed(_packed_groups(again, 1, limit, islands, epochs, LAST_OFFSPRING, seed + level + 1))
         if anew.select("bin").distinct().count() < opened.count():
             found = found.join(opened, ["level", "grp", "bin"], "left_anti").unionByName(anew.withColumn("level", F.lit(level + 1)))
     # an even number: ten bits of level, 32 of group, twenty of bin
