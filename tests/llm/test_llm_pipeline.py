@@ -81,7 +81,7 @@ def test_run(spark, steps):
 def test_registered():
     names = set(entry.queries())
     assert set(queries.QUERIES) | {"pipeline"} <= names
-    assert [f"op{n}" for n in range(1, 11)] == sorted((n.split("_")[0] for n in queries.QUERIES), key=lambda x: int(x[2:]))
+    assert [f"op{n}" for n in range(1, 14)] == sorted((n.split("_")[0] for n in queries.QUERIES), key=lambda x: int(x[2:]))
 
 
 class Named:
