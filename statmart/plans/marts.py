@@ -10,6 +10,7 @@ from ..functions.periods import frequency_of, ordinal_of
 from ..functions.strings import blank_to_null, fold
 from ..operators.keys import left_join, left_join_spread
 from ..registry import HEADLINE_AGE
+from ..session import checkpointed, is_plain_scan
 
 
 @dataclass(frozen=True)
@@ -27,11 +28,15 @@ def flatten(fact: DataFrame, stars: list[Star], output: list[str]) -> DataFrame:
 
     Only the key and the columns in use leave a dimension, and no join is hinted: dimensions Catalyst knows to be
     small are broadcast, the others are shuffled once, with facts that lack an optional key spread over all tasks.
+    A dimension that does not lie in files is written first: guessed from what it is derived from, a handful of years
+    would count as large, and all facts would be shuffled to as few tasks as there are years.
     """
     out = fact
     for s in stars:
         side = s.dimension.select(F.col(s.key).alias(f"_{s.key}"),
                                   *[F.col(c).alias(n) for c, n in s.columns.items()])
+        if not is_plain_scan(s.dimension):
+            side = checkpointed(side)
         clash = [n for n in s.columns.values() if n in out.columns]
         join = left_join_spread if s.optional else left_join
         out = join(out.drop(*clash), side, [(F.col(s.key), f"_{s.key}")]).drop(f"_{s.key}")
