@@ -66,25 +66,26 @@ LABOUR = [
 
 
 # Order of the joins. The optional key comes first: its join numbers rows, which no filter of a mart passes, and so the
-# other dimensions can be filtered before they are joined.
+# other dimensions can be filtered before they are joined. Territories, which most marts select by, come before the
+# indicators; dimensions that only widen the rows come last, as what is shuffled then has not got their columns yet.
 def social_economy(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     return flatten(fact, [
         Star(dims["dim_legal_form"], "legal_form_key", {
             "unified_category": "legal_form", "unified_category_en": "legal_form_en",
             "ets_classification": "ets_classification"}, optional=True),
         Star(dims["dim_geography"], "geo_key", {**_PLACE, "municipality_type": "municipality_type"}),
-        Star(dims["dim_time"], "time_key", {"year": "year", "reference_period": "reference_period"}),
-        Star(dims["dim_source"], "source_key", {**_SOURCE, "access_type": "access_type"}),
         Star(dims["dim_indicator"], "indicator_key", _INDICATOR),
+        Star(dims["dim_source"], "source_key", {**_SOURCE, "access_type": "access_type"}),
+        Star(dims["dim_time"], "time_key", {"year": "year", "reference_period": "reference_period"}),
     ], SOCIAL_ECONOMY)
 
 
 def labour(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     return flatten(fact, [
         Star(dims["dim_geography"], "geo_key", _PLACE),
-        Star(dims["dim_time"], "time_key", {"year": "year"}),
-        Star(dims["dim_source"], "source_key", _SOURCE),
         Star(dims["dim_indicator"], "indicator_key", _INDICATOR),
+        Star(dims["dim_source"], "source_key", _SOURCE),
+        Star(dims["dim_time"], "time_key", {"year": "year"}),
     ], LABOUR)
 
 

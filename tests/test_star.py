@@ -98,3 +98,12 @@ def test_a_mart_selects_before_the_facts_are_shuffled(spark, table, name):
         assert any("indicator_key" in line for line in inner), joins
         assert any(("source_key" if name == "se_employment_eu" else "geo_key") in line for line in inner), joins
     assert rows(mart) == rows(marts()[name].of(checkpointed(social_economy(fact, dims)))) and mart.count() > 0
+
+
+def test_what_is_shuffled_for_the_indicators_has_no_columns_of_later_dimensions(spark, table):
+    fact, dims = star(table, spark)
+    with broadcast_up_to(spark, -1):
+        text = plan(social_economy(fact, dims))
+    order = [k for line in text.splitlines() if "SortMergeJoin" in line
+             for k in ("time_key", "source_key", "indicator_key", "geo_key", "legal_form_key") if f"[{k}#" in line or (k == "legal_form_key" and "_on0#" in line)]
+    assert order == ["time_key", "source_key", "indicator_key", "geo_key", "legal_form_key"]
